@@ -7,6 +7,7 @@ from cabgrid.functions.timecols import (
     wrapped_minutes,
     window_start,
 )
+from cabgrid.functions.rows import keyed_rows
 from cabgrid.functions.text import fixed_decimal_text, idle_message, congested_message
 
 __all__ = [
@@ -18,6 +19,7 @@ __all__ = [
     "seconds_between",
     "wrapped_minutes",
     "window_start",
+    "keyed_rows",
     "fixed_decimal_text",
     "idle_message",
     "congested_message",

@@ -5,6 +5,7 @@ from cabgrid.operators.sequence import with_neighbors
 from cabgrid.operators.topk import top_k, top_k_per_group
 from cabgrid.operators.routes import route_counts, top_routes, top_routes_per_window
 from cabgrid.operators.areas import (
+    area_windows,
     empty_taxis,
     area_profit,
     profitable_areas,
@@ -24,6 +25,7 @@ __all__ = [
     "route_counts",
     "top_routes",
     "top_routes_per_window",
+    "area_windows",
     "empty_taxis",
     "area_profit",
     "profitable_areas",

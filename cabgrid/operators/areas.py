@@ -9,7 +9,9 @@ inside one arrival slice, every dropoff window of a cell meets every pickup
 window of that cell.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from cabgrid.functions.rows import keyed_rows
 
 PROFIT_WINDOW = "15 minutes"
 EMPTY_WINDOW = "30 minutes"
@@ -54,79 +56,118 @@ def area_profit(trips: DataFrame, window: str = PROFIT_WINDOW) -> DataFrame:
     )
 
 
+def _tagged_area_rows(trips: DataFrame) -> DataFrame:
+    """Every trip as three keyed rows: its pickup under (pickup cell, end of
+    its 15-minute pickup window) carrying fare + tip, and its dropoff under
+    (dropoff cell, end of each of the two sliding 30-minute windows that
+    contain it) carrying a count of one."""
+    step = F.expr(f"INTERVAL {EMPTY_SLIDE}")
+    t = trips.withColumn("_p_end", F.window("pickup_dt", PROFIT_WINDOW).end)
+    t = t.withColumn("_d_end", F.window("dropoff_dt", EMPTY_SLIDE).end)
+    no_profit = F.lit(None).cast("double")
+    return t.select(
+        keyed_rows(
+            ["cell", "window_end", "profit", "dropoffs"],
+            [F.col("pickup_cell"), F.col("_p_end"), F.col("fare_amount") + F.col("tip_amount"), F.lit(0)],
+            [F.col("dropoff_cell"), F.col("_d_end"), no_profit, F.lit(1)],
+            [F.col("dropoff_cell"), F.col("_d_end") + step, no_profit, F.lit(1)],
+        )
+    )
+
+
+def area_windows(trips: DataFrame) -> DataFrame:
+    """Per (cell, window end): ``area_profit`` (mean fare + tip of pickups in
+    the 15 minutes ending there) and ``num_empty_taxis`` (dropoffs in the 30
+    minutes ending there); only keys having both.
+
+    This is the join of :func:`area_profit` and :func:`empty_taxis` on (cell,
+    window end), computed as one grouped aggregation: both sides share the key,
+    so one scan and one (map-side combined) shuffle replace two aggregations
+    and a join."""
+    return (
+        _tagged_area_rows(trips)
+        .groupBy("cell", "window_end")
+        .agg(F.avg("profit").alias("area_profit"), F.sum("dropoffs").alias("num_empty_taxis"))
+        .where(F.col("area_profit").isNotNull() & (F.col("num_empty_taxis") > 0))
+    )
+
+
 def profitable_areas(trips: DataFrame) -> DataFrame:
     """Profitability = area profit / empty taxis, per cell and window end,
-    most profitable first. Both inputs are already aggregated to one row per
-    (cell, window), so the join has no hot key; Spark picks broadcast or
-    sort-merge from the runtime sizes (AQE)."""
-    p = area_profit(trips)
-    e = empty_taxis(trips)
-    joined = p.join(
-        e,
-        (p["pickup_cell"] == e["dropoff_cell"]) & (p["window_end"] == e["window_end"]),
-    )
-    return joined.select(
-        p["pickup_cell"].alias("cell"),
-        p["window_end"].alias("window_end"),
-        p["area_profit"],
-        e["num_empty_taxis"],
-        (p["area_profit"] / e["num_empty_taxis"]).alias("profitability"),
+    most profitable first."""
+    return area_windows(trips).select(
+        "cell",
+        "window_end",
+        "area_profit",
+        "num_empty_taxis",
+        (F.col("area_profit") / F.col("num_empty_taxis")).alias("profitability"),
     ).orderBy(F.desc("profitability"), "cell", "window_end")
 
 
-AREAS_VIEW = "cabgrid_area_windows"
+AREAS_VIEW = "cabgrid_area_rows"
 
 PROFITABILITY_SQL = f"""
-SELECT pickup_cell AS cell,
+SELECT cell,
        window_end,
-       area_profit,
-       num_empty_taxis,
-       area_profit / num_empty_taxis AS profitability
+       avg(profit) AS area_profit,
+       sum(dropoffs) AS num_empty_taxis,
+       avg(profit) / sum(dropoffs) AS profitability
 FROM {AREAS_VIEW}
-WHERE num_empty_taxis > 0
+GROUP BY cell, window_end
+HAVING count(profit) > 0 AND sum(dropoffs) > 0
 ORDER BY profitability DESC, cell, window_end
 """
 
 
 def profitable_areas_sql(trips: DataFrame) -> DataFrame:
-    """Same answer as :func:`profitable_areas`, with the final step in SQL
-    text over a temporary view of the joined aggregates."""
-    p = area_profit(trips)
-    e = empty_taxis(trips).withColumnRenamed("window_end", "e_window_end").withColumnRenamed(
-        "window_start", "e_window_start"
-    )
-    joined = p.join(e, (p["pickup_cell"] == e["dropoff_cell"]) & (p["window_end"] == e["e_window_end"]))
-    joined.createOrReplaceTempView(AREAS_VIEW)
+    """Same answer as :func:`profitable_areas`, written as SQL text over a
+    temporary view of the keyed pickup / dropoff rows."""
+    _tagged_area_rows(trips).createOrReplaceTempView(AREAS_VIEW)
     return trips.sparkSession.sql(PROFITABILITY_SQL)
 
 
 def profitable_areas_compat(trips: DataFrame, slice_length: str = COMPAT_SLICE) -> DataFrame:
     """Original scope: trips are cut into arrival slices (pickup time,
     standing in for a micro-batch); within a slice the 30-minute tumbling
-    dropoff counts of a cell are joined with the 15-minute pickup profits of
-    that cell on the cell alone. The pairs per (slice, cell) are bounded by
-    the windows a slice can touch, so this never grows quadratically."""
-    sliced = trips.withColumn("slice_start", F.window("pickup_dt", slice_length).start)
-    dw = F.window("dropoff_dt", EMPTY_WINDOW)
-    e = (
-        sliced.groupBy("slice_start", "dropoff_cell", dw.alias("w"))
-        .agg(F.count(F.lit(1)).alias("num_empty_taxis"))
-        .select("slice_start", "dropoff_cell", F.col("w.start").alias("dropoff_window_start"), "num_empty_taxis")
+    dropoff counts of a cell meet every 15-minute pickup profit of that cell
+    (the cell is the only join key).
+
+    One scan feeds one tagged aggregation. The pickup windows of a (slice,
+    cell) are then handed to its dropoff rows by a window ``collect_list``:
+    pickups of a slice fall in at most slice / 15 minutes windows (4 for one
+    hour), so the list is bounded by construction and the output is at most
+    that many rows per dropoff window -- linear in the input."""
+    t = trips.withColumn("slice_start", F.window("pickup_dt", slice_length).start)
+    t = t.withColumn("_dw", F.window("dropoff_dt", EMPTY_WINDOW).start)
+    t = t.withColumn("_pw", F.window("pickup_dt", PROFIT_WINDOW).start)
+    rows = t.select(
+        "slice_start",
+        keyed_rows(
+            ["is_pickup", "cell", "window_start", "profit"],
+            [F.lit(False), F.col("dropoff_cell"), F.col("_dw"), F.lit(None).cast("double")],
+            [F.lit(True), F.col("pickup_cell"), F.col("_pw"), F.col("fare_amount") + F.col("tip_amount")],
+        ),
     )
-    pw = F.window("pickup_dt", PROFIT_WINDOW)
-    p = (
-        sliced.groupBy("slice_start", "pickup_cell", pw.alias("w"))
-        .agg(F.avg(F.col("fare_amount") + F.col("tip_amount")).alias("area_profit"))
-        .select("slice_start", "pickup_cell", F.col("w.start").alias("pickup_window_start"), "area_profit")
+    agg = rows.groupBy("slice_start", "cell", "is_pickup", "window_start").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("profit").alias("area_profit")
+    )
+    pickup_windows = F.collect_list(
+        F.when(F.col("is_pickup"), F.struct(F.col("window_start").alias("pickup_window_start"), "area_profit"))
+    ).over(Window.partitionBy("slice_start", "cell"))
+    drops = agg.withColumn("pickups", pickup_windows).where(~F.col("is_pickup") & (F.col("n") > 0))
+    pairs = drops.select(
+        "slice_start",
+        "cell",
+        F.col("window_start").alias("dropoff_window_start"),
+        F.col("n").alias("num_empty_taxis"),
+        F.explode("pickups").alias("p"),
     )
-    e, p = e.alias("e"), p.alias("p")
-    joined = e.join(p, (F.col("e.slice_start") == F.col("p.slice_start")) & (F.col("e.dropoff_cell") == F.col("p.pickup_cell")))
-    return joined.where(F.col("e.num_empty_taxis") > 0).select(
-        F.col("e.slice_start"),
-        F.col("p.pickup_cell").alias("cell"),
-        F.col("e.dropoff_window_start"),
-        F.col("p.pickup_window_start"),
-        F.col("p.area_profit"),
-        F.col("e.num_empty_taxis"),
-        (F.col("p.area_profit") / F.col("e.num_empty_taxis")).alias("profitability"),
+    return pairs.select(
+        "slice_start",
+        "cell",
+        "dropoff_window_start",
+        F.col("p.pickup_window_start").alias("pickup_window_start"),
+        F.col("p.area_profit").alias("area_profit"),
+        "num_empty_taxis",
+        (F.col("p.area_profit") / F.col("num_empty_taxis")).alias("profitability"),
     )

@@ -3,6 +3,8 @@ after."""
 
 from pyspark.sql import DataFrame, functions as F
 
+from cabgrid.functions.rows import keyed_rows
+
 RENDEZVOUS_WINDOW = "1 hour"
 
 
@@ -11,30 +13,32 @@ def cell_rendezvous(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFr
     first pickup (``pdt``) per taxi, cell and pickup window when
     ``ddt <= pdt <= ddt + window``.
 
-    An interval join written as an equi-join: a pickup within one window
-    length after a dropoff lies in the dropoff's window or the next one, so
-    every dropoff row is emitted for those two window starts and joined on
-    (taxi, cell, window start). The pickup side has one row per key, hence
-    at most two matches per dropoff: linear, whatever the history of a taxi."""
+    An interval join computed without a join: a pickup within one window
+    length after a dropoff lies in the dropoff's window or the next one. So
+    each pickup is keyed under its own window (``pdt_same``) and under the
+    previous one (``pdt_next``), each dropoff under its window, and a single
+    grouped ``min`` per (taxi, cell, window) yields the dropoff and both
+    candidate pickups at once: one scan, one map-side combined shuffle, at
+    most two output rows per dropoff window, whatever a taxi's history."""
     length = F.expr(f"INTERVAL {window}")
-    dw = F.window("dropoff_dt", window)
-    drops = (
-        trips.groupBy("medallion", "dropoff_cell", dw.alias("w"))
-        .agg(F.min("dropoff_dt").alias("ddt"))
-        .select(
-            "medallion",
-            F.col("dropoff_cell").alias("cell"),
-            F.explode(F.array(F.col("w.start"), F.col("w.start") + length)).alias("bucket"),
-            "ddt",
-        )
+    t = trips.withColumn("_dw", F.window("dropoff_dt", window).start)
+    t = t.withColumn("_pw", F.window("pickup_dt", window).start)
+    no_ts = F.lit(None).cast("timestamp_ntz")
+    rows = t.select(
+        "medallion",
+        keyed_rows(
+            ["cell", "bucket", "ddt", "pdt_same", "pdt_next"],
+            [F.col("dropoff_cell"), F.col("_dw"), F.col("dropoff_dt"), no_ts, no_ts],
+            [F.col("pickup_cell"), F.col("_pw"), no_ts, F.col("pickup_dt"), no_ts],
+            [F.col("pickup_cell"), F.col("_pw") - length, no_ts, no_ts, F.col("pickup_dt")],
+        ),
     )
-    pw = F.window("pickup_dt", window)
-    picks = (
-        trips.groupBy("medallion", "pickup_cell", pw.alias("w"))
-        .agg(F.min("pickup_dt").alias("pdt"))
-        .select("medallion", F.col("pickup_cell").alias("cell"), F.col("w.start").alias("bucket"), "pdt")
+    firsts = (
+        rows.groupBy("medallion", "cell", "bucket")
+        .agg(F.min("ddt").alias("ddt"), F.min("pdt_same").alias("pdt_same"), F.min("pdt_next").alias("pdt_next"))
+        .where(F.col("ddt").isNotNull())
     )
-    joined = drops.join(picks, ["medallion", "cell", "bucket"])
-    return joined.where((F.col("pdt") >= F.col("ddt")) & (F.col("pdt") <= F.col("ddt") + length)).select(
-        "medallion", "cell", "ddt", "pdt"
+    pairs = firsts.select(
+        "medallion", "cell", "ddt", F.explode(F.array("pdt_same", "pdt_next")).alias("pdt")
     )
+    return pairs.where((F.col("pdt") >= F.col("ddt")) & (F.col("pdt") <= F.col("ddt") + length))

@@ -159,11 +159,16 @@ def with_neighbors(
     m = max(lags, leads)
     if m < 1:
         raise ValueError("need at least one lag or lead")
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # Both passes must read one and the same range shuffle.
+        raise RuntimeError("with_neighbors needs spark.sql.exchange.reuse=true")
+    # An explicit partition count: AQE never coalesces it, so the two passes
+    # see exactly the same partitions.
+    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*by, *order]
     in_cols = df.columns
-    ranged = (
-        df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    ).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
 
     fields = {f.name: f for f in df.schema.fields}
     extra = [T.StructField(lag_name(v, j), fields[v].dataType) for j in range(1, lags + 1) for v in values]

@@ -1,6 +1,20 @@
 """Named query plans over a table directory, and their SQL oracles."""
 
 from cabgrid.plans.catalog import QUERIES, derived_trips, raw_trip_table
-from cabgrid.plans.oracle import ORACLE_SQL
+from cabgrid.plans.oracle import ORACLE_SQL, STREAM_ORACLE_SQL
+from cabgrid.plans.streams import STREAM_QUERIES, replayed_trips
 
-__all__ = ["QUERIES", "ORACLE_SQL", "derived_trips", "raw_trip_table"]
+ALL_QUERIES = {**QUERIES, **STREAM_QUERIES}
+ALL_ORACLE_SQL = {**ORACLE_SQL, **STREAM_ORACLE_SQL}
+
+__all__ = [
+    "QUERIES",
+    "STREAM_QUERIES",
+    "ALL_QUERIES",
+    "ORACLE_SQL",
+    "STREAM_ORACLE_SQL",
+    "ALL_ORACLE_SQL",
+    "derived_trips",
+    "raw_trip_table",
+    "replayed_trips",
+]

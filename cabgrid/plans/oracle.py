@@ -210,3 +210,57 @@ FROM trips""",
     + """SELECT *, row_number() OVER (PARTITION BY day ORDER BY total_tip_amount DESC, medallion) AS "rank"
 FROM driver_tips QUALIFY "rank" <= 10""",
 }
+
+
+# Streaming results hold what the final watermark closed: max event time seen
+# minus the 3 hour delay (window end <= watermark).
+_WM = "(SELECT max(pickup_dt) - INTERVAL '3 hours' FROM trips)"
+_WM_AREAS = """(SELECT greatest(max(time_bucket(INTERVAL '15 minutes', pickup_dt)) + INTERVAL '15 minutes',
+                 max(time_bucket(INTERVAL '15 minutes', dropoff_dt)) + INTERVAL '30 minutes')
+                - INTERVAL '3 hours' FROM trips)"""
+
+STREAM_ORACLE_SQL: dict[str, str] = {
+    "stream_route_counts": _with(_ROUTES)
+    + f"SELECT * FROM route_counts WHERE window_start + INTERVAL '30 minutes' <= {_WM}",
+    "stream_top_routes": _with(_ROUTES)
+    + f"""SELECT *, row_number() OVER (PARTITION BY window_start
+                              ORDER BY num_trips DESC, pickup_cell, dropoff_cell) AS "rank"
+FROM route_counts
+WHERE window_start + INTERVAL '30 minutes' <= {_WM}
+QUALIFY "rank" <= 10""",
+    "stream_profitable_areas": _with(_EMPTY, _PROFIT)
+    + f"""SELECT p.pickup_cell AS cell, p.window_end, p.area_profit, e.num_empty_taxis,
+       p.area_profit / e.num_empty_taxis AS profitability
+FROM area_profit p JOIN empty_taxis e
+  ON p.pickup_cell = e.dropoff_cell AND p.window_end = e.window_end
+WHERE e.num_empty_taxis > 0 AND p.window_end <= {_WM_AREAS}""",
+    "stream_idle_alerts": _with(_GAPS, _IDLE_AVG)
+    + _IDLE_SELECT
+    + f" AND window_start + INTERVAL '1 hour' <= {_WM}",
+    "stream_congestion_alerts": _with(
+        """seq AS (
+  SELECT medallion, time_bucket(INTERVAL '1 day', pickup_dt) AS day, pickup_dt, event_id, pickup_cell,
+         trip_time AS d,
+         lag(trip_time, 1) OVER w AS b1,
+         lead(trip_time, 1) OVER w AS a1,
+         lead(trip_time, 2) OVER w AS a2,
+         lead(trip_time, 3) OVER w AS a3,
+         lead(pickup_dt, 3) OVER w AS a3_pickup
+  FROM trips
+  WINDOW w AS (PARTITION BY medallion, time_bucket(INTERVAL '1 day', pickup_dt) ORDER BY pickup_dt, event_id)
+)""",
+        """firsts AS (
+  SELECT medallion, day, pickup_cell AS cell, a3_pickup
+  FROM seq
+  WHERE d > b1 AND d > a1 AND a1 < a2 AND a2 < a3
+  QUALIFY row_number() OVER (PARTITION BY medallion, day ORDER BY pickup_dt, event_id) = 1
+)""",
+    )
+    + f"""SELECT medallion, day, cell, 'Alert, area ' || cell || ' is congested' AS alert_message
+FROM firsts WHERE a3_pickup <= {_WM}""",
+    "stream_pleasant_drivers": _with(_TIPS)
+    + f"""SELECT *, row_number() OVER (PARTITION BY day ORDER BY total_tip_amount DESC, medallion) AS "rank"
+FROM driver_tips
+WHERE day + INTERVAL '1 day' <= {_WM}
+QUALIFY "rank" <= 10""",
+}

@@ -1,0 +1,37 @@
+"""Replay a trip table as a file stream.
+
+Writes the table into ``slices`` files of equal pickup-time ranges, one
+after the other, so the file source (which orders files by modification
+time, one file per trigger) sees event time move forward batch by batch. A
+slice never contains rows older than the previous slice, so nothing is late
+for any watermark delay. On stores with one-second modification times
+(object stores) pass ``gap_seconds=1``.
+"""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import DataFrame, functions as F
+
+from cabgrid.schema import TRIP_COLUMNS
+
+
+def replay_files(trips: DataFrame, path: str, slices: int = 6, gap_seconds: float = 0.0) -> int:
+    """Write ``trips`` (trip columns, TIMESTAMP_NTZ times) to ``path`` as
+    ``slices`` time-ordered parquet files; returns the number written."""
+    rows = trips.select(*TRIP_COLUMNS)
+    lo, hi = rows.agg(F.min("pickup_dt"), F.max("pickup_dt")).first()
+    if lo is None:
+        rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+        return 1
+    step = (hi - lo) / slices
+    bounds = [lo + step * k for k in range(slices)] + [None]
+    for k in range(slices):
+        part = rows.where(F.col("pickup_dt") >= F.lit(bounds[k]))
+        if bounds[k + 1] is not None:
+            part = part.where(F.col("pickup_dt") < F.lit(bounds[k + 1]))
+        part.coalesce(1).write.mode("append").parquet(path)
+        if gap_seconds:
+            time.sleep(gap_seconds)
+    return slices

@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from cabgrid.plans import QUERIES  # noqa: E402
+from cabgrid.plans import QUERIES, STREAM_QUERIES, replayed_trips  # noqa: E402
 from cabgrid.session import local_session  # noqa: E402
 
 HEADLINE = [
@@ -39,6 +39,14 @@ def run_once(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - t
 
 
+def run_stream(spark, name: str, sf_dir: str) -> float:
+    """A full streaming run over the replayed trips (one micro-batch per
+    file, availableNow) including reading back its output."""
+    t = time.perf_counter()
+    STREAM_QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - t
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -49,6 +57,11 @@ def main() -> None:
     for name in names:
         run_once(spark, name, sf_dir)
         per_query[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(repeats)), 4)
+    streams = {}
+    if os.environ.get("BENCH_STREAMS", "1") == "1":
+        replayed_trips(spark, sf_dir)  # write the replay files once, untimed
+        for name in STREAM_QUERIES:
+            streams[name] = round(run_stream(spark, name, sf_dir), 4)
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     headline = [n for n in HEADLINE if n in per_query] or list(per_query)
     out = {
@@ -58,6 +71,7 @@ def main() -> None:
         "queries": per_query,
         "headline": headline,
         "total_all_queries_sec": round(sum(per_query.values()), 4),
+        "stream_queries": streams,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "repeats": repeats,

@@ -1,0 +1,31 @@
+"""File sources: gzip text lines (one split) are spread before parsing and
+parse back to the trips they were written from."""
+
+import gzip
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from cabgrid import clean_trips, read_trips, reject_counts
+from cabgrid.plans import raw_trip_table
+from cabgrid.session import checkpoint_root
+from cabgrid.sources import trip_lines
+from conftest import SF001
+
+
+def test_gzip_lines_round_trip(spark):
+    raw = raw_trip_table(spark, SF001)
+    lines = [r.value for r in trip_lines(raw).orderBy("event_id").collect()]
+    d = tempfile.mkdtemp(prefix="gz-", dir=checkpoint_root(spark).replace("file:", ""))
+    path = os.path.join(d, "trips.csv.gz")
+    with gzip.open(path, "wt") as f:
+        f.write("\n".join(lines + ["", "a,b,c"]) + "\n")
+    parsed = read_trips(spark, path, min_partitions=4)
+    assert parsed.rdd.getNumPartitions() >= 4
+    counts = {r.outcome: r.num_lines for r in reject_counts(parsed).collect()}
+    assert counts["empty_line"] == 1 and counts["too_few_fields"] == 1
+    kept = clean_trips(parsed).drop("event_id")
+    exp = clean_trips(raw).drop("event_id")
+    cols = sorted(exp.columns)
+    assert sorted(map(tuple, kept.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))

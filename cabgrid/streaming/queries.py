@@ -80,12 +80,10 @@ def stream_idle_alerts(
 
 
 def stream_congestion_alerts(trips: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    rows = (
-        trips.select("medallion", "pickup_dt", "event_id", "trip_time", "pickup_cell")
-        .withColumn("day", F.window("pickup_dt", "1 day").start)
-        .withWatermark("pickup_dt", delay)
+    rows = trips.select("medallion", "pickup_dt", "event_id", "trip_time", "pickup_cell").withWatermark(
+        "pickup_dt", delay
     )
-    alerts = rows.groupBy("medallion", "day").applyInPandasWithState(
+    alerts = rows.groupBy("medallion").applyInPandasWithState(
         congestion_state_fn(86400 * US),
         CONGESTION_OUTPUT,
         CONGESTION_STATE,

@@ -8,9 +8,9 @@ therefore buffer a key's rows until the watermark passes their pickup time
 
 * idle: the last released dropoff, plus partial sums per open hour window;
   a window is emitted and forgotten once the watermark passes its end;
-* congestion (keyed by taxi and day): the last four released durations and
-  cells; the first peak-then-rise is emitted once, and the state is removed
-  when the watermark passes the end of the day.
+* congestion (keyed by taxi): the last four released durations and cells of
+  the current day; the first peak-then-rise of a day is emitted once, and the
+  context restarts when released rides enter the next day.
 
 Event-time timeouts wake a key up when the watermark passes its earliest
 pending item, so silent taxis flush too. Times are epoch microseconds.
@@ -35,7 +35,7 @@ IDLE_STATE = (
 )
 CONGESTION_OUTPUT = "medallion string, day timestamp, cell string"
 CONGESTION_STATE = (
-    "day_start long, done boolean, buf_pickup array<long>, buf_id array<long>, buf_dur array<int>, "
+    "cur_day long, done boolean, buf_pickup array<long>, buf_id array<long>, buf_dur array<int>, "
     "buf_cell array<string>, ctx_dur array<int>, ctx_cell array<string>"
 )
 
@@ -115,18 +115,30 @@ def idle_state_fn(window_us: int, threshold: float):
     return fn
 
 
+def _first_peak(seq: np.ndarray, lo: int) -> int:
+    """Index of the first i >= lo with seq[i] > seq[i-1], seq[i] > seq[i+1],
+    seq[i+1] < seq[i+2] < seq[i+3]; -1 if none."""
+    lo, hi = max(1, lo), len(seq) - 3
+    if hi <= lo:
+        return -1
+    k = np.arange(lo, hi)
+    hit = (seq[k] > seq[k - 1]) & (seq[k] > seq[k + 1]) & (seq[k + 1] < seq[k + 2]) & (seq[k + 2] < seq[k + 3])
+    return int(k[np.argmax(hit)]) if hit.any() else -1
+
+
 def congestion_state_fn(day_us: int):
+    """Keyed by taxi; the context (last four released rides of the current
+    day) restarts whenever released rides enter a new day."""
+
     def fn(key, pdfs, state):
         medallion = key[0]
         if state.exists:
-            day, done, bp, bi, bdur, bcell, cdur, ccell = state.get
+            cur_day, done, bp, bi, bdur, bcell, cdur, ccell = state.get
             bp, bi, bdur, bcell, cdur, ccell = map(list, (bp, bi, bdur, bcell, cdur, ccell))
         else:
-            day, done, bp, bi, bdur, bcell, cdur, ccell = None, False, [], [], [], [], [], []
+            cur_day, done, bp, bi, bdur, bcell, cdur, ccell = None, False, [], [], [], [], [], []
         for pdf in pdfs:
             if len(pdf):
-                if day is None:
-                    day = int(_micros(pdf["day"])[0])
                 bp += _micros(pdf["pickup_dt"]).tolist()
                 bi += pdf["event_id"].astype("int64").tolist()
                 bdur += pdf["trip_time"].astype("int64").tolist()
@@ -137,34 +149,32 @@ def congestion_state_fn(day_us: int):
         order = np.lexsort((i, p))
         p, i, dur, cell = p[order], i[order], dur[order], cell[order]
         ready = p <= wm
-        out = []
+        found_days, found_cells = [], []
         if ready.any():
-            seq = np.concatenate([np.array(cdur, dtype="int64"), dur[ready]])
-            cells = np.concatenate([np.array(ccell, dtype=object), cell[ready]])
-            if not done:
-                # candidates i whose i+3 was just released and that have a predecessor
-                lo, hi = max(1, len(cdur) - 3), len(seq) - 3
-                if hi > lo:
-                    k = np.arange(lo, hi)
-                    hit = (
-                        (seq[k] > seq[k - 1])
-                        & (seq[k] > seq[k + 1])
-                        & (seq[k + 1] < seq[k + 2])
-                        & (seq[k + 2] < seq[k + 3])
-                    )
-                    if hit.any():
-                        out.append(cells[k[np.argmax(hit)]])
+            rp, rdur, rcell = p[ready], dur[ready], cell[ready]
+            days = rp - np.mod(rp, day_us)
+            for day in np.unique(days).tolist():
+                seg = days == day
+                if day != cur_day:
+                    cur_day, done, cdur, ccell = day, False, [], []
+                seq = np.concatenate([np.array(cdur, dtype="int64"), rdur[seg]])
+                cells = np.concatenate([np.array(ccell, dtype=object), rcell[seg]])
+                if not done:
+                    # only candidates whose third successor was just released
+                    hit = _first_peak(seq, len(cdur) - 3)
+                    if hit >= 0:
+                        found_days.append(day)
+                        found_cells.append(cells[hit])
                         done = True
-            cdur, ccell = seq[-4:].tolist(), cells[-4:].tolist()
+                cdur, ccell = seq[-4:].tolist(), cells[-4:].tolist()
         keep = ~ready
-        if day is not None and wm >= day + day_us and not keep.any():
-            state.remove()
-        else:
-            state.update(
-                (day, done, p[keep].tolist(), i[keep].tolist(), dur[keep].tolist(), cell[keep].tolist(), cdur, ccell)
+        state.update(
+            (cur_day, done, p[keep].tolist(), i[keep].tolist(), dur[keep].tolist(), cell[keep].tolist(), cdur, ccell)
+        )
+        _set_timeout(state, p[keep].tolist())
+        if found_days:
+            yield pd.DataFrame(
+                {"medallion": [medallion] * len(found_days), "day": _stamp(found_days), "cell": found_cells}
             )
-            _set_timeout(state, p[keep].tolist() + ([day + day_us] if day is not None else []))
-        if out:
-            yield pd.DataFrame({"medallion": [medallion], "day": _stamp([day]), "cell": out})
 
     return fn

@@ -140,8 +140,8 @@ ORACLE_SQL: dict[str, str] = {
     "top_routes": _with(_ROUTES)
     + "SELECT * FROM route_counts ORDER BY num_trips DESC, window_start, pickup_cell, dropoff_cell LIMIT 10",
     "top_routes_per_window": _with(_ROUTES)
-    + """SELECT *, row_number() OVER (PARTITION BY window_start
-                              ORDER BY num_trips DESC, pickup_cell, dropoff_cell) AS "rank"
+    + """SELECT *, CAST(row_number() OVER (PARTITION BY window_start
+                              ORDER BY num_trips DESC, pickup_cell, dropoff_cell) AS INTEGER) AS "rank"
 FROM route_counts QUALIFY "rank" <= 10""",
     "empty_taxis": _with(_EMPTY) + "SELECT * FROM empty_taxis",
     "area_profit": _with(_PROFIT) + "SELECT * FROM area_profit",
@@ -207,7 +207,7 @@ FROM trips""",
     "pleasant_drivers": _with(_TIPS)
     + "SELECT * FROM driver_tips ORDER BY total_tip_amount DESC, day, medallion LIMIT 10",
     "pleasant_drivers_per_day": _with(_TIPS)
-    + """SELECT *, row_number() OVER (PARTITION BY day ORDER BY total_tip_amount DESC, medallion) AS "rank"
+    + """SELECT *, CAST(row_number() OVER (PARTITION BY day ORDER BY total_tip_amount DESC, medallion) AS INTEGER) AS "rank"
 FROM driver_tips QUALIFY "rank" <= 10""",
 }
 
@@ -223,8 +223,8 @@ STREAM_ORACLE_SQL: dict[str, str] = {
     "stream_route_counts": _with(_ROUTES)
     + f"SELECT * FROM route_counts WHERE window_start + INTERVAL '30 minutes' <= {_WM}",
     "stream_top_routes": _with(_ROUTES)
-    + f"""SELECT *, row_number() OVER (PARTITION BY window_start
-                              ORDER BY num_trips DESC, pickup_cell, dropoff_cell) AS "rank"
+    + f"""SELECT *, CAST(row_number() OVER (PARTITION BY window_start
+                              ORDER BY num_trips DESC, pickup_cell, dropoff_cell) AS INTEGER) AS "rank"
 FROM route_counts
 WHERE window_start + INTERVAL '30 minutes' <= {_WM}
 QUALIFY "rank" <= 10""",
@@ -259,7 +259,7 @@ WHERE e.num_empty_taxis > 0 AND p.window_end <= {_WM_AREAS}""",
     + f"""SELECT medallion, day, cell, 'Alert, area ' || cell || ' is congested' AS alert_message
 FROM firsts WHERE a3_pickup <= {_WM}""",
     "stream_pleasant_drivers": _with(_TIPS)
-    + f"""SELECT *, row_number() OVER (PARTITION BY day ORDER BY total_tip_amount DESC, medallion) AS "rank"
+    + f"""SELECT *, CAST(row_number() OVER (PARTITION BY day ORDER BY total_tip_amount DESC, medallion) AS INTEGER) AS "rank"
 FROM driver_tips
 WHERE day + INTERVAL '1 day' <= {_WM}
 QUALIFY "rank" <= 10""",

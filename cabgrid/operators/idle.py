@@ -34,8 +34,24 @@ def idle_gaps(trips: DataFrame) -> DataFrame:
     )
 
 
-def _alerts(rows: DataFrame, minutes_col: str, window: str, threshold: float) -> DataFrame:
-    w = F.window("pickup_dt", window)
+MIN_SLIDE_SECONDS = 300
+
+
+def _seconds(duration: str) -> int:
+    n, unit = duration.split()
+    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s").lower()]
+    return int(n) * scale
+
+
+def _alerts(rows: DataFrame, minutes_col: str, window: str, slide: str | None) -> DataFrame:
+    if slide and slide != window:
+        # A sliding window copies every row length/slide times; keep the slide
+        # coarse (the original recomputed a 1 h window every 5 s batch).
+        if _seconds(slide) < MIN_SLIDE_SECONDS:
+            raise ValueError(f"slide must be at least {MIN_SLIDE_SECONDS} seconds")
+        w = F.window("pickup_dt", window, slide)
+    else:
+        w = F.window("pickup_dt", window)
     avg = (F.sum(F.col(minutes_col).cast("double")) / F.count(F.lit(1))).alias("avg_value")
     return rows.groupBy("medallion", w.alias("w")).agg(avg).select(
         "medallion", F.col("w.start").alias("window_start"), F.col("avg_value")
@@ -43,12 +59,16 @@ def _alerts(rows: DataFrame, minutes_col: str, window: str, threshold: float) ->
 
 
 def idle_alerts(
-    trips: DataFrame, window: str = IDLE_WINDOW, threshold: float = IDLE_THRESHOLD_MINUTES
+    trips: DataFrame,
+    window: str = IDLE_WINDOW,
+    threshold: float = IDLE_THRESHOLD_MINUTES,
+    slide: str | None = None,
 ) -> DataFrame:
     """Taxis whose mean positive idle gap, over the trips picked up in a
-    window, exceeds ``threshold`` minutes."""
+    window (tumbling, or sliding by ``slide``), exceeds ``threshold``
+    minutes."""
     g = idle_gaps(trips).where(F.col("gap_seconds") > 0)
-    a = _alerts(g, "gap_seconds", window, threshold)
+    a = _alerts(g, "gap_seconds", window, slide)
     minutes = (F.col("avg_value") / F.lit(60.0)).alias("avg_idle_minutes")
     return (
         a.select("medallion", "window_start", minutes)
@@ -58,7 +78,10 @@ def idle_alerts(
 
 
 def idle_compat(
-    trips: DataFrame, window: str = IDLE_WINDOW, threshold: float = IDLE_THRESHOLD_MINUTES
+    trips: DataFrame,
+    window: str = IDLE_WINDOW,
+    threshold: float = IDLE_THRESHOLD_MINUTES,
+    slide: str | None = None,
 ) -> DataFrame:
     """Original arithmetic: per trip, minutes field of (pickup - dropoff)
     modulo one day; positive values averaged per taxi and window (the window
@@ -67,7 +90,7 @@ def idle_compat(
     rows = trips.select("medallion", "pickup_dt", minutes.alias("idle_minutes")).where(
         F.col("idle_minutes") > 0
     )
-    a = _alerts(rows, "idle_minutes", window, threshold)
+    a = _alerts(rows, "idle_minutes", window, slide)
     return (
         a.select("medallion", "window_start", F.col("avg_value").alias("avg_idle_minutes"))
         .where(F.col("avg_idle_minutes") > F.lit(float(threshold)))

@@ -19,6 +19,7 @@ def write_stream(
     interval: str = BATCH_INTERVAL,
     output_mode: str = "append",
     query_name: str | None = None,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Write ``df`` to parquet at ``path`` with its checkpoint at
     ``checkpoint`` (put it in the shared checkpoint folder, see
@@ -29,12 +30,16 @@ def write_stream(
     ``batch_id=N`` folder in overwrite mode, so a batch re-run after a
     failure replaces its output instead of duplicating it.
     ``available_now`` drains what is there and stops; otherwise a
-    micro-batch runs every ``interval``."""
+    micro-batch runs every ``interval``. ``fmt`` may also be ``console``
+    (prints each batch, for inspection) or ``memory`` (an in-memory table
+    named ``query_name``, for tests); ``path`` is ignored for those."""
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
-    if per_batch is None:
-        w = w.format("parquet").option("path", path)
+    if per_batch is None and fmt in ("console", "memory"):
+        w = w.format(fmt)
+    elif per_batch is None:
+        w = w.format(fmt).option("path", path)
     else:
 
         def sink(batch: DataFrame, batch_id: int) -> None:

@@ -132,3 +132,18 @@ def test_congestion_pattern(spark, durations, cell):
         assert got[0].alert_message == f"Alert, area {cell} is congested"
     compat = congestion_compat(trips).collect()
     assert [r.alert_message for r in compat] == ["No congested Areas"]
+
+
+def test_idle_sliding_window(spark):
+    from cabgrid import idle_alerts
+    from cabgrid.plans import derived_trips
+
+    trips = derived_trips(spark, "/root/testdata/sf0.001")
+    tumbling = idle_alerts(trips, window="1 hour")
+    sliding = idle_alerts(trips, window="1 hour", slide="30 minutes")
+    # every tumbling window is also one of the sliding windows
+    t = {(r.medallion, r.window_start) for r in tumbling.collect()}
+    s = {(r.medallion, r.window_start) for r in sliding.collect()}
+    assert t and t <= s and len(s) > len(t)
+    with pytest.raises(ValueError):
+        idle_alerts(trips, window="1 hour", slide="5 seconds")

@@ -17,8 +17,13 @@ partitioner cuts a hot group into many partitions of bounded size:
    adjacent partitions. The edge set grows with the number of partitions,
    not with the data, so even a group spanning every partition stays small.
 
-Both passes read the same range exchange. The ordering key should be unique
-(add an id column); ties are ordered arbitrarily, as in a window function.
+Both passes must see the same partitions: they read one range exchange that
+Spark reuses (identical subtrees; ``mapInPandas`` consumes every column, so
+column pruning cannot make the two subtrees differ), with a fixed partition
+count that AQE never coalesces. Separately planned range exchanges would each
+sample their own bounds, so the operator refuses to run with exchange reuse
+disabled. The ordering key must be unique (add an id column): the passes
+agree on row positions only if the order inside a partition is determined.
 """
 
 from __future__ import annotations

@@ -65,17 +65,26 @@ def _tagged_area_rows(trips: DataFrame) -> DataFrame:
     t = trips.withColumn("_p_end", F.window("pickup_dt", PROFIT_WINDOW).end)
     t = t.withColumn("_d_end", F.window("dropoff_dt", EMPTY_SLIDE).end)
     no_profit = F.lit(None).cast("double")
+    no_taxi = F.lit(None).cast("string")
     return t.select(
         keyed_rows(
-            ["cell", "window_end", "profit", "dropoffs"],
-            [F.col("pickup_cell"), F.col("_p_end"), F.col("fare_amount") + F.col("tip_amount"), F.lit(0)],
-            [F.col("dropoff_cell"), F.col("_d_end"), no_profit, F.lit(1)],
-            [F.col("dropoff_cell"), F.col("_d_end") + step, no_profit, F.lit(1)],
+            ["cell", "window_end", "profit", "dropoffs", "taxi"],
+            [F.col("pickup_cell"), F.col("_p_end"), F.col("fare_amount") + F.col("tip_amount"), F.lit(0), no_taxi],
+            [F.col("dropoff_cell"), F.col("_d_end"), no_profit, F.lit(1), F.col("medallion")],
+            [F.col("dropoff_cell"), F.col("_d_end") + step, no_profit, F.lit(1), F.col("medallion")],
         )
     )
 
 
-def area_windows(trips: DataFrame) -> DataFrame:
+def _empty_count(distinct_taxis: bool, approx: bool = False):
+    """Empty taxis of a key: dropoffs (the original count), or distinct taxis
+    that dropped off there (exact in batch, HyperLogLog++ in streams)."""
+    if not distinct_taxis:
+        return F.sum("dropoffs")
+    return F.approx_count_distinct("taxi") if approx else F.count_distinct("taxi")
+
+
+def area_windows(trips: DataFrame, distinct_taxis: bool = False) -> DataFrame:
     """Per (cell, window end): ``area_profit`` (mean fare + tip of pickups in
     the 15 minutes ending there) and ``num_empty_taxis`` (dropoffs in the 30
     minutes ending there); only keys having both.
@@ -87,15 +96,16 @@ def area_windows(trips: DataFrame) -> DataFrame:
     return (
         _tagged_area_rows(trips)
         .groupBy("cell", "window_end")
-        .agg(F.avg("profit").alias("area_profit"), F.sum("dropoffs").alias("num_empty_taxis"))
+        .agg(F.avg("profit").alias("area_profit"), _empty_count(distinct_taxis).alias("num_empty_taxis"))
         .where(F.col("area_profit").isNotNull() & (F.col("num_empty_taxis") > 0))
     )
 
 
-def profitable_areas(trips: DataFrame) -> DataFrame:
+def profitable_areas(trips: DataFrame, distinct_taxis: bool = False) -> DataFrame:
     """Profitability = area profit / empty taxis, per cell and window end,
-    most profitable first."""
-    return area_windows(trips).select(
+    most profitable first. ``distinct_taxis`` counts each taxi once per
+    window instead of every dropoff."""
+    return area_windows(trips, distinct_taxis).select(
         "cell",
         "window_end",
         "area_profit",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cabgrid.functions.text import congested_message, idle_message
-from cabgrid.operators.areas import _tagged_area_rows
+from cabgrid.operators.areas import _empty_count, _tagged_area_rows
 from cabgrid.operators.routes import route_counts
 from cabgrid.operators.tips import driver_tips
 from cabgrid.operators.topk import top_k_per_group
@@ -42,14 +42,20 @@ def top_routes_of_batch(counts: DataFrame, k: int = TOP_K) -> DataFrame:
     return top_k_per_group(counts, ["window_start"], order, k)
 
 
-def stream_profitable_areas(trips: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+def stream_profitable_areas(
+    trips: DataFrame, delay: str = WATERMARK_DELAY, distinct_taxis: bool = False
+) -> DataFrame:
     """One stateful aggregation keyed by (cell, window end), the watermark on
-    the window end itself; no stream-stream join."""
+    the window end itself; no stream-stream join. ``distinct_taxis`` uses
+    an approximate distinct count (exact distinct is not incremental)."""
     agg = (
         _tagged_area_rows(trips)
         .withWatermark("window_end", delay)
         .groupBy("cell", "window_end")
-        .agg(F.avg("profit").alias("area_profit"), F.sum("dropoffs").alias("num_empty_taxis"))
+        .agg(
+            F.avg("profit").alias("area_profit"),
+            _empty_count(distinct_taxis, approx=True).alias("num_empty_taxis"),
+        )
         .where(F.col("area_profit").isNotNull() & (F.col("num_empty_taxis") > 0))
     )
     out = agg.select(

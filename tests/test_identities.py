@@ -34,3 +34,25 @@ def test_results_ignore_input_partitioning(spark):
     shuffled = trips.repartition(13, F.rand(3))
     for fn in (ops.idle_alerts, ops.congestion_alerts, ops.cell_rendezvous, ops.top_routes_per_window):
         assert _rows(fn(trips)) == _rows(fn(shuffled)), fn.__name__
+
+
+def test_distinct_taxis_option(spark):
+    trips = derived_trips(spark, SF01)
+    got = ops.profitable_areas(trips, distinct_taxis=True)
+    e = ops.empty_taxis(trips, distinct_taxis=True)
+    p = ops.area_profit(trips)
+    exp = p.join(e, (p.pickup_cell == e.dropoff_cell) & (p.window_end == e.window_end)).select(
+        p.pickup_cell.alias("cell"), p.window_end, p.area_profit, e.num_empty_taxis,
+        (p.area_profit / e.num_empty_taxis).alias("profitability"),
+    )
+    assert _rows(got) == _rows(exp)
+    assert got.count() > 0
+
+
+def test_operators_on_empty_input(spark):
+    empty = derived_trips(spark, SF001).limit(0)
+    for name in ops.__all__:
+        fn = getattr(ops, name)
+        if name in ("with_neighbors", "top_k", "top_k_per_group", "clean_trips"):
+            continue
+        assert fn(empty).count() == 0, name

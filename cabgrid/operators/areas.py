@@ -56,7 +56,7 @@ def area_profit(trips: DataFrame, window: str = PROFIT_WINDOW) -> DataFrame:
     )
 
 
-def _tagged_area_rows(trips: DataFrame) -> DataFrame:
+def _tagged_area_rows(trips: DataFrame, with_taxi: bool = False) -> DataFrame:
     """Every trip as three keyed rows: its pickup under (pickup cell, end of
     its 15-minute pickup window) carrying fare + tip, and its dropoff under
     (dropoff cell, end of each of the two sliding 30-minute windows that
@@ -65,15 +65,17 @@ def _tagged_area_rows(trips: DataFrame) -> DataFrame:
     t = trips.withColumn("_p_end", F.window("pickup_dt", PROFIT_WINDOW).end)
     t = t.withColumn("_d_end", F.window("dropoff_dt", EMPTY_SLIDE).end)
     no_profit = F.lit(None).cast("double")
-    no_taxi = F.lit(None).cast("string")
-    return t.select(
-        keyed_rows(
-            ["cell", "window_end", "profit", "dropoffs", "taxi"],
-            [F.col("pickup_cell"), F.col("_p_end"), F.col("fare_amount") + F.col("tip_amount"), F.lit(0), no_taxi],
-            [F.col("dropoff_cell"), F.col("_d_end"), no_profit, F.lit(1), F.col("medallion")],
-            [F.col("dropoff_cell"), F.col("_d_end") + step, no_profit, F.lit(1), F.col("medallion")],
-        )
-    )
+    names = ["cell", "window_end", "profit", "dropoffs"]
+    rows = [
+        [F.col("pickup_cell"), F.col("_p_end"), F.col("fare_amount") + F.col("tip_amount"), F.lit(0)],
+        [F.col("dropoff_cell"), F.col("_d_end"), no_profit, F.lit(1)],
+        [F.col("dropoff_cell"), F.col("_d_end") + step, no_profit, F.lit(1)],
+    ]
+    if with_taxi:  # only then is the taxi column read at all
+        names.append("taxi")
+        for r, taxi in zip(rows, [F.lit(None).cast("string"), F.col("medallion"), F.col("medallion")]):
+            r.append(taxi)
+    return t.select(keyed_rows(names, *rows))
 
 
 def _empty_count(distinct_taxis: bool, approx: bool = False):
@@ -94,7 +96,7 @@ def area_windows(trips: DataFrame, distinct_taxis: bool = False) -> DataFrame:
     so one scan and one (map-side combined) shuffle replace two aggregations
     and a join."""
     return (
-        _tagged_area_rows(trips)
+        _tagged_area_rows(trips, with_taxi=distinct_taxis)
         .groupBy("cell", "window_end")
         .agg(F.avg("profit").alias("area_profit"), _empty_count(distinct_taxis).alias("num_empty_taxis"))
         .where(F.col("area_profit").isNotNull() & (F.col("num_empty_taxis") > 0))

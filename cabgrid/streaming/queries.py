@@ -49,7 +49,7 @@ def stream_profitable_areas(
     the window end itself; no stream-stream join. ``distinct_taxis`` uses
     an approximate distinct count (exact distinct is not incremental)."""
     agg = (
-        _tagged_area_rows(trips)
+        _tagged_area_rows(trips, with_taxi=distinct_taxis)
         .withWatermark("window_end", delay)
         .groupBy("cell", "window_end")
         .agg(

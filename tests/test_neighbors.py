@@ -59,3 +59,25 @@ def test_hot_group_is_spread(spark):
 def test_empty_input(spark):
     df = _data(spark).limit(0)
     assert with_neighbors(df, ["g"], ["t", "id"], ["v"], lags=1).count() == 0
+
+
+def test_passes_share_one_range_exchange(spark, capsys):
+    """Correctness rests on both passes reading the same range shuffle; the
+    executed plan must show the second read as a reused exchange."""
+    df = _data(spark, n=500)
+    out = with_neighbors(df, ["g"], ["t", "id"], ["v"], lags=1, leads=1, num_partitions=5)
+    out.write.format("noop").mode("overwrite").save()
+    out.collect()
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "rangepartitioning" in plan and "ReusedExchange" in plan
+
+
+def test_refuses_without_exchange_reuse(spark):
+    df = _data(spark, n=50)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        with pytest.raises(RuntimeError):
+            with_neighbors(df, ["g"], ["t", "id"], ["v"], lags=1)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")

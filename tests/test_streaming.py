@@ -114,3 +114,12 @@ def test_text_stream_parses_lines(spark):
     q.awaitTermination()
     n = spark.sql("SELECT count(*) FROM parsed_lines").first()[0]
     assert n == ops.clean_trips(raw).count()
+
+
+def test_kafka_source_without_connector_fails_clearly(spark):
+    import pytest
+
+    from cabgrid.streaming import read_trip_stream_kafka
+
+    with pytest.raises(RuntimeError, match="Kafka source unavailable"):
+        read_trip_stream_kafka(spark, "localhost:9092", "trips")

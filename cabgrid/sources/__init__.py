@@ -3,6 +3,7 @@
 from cabgrid.sources.tables import load_table
 from cabgrid.sources.trips import trips_from_events, trip_lines
 from cabgrid.sources.lines import parse_trips, read_trips, reject_counts
+from cabgrid.sources.store import read_trip_table, write_trip_table
 
 __all__ = [
     "load_table",
@@ -11,4 +12,6 @@ __all__ = [
     "parse_trips",
     "read_trips",
     "reject_counts",
+    "read_trip_table",
+    "write_trip_table",
 ]

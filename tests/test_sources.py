@@ -29,3 +29,22 @@ def test_gzip_lines_round_trip(spark):
     exp = clean_trips(raw).drop("event_id")
     cols = sorted(exp.columns)
     assert sorted(map(tuple, kept.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
+
+
+def test_date_partitioned_table_prunes(spark, capsys):
+    from cabgrid.plans import derived_trips
+    from cabgrid.sources import read_trip_table, write_trip_table
+
+    trips = derived_trips(spark, SF001)
+    d = tempfile.mkdtemp(prefix="tbl-", dir=checkpoint_root(spark).replace("file:", ""))
+    write_trip_table(trips, f"{d}/trips")
+    days = sorted(os.listdir(f"{d}/trips"))
+    assert sum(x.startswith("pickup_date=") for x in days) == 30
+    got = read_trip_table(spark, f"{d}/trips", "2024-01-03", "2024-01-04")
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters" in plan and "pickup_date" in plan
+    exp = trips.where(F.to_date("pickup_dt").between("2024-01-03", "2024-01-04"))
+    cols = sorted(exp.columns)
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
+    assert got.count() > 0

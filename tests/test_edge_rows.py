@@ -4,7 +4,6 @@ the congestion pattern."""
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from cabgrid import clean_trips, congestion_alerts, congestion_compat, parse_trips
 from cabgrid.functions import seconds_between, wrapped_minutes

@@ -56,3 +56,27 @@ def test_operators_on_empty_input(spark):
         if name in ("with_neighbors", "top_k", "top_k_per_group", "clean_trips"):
             continue
         assert fn(empty).count() == 0, name
+
+
+def test_peak_lead_form_equals_array_form(spark):
+    """Brute force on a small fixture: the whole taxi-day as a sorted array,
+    first index matching the pattern found with higher-order functions."""
+    trips = derived_trips(spark, SF001)
+    arr = trips.groupBy("medallion", F.window("pickup_dt", "1 day").start.alias("day")).agg(
+        F.sort_array(F.collect_list(F.struct("pickup_dt", "event_id", "trip_time", "pickup_cell"))).alias("a")
+    )
+    hits = arr.select(
+        "medallion",
+        "day",
+        "a",
+        F.expr(
+            """CASE WHEN size(a) >= 5 THEN filter(sequence(1, size(a) - 4), i ->
+                 a[i].trip_time > a[i - 1].trip_time AND a[i].trip_time > a[i + 1].trip_time
+                 AND a[i + 1].trip_time < a[i + 2].trip_time AND a[i + 2].trip_time < a[i + 3].trip_time)
+               ELSE array() END"""
+        ).alias("hits"),
+    ).where(F.size("hits") > 0)
+    exp = hits.select("medallion", "day", F.expr("a[hits[0]].pickup_cell").alias("cell"))
+    got = ops.congestion_alerts(trips).select("medallion", "day", "cell")
+    assert exp.count() > 0
+    assert _rows(got) == _rows(exp)

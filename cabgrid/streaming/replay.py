@@ -6,6 +6,11 @@ time, one file per trigger) sees event time move forward batch by batch. A
 slice never contains rows older than the previous slice, so nothing is late
 for any watermark delay. On stores with one-second modification times
 (object stores) pass ``gap_seconds=1``.
+
+A bounded replay leaves the last windows open (the watermark trails the
+newest event). ``flush_after`` appends one sentinel trip that far after the
+first trip, under its own taxi id: it moves the watermark past every real
+window, while its own windows stay open and never reach any output.
 """
 
 from __future__ import annotations
@@ -17,9 +22,20 @@ from pyspark.sql import DataFrame, functions as F
 from cabgrid.schema import TRIP_COLUMNS
 
 
-def replay_files(trips: DataFrame, path: str, slices: int = 6, gap_seconds: float = 0.0) -> int:
+FLUSH_MEDALLION = "~flush"
+
+
+def replay_files(
+    trips: DataFrame,
+    path: str,
+    slices: int = 6,
+    gap_seconds: float = 0.0,
+    flush_after: str | None = None,
+) -> int:
     """Write ``trips`` (trip columns, TIMESTAMP_NTZ times) to ``path`` as
-    ``slices`` time-ordered parquet files; returns the number written."""
+    ``slices`` time-ordered parquet files (plus a sentinel file when
+    ``flush_after``, e.g. ``"365 days"``, is given); returns the number of
+    files written."""
     rows = trips.select(*TRIP_COLUMNS)
     lo, hi = rows.agg(F.min("pickup_dt"), F.max("pickup_dt")).first()
     if lo is None:
@@ -34,4 +50,18 @@ def replay_files(trips: DataFrame, path: str, slices: int = 6, gap_seconds: floa
         part.coalesce(1).write.mode("append").parquet(path)
         if gap_seconds:
             time.sleep(gap_seconds)
-    return slices
+    if flush_after is None:
+        return slices
+    shift = F.expr(f"INTERVAL {flush_after}")
+    sentinel = rows.orderBy("pickup_dt", "event_id").limit(1).select(
+        *[
+            F.lit(FLUSH_MEDALLION).alias(c)
+            if c == "medallion"
+            else (F.col(c) + shift).alias(c)
+            if c in ("pickup_dt", "dropoff_dt")
+            else F.col(c)
+            for c in TRIP_COLUMNS
+        ]
+    )
+    sentinel.coalesce(1).write.mode("append").parquet(path)
+    return slices + 1

@@ -123,3 +123,14 @@ def test_kafka_source_without_connector_fails_clearly(spark):
 
     with pytest.raises(RuntimeError, match="Kafka source unavailable"):
         read_trip_stream_kafka(spark, "localhost:9092", "trips")
+
+
+def test_flush_sentinel_closes_every_window(spark):
+    raw, _ = _first_days(spark, 5)
+    d = _scratch(spark)
+    replay_files(raw, f"{d}/in", slices=3, flush_after="365 days")
+    trips = ops.clean_trips(raw)
+    routes = _run(spark, f"{d}/in", stream_route_counts, f"{d}/out", f"{d}/ck")
+    assert _rows(routes) == _rows(ops.route_counts(trips))
+    idle = _run(spark, f"{d}/in", stream_idle_alerts, f"{d}/out2", f"{d}/ck2")
+    assert _rows(idle) == _rows(ops.idle_alerts(trips))

@@ -51,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profitable_areas": _on_trips(ops.profitable_areas),
     "profitable_areas_sql": _on_trips(ops.profitable_areas_sql),
     "profitable_areas_compat": _on_trips(ops.profitable_areas_compat),
+    "profitable_areas_distinct": lambda spark, d: ops.profitable_areas(derived_trips(spark, d), distinct_taxis=True),
     "idle_gaps": _on_trips(ops.idle_gaps),
     "idle_alerts": _on_trips(ops.idle_alerts),
     "idle_compat": _on_trips(ops.idle_compat),

@@ -74,6 +74,18 @@ empty_taxis AS (
   GROUP BY ALL
 )"""
 
+_EMPTY_DISTINCT = """drops AS (
+  SELECT dropoff_cell, medallion, time_bucket(INTERVAL '15 minutes', dropoff_dt) AS b FROM trips
+),
+empty_taxis AS (
+  SELECT dropoff_cell, window_start, window_start + INTERVAL '30 minutes' AS window_end,
+         count(DISTINCT medallion) AS num_empty_taxis
+  FROM (SELECT dropoff_cell, medallion, b AS window_start FROM drops
+        UNION ALL
+        SELECT dropoff_cell, medallion, b - INTERVAL '15 minutes' AS window_start FROM drops)
+  GROUP BY dropoff_cell, window_start
+)"""
+
 _PROFIT = """area_profit AS (
   SELECT pickup_cell, time_bucket(INTERVAL '15 minutes', pickup_dt) AS window_start,
          time_bucket(INTERVAL '15 minutes', pickup_dt) + INTERVAL '15 minutes' AS window_end,
@@ -164,6 +176,7 @@ FROM route_counts QUALIFY "rank" <= 10""",
        p.area_profit, e.num_empty_taxis, p.area_profit / e.num_empty_taxis AS profitability
 FROM e JOIN p ON e.slice_start = p.slice_start AND e.dropoff_cell = p.pickup_cell
 WHERE e.num_empty_taxis > 0""",
+    "profitable_areas_distinct": _with(_EMPTY_DISTINCT, _PROFIT) + _PROFITABLE,
     "idle_gaps": _with(_GAPS) + "SELECT * FROM gaps",
     "idle_alerts": _with(_GAPS, _IDLE_AVG) + _IDLE_SELECT,
     "idle_compat": _with(_IDLE_COMPAT) + _IDLE_SELECT,

@@ -1,7 +1,7 @@
 """Structured Streaming: sources, sinks, replay and the streaming queries."""
 
 from cabgrid.streaming.source import read_trip_stream, read_trip_stream_kafka, to_event_time, to_wall_clock
-from cabgrid.streaming.sink import write_stream
+from cabgrid.streaming.sink import BatchBanner, write_stream
 from cabgrid.streaming.replay import replay_files
 from cabgrid.streaming.queries import (
     WATERMARK_DELAY,
@@ -20,6 +20,7 @@ __all__ = [
     "to_event_time",
     "to_wall_clock",
     "write_stream",
+    "BatchBanner",
     "replay_files",
     "WATERMARK_DELAY",
     "stream_route_counts",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 BATCH_INTERVAL = "5 seconds"
 
@@ -48,3 +48,30 @@ def write_stream(
         w = w.foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
+
+
+class BatchBanner(StreamingQueryListener):
+    """Prints ``===== <batch time> =====`` with the batch id and input rows
+    after every micro-batch of every query of the session, and keeps the
+    same facts in ``self.batches`` (batch id, time, rows) for inspection.
+
+    ``spark.streams.addListener(BatchBanner())``"""
+
+    def __init__(self, echo: bool = True):
+        self.echo = echo
+        self.batches: list[tuple[int, str, int]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.batches.append((p.batchId, p.timestamp, p.numInputRows))
+        if self.echo:
+            print(f"========= {p.timestamp} ========= batch {p.batchId}, {p.numInputRows} rows")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

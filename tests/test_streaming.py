@@ -134,3 +134,26 @@ def test_flush_sentinel_closes_every_window(spark):
     assert _rows(routes) == _rows(ops.route_counts(trips))
     idle = _run(spark, f"{d}/in", stream_idle_alerts, f"{d}/out2", f"{d}/ck2")
     assert _rows(idle) == _rows(ops.idle_alerts(trips))
+
+
+def test_batch_banner_sees_every_batch(spark):
+    import time
+
+    from cabgrid.streaming import BatchBanner
+
+    raw, _ = _first_days(spark, 3)
+    d = _scratch(spark)
+    replay_files(raw, f"{d}/in", slices=3)
+    banner = BatchBanner(echo=False)
+    spark.streams.addListener(banner)
+    try:
+        _run(spark, f"{d}/in", stream_route_counts, f"{d}/out", f"{d}/ck")
+        for _ in range(50):  # listener events arrive asynchronously
+            if sum(rows for _, _, rows in banner.batches) == raw.count():
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(banner)
+    # input rows are counted at the source, before cleaning
+    assert sum(rows for _, _, rows in banner.batches) == raw.count()
+    assert len({b for b, _, _ in banner.batches}) >= 3

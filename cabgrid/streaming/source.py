@@ -7,6 +7,8 @@ with the batch queries, which work on TIMESTAMP_NTZ wall-clock time.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -17,8 +19,22 @@ from cabgrid.sources.lines import parse_trips
 EVENT_TIME_COLUMNS = ("pickup_dt", "dropoff_dt")
 
 
+UTC_ZONES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UTC+00:00"}
+
+
 def to_event_time(trips: DataFrame) -> DataFrame:
-    """TIMESTAMP_NTZ -> TIMESTAMP for the watermark (identity under UTC)."""
+    """TIMESTAMP_NTZ -> TIMESTAMP for the watermark (identity under UTC).
+
+    Windows on TIMESTAMP align to UTC; in another session zone daily windows
+    would start at UTC midnight instead of wall-clock midnight and differ
+    from the batch queries, hence the warning."""
+    zone = trips.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
+    if zone not in UTC_ZONES:
+        warnings.warn(
+            f"session time zone is {zone}; streaming windows align to UTC, set "
+            "spark.sql.session.timeZone=UTC to match the batch results",
+            stacklevel=2,
+        )
     return trips.withColumns({c: F.col(c).cast("timestamp") for c in EVENT_TIME_COLUMNS if c in trips.columns})
 
 

@@ -157,3 +157,17 @@ def test_batch_banner_sees_every_batch(spark):
     # input rows are counted at the source, before cleaning
     assert sum(rows for _, _, rows in banner.batches) == raw.count()
     assert len({b for b, _, _ in banner.batches}) >= 3
+
+
+def test_non_utc_session_warns(spark):
+    import pytest
+
+    from cabgrid.streaming import to_event_time
+
+    raw, _ = _first_days(spark, 1)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.warns(UserWarning, match="time zone"):
+            to_event_time(raw)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -80,3 +80,16 @@ def test_peak_lead_form_equals_array_form(spark):
     got = ops.congestion_alerts(trips).select("medallion", "day", "cell")
     assert exp.count() > 0
     assert _rows(got) == _rows(exp)
+
+
+def test_batch_results_ignore_session_time_zone(spark):
+    trips = derived_trips(spark, SF001)
+    fns = (ops.route_counts, ops.driver_tips, ops.idle_alerts, ops.congestion_alerts, ops.profitable_areas)
+    base = {fn.__name__: _rows(fn(trips)) for fn in fns}
+    for zone in ("Asia/Kolkata", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            for fn in fns:
+                assert _rows(fn(derived_trips(spark, SF001))) == base[fn.__name__], (zone, fn.__name__)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")

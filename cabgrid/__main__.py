@@ -2,6 +2,7 @@
 query over a landing folder (or Kafka topic), writing parquet.
 
     python -m cabgrid list
+    python -m cabgrid explain cell_rendezvous --tables /data/sf1
     python -m cabgrid batch profitable_areas --tables /data/sf1 --out /out/areas
     python -m cabgrid stream stream_idle_alerts --source /landing/trips --format text \\
         --out /out/idle --checkpoint /ckpt/idle [--available-now]
@@ -46,6 +47,9 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="cabgrid")
     sub = ap.add_subparsers(dest="cmd", required=True)
     sub.add_parser("list")
+    e = sub.add_parser("explain")
+    e.add_argument("query", choices=sorted(QUERIES))
+    e.add_argument("--tables", required=True)
     b = sub.add_parser("batch")
     b.add_argument("query", choices=sorted(QUERIES))
     b.add_argument("--tables", required=True, help="folder with events.parquet (the trip source)")
@@ -66,6 +70,9 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(sorted(QUERIES) + sorted(STREAMS)))
         return 0
     spark = SparkSession.builder.appName(f"cabgrid-{args.query}").getOrCreate()
+    if args.cmd == "explain":
+        QUERIES[args.query](spark, args.tables).explain("formatted")
+        return 0
     if args.cmd == "batch":
         QUERIES[args.query](spark, args.tables).write.mode("overwrite").parquet(args.out)
         return 0

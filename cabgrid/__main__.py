@@ -4,6 +4,9 @@ query over a landing folder (or Kafka topic), writing parquet.
     python -m cabgrid list
     python -m cabgrid explain cell_rendezvous --tables /data/sf1
     python -m cabgrid batch profitable_areas --tables /data/sf1 --out /out/areas
+    python -m cabgrid batch idle_alerts --trips /data/trips/*.csv.gz --format text --out /out/idle
+    python -m cabgrid batch top_routes --trips /warehouse/trips --format table \\
+        --start 2024-01-01 --end 2024-01-31 --out /out/routes
     python -m cabgrid stream stream_idle_alerts --source /landing/trips --format text \\
         --out /out/idle --checkpoint /ckpt/idle [--available-now]
 
@@ -18,7 +21,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from cabgrid.plans import QUERIES
+from cabgrid.operators import clean_trips
+from cabgrid.plans import QUERIES, TRIP_OPERATORS
+from cabgrid.schema import TRIP_SCHEMA
+from cabgrid.sources import read_trip_table, read_trips
 from cabgrid.session import checkpoint_root
 from cabgrid.streaming import (
     pleasant_drivers_of_batch,
@@ -52,7 +58,13 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--tables", required=True)
     b = sub.add_parser("batch")
     b.add_argument("query", choices=sorted(QUERIES))
-    b.add_argument("--tables", required=True, help="folder with events.parquet (the trip source)")
+    src = b.add_mutually_exclusive_group(required=True)
+    src.add_argument("--tables", help="folder with events.parquet (trips derived from events)")
+    src.add_argument("--trips", help="trip files: text lines, a parquet trip table, or a date-partitioned table")
+    b.add_argument("--format", default="text", choices=["text", "parquet", "table"])
+    b.add_argument("--start", help="first pickup date (format table)")
+    b.add_argument("--end", help="last pickup date (format table)")
+    b.add_argument("--min-partitions", type=int, help="spread single-split (gzip) text input")
     b.add_argument("--out", required=True)
     s = sub.add_parser("stream")
     s.add_argument("query", choices=sorted(STREAMS))
@@ -74,7 +86,19 @@ def main(argv: list[str] | None = None) -> int:
         QUERIES[args.query](spark, args.tables).explain("formatted")
         return 0
     if args.cmd == "batch":
-        QUERIES[args.query](spark, args.tables).write.mode("overwrite").parquet(args.out)
+        if args.tables:
+            result = QUERIES[args.query](spark, args.tables)
+        elif args.query not in TRIP_OPERATORS:
+            ap.error(f"{args.query} runs on --tables only")
+        else:
+            if args.format == "text":
+                raw = read_trips(spark, args.trips, args.min_partitions)
+            elif args.format == "parquet":
+                raw = spark.read.schema(TRIP_SCHEMA).parquet(args.trips)
+            else:
+                raw = read_trip_table(spark, args.trips, args.start, args.end)
+            result = TRIP_OPERATORS[args.query](clean_trips(raw))
+        result.write.mode("overwrite").parquet(args.out)
         return 0
     if args.kafka_servers:
         trips = read_trip_stream_kafka(spark, args.kafka_servers, args.topic)

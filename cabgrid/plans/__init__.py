@@ -1,6 +1,6 @@
 """Named query plans over a table directory, and their SQL oracles."""
 
-from cabgrid.plans.catalog import QUERIES, derived_trips, raw_trip_table
+from cabgrid.plans.catalog import QUERIES, TRIP_OPERATORS, derived_trips, raw_trip_table
 from cabgrid.plans.oracle import ORACLE_SQL, STREAM_ORACLE_SQL
 from cabgrid.plans.streams import STREAM_QUERIES, replayed_trips
 
@@ -9,6 +9,7 @@ ALL_ORACLE_SQL = {**ORACLE_SQL, **STREAM_ORACLE_SQL}
 
 __all__ = [
     "QUERIES",
+    "TRIP_OPERATORS",
     "STREAM_QUERIES",
     "ALL_QUERIES",
     "ORACLE_SQL",

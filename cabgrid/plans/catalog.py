@@ -39,6 +39,27 @@ def _on_trips(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, s
     return run
 
 
+# Queries over a cleaned trips DataFrame, usable on any trip source.
+TRIP_OPERATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "route_counts": ops.route_counts,
+    "top_routes": ops.top_routes,
+    "top_routes_per_window": ops.top_routes_per_window,
+    "empty_taxis": ops.empty_taxis,
+    "area_profit": ops.area_profit,
+    "profitable_areas": ops.profitable_areas,
+    "profitable_areas_sql": ops.profitable_areas_sql,
+    "profitable_areas_compat": ops.profitable_areas_compat,
+    "idle_gaps": ops.idle_gaps,
+    "idle_alerts": ops.idle_alerts,
+    "idle_compat": ops.idle_compat,
+    "cell_rendezvous": ops.cell_rendezvous,
+    "congestion_alerts": ops.congestion_alerts,
+    "congestion_compat": ops.congestion_compat,
+    "driver_tips": ops.driver_tips,
+    "pleasant_drivers": ops.pleasant_drivers,
+    "pleasant_drivers_per_day": ops.pleasant_drivers_per_day,
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_trips": _parsed,
     "reject_counts": lambda spark, d: reject_counts(_parsed(spark, d)),

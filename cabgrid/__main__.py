@@ -30,6 +30,7 @@ from cabgrid.streaming import (
     pleasant_drivers_of_batch,
     read_trip_stream,
     read_trip_stream_kafka,
+    stream_cell_rendezvous,
     stream_congestion_alerts,
     stream_driver_tips,
     stream_idle_alerts,
@@ -45,6 +46,7 @@ STREAMS = {
     "stream_profitable_areas": (stream_profitable_areas, None),
     "stream_idle_alerts": (stream_idle_alerts, None),
     "stream_congestion_alerts": (stream_congestion_alerts, None),
+    "stream_cell_rendezvous": (stream_cell_rendezvous, None),
     "stream_pleasant_drivers": (stream_driver_tips, pleasant_drivers_of_batch),
 }
 

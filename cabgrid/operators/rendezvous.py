@@ -20,11 +20,18 @@ def cell_rendezvous(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFr
     grouped ``min`` per (taxi, cell, window) yields the dropoff and both
     candidate pickups at once: one scan, one map-side combined shuffle, at
     most two output rows per dropoff window, whatever a taxi's history."""
+    return rendezvous_pairs(rendezvous_firsts(rendezvous_rows(trips, window)), window)
+
+
+def rendezvous_rows(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
+    """Each trip as three keyed rows (taxi, cell, window start): its dropoff,
+    its pickup as a same-window candidate, and its pickup as a next-window
+    candidate of the previous window."""
     length = F.expr(f"INTERVAL {window}")
     t = trips.withColumn("_dw", F.window("dropoff_dt", window).start)
     t = t.withColumn("_pw", F.window("pickup_dt", window).start)
-    no_ts = F.lit(None).cast("timestamp_ntz")
-    rows = t.select(
+    no_ts = F.lit(None).cast(trips.schema["pickup_dt"].dataType)
+    return t.select(
         "medallion",
         keyed_rows(
             ["cell", "bucket", "ddt", "pdt_same", "pdt_next"],
@@ -33,11 +40,20 @@ def cell_rendezvous(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFr
             [F.col("pickup_cell"), F.col("_pw") - length, no_ts, no_ts, F.col("pickup_dt")],
         ),
     )
-    firsts = (
+
+
+def rendezvous_firsts(rows: DataFrame) -> DataFrame:
+    """Per (taxi, cell, window): first dropoff and first pickup of this and
+    of the next window."""
+    return (
         rows.groupBy("medallion", "cell", "bucket")
         .agg(F.min("ddt").alias("ddt"), F.min("pdt_same").alias("pdt_same"), F.min("pdt_next").alias("pdt_next"))
         .where(F.col("ddt").isNotNull())
     )
+
+
+def rendezvous_pairs(firsts: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
+    length = F.expr(f"INTERVAL {window}")
     pairs = firsts.select(
         "medallion", "cell", "ddt", F.explode(F.array("pdt_same", "pdt_next")).alias("pdt")
     )

@@ -271,6 +271,22 @@ WHERE e.num_empty_taxis > 0 AND p.window_end <= {_WM_AREAS}""",
     )
     + f"""SELECT medallion, day, cell, 'Alert, area ' || cell || ' is congested' AS alert_message
 FROM firsts WHERE a3_pickup <= {_WM}""",
+    "stream_cell_rendezvous": _with(
+        """d AS (
+  SELECT medallion, dropoff_cell AS cell, min(dropoff_dt) AS ddt
+  FROM trips GROUP BY medallion, dropoff_cell, time_bucket(INTERVAL '1 hour', dropoff_dt)
+)""",
+        """p AS (
+  SELECT medallion, pickup_cell AS cell, min(pickup_dt) AS pdt
+  FROM trips GROUP BY medallion, pickup_cell, time_bucket(INTERVAL '1 hour', pickup_dt)
+)""",
+    )
+    + """SELECT d.medallion, d.cell, d.ddt, p.pdt
+FROM d JOIN p ON d.medallion = p.medallion AND d.cell = p.cell
+             AND p.pdt >= d.ddt AND p.pdt <= d.ddt + INTERVAL '1 hour'
+WHERE time_bucket(INTERVAL '1 hour', d.ddt) <=
+      (SELECT greatest(max(time_bucket(INTERVAL '1 hour', dropoff_dt)), max(time_bucket(INTERVAL '1 hour', pickup_dt)))
+              - INTERVAL '3 hours' FROM trips)""",
     "stream_pleasant_drivers": _with(_TIPS)
     + f"""SELECT *, CAST(row_number() OVER (PARTITION BY day ORDER BY total_tip_amount DESC, medallion) AS INTEGER) AS "rank"
 FROM driver_tips

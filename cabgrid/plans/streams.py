@@ -21,6 +21,7 @@ from cabgrid.streaming import (
     pleasant_drivers_of_batch,
     read_trip_stream,
     replay_files,
+    stream_cell_rendezvous,
     stream_congestion_alerts,
     stream_driver_tips,
     stream_idle_alerts,
@@ -68,5 +69,6 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_profitable_areas": _stream("stream_profitable_areas", stream_profitable_areas),
     "stream_idle_alerts": _stream("stream_idle_alerts", stream_idle_alerts),
     "stream_congestion_alerts": _stream("stream_congestion_alerts", stream_congestion_alerts),
+    "stream_cell_rendezvous": _stream("stream_cell_rendezvous", stream_cell_rendezvous),
     "stream_pleasant_drivers": _stream("stream_pleasant_drivers", stream_driver_tips, pleasant_drivers_of_batch),
 }

@@ -10,6 +10,7 @@ from cabgrid.streaming.queries import (
     stream_profitable_areas,
     stream_idle_alerts,
     stream_congestion_alerts,
+    stream_cell_rendezvous,
     stream_driver_tips,
     pleasant_drivers_of_batch,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "stream_profitable_areas",
     "stream_idle_alerts",
     "stream_congestion_alerts",
+    "stream_cell_rendezvous",
     "stream_driver_tips",
     "pleasant_drivers_of_batch",
 ]

@@ -15,6 +15,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cabgrid.functions.text import congested_message, idle_message
 from cabgrid.operators.areas import _empty_count, _tagged_area_rows
+from cabgrid.operators.rendezvous import RENDEZVOUS_WINDOW, rendezvous_firsts, rendezvous_pairs, rendezvous_rows
 from cabgrid.operators.routes import route_counts
 from cabgrid.operators.tips import driver_tips
 from cabgrid.operators.topk import top_k_per_group
@@ -99,6 +100,15 @@ def stream_congestion_alerts(trips: DataFrame, delay: str = WATERMARK_DELAY) ->
     return to_wall_clock(alerts, ["day"]).withColumn("alert_message", congested_message("cell"))
 
 
+def stream_cell_rendezvous(trips: DataFrame, delay: str = WATERMARK_DELAY, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
+    """The rendezvous aggregation with the watermark on the window key; a
+    window is final once the watermark passes its start, which needs a delay
+    above two window lengths (its next-window pickups arrive that late)."""
+    rows = rendezvous_rows(trips, window).withWatermark("bucket", delay)
+    out = rendezvous_pairs(rendezvous_firsts(rows), window)
+    return to_wall_clock(out, ["ddt", "pdt"])
+
+
 def stream_driver_tips(trips: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
     return to_wall_clock(driver_tips(trips.withWatermark("pickup_dt", delay)), ["day"])
 

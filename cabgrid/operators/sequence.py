@@ -169,13 +169,19 @@ def with_neighbors(
         # Both passes must read one and the same range shuffle.
         raise RuntimeError("with_neighbors needs spark.sql.exchange.reuse=true")
     # An explicit partition count: AQE never coalesces it, so the two passes
-    # see exactly the same partitions. Defaults to AQE's initial partition
-    # number when the cluster sets one (sized for the largest shuffles), else
-    # the shuffle partition count.
-    n_parts = num_partitions or int(
-        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-        or spark.conf.get("spark.sql.shuffle.partitions")
-    )
+    # see exactly the same partitions. AQE cannot size it for us, so: the
+    # configured count (AQE's initial partition number when set, else the
+    # shuffle partition count), but no more than the input has partitions
+    # (file scans split at maxPartitionBytes, so that count follows the
+    # input size) and at least one per core.
+    if not num_partitions:
+        configured = int(
+            spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+            or spark.conf.get("spark.sql.shuffle.partitions")
+        )
+        cores = spark.sparkContext.defaultParallelism
+        num_partitions = min(configured, max(cores, df.rdd.getNumPartitions()))
+    n_parts = num_partitions
     keys = [*by, *order]
     in_cols = df.columns
     ranged = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)

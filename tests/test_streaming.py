@@ -171,3 +171,21 @@ def test_non_utc_session_warns(spark):
             to_event_time(raw)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_batch_operator_per_micro_batch(spark):
+    """The original's literal scope: a batch operator applied to every
+    micro-batch alone (here the global top 10 routes of each batch)."""
+    from pyspark.sql import functions as F
+
+    from cabgrid import top_routes
+
+    raw, _ = _first_days(spark, 6)
+    d = _scratch(spark)
+    replay_files(raw, f"{d}/in", slices=3)
+    s = read_trip_stream(spark, f"{d}/in", max_files_per_trigger=1)
+    q = write_stream(s, f"{d}/out", f"{d}/ck", per_batch=top_routes, available_now=True)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{d}/out")
+    per_batch = {r["batch_id"]: r["n"] for r in out.groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
+    assert len(per_batch) == 3 and all(0 < n <= 10 for n in per_batch.values())

@@ -9,11 +9,20 @@ incrementally with watermarks.
 """
 
 from cabgrid.schema import TRIP_SCHEMA, TRIP_COLUMNS
-from cabgrid.sources import trips_from_events, trip_lines, parse_trips, read_trips, reject_counts
+from cabgrid.sources import (
+    trips_from_events,
+    trip_lines,
+    parse_trips,
+    read_trips,
+    reject_counts,
+    read_trip_table,
+    write_trip_table,
+)
 from cabgrid.functions import grid_cell
 from cabgrid.operators import (
     clean_trips,
     with_neighbors,
+    area_windows,
     route_counts,
     top_routes,
     top_routes_per_window,
@@ -41,9 +50,12 @@ __all__ = [
     "parse_trips",
     "read_trips",
     "reject_counts",
+    "read_trip_table",
+    "write_trip_table",
     "grid_cell",
     "clean_trips",
     "with_neighbors",
+    "area_windows",
     "route_counts",
     "top_routes",
     "top_routes_per_window",

@@ -189,3 +189,18 @@ def test_batch_operator_per_micro_batch(spark):
     out = spark.read.parquet(f"{d}/out")
     per_batch = {r["batch_id"]: r["n"] for r in out.groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
     assert len(per_batch) == 3 and all(0 < n <= 10 for n in per_batch.values())
+
+
+def test_stream_distinct_taxis_approximate(spark):
+    from cabgrid.streaming import stream_profitable_areas
+
+    raw, _ = _first_days(spark, 4)
+    d = _scratch(spark)
+    replay_files(raw, f"{d}/in", slices=2)
+    trips = _run(spark, f"{d}/in", stream_profitable_areas, f"{d}/a", f"{d}/cka")
+    taxis = _run(spark, f"{d}/in", lambda s: stream_profitable_areas(s, distinct_taxis=True), f"{d}/b", f"{d}/ckb")
+    a = {(r.cell, r.window_end): r.num_empty_taxis for r in trips.collect()}
+    b = {(r.cell, r.window_end): r.num_empty_taxis for r in taxis.collect()}
+    assert a and a.keys() == b.keys()
+    # distinct taxis never exceed dropoffs (HLL++ error is far below 1 at these sizes)
+    assert all(0 < b[k] <= a[k] for k in a)

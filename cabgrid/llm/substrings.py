@@ -30,7 +30,7 @@ from cabgrid.llm import text as tx
 
 U64 = tx.U64
 #: Text parsed at once by a task, and text whose symbols share one bucket.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 
 

@@ -8,28 +8,57 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cabgrid.llm import oracles
+from cabgrid.llm.ctph import edited_neighbours
+from cabgrid.llm.quality import REJECT_BELOW, fit_quality, quality_posteriors
 from cabgrid.llm.substrings import remove_repeats
 from cabgrid.llm.superminhash import near_duplicates
+from cabgrid.llm.toxicity import THRESHOLD, fit_toxicity, held_out, toxicity_scores
 
 
 def table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{table_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Toxicity score of every text of ``documents``."""
+    docs, labels = (table(spark, table_dir, t) for t in ("documents", "labels"))
+    scored = toxicity_scores(docs.select("doc_id", "text"), fit_toxicity(docs, labels))
+    return scored.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op3_near_dedup(spark: SparkSession, table_dir: str) -> DataFrame:
     """Near-duplicate groups of ``documents``: 4-word shingles, Jaccard >= 0.8."""
     return near_duplicates(table(spark, table_dir, "documents"), shingle=4, percent=80)
 
 
+def op4_quality(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Posterior quality of every text of ``documents``; host: source, path: language."""
+    docs, labels = (table(spark, table_dir, t) for t in ("documents", "labels"))
+    scored = quality_posteriors(docs.select("doc_id", "text", "source", "lang"), fit_quality(docs, labels))
+    return scored.select(
+        "doc_id", "source", "lang", "p_document", "p_host", "p_path", "quality", (F.col("quality") >= REJECT_BELOW).alias("kept")
+    )
+
+
 def op5_substring_dedup(spark: SparkSession, table_dir: str) -> DataFrame:
     """``documents`` without words of 13-word windows that an earlier document has."""
     cut = remove_repeats(table(spark, table_dir, "documents"), window=13, layout=False)
     return cut.select("source_row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_fingerprints(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Piecewise fingerprints of ``documents``, their edited texts and neighbours."""
+    return edited_neighbours(table(spark, table_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
+    "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -39,7 +39,7 @@ def _levels(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     roll = np.zeros(len(data), dtype=U32)
     wide = data.astype(U32) + U32(1)
     factor = 1
-    for k in range(REACH):
+    for k in range(min(REACH, len(data))):
         roll[k:] += wide[: len(data) - k] * U32(factor)
         factor = factor * 0x9E3779B1 % 2**32
     roll ^= roll >> U32(15)

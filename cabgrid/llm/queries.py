@@ -9,11 +9,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cabgrid.llm import oracles
 from cabgrid.llm.ctph import edited_neighbours
+from cabgrid.llm.html_text import extract_main_text
+from cabgrid.llm.packing import pack
 from cabgrid.llm.quality import REJECT_BELOW, fit_quality, quality_posteriors
+from cabgrid.llm.sharding import balanced_shards
+from cabgrid.llm.spm import encoded, read_model
 from cabgrid.llm.substrings import remove_repeats
 from cabgrid.llm.superminhash import near_duplicates
+from cabgrid.llm.topk import top_k
 from cabgrid.llm.toxicity import THRESHOLD, fit_toxicity, held_out, toxicity_scores
 
+#: A public vocabulary; a cluster names its own copy.
+SPM_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{table_dir.rstrip('/')}/{name}.parquet")
@@ -28,6 +36,12 @@ def op1_toxicity(spark: SparkSession, table_dir: str) -> DataFrame:
     )
 
 
+def op2_top_k(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth of ``embeddings``."""
+    vectors = table(spark, table_dir, "embeddings")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10, scale=1024)
+
+
 def op3_near_dedup(spark: SparkSession, table_dir: str) -> DataFrame:
     """Near-duplicate groups of ``documents``: 4-word shingles, Jaccard >= 0.8."""
     return near_duplicates(table(spark, table_dir, "documents"), shingle=4, percent=80)
@@ -48,6 +62,31 @@ def op5_substring_dedup(spark: SparkSession, table_dir: str) -> DataFrame:
     return cut.select("source_row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_sentencepiece(spark: SparkSession, table_dir: str, model_path: str = SPM_PATH) -> DataFrame:
+    """Ids of every text of ``documents``, as a count and a digest, with checks."""
+    done = encoded(table(spark, table_dir, "documents"), read_model(model_path))
+    return done.select("doc_id", "n_tokens", "n_byte_tokens", F.sha2("ids", 256).alias("ids_sha256"), "round_trip", "parity")
+
+
+def op7_main_text(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Main text of every page of ``pages``."""
+    done = extract_main_text(table(spark, table_dir, "pages").select("page_id", "url", "html"))
+    return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_packing(spark: SparkSession, table_dir: str) -> DataFrame:
+    """``documents`` in bins of 2,048 words, no two of one source or text in a bin."""
+    return pack(table(spark, table_dir, "documents"))
+
+
+def op9_sharding(spark: SparkSession, table_dir: str) -> DataFrame:
+    """``documents`` in eight shards of near equal bytes, equal texts together."""
+    done = balanced_shards(table(spark, table_dir, "documents"), shards=8)
+    return done.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op10_fingerprints(spark: SparkSession, table_dir: str) -> DataFrame:
     """Piecewise fingerprints of ``documents``, their edited texts and neighbours."""
     return edited_neighbours(table(spark, table_dir, "documents"))
@@ -55,9 +94,14 @@ def op10_fingerprints(spark: SparkSession, table_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_top_k": op2_top_k,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_main_text": op7_main_text,
+    "op8_packing": op8_packing,
+    "op9_sharding": op9_sharding,
     "op10_fingerprints": op10_fingerprints,
 }
 

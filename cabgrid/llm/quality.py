@@ -195,6 +195,20 @@ def site_table(scored: DataFrame, site_weight: float = SITE_WEIGHT) -> DataFrame
     )
 
 
+def _judged(docs: DataFrame, model: QualityModel, host: str | Column, path: str | Column, text_col: str, site_weight: float) -> DataFrame:
+    """``row`` (all columns as a struct) with the evidence and the posterior."""
+    as_column = lambda c: F.col(c) if isinstance(c, str) else c
+    score = model.probability_column()(F.col(text_col))
+    sites = saved(site_table(docs.select(as_column(host).alias("host"), as_column(path).alias("path"), score.alias("p")), site_weight), "sites")
+    few = sites.limit(SEND_SITES + 1).count() <= SEND_SITES
+    rows = docs.select(F.struct("*").alias("row"), as_column(host).alias("own_host"), as_column(path).alias("own_path"), score.alias("p"))
+    joined = rows.join(
+        F.broadcast(sites) if few else sites,
+        F.col("own_host").eqNullSafe(F.col("host")) & F.col("own_path").eqNullSafe(F.col("path")),
+    )
+    return joined.select("row", "p", "p_host", "p_path", (1 / (1 + F.exp(-(_logit(F.col("p")) + F.col("surplus"))))).alias("quality"))
+
+
 def quality_posteriors(
     docs: DataFrame,
     model: QualityModel,
@@ -211,15 +225,22 @@ def quality_posteriors(
     has the shape of all zeros. Equal texts of one site get equal posteriors; an
     empty table gives an empty result. The text isn't shuffled while there are at
     most SEND_SITES sites: their table is then sent to all tasks."""
-    as_column = lambda c: F.col(c) if isinstance(c, str) else c
-    score = model.probability_column()(F.col(text_col))
-    sites = saved(site_table(docs.select(as_column(host).alias("host"), as_column(path).alias("path"), score.alias("p")), site_weight), "sites")
-    few = sites.limit(SEND_SITES + 1).count() <= SEND_SITES
-    rows = docs.select(F.struct("*").alias("row"), as_column(host).alias("own_host"), as_column(path).alias("own_path"), score.alias("p"))
-    joined = rows.join(
-        F.broadcast(sites) if few else sites,
-        F.col("own_host").eqNullSafe(F.col("host")) & F.col("own_path").eqNullSafe(F.col("path")),
-    )
-    made = {"p_document": F.col("p"), "p_host": F.col("p_host"), "p_path": F.col("p_path"), "quality": 1 / (1 + F.exp(-(_logit(F.col("p")) + F.col("surplus"))))}
+    judged = _judged(docs, model, host, path, text_col, site_weight)
+    made = {"p_document": "p", "p_host": "p_host", "p_path": "p_path", "quality": "quality"}
     kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in made]
-    return joined.select(*kept, *[c.alias(name) for name, c in made.items()])
+    return judged.select(*kept, *[F.col(c).alias(name) for name, c in made.items()])
+
+
+def keep_good(
+    docs: DataFrame,
+    model: QualityModel,
+    host: str | Column = "source",
+    path: str | Column = "lang",
+    text_col: str = "text",
+    site_weight: float = SITE_WEIGHT,
+    reject_below: float = REJECT_BELOW,
+) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose posterior isn't below ``reject_below``
+    (see :func:`quality_posteriors`)."""
+    judged = _judged(docs, model, host, path, text_col, site_weight)
+    return judged.where(F.col("quality") >= reject_below).select("row.*")

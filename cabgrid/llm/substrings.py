@@ -259,8 +259,8 @@ def _cut(window: int, layout: bool):
                 out = [cut(t.as_py(), f.as_py()) for t, f in zip(part.column("text"), part.column("found"))]
                 n, gone, kept = zip(*out)
                 yield pa.record_batch(
-                    [part.column("source_row"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
-                    names=["source_row", "n_words", "n_removed", "kept_text"],
+                    [part.column("source_row"), part.column("text").is_null(), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
+                    names=["source_row", "text_is_null", "n_words", "n_removed", "kept_text"],
                 )
 
     return run
@@ -272,7 +272,7 @@ def remove_repeats(
     """Remove from every text each word covered by a window of ``window`` words
     that also starts in a document with a smaller id. All windows are judged on
     the input. Returns ``source_row`` (a struct of the other input columns),
-    ``n_words``, ``n_removed`` and ``kept_text``: with ``layout`` the text
+    ``text_is_null``, ``n_words``, ``n_removed`` and ``kept_text``: with ``layout`` the text
     without the removed words and the white space after them, else the kept
     words joined by one space.
 
@@ -290,5 +290,5 @@ def remove_repeats(
     )
     joined = rows.join(found, (F.col("id") == F.col("doc")) & (F.col("h") == F.col("tag")), "left")
     joined = joined.select("source_row", "text", "found")
-    schema = joined.select("source_row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept_text")).schema
+    schema = joined.select("source_row", F.lit(False).alias("text_is_null"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept_text")).schema
     return joined.mapInArrow(_cut(window, layout), schema)

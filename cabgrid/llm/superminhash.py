@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cabgrid.llm import text as tx
 from cabgrid.llm.components import connected
@@ -228,6 +228,20 @@ def near_duplicates(
     )
 
 
+def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, without those that are near duplicates of a
+    row with a smaller id; of rows with one id, one stays. Rows with a null id stay."""
+    groups = saved(near_duplicates(docs, shingle, percent, id_col, text_col), "groups")
+    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    wanted = F.col(id_col).cast("long") == F.col("kept_id")
+    rows = docs.join(kept, wanted, "left_semi")
+    if not groups.groupBy("doc_id").count().where("count > 1").isEmpty():
+        packed = rows.select(F.struct("*").alias("row"))
+        order = Window.partitionBy(F.col("row").getField(id_col)).orderBy(F.xxhash64(F.col("row").getField(text_col)))
+        rows = packed.withColumn("n", F.row_number().over(order)).where("n = 1").select("row.*")
+    return rows.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def _checked(pairs: DataFrame, wide: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()

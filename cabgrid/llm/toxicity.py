@@ -212,3 +212,8 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, text_col: str = "text
     """``docs`` with a score between 0 and 1 for every whole text (likelier toxic
     the higher). Null and empty texts get the score of a text without any feature."""
     return docs.withColumn(name, model.score_column()(F.col(text_col)))
+
+
+def keep_civil(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose score is below ``threshold``."""
+    return docs.where(model.score_column()(F.col(text_col)) < threshold)

@@ -106,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_top_k": oracles.TOP_K,
     "op3_near_dedup": oracles.NEAR_DEDUP,
     "op5_substring_dedup": oracles.SUBSTRING_DEDUP,
 }

@@ -1,0 +1,72 @@
+"""Small corpora for the tests: rows like ``documents``, with awkward ones."""
+
+import random
+
+from pyspark.sql import types as T
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+        # Names that the operators use for themselves.
+        T.StructField("id", T.StringType()),
+        T.StructField("row", T.IntegerType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("score", T.StringType()),
+        T.StructField("bin", T.StringType()),
+        T.StructField("block", T.StringType()),
+    ]
+)
+WORDS = ["the", "of", "and", "to", "in", "is", "on", "it", "for", "was", "as", "be", "by", "ere", "ion", "éau", "ung", "ción"]
+
+
+def sentence(rng: random.Random, n: int) -> str:
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "", "a", "b", "c", "x1", "y2"]) + rng.choice(["", "", "", "er", "ing", "est"]) for _ in range(n))
+
+
+def rows_of(texts: dict[int, str | None], source=lambda i: f"src{i % 3}") -> list[tuple]:
+    return [
+        (i, t, "en" if i % 2 else None, source(i), None if t is None else len(t), "x", 7, "k", "s", "b", "c") for i, t in texts.items()
+    ]
+
+
+def awkward(rng: random.Random) -> list[tuple]:
+    """Null, empty, blank, short, long, repeated and copied texts, null ids and sources."""
+    long = sentence(rng, 6000)
+    base = sentence(rng, 120)
+    changed = base.split()
+    changed[60] = "changed"
+    texts = {
+        10: base,
+        11: base,
+        12: " ".join(changed),
+        13: base.upper(),
+        14: None,
+        15: "",
+        16: " \n\t ",
+        17: "one",
+        18: "one two three",
+        19: long,
+        20: long + " tail",
+        21: "same same same " * 30,
+        22: "same same same " * 30,
+        23: sentence(rng, 40) + "\n\n" + base + "\n" + sentence(rng, 40),
+        24: "é" * 50_000,
+        25: sentence(rng, 12),
+    }
+    rows = rows_of(texts, lambda i: None if i == 12 else f"src{i % 3}")
+    rows += [rows[0], rows[0]]  # repeated rows
+    rows += [(None, base, None, None, 3, None, None, None, None, None, None)]
+    rows += rows_of({18: sentence(rng, 30)})  # an id with two texts
+    return rows
+
+
+def frame(spark, rows: list[tuple], parts: int = 3):
+    return spark.createDataFrame(rows, SCHEMA).repartition(parts)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)

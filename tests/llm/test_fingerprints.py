@@ -1,0 +1,81 @@
+"""Neighbours and edits equal those of sorting all rows; signatures behave."""
+
+import hashlib
+import random
+
+import pytest
+
+from cabgrid.llm import ctph
+from cabgrid.llm.ctph import common_length, edited_neighbours, fingerprint_column, fingerprints, likeness
+from corpus import awkward, empty, frame, rows_of, sentence
+
+
+def brute(rows):
+    ordered = sorted(((r[0], r[1] or "") for r in rows if r[0] is not None), reverse=True)
+    out = []
+    for (i, x), (_, y) in zip(ordered, ordered[1:] + ordered[:1]):
+        m = len(x) // 3
+        e = x[: len(x) - m] + y[:m]
+        a, b, c = (fingerprints([t.encode()])[0] for t in (x, e, y))
+        out.append((i, len(x), hashlib.sha256(e.encode()).hexdigest(), a, b, likeness(a, b), likeness(a, c)))
+    return sorted(out)
+
+
+def check(spark, rows):
+    assert sorted(map(tuple, edited_neighbours(frame(spark, rows)).collect())) == brute(rows)
+
+
+def test_awkward_rows(spark):
+    check(spark, awkward(random.Random(1)))
+
+
+def test_many_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ctph, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(ctph, "SLICE_BYTES", 500)
+    rng = random.Random(2)
+    ids = rng.sample(range(-(10**12), 10**12), 150)
+    check(spark, rows_of({i: sentence(rng, rng.randint(0, 60)) for i in ids}))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3])
+def test_few_rows(spark, n):
+    check(spark, rows_of({i * 5: "text number " + str(i) * 9 for i in range(n)}))
+
+
+def test_empty_table(spark):
+    got = edited_neighbours(empty(spark))
+    assert got.collect() == [] and got.columns[0] == "doc_id"
+
+
+def test_signatures_have_bounded_length_and_keep_edits_local():
+    rng = random.Random(3)
+    texts = [sentence(rng, n).encode() for n in (0, 1, 5, 50, 500, 5000, 50_000)] + [b"ab" * 100_000, b"\0" * 50]
+    prints = fingerprints(texts)
+    assert prints == [fingerprints([t])[0] for t in texts] and prints[0] == "2::"
+    assert all(len(p.split(":")[1]) <= 64 for p in prints)
+    text = texts[4]
+    for edited in (b"start " + text, text + b" end", text[:1000] + b" middle " + text[1000:], text[:900] + text[1000:]):
+        assert likeness(prints[4], fingerprints([edited])[0]) > 0.8
+    assert likeness(prints[4], prints[4]) == 1 and likeness(prints[4], fingerprints([sentence(rng, 500).encode()])[0]) < 0.3
+    assert fingerprint_column(__import__("pyarrow").array(["x", None, ""])).to_pylist() == fingerprints([b"x", b"", b""])
+
+
+def test_likeness_is_symmetric_and_between_0_and_1():
+    rng = random.Random(4)
+    prints = fingerprints([sentence(rng, rng.randint(0, 300)).encode() for _ in range(40)])
+    for x in prints:
+        for y in prints:
+            assert 0 <= likeness(x, y) <= 1 and likeness(x, y) == pytest.approx(likeness(y, x))
+
+
+def test_common_length_equals_the_table():
+    rng = random.Random(5)
+    for _ in range(100):
+        x, y = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 40))) for _ in "xy")
+        row = [0] * (len(y) + 1)
+        for c in x:
+            new = [0]
+            for k, d in enumerate(y):
+                new.append(row[k] + 1 if c == d else max(row[k + 1], new[-1]))
+            row = new
+        assert common_length(x, y) == row[-1]

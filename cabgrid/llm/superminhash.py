@@ -9,10 +9,12 @@ j are smaller than those of step j + 1, so a document stops at the first step
 after which no component is empty; long documents stop after one or two.
 
 Documents with equal sets are one class first, so copies cost one row each.
-Bands of signature values give buckets; a bucket's pivot is checked against
-its other members on the full sets, found links merge groups by union-find, and
-a bucket with several groups left gets the next pivot. What still stands after
-the last pivot round is checked pair by pair.
+Bands of signature values give buckets. Within a bucket, signatures estimate
+the similarity of all pairs, and union-find joins those that can be similar
+enough into families; a very large bucket joins all its members, which may only
+make a family larger. The members of a family are then checked on their full
+sets, block against block, where union-find skips what is connected already.
+Only the links that join something leave a task, never all pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cabgrid.llm import text as tx
 from cabgrid.llm.components import connected
@@ -32,7 +34,13 @@ U64 = tx.U64
 #: probability (1 - 0.8**5)**40 < 2e-7, one of similarity 0.3 in any with 0.1.
 BANDS = 40
 ROWS = 5
-PIVOT_ROUNDS = 4
+#: Standard errors below the threshold at which an estimate still counts.
+MARGIN = 5.5
+#: Members up to which a bucket's pairs are estimated; rows of a task's share.
+BUCKET_MEMBERS = 1024
+SHARE_ROWS = 8192
+#: Members of a family in one block.
+BLOCK_MEMBERS = 256
 SLICE_BYTES = 2 << 20
 _STEP_ELEMENTS = 100_000  # elements that walk their permutations at once
 
@@ -118,7 +126,9 @@ def _sketch(width: int, bands: int, rows: int):
             for part in tx.slices(batch, "text", SLICE_BYTES):
                 items, first = shingle_sets(part.column("text"), width)
                 sums = [np.concatenate(([0], np.cumsum(tx.mix(items + U64(k))).view(np.int64)))[first] for k in (1, 2)]
-                keys = band_keys(signatures(items, first, bands * rows), bands, rows).view(np.int64)
+                sign = signatures(items, first, bands * rows)
+                keys = band_keys(sign, bands, rows).view(np.int64)
+                low = sign.astype(np.uint8)  # for estimates one byte of a value will do
                 yield pa.record_batch(
                     [
                         part.column("id"),
@@ -126,8 +136,9 @@ def _sketch(width: int, bands: int, rows: int):
                         pa.array(np.diff(sums[0].view(U64)).view(np.int64), pa.int64()),
                         pa.array(np.diff(sums[1].view(U64)).view(np.int64), pa.int64()),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * bands, pa.int32()), pa.array(keys.reshape(-1), pa.int64())),
+                        pa.array([x.tobytes() for x in low], pa.binary()),
                     ],
-                    names=["id", "n", "s1", "s2", "keys"],
+                    names=["id", "n", "s1", "s2", "keys", "sign"],
                 )
 
     return run
@@ -144,18 +155,100 @@ def _sets(width: int):
     return run
 
 
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("held_a"), batch.column("held_b")):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=U64) for v in (x, y))
-                both = np.concatenate((x, y))
+def least_matches(percent: int, size: int) -> int:
+    """Equal signature bytes, of ``size``, below which a pair isn't similar enough."""
+    p = percent / 100
+    p = p + (1 - p) / 256  # unlike values with equal bytes
+    return max(1, int(size * (p - MARGIN * (p * (1 - p) / size) ** 0.5)))
+
+
+class _Forest:
+    """Union-find over the rows of a task; ``join`` tells whether it joined."""
+
+    def __init__(self, n: int) -> None:
+        self.parent = list(range(n))
+
+    def find(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _alike(sign: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int, least: int) -> np.ndarray:
+    """(place in left, place in right) of the pairs that may be similar enough."""
+    fits = 100 * np.minimum(n[left][:, None], n[right][None, :]) >= percent * np.maximum(n[left][:, None], n[right][None, :])
+    found = []
+    for i, a in enumerate(left):  # a row at a time: no cube of bytes
+        some = np.flatnonzero(fits[i])
+        near = some[(sign[right[some]] == sign[a]).sum(axis=1) >= least]
+        found.append(np.stack([np.full(len(near), i), near], axis=1))
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+
+def _slices_of(*keys: np.ndarray) -> Iterator[np.ndarray]:
+    """Row numbers of each group of equal keys."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order[1:]] != k[order[:-1]]
+    yield from np.split(order, np.flatnonzero(new)[1:]) if len(order) else []
+
+
+def _links(pairs: list[tuple[int, int]]) -> pa.Table:
+    a, b = zip(*pairs) if pairs else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _families(percent: int, least: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Spanning links of the members of each bucket that may be similar."""
+        key, rep, n = (table.column(c).to_numpy() for c in ("key", "rep", "n"))
+        sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(len(key), -1)
+        out = []
+        for rows in _slices_of(key):
+            rows = rows[np.argsort(rep[rows], kind="stable")]
+            forest = _Forest(len(rows))
+            for x, y in _alike(sign, n, rows, rows, percent, least):
+                if x < y and forest.join(int(x), int(y)):
+                    out.append((int(rep[rows[x]]), int(rep[rows[y]])))
+        return _links(sorted(set(out)))
+
+    return run
+
+
+def _confirm(percent: int, least: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Links that join members of a family, for a pair of its blocks."""
+        family, first, second, rep, block = (table.column(c).to_numpy() for c in ("family", "first", "second", "rep", "block"))
+        sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(len(rep), -1)
+        sets = [np.frombuffer(x, dtype=U64) for x in table.column("held").to_pylist()]
+        n = np.array([len(x) for x in sets])
+        out = []
+        for rows in _slices_of(family, first, second):
+            rows = rows[np.argsort(rep[rows], kind="stable")]
+            left, right = rows[block[rows] == first[rows]], rows[block[rows] == second[rows]]
+            place = {int(r): k for k, r in enumerate(np.unique(rep[rows]))}
+            forest = _Forest(len(place))
+            for x, y in _alike(sign, n, left, right, percent, least):
+                a, b = left[x], right[y]
+                p, q = place[int(rep[a])], place[int(rep[b])]
+                if forest.find(p) == forest.find(q):
+                    continue
+                both = np.concatenate((sets[a], sets[b]))
                 both.sort()
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            keep = pa.array(good, pa.bool_())
-            yield pa.record_batch([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+                if 100 * shared >= percent * (n[a] + n[b] - shared):
+                    forest.join(p, q)
+                    out.append((int(rep[a]), int(rep[b])))
+        return _links(out)
 
     return run
 
@@ -168,7 +261,6 @@ def near_duplicates(
     text_col: str = "text",
     bands: int = BANDS,
     rows: int = ROWS,
-    pivot_rounds: int = PIVOT_ROUNDS,
 ) -> DataFrame:
     """One row for each row of ``docs`` with a non-null id: ``doc_id``,
     ``n_shingles`` (size of its set), ``component_id`` (smallest id reachable by
@@ -182,41 +274,50 @@ def near_duplicates(
     component of all of them. An empty table gives an empty result; other
     columns are not read."""
     wide = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    sketch = saved(wide.mapInArrow(_sketch(shingle, bands, rows), "id long, n long, s1 long, s2 long, keys array<long>"), "sketch")
+    sketch = saved(
+        wide.mapInArrow(_sketch(shingle, bands, rows), "id long, n long, s1 long, s2 long, keys array<long>, sign binary"), "sketch"
+    )
     full = sketch.where("n > 0")
-    classes = saved(full.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("copies")), "classes")
-
+    same = ["n", "s1", "s2"]
+    classes = saved(full.groupBy(*same).agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.first("sign").alias("sign")), "classes")
     # Every class is known by its smallest id. Buckets of one class are no use.
     members = classes.select(F.explode("keys").alias("key"), "rep", "n")
-    crowded = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    crowded = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("least")).where("c > 1")
     left = saved(members.join(crowded, "key"), "members")
-    own = full.join(classes.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"]).select("id", "n", "rep")
+    own = full.join(classes.select(*same, "rep"), same).select("id", "n", "rep")
     # An id may come with several texts: it ties their classes together.
     ties = own.groupBy("id").agg(F.min("rep").alias("a"), F.collect_set("rep").alias("b")).where(F.size("b") > 1)
-    links = saved(ties.select("a", F.explode("b").alias("b")).where("a <> b"), "ties")
-
-    def fits(x: Column, y: Column) -> Column:
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
-    for step in range(pivot_rounds + 1):
-        group = connected(links).withColumnRenamed("node", "rep")
-        left = left.join(group, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        split = left.groupBy("key").agg(
-            F.min(F.struct("rep", "component", "n")).alias("pivot"), F.min("component").alias("lo"), F.max("component").alias("hi")
-        )
-        left = saved(left.join(split.where("lo < hi").select("key", "pivot"), "key"), "left")
-        if left.isEmpty():
-            break
-        if step < pivot_rounds:
-            pairs = left.where((F.col("component") != F.col("pivot.component")) & fits(F.col("n"), F.col("pivot.n")))
-            pairs = pairs.select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"))
-        else:
-            x, y = (left.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component")]) for s in "xy")
-            apart = (F.col("rep_x") < F.col("rep_y")) & (F.col("component_x") != F.col("component_y"))
-            pairs = x.join(y, "key").where(apart & fits(F.col("n_x"), F.col("n_y"))).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
-        found = _checked(saved(pairs.distinct(), "pairs"), wide, shingle, percent)
-        links = saved(links.unionByName(found), "links")
-        left = left.where(F.col("rep") > F.col("pivot.rep")).select("key", "rep", "n")
+    ties = saved(ties.select("a", F.explode("b").alias("b")).where("a <> b"), "ties")
+
+    least = least_matches(percent, bands * rows)
+    signs = classes.select("rep", "n", "sign")
+    small = left.where(F.col("c") <= BUCKET_MEMBERS)
+    shares = max(1, -(-small.count() // SHARE_ROWS))
+    near = (
+        small.join(signs, ["rep", "n"])
+        .withColumn("share", F.pmod(F.xxhash64("key"), F.lit(shares)).cast("int"))
+        .select("share", "key", "rep", "n", "sign")
+        .groupBy("share")
+        .applyInArrow(_families(percent, least), "a long, b long")
+    )
+    whole = left.where((F.col("c") > BUCKET_MEMBERS) & (F.col("rep") > F.col("least"))).select(F.col("least").alias("a"), F.col("rep").alias("b"))
+    families = connected(near.unionByName(whole).unionByName(ties)).withColumnRenamed("node", "rep").withColumnRenamed("component", "family")
+
+    # Blocks of a family, and each member once for every pair with its block.
+    sizes = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("blocks"))
+    placed = saved(families.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "families")
+    held = wide.join(placed.select(F.col("rep").alias("id")), "id", "left_semi").mapInArrow(_sets(shingle), "id long, held binary")
+    held = placed.join(held.withColumnRenamed("id", "rep"), "rep").join(signs.select("rep", "sign"), "rep")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    spread = held.select("family", "blocks", "rep", "block", "sign", "held", other).select(
+        "family", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "rep", "block", "sign", "held", "blocks"
+    )
+    # Families of one block share tasks; a pair of blocks is a task's group.
+    few = max(1, -(-placed.count() // BLOCK_MEMBERS))
+    group = F.when(F.col("blocks") == 1, F.struct(F.pmod(F.xxhash64("family"), F.lit(few)).alias("f"), F.lit(-1).alias("i"), F.lit(-1).alias("j")))
+    group = group.otherwise(F.struct(F.col("family").alias("f"), F.col("first").alias("i"), F.col("second").alias("j")))
+    found = spread.withColumn("of", group).drop("blocks").groupBy("of").applyInArrow(_confirm(percent, least), "a long, b long")
+    links = saved(found.unionByName(ties), "links")
     group = connected(links).withColumnRenamed("node", "rep")
     named = own.join(group, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
     alone = sketch.where("n = 0").select("id", "n", F.col("id").alias("component"))
@@ -240,12 +341,3 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str =
         order = Window.partitionBy(F.col("row").getField(id_col)).orderBy(F.xxhash64(F.col("row").getField(text_col)))
         rows = packed.withColumn("n", F.row_number().over(order)).where("n = 1").select("row.*")
     return rows.unionByName(docs.where(F.col(id_col).isNull()))
-
-
-def _checked(pairs: DataFrame, wide: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    held = saved(wide.join(needed, "id", "left_semi").mapInArrow(_sets(shingle), "id long, held binary"), "sets")
-    x = pairs.join(held.withColumnRenamed("id", "a").withColumnRenamed("held", "held_a"), "a")
-    x = x.join(held.withColumnRenamed("id", "b").withColumnRenamed("held", "held_b"), "b")
-    return x.select("a", "b", "held_a", "held_b").mapInArrow(_confirm(percent), "a long, b long")

@@ -64,9 +64,10 @@ def test_many_near_copies_with_chains(spark):
     check(spark, rows_of(near_copies(random.Random(1), 6, 30, 150, 8)))
 
 
-def test_pairs_that_no_pivot_settles(spark):
-    """One pivot round only: the rest is compared pair by pair."""
-    check(spark, rows_of(near_copies(random.Random(2), 4, 25, 100, 7)), pivot_rounds=1)
+def test_large_buckets_and_many_blocks(spark, monkeypatch):
+    for name, value in (("BUCKET_MEMBERS", 6), ("SHARE_ROWS", 50), ("BLOCK_MEMBERS", 5)):
+        monkeypatch.setattr(smh, name, value)
+    check(spark, rows_of(near_copies(random.Random(2), 4, 25, 100, 7)))
 
 
 def test_empty_table(spark):

@@ -13,8 +13,8 @@ DAY = "1 day"
 def congestion_alerts(trips: DataFrame) -> DataFrame:
     """For every taxi-day, in pickup order, the first ride i with
     d[i] > d[i-1], d[i] > d[i+1] and d[i+1] < d[i+2] < d[i+3] (d = trip
-    time); reports the pickup cell of ride i. Neighbours come from the
-    skew-safe operator; picking the first match is a partial ``min_by``."""
+    time); reports the pickup cell of ride i. A taxi-day is cut by hours, so
+    no task holds more of it than one hour; picking the first match is a partial ``min_by``."""
     base = trips.select(
         "medallion",
         F.window("pickup_dt", DAY).start.alias("day"),
@@ -24,7 +24,13 @@ def congestion_alerts(trips: DataFrame) -> DataFrame:
         "pickup_cell",
     )
     n = with_neighbors(
-        base, by=["medallion", "day"], order=["pickup_dt", "event_id"], values=["trip_time"], lags=1, leads=3
+        base,
+        by=["medallion", "day"],
+        order=["pickup_dt", "event_id"],
+        values=["trip_time"],
+        block=F.hour("pickup_dt"),
+        lags=1,
+        leads=3,
     )
     d = F.col("trip_time")
     before = F.col(lag_name("trip_time", 1))

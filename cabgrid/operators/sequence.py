@@ -1,43 +1,19 @@
 """Ordered neighbours (lag / lead) inside groups, without putting a group in
 one task.
 
-``Window.partitionBy(group)`` sends every row of a group to one task; with a
-hot key (one taxi holding a third of all trips) that task holds a third of the
-data. Here the rows are instead range-partitioned on the full ordering key
-``group + order`` (which includes a unique tie-breaker), so Spark's range
-partitioner cuts a hot group into many partitions of bounded size:
-
-1. each sorted partition is walked once in Arrow batches and the *interior*
-   rows (at least ``m`` rows away from both partition edges, where ``m`` is
-   the largest offset) get their neighbours from inside the partition;
-2. the first and last ``2m`` rows of every partition form a small edge set,
-   at most ``4m`` rows per partition. A plain window over that set gives the
-   *edge* rows (first / last ``m``) their neighbours: all rows within ``m``
-   positions of an edge row are themselves in the edge set, possibly in the
-   adjacent partitions. The edge set grows with the number of partitions,
-   not with the data, so even a group spanning every partition stays small.
-
-Both passes must see the same partitions: they read one range exchange that
-Spark reuses (identical subtrees; ``mapInPandas`` consumes every column, so
-column pruning cannot make the two subtrees differ), with a fixed partition
-count that AQE never coalesces. Separately planned range exchanges would each
-sample their own bounds, so the operator refuses to run with exchange reuse
-disabled. The ordering key must be unique (add an id column): the passes
-agree on row positions only if the order inside a partition is determined.
+A plain window by group sends every row of a group to one task. Here a group is
+cut into blocks by a coarse function of the ordering (a day or an hour of the
+time), and ``lag`` / ``lead`` run inside (group, block). What is missing at a
+block's edges comes from a table with one row per block, its first and last few
+rows: a window over that table hands each block the last rows before it and the
+first rows after it. That window sees a group's blocks, not its rows.
 """
 
 from __future__ import annotations
 
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from functools import reduce
 
-# The per-partition functions below run in Python workers; ship them by value
-# so executors need only pandas/numpy, not this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def lag_name(col: str, j: int) -> str:
@@ -48,157 +24,62 @@ def lead_name(col: str, j: int) -> str:
     return f"{col}_lead{j}"
 
 
-def _same_group(frame: pd.DataFrame, by: list[str], shift: int) -> pd.Series:
-    """True where the row ``shift`` positions away exists and has the same
-    group key (NULL keys compare equal, as in a window partition)."""
-    n = len(frame)
-    pos = np.arange(n)
-    same = (pos - shift >= 0) & (pos - shift < n)
-    for g in by:
-        s = frame[g]
-        o = s.shift(shift)
-        same &= ((s == o) | (s.isna() & o.isna())).to_numpy()
-    return pd.Series(same, index=frame.index)
-
-
-def _add_neighbours(frame: pd.DataFrame, by, values, lags, leads) -> pd.DataFrame:
-    out = {}
-    for j in range(1, lags + 1):
-        same = _same_group(frame, by, j)
-        for v in values:
-            out[lag_name(v, j)] = frame[v].shift(j).where(same)
-    for j in range(1, leads + 1):
-        same = _same_group(frame, by, -j)
-        for v in values:
-            out[lead_name(v, j)] = frame[v].shift(-j).where(same)
-    return frame.assign(**out)
-
-
-def _interior_pass(by, values, lags, leads, m, out_cols):
-    hold = 2 * m
-
-    def run(batches):
-        hist = None  # last m rows already passed (context for lags)
-        pend = None  # rows not passed yet (the last `hold` may be partition tail)
-        start = 0  # partition position of pend's first row
-        for b in batches:
-            if len(b) == 0:
-                continue
-            b = b.reset_index(drop=True)
-            pend = b if pend is None else pd.concat([pend, b], ignore_index=True)
-            if len(pend) <= hold:
-                continue
-            ready = len(pend) - hold
-            frame = pend if hist is None else pd.concat([hist, pend], ignore_index=True)
-            h = 0 if hist is None else len(hist)
-            res = _add_neighbours(frame, by, values, lags, leads).iloc[h : h + ready]
-            pos = start + pd.RangeIndex(ready)
-            keep = res[(pos >= m)]
-            if len(keep):
-                yield keep[out_cols]
-            passed = frame.iloc[: h + ready]
-            hist = passed.iloc[max(0, len(passed) - m) :].reset_index(drop=True)
-            pend = pend.iloc[ready:].reset_index(drop=True)
-            start += ready
-        if pend is None or len(pend) == 0:
-            return
-        n = start + len(pend)
-        frame = pend if hist is None else pd.concat([hist, pend], ignore_index=True)
-        h = 0 if hist is None else len(hist)
-        res = _add_neighbours(frame, by, values, lags, leads).iloc[h:]
-        pos = start + pd.RangeIndex(len(pend))
-        keep = res[(pos >= m) & (pos < n - m)]
-        if len(keep):
-            yield keep[out_cols]
-
-    return run
-
-
-def _edge_pass(m, in_cols):
-    span = 2 * m
-
-    def run(batches):
-        head = []
-        head_n = 0
-        tail = None
-        total = 0
-        for b in batches:
-            if len(b) == 0:
-                continue
-            b = b.reset_index(drop=True)
-            if head_n < span:
-                take = b.iloc[: span - head_n]
-                head.append(take)
-                head_n += len(take)
-            tail = b if tail is None else pd.concat([tail, b], ignore_index=True)
-            tail = tail.iloc[max(0, len(tail) - span) :].reset_index(drop=True)
-            total += len(b)
-        if total == 0:
-            return
-        head_df = pd.concat(head, ignore_index=True)
-        head_df["_pos"] = range(len(head_df))
-        tail_df = tail.copy()
-        tail_df["_pos"] = range(total - len(tail_df), total)
-        tail_df = tail_df[tail_df["_pos"] >= len(head_df)]
-        edge = pd.concat([head_df, tail_df], ignore_index=True)
-        edge["_core"] = (edge["_pos"] < m) | (edge["_pos"] >= total - m)
-        yield edge[in_cols + ["_core"]]
-
-    return run
-
-
 def with_neighbors(
     df: DataFrame,
     by: list[str],
     order: list[str],
     values: list[str],
+    block: Column,
     lags: int = 1,
     leads: int = 0,
-    num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``{v}_lag{j}`` (j = 1..lags) and ``{v}_lead{j}`` (j = 1..leads) for
     every column ``v`` in ``values``: the value ``j`` rows before / after in
     ``order`` within the same ``by`` group, NULL past the group's ends. Same
-    result as ``lag``/``lead`` over ``Window.partitionBy(by).orderBy(order)``,
-    but no group is ever gathered into a single task."""
+    result as ``lag``/``lead`` over ``Window.partitionBy(by).orderBy(order)``
+    (``order`` must be unique in a group, as there).
+
+    ``block`` never falls as ``order`` rises (``to_date`` of a leading time,
+    say) and bounds what one task holds: the rows of a group in one block."""
     m = max(lags, leads)
     if m < 1:
         raise ValueError("need at least one lag or lead")
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # Both passes must read one and the same range shuffle.
-        raise RuntimeError("with_neighbors needs spark.sql.exchange.reuse=true")
-    # An explicit partition count: AQE never coalesces it, so the two passes
-    # see exactly the same partitions. AQE cannot size it for us, so: the
-    # configured count (AQE's initial partition number when set, else the
-    # shuffle partition count), but no more than the input has partitions
-    # (file scans split at maxPartitionBytes, so that count follows the
-    # input size) and at least one per core.
-    if not num_partitions:
-        configured = int(
-            spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-            or spark.conf.get("spark.sql.shuffle.partitions")
-        )
-        cores = spark.sparkContext.defaultParallelism
-        num_partitions = min(configured, max(cores, df.rdd.getNumPartitions()))
-    n_parts = num_partitions
-    keys = [*by, *order]
-    in_cols = df.columns
-    ranged = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
-
-    fields = {f.name: f for f in df.schema.fields}
-    extra = [T.StructField(lag_name(v, j), fields[v].dataType) for j in range(1, lags + 1) for v in values]
-    extra += [T.StructField(lead_name(v, j), fields[v].dataType) for j in range(1, leads + 1) for v in values]
-    out_schema = T.StructType(list(df.schema.fields) + extra)
-    out_cols = out_schema.names
-
-    interior = ranged.mapInPandas(_interior_pass(by, values, lags, leads, m, out_cols), out_schema)
-
-    edge_schema = T.StructType(list(df.schema.fields) + [T.StructField("_core", T.BooleanType())])
-    edges = ranged.mapInPandas(_edge_pass(m, in_cols), edge_schema)
-    w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
-    edge_cols = [F.col(c) for c in in_cols]
-    edge_cols += [F.lag(v, j).over(w).alias(lag_name(v, j)) for j in range(1, lags + 1) for v in values]
-    edge_cols += [F.lead(v, j).over(w).alias(lead_name(v, j)) for j in range(1, leads + 1) for v in values]
-    fixed = edges.select(*edge_cols, "_core").where(F.col("_core")).drop("_core")
-    return interior.unionByName(fixed)
+    own = df.columns
+    w = Window.partitionBy(*by, "_block").orderBy(*order)
+    row = F.struct(*[F.col(v) for v in values])
+    inside = df.withColumn("_block", block).select(
+        *own,
+        "_block",
+        F.row_number().over(w).alias("_first"),
+        F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"),
+        *[F.lag(row, j).over(w).alias(f"_lag{j}") for j in range(1, m + 1)],
+        *[F.lead(row, j).over(w).alias(f"_lead{j}") for j in range(1, m + 1)],
+    )
+    # One row per block: its first rows in order, its last rows backwards.
+    near = lambda kind: F.filter(F.array(row, *[F.col(f"_{kind}{j}") for j in range(1, m)]), lambda x: x.isNotNull())
+    edges = inside.where((F.col("_first") == 1) | (F.col("_first") == F.col("_n")))
+    blocks = edges.groupBy(*by, "_block").agg(
+        F.first(F.when(F.col("_first") == 1, near("lead")), ignorenulls=True).alias("_head"),
+        F.first(F.when(F.col("_first") == F.col("_n"), near("lag")), ignorenulls=True).alias("_tail"),
+    )
+    # Every block has a row, so the m blocks beside one hold what it can need.
+    beside = Window.partitionBy(*by).orderBy("_block")
+    before = F.reverse(F.collect_list("_tail").over(beside.rowsBetween(-m, -1)))
+    after = F.collect_list("_head").over(beside.rowsBetween(1, m))
+    carried = blocks.select(
+        *[F.col(c).alias(f"_by{i}") for i, c in enumerate([*by, "_block"])],
+        F.flatten(before).alias("_before"),
+        F.flatten(after).alias("_after"),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate([*by, "_block"])])
+    joined = inside.join(carried, same, "left")
+    out = [F.col(c) for c in own]
+    for j in range(1, lags + 1):
+        # Rows before this one in its block: _first - 1; the rest is carried.
+        past = F.when(F.col("_first") > j, F.col(f"_lag{j}")).otherwise(F.get("_before", j - F.col("_first")))
+        out += [past.getField(v).alias(lag_name(v, j)) for v in values]
+    for j in range(1, leads + 1):
+        left = F.col("_n") - F.col("_first")
+        coming = F.when(left >= j, F.col(f"_lead{j}")).otherwise(F.get("_after", (j - 1 - left).cast("int")))
+        out += [coming.getField(v).alias(lead_name(v, j)) for v in values]
+    return joined.select(*out)

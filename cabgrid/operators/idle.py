@@ -7,7 +7,7 @@ original arithmetic instead: pickup minus dropoff of the *same* trip, taken
 modulo one day, minutes field only.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cabgrid.functions.text import idle_message
 from cabgrid.functions.timecols import seconds_between, wrapped_minutes
@@ -20,10 +20,12 @@ IDLE_WINDOW = "1 hour"
 def idle_gaps(trips: DataFrame) -> DataFrame:
     """One row per trip that has an earlier trip of the same taxi:
     ``prev_dropoff_dt`` and ``gap_seconds`` (may be zero or negative when
-    trips overlap). Uses the skew-safe neighbour operator, so a taxi with a
-    huge history is spread over many tasks."""
+    trips overlap). A taxi's history is cut by days, so a very busy taxi is
+    spread over many tasks."""
     base = trips.select("medallion", "pickup_dt", "event_id", "dropoff_dt")
-    n = with_neighbors(base, by=["medallion"], order=["pickup_dt", "event_id"], values=["dropoff_dt"], lags=1)
+    n = with_neighbors(
+        base, by=["medallion"], order=["pickup_dt", "event_id"], values=["dropoff_dt"], block=F.to_date("pickup_dt"), lags=1
+    )
     prev = F.col(lag_name("dropoff_dt", 1))
     return n.where(prev.isNotNull()).select(
         "medallion",
@@ -34,28 +36,52 @@ def idle_gaps(trips: DataFrame) -> DataFrame:
     )
 
 
-MIN_SLIDE_SECONDS = 300
-
-
-def _seconds(duration: str) -> int:
-    n, unit = duration.split()
-    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s").lower()]
-    return int(n) * scale
-
-
-def _alerts(rows: DataFrame, minutes_col: str, window: str, slide: str | None) -> DataFrame:
-    if slide and slide != window:
-        # A sliding window copies every row length/slide times; keep the slide
-        # coarse (the original recomputed a 1 h window every 5 s batch).
-        if _seconds(slide) < MIN_SLIDE_SECONDS:
-            raise ValueError(f"slide must be at least {MIN_SLIDE_SECONDS} seconds")
-        w = F.window("pickup_dt", window, slide)
-    else:
-        w = F.window("pickup_dt", window)
-    avg = (F.sum(F.col(minutes_col).cast("double")) / F.count(F.lit(1))).alias("avg_value")
-    return rows.groupBy("medallion", w.alias("w")).agg(avg).select(
-        "medallion", F.col("w.start").alias("window_start"), F.col("avg_value")
-    )
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def duration_seconds(duration: str) -> int:
+    """Seconds of a duration such as ``"1 hour 30 minutes"``."""
+    parts = duration.lower().split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"not a duration: {duration!r}")
+    total = 0
+    for n, unit in zip(parts[::2], parts[1::2]):
+        if unit.rstrip("s") not in _UNIT_SECONDS:
+            raise ValueError(f"not a duration: {duration!r}")
+        total += int(n) * _UNIT_SECONDS[unit.rstrip("s")]
+    return total
+
+
+def _window_means(rows: DataFrame, value_col: str, window: str, slide: str | None) -> DataFrame:
+    """Mean of ``value_col`` per taxi and pickup window that has rows, as
+    ``avg_value``; windows start at multiples of ``slide`` (default: ``window``),
+    of which a window is a whole number.
+
+    For sliding windows the rows are summed once per taxi and pane (a slide long).
+    A window is named by its last pane; every pane names the windows from itself up
+    to the next pane with rows, as long as they reach back to it. A range frame
+    over those names then adds up the panes of each window."""
+    length = duration_seconds(window)
+    step = duration_seconds(slide) if slide else length
+    if step <= 0 or length % step:
+        raise ValueError("a window must be a whole number of slides")
+    value = F.col(value_col).cast("double")
+    if step == length:
+        means = rows.groupBy("medallion", F.window("pickup_dt", window).alias("w")).agg((F.sum(value) / F.count(F.lit(1))).alias("avg_value"))
+        return means.select("medallion", F.col("w.start").alias("window_start"), "avg_value")
+    panes_per_window = length // step
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    number = F.floor(F.timestamp_diff("SECOND", epoch, F.col("pickup_dt")) / F.lit(step))
+    panes = rows.groupBy("medallion", number.alias("pane")).agg(F.sum(value).alias("total"), F.count(F.lit(1)).alias("n"))
+    by_pane = Window.partitionBy("medallion").orderBy("pane")
+    reach = F.col("pane") + F.lit(panes_per_window - 1)
+    until = F.least(F.coalesce(F.lead("pane").over(by_pane) - 1, reach), reach)
+    named = panes.withColumn("until", until).select("medallion", "pane", "total", "n", F.explode(F.sequence("pane", "until")).alias("last"))
+    own = F.col("last") == F.col("pane")
+    frame = Window.partitionBy("medallion").orderBy("last").rangeBetween(-(panes_per_window - 1), 0)
+    total, n = (F.sum(F.when(own, F.col(c))).over(frame) for c in ("total", "n"))
+    start = F.timestamp_add("SECOND", (F.col("last") - F.lit(panes_per_window - 1)) * F.lit(step), epoch)
+    return named.select("medallion", start.alias("window_start"), (total / n).alias("avg_value"))
 
 
 def idle_alerts(
@@ -68,7 +94,7 @@ def idle_alerts(
     window (tumbling, or sliding by ``slide``), exceeds ``threshold``
     minutes."""
     g = idle_gaps(trips).where(F.col("gap_seconds") > 0)
-    a = _alerts(g, "gap_seconds", window, slide)
+    a = _window_means(g, "gap_seconds", window, slide)
     minutes = (F.col("avg_value") / F.lit(60.0)).alias("avg_idle_minutes")
     return (
         a.select("medallion", "window_start", minutes)
@@ -90,7 +116,7 @@ def idle_compat(
     rows = trips.select("medallion", "pickup_dt", minutes.alias("idle_minutes")).where(
         F.col("idle_minutes") > 0
     )
-    a = _alerts(rows, "idle_minutes", window, slide)
+    a = _window_means(rows, "idle_minutes", window, slide)
     return (
         a.select("medallion", "window_start", F.col("avg_value").alias("avg_idle_minutes"))
         .where(F.col("avg_idle_minutes") > F.lit(float(threshold)))

@@ -35,6 +35,7 @@ from cabgrid.operators import (
     idle_alerts,
     idle_compat,
     cell_rendezvous,
+    cell_rendezvous_compat,
     congestion_alerts,
     congestion_compat,
     driver_tips,
@@ -68,6 +69,7 @@ __all__ = [
     "idle_alerts",
     "idle_compat",
     "cell_rendezvous",
+    "cell_rendezvous_compat",
     "congestion_alerts",
     "congestion_compat",
     "driver_tips",

@@ -13,7 +13,7 @@ from cabgrid.operators.areas import (
     profitable_areas_compat,
 )
 from cabgrid.operators.idle import idle_gaps, idle_alerts, idle_compat
-from cabgrid.operators.rendezvous import cell_rendezvous
+from cabgrid.operators.rendezvous import cell_rendezvous, cell_rendezvous_compat
 from cabgrid.operators.congestion import congestion_alerts, congestion_compat
 from cabgrid.operators.tips import driver_tips, pleasant_drivers, pleasant_drivers_per_day
 
@@ -35,6 +35,7 @@ __all__ = [
     "idle_alerts",
     "idle_compat",
     "cell_rendezvous",
+    "cell_rendezvous_compat",
     "congestion_alerts",
     "congestion_compat",
     "driver_tips",

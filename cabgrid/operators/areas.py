@@ -80,7 +80,7 @@ def _tagged_area_rows(trips: DataFrame, with_taxi: bool = False) -> DataFrame:
 
 def _empty_count(distinct_taxis: bool, approx: bool = False):
     """Empty taxis of a key: dropoffs (the original count), or distinct taxis
-    that dropped off there (exact in batch, HyperLogLog++ in streams)."""
+    that dropped off there (exact in batch, HyperLogLog++ on a stream)."""
     if not distinct_taxis:
         return F.sum("dropoffs")
     return F.approx_count_distinct("taxi") if approx else F.count_distinct("taxi")

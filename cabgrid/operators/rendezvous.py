@@ -1,6 +1,8 @@
 """A taxi that drops off in a cell and picks up again in the same cell soon
 after."""
 
+from __future__ import annotations
+
 from pyspark.sql import DataFrame, functions as F
 
 from cabgrid.functions.rows import keyed_rows
@@ -9,6 +11,48 @@ RENDEZVOUS_WINDOW = "1 hour"
 
 
 def cell_rendezvous(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
+    """Every dropoff (``event_id``, ``ddt``) with the taxi's next pickup in the
+    same cell (``pdt``), at or after it and at most ``window`` later.
+
+    A pickup at most one window length after a dropoff lies in the dropoff's window
+    or the next one, so each pickup is keyed under its own window and under the one
+    before; one grouping by (taxi, cell, window) brings each dropoff together with
+    all its candidates. A group holds what one taxi does in one cell in two
+    windows."""
+    return next_pickups(rendezvous_events(trips, window), window)
+
+
+def rendezvous_events(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
+    """Each trip as three keyed rows (taxi, cell, window start): its dropoff, its
+    pickup, and its pickup once more under the window before."""
+    length = F.expr(f"INTERVAL {window}")
+    t = trips.withColumn("_dw", F.window("dropoff_dt", window).start)
+    t = t.withColumn("_pw", F.window("pickup_dt", window).start)
+    no_ts = F.lit(None).cast(trips.schema["pickup_dt"].dataType)
+    no_id = F.lit(None).cast("long")
+    return t.select(
+        "medallion",
+        keyed_rows(
+            ["cell", "bucket", "event_id", "ddt", "pdt"],
+            [F.col("dropoff_cell"), F.col("_dw"), F.col("event_id"), F.col("dropoff_dt"), no_ts],
+            [F.col("pickup_cell"), F.col("_pw"), no_id, no_ts, F.col("pickup_dt")],
+            [F.col("pickup_cell"), F.col("_pw") - length, no_id, no_ts, F.col("pickup_dt")],
+        ),
+    )
+
+
+def next_pickups(events: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
+    length = F.expr(f"INTERVAL {window}")
+    groups = events.groupBy("medallion", "cell", "bucket").agg(
+        F.collect_list(F.when(F.col("ddt").isNotNull(), F.struct("event_id", "ddt"))).alias("drops"), F.collect_list("pdt").alias("picks")
+    )
+    each = groups.where((F.size("drops") > 0) & (F.size("picks") > 0)).select("medallion", "cell", "picks", F.explode("drops").alias("d"))
+    following = F.array_min(F.filter("picks", lambda p: p >= F.col("d.ddt")))
+    met = each.select("medallion", "cell", F.col("d.event_id").alias("event_id"), F.col("d.ddt").alias("ddt"), following.alias("pdt"))
+    return met.where(F.col("pdt") <= F.col("ddt") + length)
+
+
+def cell_rendezvous_compat(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
     """First dropoff (``ddt``) per taxi, cell and dropoff window, met with the
     first pickup (``pdt``) per taxi, cell and pickup window when
     ``ddt <= pdt <= ddt + window``.

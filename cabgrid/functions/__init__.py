@@ -5,7 +5,6 @@ from cabgrid.functions.timecols import (
     trunc_to_second,
     seconds_between,
     wrapped_minutes,
-    window_start,
 )
 from cabgrid.functions.rows import keyed_rows
 from cabgrid.functions.text import fixed_decimal_text, idle_message, congested_message
@@ -18,7 +17,6 @@ __all__ = [
     "trunc_to_second",
     "seconds_between",
     "wrapped_minutes",
-    "window_start",
     "keyed_rows",
     "fixed_decimal_text",
     "idle_message",

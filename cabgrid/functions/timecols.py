@@ -26,9 +26,3 @@ def wrapped_minutes(seconds) -> Column:
     ``(seconds mod 86400) // 60 mod 60``. A negative difference wraps
     around the day, as a day-normalised duration does."""
     return F.pmod(F.floor(F.pmod(_col(seconds), F.lit(86400)) / F.lit(60)), F.lit(60)).cast("int")
-
-
-def window_start(ts, duration: str, slide: str | None = None) -> Column:
-    """Start of the tumbling (or sliding) event-time window of ``ts``."""
-    w = F.window(_col(ts), duration, slide) if slide else F.window(_col(ts), duration)
-    return w.start

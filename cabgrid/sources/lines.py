@@ -7,6 +7,8 @@ work inside generated JVM code (Spark 4 runs in ANSI mode, where a plain
 ``cast`` would fail the task).
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cabgrid.functions.grid import inside_grid
@@ -20,9 +22,14 @@ _TYPES = {
 }
 
 
+_TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+
+
 def _field(parts: Column, name: str) -> Column:
     raw = F.get(parts, LINE_FIELDS[name])  # NULL past the end, never an error
     kind = _TYPES.get(name, "double")
+    if kind == "timestamp_ntz":  # exactly LINE_TIMESTAMP_FORMAT, in no time zone
+        return F.when(raw.rlike(_TIMESTAMP_PATTERN), raw.try_cast(kind))
     return raw if kind == "string" else raw.try_cast(kind)
 
 
@@ -31,21 +38,25 @@ def parse_trips(lines: DataFrame, line_col: str = "value", id_col: str | None =
     (NULL for a good line, else ``empty_line``, ``too_few_fields`` or
     ``bad_field``). ``event_id`` comes from ``id_col`` when given, else it is
     a 64-bit hash of the line (equal lines are equal trips, so the hash is a
-    sufficient tie-breaker)."""
-    line = F.col(line_col)
-    parts = F.split(line, ",", -1)
-    fields = {name: _field(parts, name) for name in LINE_FIELDS}
-    any_bad = F.lit(False)
-    for name, c in fields.items():
-        any_bad = any_bad | c.isNull()
+    sufficient tie-breaker).
+
+    A line is split once and each field cast once: the fields leave a one-row
+    ``inline``, below which no later filter is pushed (a filter on plain
+    expressions would repeat the split for every column it names)."""
+    event_id = F.col(id_col).cast("bigint") if id_col else F.xxhash64(F.col(line_col))
+    split = lines.select(event_id.alias("event_id"), F.col(line_col).alias("_line"), F.split(F.col(line_col), ",", -1).alias("_parts"))
+    names = [c for c in TRIP_COLUMNS if c != "event_id"]
+    fields = F.struct(*[_field(F.col("_parts"), c).alias(c) for c in names])
+    row = split.select(
+        "event_id", (F.length("_line") == 0).alias("_empty"), F.size("_parts").alias("_size"), F.inline(F.array(fields)).alias(*names)
+    )
+    any_bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in names])
     reason = (
-        F.when(F.length(line) == 0, F.lit("empty_line"))
-        .when(F.size(parts) < LINE_MIN_FIELDS, F.lit("too_few_fields"))
+        F.when(F.col("_empty"), F.lit("empty_line"))
+        .when(F.col("_size") < LINE_MIN_FIELDS, F.lit("too_few_fields"))
         .when(any_bad, F.lit("bad_field"))
     )
-    event_id = F.col(id_col).cast("bigint") if id_col else F.xxhash64(line)
-    cols = [event_id.alias("event_id")] + [fields[c].alias(c) for c in TRIP_COLUMNS if c != "event_id"]
-    return lines.select(*cols, reason.alias("reject_reason"))
+    return row.select(*TRIP_COLUMNS, reason.alias("reject_reason"))
 
 
 def read_trips(

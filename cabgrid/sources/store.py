@@ -17,8 +17,10 @@ DATE_COLUMN = "pickup_date"
 
 
 def write_trip_table(trips: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write trips by pickup date. ``overwrite`` replaces the dates that ``trips``
+    has and leaves all others as they are."""
     dated = trips.withColumn(DATE_COLUMN, F.to_date("pickup_dt"))
-    dated.hint("rebalance", DATE_COLUMN).write.mode(mode).partitionBy(DATE_COLUMN).parquet(path)
+    dated.hint("rebalance", DATE_COLUMN).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DATE_COLUMN).parquet(path)
 
 
 def read_trip_table(

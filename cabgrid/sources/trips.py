@@ -9,13 +9,18 @@ any engine computing the same formulas gets bit-equal doubles.
 from pyspark.sql import DataFrame, functions as F
 
 from cabgrid.functions.timecols import trunc_to_second
-from cabgrid.schema import LINE_FIELDS, LINE_MIN_FIELDS, LINE_TIMESTAMP_FORMAT, TRIP_COLUMNS
+from cabgrid.schema import (
+    CELL_STEP_LAT,
+    CELL_STEP_LON,
+    LINE_FIELDS,
+    LINE_MIN_FIELDS,
+    LINE_TIMESTAMP_FORMAT,
+    ORIGIN_LAT,
+    ORIGIN_LON,
+    TRIP_COLUMNS,
+)
 
 # Fixed values of the derivation (shared with the SQL oracle).
-_BASE_LON = -74.913585  # grid origin longitude
-_BASE_LAT = 41.474937  # grid origin latitude
-_STEP_LON = 0.005986
-_STEP_LAT = 0.004491556
 ZERO_COORD_RESIDUE = 7  # event_id % 50 == 7 -> both pickup coordinates 0
 OUTSIDE_RESIDUE = 13  # event_id % 50 == 13 -> dropoff far west of the grid
 
@@ -32,15 +37,15 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     zero = (eid % 50) == ZERO_COORD_RESIDUE
     outside = (eid % 50) == OUTSIDE_RESIDUE
     pickup_long = F.when(zero, F.lit(0.0)).otherwise(
-        F.lit(_BASE_LON) + (F.lit(100) + (eid * 31) % 3) * F.lit(_STEP_LON) + F.lit(1e-3)
+        F.lit(ORIGIN_LON) + (F.lit(100) + (eid * 31) % 3) * F.lit(CELL_STEP_LON) + F.lit(1e-3)
     )
     pickup_lat = F.when(zero, F.lit(0.0)).otherwise(
-        F.lit(_BASE_LAT) - (F.lit(150) + (eid * 17) % 2) * F.lit(_STEP_LAT) - F.lit(1e-3)
+        F.lit(ORIGIN_LAT) - (F.lit(150) + (eid * 17) % 2) * F.lit(CELL_STEP_LAT) - F.lit(1e-3)
     )
     dropoff_long = F.when(outside, F.lit(-80.0)).otherwise(
-        F.lit(_BASE_LON) + (F.lit(100) + (eid * 13) % 3) * F.lit(_STEP_LON) - F.lit(1e-3)
+        F.lit(ORIGIN_LON) + (F.lit(100) + (eid * 13) % 3) * F.lit(CELL_STEP_LON) - F.lit(1e-3)
     )
-    dropoff_lat = F.lit(_BASE_LAT) - (F.lit(150) + (eid * 7) % 2) * F.lit(_STEP_LAT) + F.lit(1e-3)
+    dropoff_lat = F.lit(ORIGIN_LAT) - (F.lit(150) + (eid * 7) % 2) * F.lit(CELL_STEP_LAT) + F.lit(1e-3)
     fare = F.floor(F.col("value") * F.lit(4.0)) / F.lit(4.0) + F.lit(2.5)
     tip = (eid % 11) * F.lit(0.25)
     base = events.select(

@@ -4,6 +4,7 @@ the congestion pattern."""
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from cabgrid import clean_trips, congestion_alerts, congestion_compat, parse_trips
 from cabgrid.functions import seconds_between, wrapped_minutes
@@ -133,16 +134,76 @@ def test_congestion_pattern(spark, durations, cell):
     assert [r.alert_message for r in compat] == ["No congested Areas"]
 
 
-def test_idle_sliding_window(spark):
-    from cabgrid import idle_alerts
+@pytest.mark.parametrize("slide", ["5 seconds", "1 minute", "30 minutes"])
+def test_idle_sliding_window(spark, slide):
+    """Every window of every slide that holds a gap, against brute force."""
+    from cabgrid import idle_alerts, idle_gaps
+    from cabgrid.operators.idle import duration_seconds
     from cabgrid.plans import derived_trips
 
-    trips = derived_trips(spark, "/root/testdata/sf0.001")
-    tumbling = idle_alerts(trips, window="1 hour")
-    sliding = idle_alerts(trips, window="1 hour", slide="30 minutes")
-    # every tumbling window is also one of the sliding windows
-    t = {(r.medallion, r.window_start) for r in tumbling.collect()}
-    s = {(r.medallion, r.window_start) for r in sliding.collect()}
-    assert t and t <= s and len(s) > len(t)
+    trips = derived_trips(spark, "/root/testdata/sf0.001").where("medallion < 'M12'")
+    step, sums = duration_seconds(slide), {}
+    for g in idle_gaps(trips).where("gap_seconds > 0").collect():
+        at = int((g.pickup_dt - dt.datetime(1970, 1, 1)).total_seconds()) // step
+        for k in range(3600 // step):
+            total = sums.setdefault((g.medallion, (at - k) * step), [0, 0])
+            total[0] += g.gap_seconds
+            total[1] += 1
+    want = {
+        (m, dt.datetime(1970, 1, 1) + dt.timedelta(seconds=w)): s / n / 60 for (m, w), (s, n) in sums.items() if s / n / 60 > 10
+    }
+    got = {(r.medallion, r.window_start): r.avg_idle_minutes for r in idle_alerts(trips, "1 hour", slide=slide).collect()}
+    assert got == want and want
+
+
+def test_durations():
+    from cabgrid.operators.idle import duration_seconds
+
+    assert [duration_seconds(d) for d in ("5 seconds", "1 hour 30 minutes", "2 Days")] == [5, 5400, 172800]
+    for bad in ("", "hour", "1 fortnight", "1 hour 30"):
+        with pytest.raises(ValueError):
+            duration_seconds(bad)
+
+
+def test_windows_are_whole_numbers_of_slides(spark):
+    from cabgrid import idle_alerts
+
     with pytest.raises(ValueError):
-        idle_alerts(trips, window="1 hour", slide="5 seconds")
+        idle_alerts(_taxi_day(spark, [1, 2]).withColumn("dropoff_dt", F.col("pickup_dt")), "1 hour", slide="7 seconds")
+
+
+@pytest.mark.parametrize(
+    "stamp", ["2024", "2024-01", "2024-01-01", "2024-01-01T10:00:00", "2024-01-01 10:00:00.5", "2024-01-01 10:00:00+05:00", "2024-13-01 10:00:00", "24-01-01 10:00:00"]
+)
+def test_only_the_line_format_is_a_timestamp(spark, stamp):
+    r = parse(spark, [line(pickup_dt=stamp)]).collect()[0]
+    assert r.reject_reason == "bad_field" and r.pickup_dt is None
+
+
+def test_a_line_is_split_once(spark, capsys):
+    lines = spark.createDataFrame([(1, line())], "id long, value string")
+    clean_trips(parse_trips(lines, id_col="id")).select("pickup_cell", "fare_amount").explain()
+    assert capsys.readouterr().out.count("split(") == 1
+
+
+def _visits(spark, trips):
+    """Trips of one taxi as (pickup cell, pickup minute, dropoff cell, dropoff minute)."""
+    t0 = dt.datetime(2024, 1, 5, 10, 0, 0)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    rows = [(i, "M1", at(p), at(d), a, b) for i, (a, p, b, d) in enumerate(trips)]
+    return spark.createDataFrame(
+        rows, "event_id long, medallion string, pickup_dt timestamp_ntz, dropoff_dt timestamp_ntz, pickup_cell string, dropoff_cell string"
+    )
+
+
+def test_rendezvous_is_the_next_pickup_in_the_cell(spark):
+    from cabgrid import cell_rendezvous, cell_rendezvous_compat
+
+    # picked up in A at 10:05, dropped off in A at 10:20, picked up in A at 10:40
+    trips = _visits(spark, [("A", 5, "B", 12), ("B", 13, "A", 20), ("A", 40, "C", 55), ("A", 81, "C", 90)])
+    got = [(r.event_id, r.ddt.minute, r.pdt.minute) for r in cell_rendezvous(trips).where("cell = 'A'").collect()]
+    assert got == [(1, 20, 40)]
+    assert cell_rendezvous_compat(trips).where("cell = 'A'").collect() == []
+    late = _visits(spark, [("B", 13, "A", 20), ("A", 80, "C", 90)])  # exactly one hour
+    assert [r.pdt.hour for r in cell_rendezvous(late).collect()] == [11]
+    assert cell_rendezvous(_visits(spark, [("B", 13, "A", 20), ("A", 81, "C", 90)])).collect() == []

@@ -48,3 +48,26 @@ def test_date_partitioned_table_prunes(spark, capsys):
     cols = sorted(exp.columns)
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
     assert got.count() > 0
+
+
+def test_stored_trips_receive_the_box_as_pushed_filters(spark, capsys):
+    d = tempfile.mkdtemp(prefix="raw-", dir=checkpoint_root(spark).replace("file:", ""))
+    raw_trip_table(spark, SF001).write.parquet(f"{d}/trips")
+    clean_trips(spark.read.parquet(f"{d}/trips")).select("pickup_cell").explain("formatted")
+    pushed = [x for x in capsys.readouterr().out.splitlines() if "PushedFilters" in x]
+    assert len(pushed) == 1
+    assert all(f"GreaterThanOrEqual({c}" in pushed[0] or f"LessThanOrEqual({c}" in pushed[0] for c in ("pickup_long", "dropoff_lat"))
+
+
+def test_writing_one_day_keeps_the_others(spark):
+    from cabgrid.plans import derived_trips
+    from cabgrid.sources import read_trip_table, write_trip_table
+
+    trips = derived_trips(spark, SF001)
+    d = tempfile.mkdtemp(prefix="day-", dir=checkpoint_root(spark).replace("file:", ""))
+    write_trip_table(trips, f"{d}/trips")
+    day = trips.where(F.to_date("pickup_dt") == "2024-01-03")
+    write_trip_table(day.withColumn("tip_amount", F.lit(99.0)), f"{d}/trips")
+    got = read_trip_table(spark, f"{d}/trips")
+    assert got.count() == trips.count()
+    assert got.where("tip_amount = 99.0").count() == day.count() > 0

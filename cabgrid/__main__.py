@@ -22,33 +22,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from cabgrid.operators import clean_trips
-from cabgrid.plans import QUERIES, TRIP_OPERATORS
+from cabgrid.plans import BUILDERS, QUERIES, TRIP_OPERATORS
 from cabgrid.schema import TRIP_SCHEMA
 from cabgrid.sources import read_trip_table, read_trips
-from cabgrid.session import checkpoint_root
-from cabgrid.streaming import (
-    pleasant_drivers_of_batch,
-    read_trip_stream,
-    read_trip_stream_kafka,
-    stream_cell_rendezvous,
-    stream_congestion_alerts,
-    stream_driver_tips,
-    stream_idle_alerts,
-    stream_profitable_areas,
-    stream_route_counts,
-    top_routes_of_batch,
-    write_stream,
-)
-
-STREAMS = {
-    "stream_route_counts": (stream_route_counts, None),
-    "stream_top_routes": (stream_route_counts, top_routes_of_batch),
-    "stream_profitable_areas": (stream_profitable_areas, None),
-    "stream_idle_alerts": (stream_idle_alerts, None),
-    "stream_congestion_alerts": (stream_congestion_alerts, None),
-    "stream_cell_rendezvous": (stream_cell_rendezvous, None),
-    "stream_pleasant_drivers": (stream_driver_tips, pleasant_drivers_of_batch),
-}
+from cabgrid.streaming import read_trip_stream, read_trip_stream_kafka, write_stream
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -69,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--min-partitions", type=int, help="spread single-split (gzip) text input")
     b.add_argument("--out", required=True)
     s = sub.add_parser("stream")
-    s.add_argument("query", choices=sorted(STREAMS))
+    s.add_argument("query", choices=sorted(BUILDERS))
     s.add_argument("--source", help="landing folder of trip files")
     s.add_argument("--format", default="text", choices=["text", "parquet"])
     s.add_argument("--kafka-servers")
@@ -81,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     if args.cmd == "list":
-        print("\n".join(sorted(QUERIES) + sorted(STREAMS)))
+        print("\n".join(sorted(QUERIES) + sorted(BUILDERS)))
         return 0
     spark = SparkSession.builder.appName(f"cabgrid-{args.query}").getOrCreate()
     if args.cmd == "explain":
@@ -106,8 +83,11 @@ def main(argv: list[str] | None = None) -> int:
         trips = read_trip_stream_kafka(spark, args.kafka_servers, args.topic)
     else:
         trips = read_trip_stream(spark, args.source, args.format, args.max_files_per_trigger)
-    build, per_batch = STREAMS[args.query]
-    checkpoint = args.checkpoint or f"{checkpoint_root(spark)}/{args.query}"
+    build, per_batch = BUILDERS[args.query]
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not (args.checkpoint or root):
+        ap.error("name a --checkpoint folder, or set spark.checkpoint.dir: a restart needs it again")
+    checkpoint = args.checkpoint or f"{root.rstrip('/')}/{args.query}"
     q = write_stream(build(trips), args.out, checkpoint, per_batch=per_batch, available_now=args.available_now)
     q.awaitTermination()
     return 0 if q.exception() is None else 1

@@ -2,7 +2,7 @@
 
 from cabgrid.plans.catalog import QUERIES, TRIP_OPERATORS, derived_trips, raw_trip_table
 from cabgrid.plans.oracle import ORACLE_SQL, STREAM_ORACLE_SQL
-from cabgrid.plans.streams import STREAM_QUERIES, replayed_trips
+from cabgrid.plans.streaming_queries import BUILDERS, STREAM_QUERIES, trip_stream
 
 ALL_QUERIES = {**QUERIES, **STREAM_QUERIES}
 ALL_ORACLE_SQL = {**ORACLE_SQL, **STREAM_ORACLE_SQL}
@@ -17,5 +17,6 @@ __all__ = [
     "ALL_ORACLE_SQL",
     "derived_trips",
     "raw_trip_table",
-    "replayed_trips",
+    "BUILDERS",
+    "trip_stream",
 ]

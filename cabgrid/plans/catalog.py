@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cabgrid import operators as ops
 from cabgrid.sources import load_table, parse_trips, reject_counts, trip_lines, trips_from_events
@@ -26,8 +26,24 @@ def derived_trips(spark: SparkSession, table_dir: str) -> DataFrame:
     return ops.clean_trips(raw_trip_table(spark, table_dir))
 
 
+def derived_lines(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The derived trips as text lines, some of them spoilt by their id: with
+    ``event_id % 50`` 21 empty, 22 too short, 23 with a trip time that is no number
+    and 24 with a pickup time in another format."""
+    lines = trip_lines(raw_trip_table(spark, table_dir))
+    kind = F.col("event_id") % 50
+    value = F.col("value")
+    spoilt = (
+        F.when(kind == 21, F.lit(""))
+        .when(kind == 22, F.lit("a,b,c"))
+        .when(kind == 23, F.regexp_replace(value, r"^((?:[^,]*,){4})[^,]*", "$1x"))
+        .when(kind == 24, F.regexp_replace(value, r"^((?:[^,]*,){2}[^, ]*) ", "$1T"))
+    )
+    return lines.withColumn("value", F.coalesce(spoilt, value))
+
+
 def _parsed(spark: SparkSession, table_dir: str) -> DataFrame:
-    return parse_trips(trip_lines(raw_trip_table(spark, table_dir)), id_col="event_id")
+    return parse_trips(derived_lines(spark, table_dir), id_col="event_id")
 
 
 def _on_trips(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -53,6 +69,7 @@ TRIP_OPERATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "idle_alerts": ops.idle_alerts,
     "idle_compat": ops.idle_compat,
     "cell_rendezvous": ops.cell_rendezvous,
+    "cell_rendezvous_compat": ops.cell_rendezvous_compat,
     "congestion_alerts": ops.congestion_alerts,
     "congestion_compat": ops.congestion_compat,
     "driver_tips": ops.driver_tips,
@@ -75,8 +92,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profitable_areas_distinct": lambda spark, d: ops.profitable_areas(derived_trips(spark, d), distinct_taxis=True),
     "idle_gaps": _on_trips(ops.idle_gaps),
     "idle_alerts": _on_trips(ops.idle_alerts),
+    "idle_alerts_sliding": lambda spark, d: ops.idle_alerts(derived_trips(spark, d), slide="5 minutes"),
     "idle_compat": _on_trips(ops.idle_compat),
     "cell_rendezvous": _on_trips(ops.cell_rendezvous),
+    "cell_rendezvous_compat": _on_trips(ops.cell_rendezvous_compat),
     "congestion_alerts": _on_trips(ops.congestion_alerts),
     "congestion_compat": _on_trips(ops.congestion_compat),
     "driver_tips": _on_trips(ops.driver_tips),

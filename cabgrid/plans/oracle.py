@@ -6,22 +6,23 @@ the oracle shares no code with the Spark side. Time buckets use
 rendered from scaled integers exactly as the Spark side does.
 """
 
+# Fixed values, as in schema.py (``e0`` makes DuckDB read them as doubles).
 _TRIPS = """
 base AS (
   SELECT event_id,
          concat('M', CAST(CAST(floor(user_id / 5e0) AS BIGINT) AS VARCHAR)) AS medallion,
          date_trunc('second', ts) AS pickup_dt,
          CAST(300 + (event_id * 7919) % 2400 AS INTEGER) AS trip_time,
-         (event_id % 37) * 5e-1 AS trip_distance,
+         (event_id % 37) * 0.5e0 AS trip_distance,
          CASE WHEN event_id % 50 = 7 THEN 0e0
-              ELSE -74913585e-6 + (100 + (event_id * 31) % 3) * 5986e-6 + 1e-3 END AS pickup_long,
+              ELSE -74.913585e0 + (100 + (event_id * 31) % 3) * 0.005986e0 + 0.001e0 END AS pickup_long,
          CASE WHEN event_id % 50 = 7 THEN 0e0
-              ELSE 41474937e-6 - (150 + (event_id * 17) % 2) * 4491556e-9 - 1e-3 END AS pickup_lat,
+              ELSE 41.474937e0 - (150 + (event_id * 17) % 2) * 0.004491556e0 - 0.001e0 END AS pickup_lat,
          CASE WHEN event_id % 50 = 13 THEN -80e0
-              ELSE -74913585e-6 + (100 + (event_id * 13) % 3) * 5986e-6 - 1e-3 END AS dropoff_long,
-         41474937e-6 - (150 + (event_id * 7) % 2) * 4491556e-9 + 1e-3 AS dropoff_lat,
-         floor(value * 4e0) / 4e0 + 25e-1 AS fare_amount,
-         (event_id % 11) * 25e-2 AS tip_amount
+              ELSE -74.913585e0 + (100 + (event_id * 13) % 3) * 0.005986e0 - 0.001e0 END AS dropoff_long,
+         41.474937e0 - (150 + (event_id * 7) % 2) * 0.004491556e0 + 0.001e0 AS dropoff_lat,
+         floor(value * 4e0) / 4e0 + 2.5e0 AS fare_amount,
+         (event_id % 11) * 0.25e0 AS tip_amount
   FROM events
 ),
 trips_raw AS (
@@ -32,15 +33,15 @@ trips_raw AS (
 ),
 trips AS (
   SELECT *,
-         concat_ws('.', CAST(1 + floor(5e-1 + (pickup_long + 74913585e-6) / 5986e-6) AS BIGINT),
-                        CAST(1 + floor(5e-1 + (41474937e-6 - pickup_lat) / 4491556e-9) AS BIGINT)) AS pickup_cell,
-         concat_ws('.', CAST(1 + floor(5e-1 + (dropoff_long + 74913585e-6) / 5986e-6) AS BIGINT),
-                        CAST(1 + floor(5e-1 + (41474937e-6 - dropoff_lat) / 4491556e-9) AS BIGINT)) AS dropoff_cell
+         concat_ws('.', CAST(1 + floor(0.5e0 + (pickup_long + 74.913585e0) / 0.005986e0) AS BIGINT),
+                        CAST(1 + floor(0.5e0 + (41.474937e0 - pickup_lat) / 0.004491556e0) AS BIGINT)) AS pickup_cell,
+         concat_ws('.', CAST(1 + floor(0.5e0 + (dropoff_long + 74.913585e0) / 0.005986e0) AS BIGINT),
+                        CAST(1 + floor(0.5e0 + (41.474937e0 - dropoff_lat) / 0.004491556e0) AS BIGINT)) AS dropoff_cell
   FROM trips_raw
-  WHERE pickup_long BETWEEN -74916578e-6 AND -73120784e-6
-    AND dropoff_long BETWEEN -74916578e-6 AND -73120784e-6
-    AND pickup_lat BETWEEN 40129716e-6 AND 41477183e-6
-    AND dropoff_lat BETWEEN 40129716e-6 AND 41477183e-6
+  WHERE pickup_long BETWEEN -74.916578e0 AND -73.120784e0
+    AND dropoff_long BETWEEN -74.916578e0 AND -73.120784e0
+    AND pickup_lat BETWEEN 40.129716e0 AND 41.477183e0
+    AND dropoff_lat BETWEEN 40.129716e0 AND 41.477183e0
 )"""
 
 
@@ -49,7 +50,7 @@ def _with(*ctes: str) -> str:
 
 
 def _message(template_before: str, x: str, template_after: str) -> str:
-    scaled = f"CAST(floor({x} * 100e0 + 5e-1) AS BIGINT)"
+    scaled = f"CAST(floor({x} * 100e0 + 0.5e0) AS BIGINT)"
     return (
         f"'{template_before}' || CAST({scaled} // 100 AS VARCHAR) || '.' || "
         f"lpad(CAST({scaled} % 100 AS VARCHAR), 2, '0') || '{template_after}'"
@@ -137,16 +138,36 @@ _TIPS = """driver_tips AS (
   FROM trips GROUP BY ALL
 )"""
 
-_BOX = """pickup_long BETWEEN -74916578e-6 AND -73120784e-6
-       AND dropoff_long BETWEEN -74916578e-6 AND -73120784e-6
-       AND pickup_lat BETWEEN 40129716e-6 AND 41477183e-6
-       AND dropoff_lat BETWEEN 40129716e-6 AND 41477183e-6"""
+_BOX = """pickup_long BETWEEN -74.916578e0 AND -73.120784e0
+       AND dropoff_long BETWEEN -74.916578e0 AND -73.120784e0
+       AND pickup_lat BETWEEN 40.129716e0 AND 41.477183e0
+       AND dropoff_lat BETWEEN 40.129716e0 AND 41.477183e0"""
+
+# Lines 21 and 22 of every 50 have no field but the first, 23 no trip time, 24 no pickup time.
+_NAMES = (
+    "trip_distance pickup_long pickup_lat dropoff_long dropoff_lat fare_amount tip_amount total_amount dropoff_dt".split()
+)
+_PARSED = (
+    """, parsed AS (
+  SELECT event_id,
+         CASE event_id % 50 WHEN 21 THEN '' WHEN 22 THEN 'a' ELSE medallion END AS medallion,
+         CASE WHEN event_id % 50 IN (21, 22, 24) THEN NULL ELSE pickup_dt END AS pickup_dt,
+         CASE WHEN event_id % 50 IN (21, 22, 23) THEN NULL ELSE trip_time END AS trip_time,
+"""
+    + "".join(f"         CASE WHEN event_id % 50 IN (21, 22) THEN NULL ELSE {c} END AS {c},\n" for c in _NAMES)
+    + """         CASE event_id % 50 WHEN 21 THEN 'empty_line' WHEN 22 THEN 'too_few_fields'
+              WHEN 23 THEN 'bad_field' WHEN 24 THEN 'bad_field' END AS reject_reason
+  FROM trips_raw
+)
+"""
+)
 
 ORACLE_SQL: dict[str, str] = {
-    "parse_trips": _with() + "SELECT *, CAST(NULL AS VARCHAR) AS reject_reason FROM trips_raw",
+    "parse_trips": _with() + _PARSED + "SELECT * FROM parsed",
     "reject_counts": _with()
-    + f"SELECT CASE WHEN {_BOX} THEN 'accepted' ELSE 'outside_grid' END AS outcome, count(*) AS num_lines\n"
-    "FROM trips_raw GROUP BY ALL",
+    + _PARSED
+    + f"SELECT coalesce(reject_reason, CASE WHEN {_BOX} THEN 'accepted' ELSE 'outside_grid' END) AS outcome, count(*) AS num_lines\n"
+    "FROM parsed GROUP BY ALL",
     "clean_trips": _with() + "SELECT * FROM trips",
     "route_counts": _with(_ROUTES) + "SELECT * FROM route_counts",
     "top_routes": _with(_ROUTES)
@@ -180,7 +201,21 @@ WHERE e.num_empty_taxis > 0""",
     "idle_gaps": _with(_GAPS) + "SELECT * FROM gaps",
     "idle_alerts": _with(_GAPS, _IDLE_AVG) + _IDLE_SELECT,
     "idle_compat": _with(_IDLE_COMPAT) + _IDLE_SELECT,
-    "cell_rendezvous": _with(
+    "idle_alerts_sliding": _with(
+        _GAPS,
+        """idle AS (
+  SELECT medallion, time_bucket(INTERVAL '5 minutes', pickup_dt) - to_minutes(CAST(5 * k AS BIGINT)) AS window_start,
+         sum(CAST(gap_seconds AS DOUBLE)) / count(*) / 60e0 AS avg_idle_minutes
+  FROM gaps, (SELECT unnest(range(12)) AS k) WHERE gap_seconds > 0 GROUP BY ALL
+)""",
+    )
+    + _IDLE_SELECT,
+    "cell_rendezvous": _with()
+    + """SELECT d.medallion, d.dropoff_cell AS cell, d.event_id, d.dropoff_dt AS ddt, min(p.pickup_dt) AS pdt
+FROM trips d JOIN trips p ON d.medallion = p.medallion AND d.dropoff_cell = p.pickup_cell
+     AND p.pickup_dt >= d.dropoff_dt AND p.pickup_dt <= d.dropoff_dt + INTERVAL '1 hour'
+GROUP BY ALL""",
+    "cell_rendezvous_compat": _with(
         """d AS (
   SELECT medallion, dropoff_cell AS cell, min(dropoff_dt) AS ddt
   FROM trips GROUP BY medallion, dropoff_cell, time_bucket(INTERVAL '1 hour', dropoff_dt)
@@ -225,71 +260,15 @@ FROM driver_tips QUALIFY "rank" <= 10""",
 }
 
 
-# Streaming results hold what the final watermark closed: max event time seen
-# minus the 3 hour delay (window end <= watermark).
-_WM = "(SELECT max(pickup_dt) - INTERVAL '3 hours' FROM trips)"
-_WM_AREAS = """(SELECT greatest(max(time_bucket(INTERVAL '15 minutes', pickup_dt)) + INTERVAL '15 minutes',
-                 max(time_bucket(INTERVAL '15 minutes', dropoff_dt)) + INTERVAL '30 minutes')
-                - INTERVAL '3 hours' FROM trips)"""
-
+# A streaming query reads the whole table and closes every window: the batch answer.
 STREAM_ORACLE_SQL: dict[str, str] = {
-    "stream_route_counts": _with(_ROUTES)
-    + f"SELECT * FROM route_counts WHERE window_start + INTERVAL '30 minutes' <= {_WM}",
-    "stream_top_routes": _with(_ROUTES)
-    + f"""SELECT *, CAST(row_number() OVER (PARTITION BY window_start
-                              ORDER BY num_trips DESC, pickup_cell, dropoff_cell) AS INTEGER) AS "rank"
-FROM route_counts
-WHERE window_start + INTERVAL '30 minutes' <= {_WM}
-QUALIFY "rank" <= 10""",
-    "stream_profitable_areas": _with(_EMPTY, _PROFIT)
-    + f"""SELECT p.pickup_cell AS cell, p.window_end, p.area_profit, e.num_empty_taxis,
-       p.area_profit / e.num_empty_taxis AS profitability
-FROM area_profit p JOIN empty_taxis e
-  ON p.pickup_cell = e.dropoff_cell AND p.window_end = e.window_end
-WHERE e.num_empty_taxis > 0 AND p.window_end <= {_WM_AREAS}""",
-    "stream_idle_alerts": _with(_GAPS, _IDLE_AVG)
-    + _IDLE_SELECT
-    + f" AND window_start + INTERVAL '1 hour' <= {_WM}",
-    "stream_congestion_alerts": _with(
-        """seq AS (
-  SELECT medallion, time_bucket(INTERVAL '1 day', pickup_dt) AS day, pickup_dt, event_id, pickup_cell,
-         trip_time AS d,
-         lag(trip_time, 1) OVER w AS b1,
-         lead(trip_time, 1) OVER w AS a1,
-         lead(trip_time, 2) OVER w AS a2,
-         lead(trip_time, 3) OVER w AS a3,
-         lead(pickup_dt, 3) OVER w AS a3_pickup
-  FROM trips
-  WINDOW w AS (PARTITION BY medallion, time_bucket(INTERVAL '1 day', pickup_dt) ORDER BY pickup_dt, event_id)
-)""",
-        """firsts AS (
-  SELECT medallion, day, pickup_cell AS cell, a3_pickup
-  FROM seq
-  WHERE d > b1 AND d > a1 AND a1 < a2 AND a2 < a3
-  QUALIFY row_number() OVER (PARTITION BY medallion, day ORDER BY pickup_dt, event_id) = 1
-)""",
-    )
-    + f"""SELECT medallion, day, cell, 'Alert, area ' || cell || ' is congested' AS alert_message
-FROM firsts WHERE a3_pickup <= {_WM}""",
-    "stream_cell_rendezvous": _with(
-        """d AS (
-  SELECT medallion, dropoff_cell AS cell, min(dropoff_dt) AS ddt
-  FROM trips GROUP BY medallion, dropoff_cell, time_bucket(INTERVAL '1 hour', dropoff_dt)
-)""",
-        """p AS (
-  SELECT medallion, pickup_cell AS cell, min(pickup_dt) AS pdt
-  FROM trips GROUP BY medallion, pickup_cell, time_bucket(INTERVAL '1 hour', pickup_dt)
-)""",
-    )
-    + """SELECT d.medallion, d.cell, d.ddt, p.pdt
-FROM d JOIN p ON d.medallion = p.medallion AND d.cell = p.cell
-             AND p.pdt >= d.ddt AND p.pdt <= d.ddt + INTERVAL '1 hour'
-WHERE time_bucket(INTERVAL '1 hour', d.ddt) <=
-      (SELECT greatest(max(time_bucket(INTERVAL '1 hour', dropoff_dt)), max(time_bucket(INTERVAL '1 hour', pickup_dt)))
-              - INTERVAL '3 hours' FROM trips)""",
-    "stream_pleasant_drivers": _with(_TIPS)
-    + f"""SELECT *, CAST(row_number() OVER (PARTITION BY day ORDER BY total_tip_amount DESC, medallion) AS INTEGER) AS "rank"
-FROM driver_tips
-WHERE day + INTERVAL '1 day' <= {_WM}
-QUALIFY "rank" <= 10""",
+    "stream_route_counts": ORACLE_SQL["route_counts"],
+    "stream_top_routes": ORACLE_SQL["top_routes_per_window"],
+    "stream_profitable_areas": ORACLE_SQL["profitable_areas"],
+    "stream_idle_alerts": ORACLE_SQL["idle_alerts"],
+    "stream_idle_compat": ORACLE_SQL["idle_compat"],
+    "stream_congestion_alerts": ORACLE_SQL["congestion_alerts"],
+    "stream_cell_rendezvous": ORACLE_SQL["cell_rendezvous"],
+    "stream_cell_rendezvous_compat": ORACLE_SQL["cell_rendezvous_compat"],
+    "stream_pleasant_drivers": ORACLE_SQL["pleasant_drivers_per_day"],
 }

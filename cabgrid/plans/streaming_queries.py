@@ -1,66 +1,66 @@
 """Streaming queries as ``(spark, table_dir) -> DataFrame`` callables.
 
-Each call replays the trip table derived from ``table_dir`` as time-ordered
-files (once per process and table directory), runs the streaming query over
-them with ``availableNow`` (one micro-batch per file, then a final batch that
-advances the watermark), and returns the written result. Results hold the
-windows the final watermark closed; the SQL oracles select the same ones.
-Replays, sinks and checkpoints live under the session's checkpoint folder.
+Each call reads the ``events`` table of ``table_dir`` as a stream with a
+declared schema, derives the trips inside the streaming plan, runs the query
+until all input is used (``availableNow``) and returns what it wrote. The input
+ends with a flush event, far in the future and of a taxi of its own: it moves
+the watermark past every window of the table, so all of them are emitted, while
+its own never close. Checkpoints and outputs live under the session's shared
+checkpoint folder, in a new folder for every call.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cabgrid.plans.catalog import raw_trip_table
+from cabgrid.operators import clean_trips
 from cabgrid.session import checkpoint_root
+from cabgrid.sources import trips_from_events
 from cabgrid.streaming import (
     pleasant_drivers_of_batch,
-    read_trip_stream,
-    replay_files,
     stream_cell_rendezvous,
+    stream_cell_rendezvous_compat,
     stream_congestion_alerts,
     stream_driver_tips,
     stream_idle_alerts,
+    stream_idle_compat,
     stream_profitable_areas,
     stream_route_counts,
+    to_event_time,
     top_routes_of_batch,
     write_stream,
 )
 
-_REPLAYS: dict[tuple[str, str], str] = {}
-
-
-def replayed_trips(spark: SparkSession, table_dir: str) -> str:
-    key = (spark.sparkContext.applicationId, table_dir)
-    if key not in _REPLAYS:
-        path = f"{checkpoint_root(spark)}/cabgrid-replay-{uuid.uuid4().hex}/trips"
-        replay_files(raw_trip_table(spark, table_dir), path)
-        _REPLAYS[key] = path
-    return _REPLAYS[key]
-
-
-def _run(spark, table_dir, name, build, per_batch=None) -> DataFrame:
-    src = replayed_trips(spark, table_dir)
-    run = f"{checkpoint_root(spark)}/cabgrid-stream-{uuid.uuid4().hex}/{name}"
-    stream = build(read_trip_stream(spark, src, "parquet", max_files_per_trigger=1))
-    # A query fixes its state partition count when it first starts; the
-    # replay is one file per micro-batch, so one state partition per core is
-    # plenty (results do not depend on it).
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), max(1, spark.sparkContext.defaultParallelism))))
-    try:
-        q = write_stream(stream, f"{run}/out", f"{run}/checkpoint", per_batch=per_batch, available_now=True)
-    finally:
-        spark.conf.set(key, before)
+EVENT_COLUMNS = "event_id long, ts timestamp_ntz, user_id long, value double"
+#: An event that cleaning keeps, of a taxi (user -5: M-1) that the table hasn't.
+FLUSH_EVENT = (0, dt.datetime(2200, 1, 1), -5, 0.0)
+
+
+def trip_stream(spark: SparkSession, table_dir: str, scratch: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Cleaned trips of the ``events`` table as a stream that ends with the flush
+    event (a file in ``scratch``)."""
+    reader = spark.readStream.schema(EVENT_COLUMNS)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    spark.createDataFrame([FLUSH_EVENT], EVENT_COLUMNS).write.parquet(f"{scratch}/flush")
+    flush = spark.readStream.schema(EVENT_COLUMNS).parquet(f"{scratch}/flush")
+    # A pattern, since a table may be one file: as a plain path a source takes folders only.
+    events = reader.parquet(f"{table_dir.rstrip('/')}/event[s].parquet").unionByName(flush)
+    return to_event_time(clean_trips(trips_from_events(events)))
+
+
+def _run(spark: SparkSession, table_dir: str, name: str, build, per_batch=None) -> DataFrame:
+    scratch = f"{checkpoint_root(spark)}/cabgrid-stream/{uuid.uuid4().hex}/{name}"
+    result = build(trip_stream(spark, table_dir, scratch))
+    q = write_stream(result, f"{scratch}/out", f"{scratch}/checkpoint", per_batch=per_batch, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {q.exception()}")
-    out = spark.read.parquet(f"{run}/out")
+    out = spark.read.parquet(f"{scratch}/out")
     return out.drop("batch_id") if per_batch else out
 
 
@@ -72,12 +72,19 @@ def _stream(name: str, build, per_batch=None) -> Callable[[SparkSession, str], D
     return run
 
 
+#: Query, and what is done with the windows that close in a micro-batch.
+BUILDERS: dict[str, tuple[Callable[..., DataFrame], Callable[[DataFrame], DataFrame] | None]] = {
+    "stream_route_counts": (stream_route_counts, None),
+    "stream_top_routes": (stream_route_counts, top_routes_of_batch),
+    "stream_profitable_areas": (stream_profitable_areas, None),
+    "stream_idle_alerts": (stream_idle_alerts, None),
+    "stream_idle_compat": (stream_idle_compat, None),
+    "stream_congestion_alerts": (stream_congestion_alerts, None),
+    "stream_cell_rendezvous": (stream_cell_rendezvous, None),
+    "stream_cell_rendezvous_compat": (stream_cell_rendezvous_compat, None),
+    "stream_pleasant_drivers": (stream_driver_tips, pleasant_drivers_of_batch),
+}
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "stream_route_counts": _stream("stream_route_counts", stream_route_counts),
-    "stream_top_routes": _stream("stream_top_routes", stream_route_counts, top_routes_of_batch),
-    "stream_profitable_areas": _stream("stream_profitable_areas", stream_profitable_areas),
-    "stream_idle_alerts": _stream("stream_idle_alerts", stream_idle_alerts),
-    "stream_congestion_alerts": _stream("stream_congestion_alerts", stream_congestion_alerts),
-    "stream_cell_rendezvous": _stream("stream_cell_rendezvous", stream_cell_rendezvous),
-    "stream_pleasant_drivers": _stream("stream_pleasant_drivers", stream_driver_tips, pleasant_drivers_of_batch),
+    name: _stream(name, build, per_batch) for name, (build, per_batch) in BUILDERS.items()
 }

@@ -1,11 +1,13 @@
 """Session helpers for tests, the benchmark and local runs.
 
 On a cluster the session comes from the caller; these settings only fill in
-what is unset (shuffle sizing, AQE, checkpoint folder)."""
+what is unset (shuffle sizing, AQE)."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,24 +35,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     builder = builder.config("spark.driver.memory", os.environ.get("CABGRID_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``; only
-    when the cluster names none (local tests) a fresh scratch folder is set."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="cabgrid-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+_local_root: list[str] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder under which streaming checkpoints and written tables go."""
-    return ensure_checkpoint_dir(spark).rstrip("/")
+    """The folder named by ``spark.checkpoint.dir``, under which streaming
+    checkpoints and written tables go: the setting itself, so that the same name
+    means the same folder in the next application. Only a local session may leave
+    it unset (tests); it then gets a folder of its own, removed at exit."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="cabgrid-scratch-"))
+        atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
+    return _local_root[0]

@@ -1,16 +1,18 @@
-"""Structured Streaming: sources, sinks, replay and the streaming queries."""
+"""Structured Streaming: sources, sinks and the streaming queries."""
 
-from cabgrid.streaming.source import read_trip_stream, read_trip_stream_kafka, to_event_time, to_wall_clock
+from cabgrid.streaming.source import read_trip_stream, read_trip_stream_kafka, to_event_time, to_wall_clock, trips_of_messages
 from cabgrid.streaming.sink import BatchBanner, write_stream
-from cabgrid.streaming.replay import replay_files
 from cabgrid.streaming.queries import (
+    MAX_TRIP,
     WATERMARK_DELAY,
     stream_route_counts,
     top_routes_of_batch,
     stream_profitable_areas,
     stream_idle_alerts,
+    stream_idle_compat,
     stream_congestion_alerts,
     stream_cell_rendezvous,
+    stream_cell_rendezvous_compat,
     stream_driver_tips,
     pleasant_drivers_of_batch,
 )
@@ -18,18 +20,21 @@ from cabgrid.streaming.queries import (
 __all__ = [
     "read_trip_stream",
     "read_trip_stream_kafka",
+    "trips_of_messages",
     "to_event_time",
     "to_wall_clock",
     "write_stream",
     "BatchBanner",
-    "replay_files",
     "WATERMARK_DELAY",
+    "MAX_TRIP",
     "stream_route_counts",
     "top_routes_of_batch",
     "stream_profitable_areas",
     "stream_idle_alerts",
+    "stream_idle_compat",
     "stream_congestion_alerts",
     "stream_cell_rendezvous",
+    "stream_cell_rendezvous_compat",
     "stream_driver_tips",
     "pleasant_drivers_of_batch",
 ]

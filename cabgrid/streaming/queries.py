@@ -6,6 +6,11 @@ DataFrame in append mode: a row appears once its window is final (the
 watermark passed the window end). Results carry TIMESTAMP_NTZ times like the
 batch queries. Top-k views rank inside a micro-batch: every window closes in
 exactly one batch, so ranking the rows of that batch ranks the whole window.
+
+``delay`` is how late a trip may arrive, by its pickup time. Where a query's
+windows are named by other times than the pickup, its watermark is widened by
+the most that those times can be ahead of a pickup or behind it (window lengths,
+and ``max_trip`` for a dropoff), so that no trip within the delay is late.
 """
 
 from __future__ import annotations
@@ -14,8 +19,16 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cabgrid.functions.text import congested_message, idle_message
-from cabgrid.operators.areas import _empty_count, _tagged_area_rows
-from cabgrid.operators.rendezvous import RENDEZVOUS_WINDOW, rendezvous_firsts, rendezvous_pairs, rendezvous_rows
+from cabgrid.operators.areas import EMPTY_WINDOW, _empty_count, _tagged_area_rows
+from cabgrid.operators.idle import IDLE_WINDOW, duration_seconds, idle_compat
+from cabgrid.operators.rendezvous import (
+    RENDEZVOUS_WINDOW,
+    next_pickups,
+    rendezvous_events,
+    rendezvous_firsts,
+    rendezvous_pairs,
+    rendezvous_rows,
+)
 from cabgrid.operators.routes import route_counts
 from cabgrid.operators.tips import driver_tips
 from cabgrid.operators.topk import top_k_per_group
@@ -32,10 +45,19 @@ from cabgrid.streaming.state import (
 )
 
 WATERMARK_DELAY = "3 hours"
+#: The longest trip for which the delay holds in queries on dropoff times.
+MAX_TRIP = "3 hours"
+
+
+def widened(delay: str, *more: str) -> str:
+    """A watermark delay of ``delay`` plus the given durations."""
+    if duration_seconds(delay) <= 0:
+        raise ValueError("the delay must be positive")
+    return f"{duration_seconds(delay) + sum(duration_seconds(m) for m in more)} seconds"
 
 
 def stream_route_counts(trips: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    return to_wall_clock(route_counts(trips.withWatermark("pickup_dt", delay)), ["window_start"])
+    return to_wall_clock(route_counts(trips.withWatermark("pickup_dt", widened(delay))), ["window_start"])
 
 
 def top_routes_of_batch(counts: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -44,14 +66,15 @@ def top_routes_of_batch(counts: DataFrame, k: int = TOP_K) -> DataFrame:
 
 
 def stream_profitable_areas(
-    trips: DataFrame, delay: str = WATERMARK_DELAY, distinct_taxis: bool = False
+    trips: DataFrame, delay: str = WATERMARK_DELAY, distinct_taxis: bool = False, max_trip: str = MAX_TRIP
 ) -> DataFrame:
     """One stateful aggregation keyed by (cell, window end), the watermark on
-    the window end itself; no stream-stream join. ``distinct_taxis`` uses
+    the window end itself, which is at most ``max_trip`` and a window ahead of the
+    pickup; no stream-stream join. ``distinct_taxis`` uses
     an approximate distinct count (exact distinct is not incremental)."""
     agg = (
         _tagged_area_rows(trips, with_taxi=distinct_taxis)
-        .withWatermark("window_end", delay)
+        .withWatermark("window_end", widened(delay, max_trip, EMPTY_WINDOW))
         .groupBy("cell", "window_end")
         .agg(
             F.avg("profit").alias("area_profit"),
@@ -74,10 +97,14 @@ def stream_idle_alerts(
     delay: str = WATERMARK_DELAY,
     window_seconds: int = 3600,
     threshold: float = IDLE_THRESHOLD_MINUTES,
+    forget_after: str | None = None,
 ) -> DataFrame:
-    rows = trips.select("medallion", "pickup_dt", "event_id", "dropoff_dt").withWatermark("pickup_dt", delay)
+    """Keyed state (:mod:`cabgrid.streaming.state`). A taxi's last dropoff is kept
+    until its next trip, however late that is; with ``forget_after`` it is dropped
+    that long after (a longer gap is then not reported)."""
+    rows = trips.select("medallion", "pickup_dt", "event_id", "dropoff_dt").withWatermark("pickup_dt", widened(delay))
     alerts = rows.groupBy("medallion").applyInPandasWithState(
-        idle_state_fn(window_seconds * US, float(threshold)),
+        idle_state_fn(window_seconds * US, float(threshold), duration_seconds(forget_after) * US if forget_after else None),
         IDLE_OUTPUT,
         IDLE_STATE,
         "append",
@@ -86,9 +113,16 @@ def stream_idle_alerts(
     return to_wall_clock(alerts, ["window_start"]).withColumn("alert_message", idle_message("avg_idle_minutes"))
 
 
+def stream_idle_compat(
+    trips: DataFrame, delay: str = WATERMARK_DELAY, window: str = IDLE_WINDOW, threshold: float = IDLE_THRESHOLD_MINUTES
+) -> DataFrame:
+    """The original arithmetic; a trip needs no other trip, so it is one windowed mean."""
+    return to_wall_clock(idle_compat(trips.withWatermark("pickup_dt", widened(delay)), window, threshold), ["window_start"])
+
+
 def stream_congestion_alerts(trips: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
     rows = trips.select("medallion", "pickup_dt", "event_id", "trip_time", "pickup_cell").withWatermark(
-        "pickup_dt", delay
+        "pickup_dt", widened(delay)
     )
     alerts = rows.groupBy("medallion").applyInPandasWithState(
         congestion_state_fn(86400 * US),
@@ -100,17 +134,24 @@ def stream_congestion_alerts(trips: DataFrame, delay: str = WATERMARK_DELAY) ->
     return to_wall_clock(alerts, ["day"]).withColumn("alert_message", congested_message("cell"))
 
 
-def stream_cell_rendezvous(trips: DataFrame, delay: str = WATERMARK_DELAY, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
-    """The rendezvous aggregation with the watermark on the window key; a
-    window is final once the watermark passes its start, which needs a delay
-    above two window lengths (its next-window pickups arrive that late)."""
-    rows = rendezvous_rows(trips, window).withWatermark("bucket", delay)
-    out = rendezvous_pairs(rendezvous_firsts(rows), window)
-    return to_wall_clock(out, ["ddt", "pdt"])
+def stream_cell_rendezvous(
+    trips: DataFrame, delay: str = WATERMARK_DELAY, window: str = RENDEZVOUS_WINDOW, max_trip: str = MAX_TRIP
+) -> DataFrame:
+    """The watermark is on the window start that names a group: at most ``max_trip``
+    ahead of the pickup, and at most two windows behind it."""
+    rows = rendezvous_events(trips, window).withWatermark("bucket", widened(delay, max_trip, window, window))
+    return to_wall_clock(next_pickups(rows, window), ["ddt", "pdt"])
+
+
+def stream_cell_rendezvous_compat(
+    trips: DataFrame, delay: str = WATERMARK_DELAY, window: str = RENDEZVOUS_WINDOW, max_trip: str = MAX_TRIP
+) -> DataFrame:
+    rows = rendezvous_rows(trips, window).withWatermark("bucket", widened(delay, max_trip, window, window))
+    return to_wall_clock(rendezvous_pairs(rendezvous_firsts(rows), window), ["ddt", "pdt"])
 
 
 def stream_driver_tips(trips: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    return to_wall_clock(driver_tips(trips.withWatermark("pickup_dt", delay)), ["day"])
+    return to_wall_clock(driver_tips(trips.withWatermark("pickup_dt", widened(delay))), ["day"])
 
 
 def pleasant_drivers_of_batch(tips: DataFrame, k: int = TOP_K) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -32,7 +33,10 @@ def write_stream(
     ``available_now`` drains what is there and stops; otherwise a
     micro-batch runs every ``interval``. ``fmt`` may also be ``console``
     (prints each batch, for inspection) or ``memory`` (an in-memory table
-    named ``query_name``, for tests); ``path`` is ignored for those."""
+    named ``query_name``, for tests); ``path`` is ignored for those, and they
+    can't be combined with ``per_batch``."""
+    if per_batch is not None and fmt != "parquet":
+        raise ValueError("per_batch output is written as parquet")
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -53,13 +57,12 @@ def write_stream(
 class BatchBanner(StreamingQueryListener):
     """Prints ``===== <batch time> =====`` with the batch id and input rows
     after every micro-batch of every query of the session, and keeps the
-    same facts in ``self.batches`` (batch id, time, rows) for inspection.
+    same facts of the last ``keep`` batches in ``self.batches`` (batch id, time,
+    rows) for inspection. Register it with the session's query manager."""
 
-    ``spark.streams.addListener(BatchBanner())``"""
-
-    def __init__(self, echo: bool = True):
+    def __init__(self, echo: bool = True, keep: int = 1000):
         self.echo = echo
-        self.batches: list[tuple[int, str, int]] = []
+        self.batches: deque[tuple[int, str, int]] = deque(maxlen=keep)
 
     def onQueryStarted(self, event) -> None:
         pass

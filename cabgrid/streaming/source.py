@@ -1,6 +1,6 @@
 """Streaming trip sources.
 
-Event-time columns are TIMESTAMP in streams (``withWatermark`` rejects
+Event-time columns of a stream are TIMESTAMP (``withWatermark`` rejects
 TIMESTAMP_NTZ); run with ``spark.sql.session.timeZone=UTC`` so windows align
 with the batch queries, which work on TIMESTAMP_NTZ wall-clock time.
 """
@@ -64,6 +64,13 @@ def read_trip_stream(
     return to_event_time(clean_trips(trips))
 
 
+def trips_of_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Trips from messages whose (binary or text) ``value`` is a trip line, as a
+    Kafka topic delivers them: the value is kept, keys and offsets are not."""
+    lines = messages.select(F.col(value_col).cast("string").alias("value"))
+    return to_event_time(clean_trips(parse_trips(lines)))
+
+
 def read_trip_stream_kafka(
     spark: SparkSession,
     bootstrap_servers: str,
@@ -85,5 +92,4 @@ def read_trip_stream_kafka(
         raise RuntimeError(
             "Kafka source unavailable: add the spark-sql-kafka connector package to the session"
         ) from e
-    lines = raw.select(F.col("value").cast("string").alias("value"))
-    return to_event_time(clean_trips(parse_trips(lines)))
+    return trips_of_messages(raw)

@@ -1,6 +1,6 @@
 """Keyed event-time state for the two order-dependent streaming queries.
 
-``lag`` / ``lead`` are not available on streams, and rows of a taxi can
+``lag`` / ``lead`` are not available on a stream, and rows of a taxi can
 arrive out of order within the watermark delay. Both state functions
 therefore buffer a key's rows until the watermark passes their pickup time
 (no earlier row of that key can still arrive), then release them in
@@ -13,7 +13,9 @@ therefore buffer a key's rows until the watermark passes their pickup time
   context restarts when released rides enter the next day.
 
 Event-time timeouts wake a key up when the watermark passes its earliest
-pending item, so silent taxis flush too. Times are epoch microseconds.
+pending item, so silent taxis flush too. A key without anything pending is
+removed: a congestion key once its day is over, an idle key ``forget_after``
+its last dropoff, if that is set. Times are epoch microseconds.
 """
 
 from __future__ import annotations
@@ -53,12 +55,14 @@ def _watermark_us(state) -> int:
 
 
 def _set_timeout(state, pending_us: list[int]) -> None:
-    # Fires once watermark_ms > value, i.e. watermark >= the pending time.
+    # Fires once watermark_ms > value: the first whole millisecond at or after the
+    # pending time. That lies past the watermark, so the value is never before it.
     if pending_us:
-        state.setTimeoutTimestamp(int(min(pending_us) // 1000) - 1)
+        due_ms = -(-min(pending_us) // 1000)
+        state.setTimeoutTimestamp(max(int(due_ms) - 1, int(state.getCurrentWatermarkMs())))
 
 
-def idle_state_fn(window_us: int, threshold: float):
+def idle_state_fn(window_us: int, threshold: float, forget_us: int | None = None):
     def fn(key, pdfs, state):
         medallion = key[0]
         if state.exists:
@@ -99,10 +103,18 @@ def idle_state_fn(window_us: int, threshold: float):
         keep = ~ready
         bp, bi, bd = p[keep].tolist(), i[keep].tolist(), d[keep].tolist()
         ws = sorted(windows)
-        state.update(
-            (last, bp, bi, bd, ws, [windows[w][0] for w in ws], [windows[w][1] for w in ws])
-        )
-        _set_timeout(state, bp + [w + window_us for w in ws])
+        pending = bp + [w + window_us for w in ws]
+        if forget_us is not None and last is not None:
+            if not pending and last + forget_us <= wm:
+                last = None
+            else:
+                pending.append(max(last + forget_us, wm + 1))
+        if not pending and last is None:
+            if state.exists:
+                state.remove()
+        else:
+            state.update((last, bp, bi, bd, ws, [windows[w][0] for w in ws], [windows[w][1] for w in ws]))
+            _set_timeout(state, pending)
         if out:
             yield pd.DataFrame(
                 {
@@ -168,10 +180,14 @@ def congestion_state_fn(day_us: int):
                         done = True
                 cdur, ccell = seq[-4:].tolist(), cells[-4:].tolist()
         keep = ~ready
-        state.update(
-            (cur_day, done, p[keep].tolist(), i[keep].tolist(), dur[keep].tolist(), cell[keep].tolist(), cdur, ccell)
-        )
-        _set_timeout(state, p[keep].tolist())
+        pending = p[keep].tolist()
+        if cur_day is not None and cur_day + day_us > wm:
+            pending.append(cur_day + day_us)  # the context is of use until the day is over
+        if pending:
+            state.update((cur_day, done, p[keep].tolist(), i[keep].tolist(), dur[keep].tolist(), cell[keep].tolist(), cdur, ccell))
+            _set_timeout(state, pending)
+        elif state.exists:
+            state.remove()
         if found_days:
             yield pd.DataFrame(
                 {"medallion": [medallion] * len(found_days), "day": _stamp(found_days), "cell": found_cells}

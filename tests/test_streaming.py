@@ -1,35 +1,76 @@
 """Streaming behaviour beyond the oracle runs: out-of-order arrival inside the
-watermark delay, late rows, restart from a checkpoint, empty input."""
+watermark delay, late rows, restart from a checkpoint, state that goes away,
+empty input, messages."""
 
 import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from cabgrid import operators as ops
 from cabgrid.plans import raw_trip_table
-from cabgrid.schema import TRIP_COLUMNS
+from cabgrid.plans.streaming_queries import BUILDERS
+from cabgrid.schema import TRIP_COLUMNS, TRIP_SCHEMA
 from cabgrid.session import checkpoint_root
 from cabgrid.streaming import (
+    BatchBanner,
     read_trip_stream,
-    replay_files,
+    stream_congestion_alerts,
     stream_idle_alerts,
+    stream_profitable_areas,
     stream_route_counts,
+    trips_of_messages,
     write_stream,
 )
 from conftest import SF001
 
+BATCH = {
+    "stream_route_counts": ops.route_counts,
+    "stream_top_routes": ops.top_routes_per_window,
+    "stream_profitable_areas": ops.profitable_areas,
+    "stream_idle_alerts": ops.idle_alerts,
+    "stream_idle_compat": ops.idle_compat,
+    "stream_congestion_alerts": ops.congestion_alerts,
+    "stream_cell_rendezvous": ops.cell_rendezvous,
+    "stream_cell_rendezvous_compat": ops.cell_rendezvous_compat,
+    "stream_pleasant_drivers": ops.pleasant_drivers_per_day,
+}
+
 
 def _scratch(spark):
     return tempfile.mkdtemp(prefix="stream-test-", dir=checkpoint_root(spark).replace("file:", ""))
 
 
-def _run(spark, src, build, out_dir, ckpt):
-    q = write_stream(build(read_trip_stream(spark, src, max_files_per_trigger=1)), out_dir, ckpt, available_now=True)
+def _add(trips, path):
+    """One more input file."""
+    trips.select(*TRIP_COLUMNS).coalesce(1).write.mode("append").parquet(path)
+
+
+def _add_slices(trips, path, slices):
+    lo, hi = trips.agg(F.min("pickup_dt"), F.max("pickup_dt")).first()
+    step = (hi - lo) / slices
+    for k in range(slices):
+        part = trips.where(F.col("pickup_dt") >= F.lit(lo + step * k))
+        _add(part.where(F.col("pickup_dt") < F.lit(lo + step * (k + 1))) if k < slices - 1 else part, path)
+
+
+def _add_flush(trips, path):
+    """A trip far ahead, of a taxi of its own."""
+    far = trips.orderBy("event_id").limit(1)
+    years = F.expr("INTERVAL 3650 DAYS")
+    _add(far.withColumn("medallion", F.lit("~")).withColumn("pickup_dt", F.col("pickup_dt") + years).withColumn("dropoff_dt", F.col("dropoff_dt") + years), path)
+
+
+def _run(spark, src, build, out_dir, ckpt, per_batch=None):
+    q = write_stream(build(read_trip_stream(spark, src, max_files_per_trigger=1)), out_dir, ckpt, per_batch=per_batch, available_now=True)
     q.awaitTermination()
     assert q.exception() is None
-    return spark.read.parquet(out_dir) if os.path.exists(out_dir) else None
+    if not os.path.exists(out_dir):
+        return None
+    out = spark.read.parquet(out_dir)
+    return out.drop("batch_id") if per_batch else out
 
 
 def _rows(df):
@@ -42,37 +83,92 @@ def _first_days(spark, days):
     return raw.where(F.col("pickup_dt") < F.lit(lo + dt.timedelta(days=days))), lo
 
 
-def test_idle_stream_handles_out_of_order_files(spark):
+@pytest.mark.parametrize("name", list(BATCH))
+def test_rows_just_inside_the_delay_count(spark, name):
+    """Every other row arrives 2 h 55 min after the newest pickup; none is lost."""
+    raw = raw_trip_table(spark, SF001)
+    lo = raw.agg(F.min("pickup_dt")).first()[0]
+    # times two minutes apart, so that 2 h 55 min is many trips
+    squeezed = raw.withColumn("n", F.col("event_id")).where("event_id < 600")
+    shift = lambda c: F.lit(lo) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("n") * 120 + F.when(F.lit(c == "dropoff_dt"), F.col("trip_time")).otherwise(0))
+    squeezed = squeezed.withColumn("pickup_dt", shift("pickup_dt")).withColumn("dropoff_dt", shift("dropoff_dt")).drop("n")
+    d = _scratch(spark)
+    edges = [lo + dt.timedelta(minutes=175 * k) for k in range(8)]
+    for a, b in zip(edges, edges[1:]):
+        part = squeezed.where((F.col("pickup_dt") >= F.lit(a)) & (F.col("pickup_dt") < F.lit(b)))
+        _add(part.where("event_id % 2 = 1"), f"{d}/in")  # ahead of ...
+        _add(part.where("event_id % 2 = 0"), f"{d}/in")  # ... what is up to 2 h 55 min older
+    _add_flush(squeezed, f"{d}/in")
+    build, per_batch = BUILDERS[name]
+    got = _run(spark, f"{d}/in", build, f"{d}/out", f"{d}/ck", per_batch)
+    want = BATCH[name](ops.clean_trips(squeezed.where(F.col("pickup_dt") < F.lit(edges[-1]))))
+    assert want.count() > 0 and _rows(got) == _rows(want)
+
+
+def test_a_delay_must_be_positive(spark):
+    trips = read_trip_stream(spark, _scratch(spark))
+    for name, (build, _) in BUILDERS.items():
+        with pytest.raises(ValueError):
+            build(trips, delay="0 seconds")
+
+
+@pytest.mark.parametrize("name", ["stream_idle_alerts", "stream_congestion_alerts"])
+def test_keyed_state_handles_out_of_order_files(spark, name):
     """Slices arrive pairwise swapped; with a delay longer than two slices no
-    row is late, and the keyed state still produces the batch gaps."""
+    row is late, and the keyed state still produces the batch answer."""
     raw, lo = _first_days(spark, 4)
+    raw = raw.withColumn("medallion", F.concat(F.lit("M"), F.pmod(F.xxhash64("event_id"), F.lit(3))))
     d = _scratch(spark)
-    src = f"{d}/in"
     step = dt.timedelta(hours=6)
-    order = []
-    for k in range(0, 16, 2):
-        order += [k + 1, k]
-    for k in order:
-        part = raw.where((F.col("pickup_dt") >= F.lit(lo + step * k)) & (F.col("pickup_dt") < F.lit(lo + step * (k + 1))))
-        replay_files(part, src, slices=1)
-    got = _run(spark, src, lambda s: stream_idle_alerts(s, delay="13 hours"), f"{d}/out", f"{d}/ck")
-    trips = ops.clean_trips(raw)
-    wm = trips.agg(F.max("pickup_dt")).first()[0] - dt.timedelta(hours=13)
-    exp = ops.idle_alerts(trips).where(F.col("window_start") + F.expr("INTERVAL 1 HOUR") <= F.lit(wm))
-    assert got is not None and got.count() > 0
-    assert _rows(got) == _rows(exp)
+    for k in [j for i in range(0, 16, 2) for j in (i + 1, i)]:
+        _add(raw.where((F.col("pickup_dt") >= F.lit(lo + step * k)) & (F.col("pickup_dt") < F.lit(lo + step * (k + 1)))), f"{d}/in")
+    _add_flush(raw, f"{d}/in")
+    build, _ = BUILDERS[name]
+    got = _run(spark, f"{d}/in", lambda s: build(s, delay="13 hours"), f"{d}/out", f"{d}/ck")
+    want = BATCH[name](ops.clean_trips(raw))
+    assert want.count() > 0 and _rows(got) == _rows(want)
+
+
+@pytest.mark.parametrize("name", ["stream_idle_alerts", "stream_congestion_alerts"])
+def test_pickups_between_milliseconds(spark, name):
+    """A pickup a few hundred microseconds past the watermark is only waited for."""
+    raw, _ = _first_days(spark, 6)
+    us = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.lit(500) + F.col("event_id") % 499) / F.lit(1e6))
+    raw = raw.withColumn("pickup_dt", F.col("pickup_dt") + us).withColumn("medallion", F.concat(F.lit("M"), F.pmod(F.xxhash64("event_id"), F.lit(3))))
+    d = _scratch(spark)
+    _add_slices(raw, f"{d}/in", 5)
+    _add_flush(raw, f"{d}/in")
+    build, _ = BUILDERS[name]
+    got = _run(spark, f"{d}/in", lambda s: build(s, delay="1 second"), f"{d}/out", f"{d}/ck")
+    want = BATCH[name](ops.clean_trips(raw))
+    assert _rows(got) == _rows(want)
+
+
+@pytest.mark.parametrize(
+    "build", [stream_congestion_alerts, lambda s: stream_idle_alerts(s, forget_after="2 days")], ids=["congestion", "idle"]
+)
+def test_finished_keys_leave_the_state(spark, build):
+    raw, _ = _first_days(spark, 10)
+    raw = raw.withColumn("medallion", F.concat(F.date_format("pickup_dt", "dd"), F.pmod(F.xxhash64("event_id"), F.lit(3))))  # out for one day
+    d = _scratch(spark)
+    _add_slices(raw, f"{d}/in", 5)
+    q = write_stream(build(read_trip_stream(spark, f"{d}/in", max_files_per_trigger=1)), f"{d}/out", f"{d}/ck", available_now=True)
+    q.awaitTermination()
+    busy, taxis = q.lastProgress.stateOperators[0].numRowsTotal, raw.select("medallion").distinct().count()
+    _add_flush(raw, f"{d}/in")
+    q = write_stream(build(read_trip_stream(spark, f"{d}/in", max_files_per_trigger=1)), f"{d}/out", f"{d}/ck", available_now=True)
+    q.awaitTermination()
+    assert taxis > 20 and 1 <= busy < taxis / 2
+    assert q.lastProgress.stateOperators[0].numRowsTotal == 1  # the flush taxi alone
 
 
 def test_late_rows_are_dropped(spark):
     raw, lo = _first_days(spark, 6)
     d = _scratch(spark)
-    src = f"{d}/in"
-    replay_files(raw, src, slices=3)
-    late = raw.where(F.col("pickup_dt") < F.lit(lo + dt.timedelta(days=1))).withColumn(
-        "event_id", F.col("event_id") + 10**9
-    )
-    replay_files(late, src, slices=1)
-    got = _run(spark, src, stream_route_counts, f"{d}/out", f"{d}/ck")
+    _add_slices(raw, f"{d}/in", 3)
+    late = raw.where(F.col("pickup_dt") < F.lit(lo + dt.timedelta(days=1)))
+    _add(late.withColumn("event_id", F.col("event_id") + 10**9), f"{d}/in")
+    got = _run(spark, f"{d}/in", stream_route_counts, f"{d}/out", f"{d}/ck")
     trips = ops.clean_trips(raw)
     wm = trips.agg(F.max("pickup_dt")).first()[0] - dt.timedelta(hours=3)
     exp = ops.route_counts(trips).where(F.col("window_start") + F.expr("INTERVAL 30 MINUTES") <= F.lit(wm))
@@ -81,71 +177,80 @@ def test_late_rows_are_dropped(spark):
 
 def test_restart_from_checkpoint(spark):
     raw, lo = _first_days(spark, 6)
-    mid = lo + dt.timedelta(days=3)
+    mid = F.lit(lo + dt.timedelta(days=3))
     d = _scratch(spark)
-    src = f"{d}/in"
-    replay_files(raw.where(F.col("pickup_dt") < F.lit(mid)), src, slices=2)
-    first = _run(spark, src, stream_idle_alerts, f"{d}/out", f"{d}/ck").count()
-    replay_files(raw.where(F.col("pickup_dt") >= F.lit(mid)), src, slices=2)
-    got = _run(spark, src, stream_idle_alerts, f"{d}/out", f"{d}/ck")
+    _add_slices(raw.where(F.col("pickup_dt") < mid), f"{d}/in", 2)
+    first = _run(spark, f"{d}/in", stream_idle_alerts, f"{d}/out", f"{d}/ck").count()
+    _add_slices(raw.where(F.col("pickup_dt") >= mid), f"{d}/in", 2)
+    got = _run(spark, f"{d}/in", stream_idle_alerts, f"{d}/out", f"{d}/ck")
     assert got.count() > first
-    one = _scratch(spark)
-    replay_files(raw, f"{one}/in", slices=4)
-    once = _run(spark, f"{one}/in", stream_idle_alerts, f"{one}/out", f"{one}/ck")
+    once = _run(spark, f"{d}/in", stream_idle_alerts, f"{d}/out1", f"{d}/ck1")
     assert _rows(got) == _rows(once)
 
 
 def test_empty_input_gives_empty_result(spark):
     raw, _ = _first_days(spark, 1)
     d = _scratch(spark)
-    raw.limit(0).select(*TRIP_COLUMNS).coalesce(1).write.parquet(f"{d}/in")
+    _add(raw.limit(0), f"{d}/in")
     got = _run(spark, f"{d}/in", stream_route_counts, f"{d}/out", f"{d}/ck")
     assert got is None or got.count() == 0
 
 
-def test_text_stream_parses_lines(spark):
+def test_text_lines_and_messages(spark):
+    """A landing folder of lines, and messages with a binary value, give the trips."""
     from cabgrid.sources import trip_lines
 
     raw, _ = _first_days(spark, 2)
     d = _scratch(spark)
-    trip_lines(raw).select("value").coalesce(1).write.text(f"{d}/in")
-    s = read_trip_stream(spark, f"{d}/in", fmt="text")
-    q = s.writeStream.format("memory").queryName("parsed_lines").trigger(availableNow=True).start()
-    q.awaitTermination()
-    n = spark.sql("SELECT count(*) FROM parsed_lines").first()[0]
-    assert n == ops.clean_trips(raw).count()
+    lines = trip_lines(raw).select("value")
+    lines.coalesce(1).write.text(f"{d}/text")
+    lines.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), F.lit("debs").alias("topic")).write.parquet(f"{d}/messages")
+    messages = spark.readStream.schema("key binary, value binary, topic string").parquet(f"{d}/messages")
+    for name, trips in (("t", read_trip_stream(spark, f"{d}/text", fmt="text")), ("m", trips_of_messages(messages))):
+        q = trips.writeStream.format("memory").queryName(f"parsed_{name}").trigger(availableNow=True).start()
+        q.awaitTermination()
+        got = spark.sql(f"SELECT * FROM parsed_{name}").drop("event_id")
+        want = ops.clean_trips(raw).drop("event_id").withColumns({c: F.col(c).cast("timestamp") for c in ("pickup_dt", "dropoff_dt")})
+        assert _rows(got) == _rows(want)
 
 
 def test_kafka_source_without_connector_fails_clearly(spark):
-    import pytest
-
     from cabgrid.streaming import read_trip_stream_kafka
 
     with pytest.raises(RuntimeError, match="Kafka source unavailable"):
         read_trip_stream_kafka(spark, "localhost:9092", "trips")
 
 
-def test_flush_sentinel_closes_every_window(spark):
-    raw, _ = _first_days(spark, 5)
+def test_interval_trigger_runs_batches(spark):
+    """The standing query (a micro-batch per interval) takes files as they land."""
+    import time
+
+    raw, _ = _first_days(spark, 4)
     d = _scratch(spark)
-    replay_files(raw, f"{d}/in", slices=3, flush_after="365 days")
-    trips = ops.clean_trips(raw)
-    routes = _run(spark, f"{d}/in", stream_route_counts, f"{d}/out", f"{d}/ck")
-    assert _rows(routes) == _rows(ops.route_counts(trips))
-    idle = _run(spark, f"{d}/in", stream_idle_alerts, f"{d}/out2", f"{d}/ck2")
-    assert _rows(idle) == _rows(ops.idle_alerts(trips))
+    _add(raw.limit(0), f"{d}/in")
+    q = write_stream(stream_route_counts(read_trip_stream(spark, f"{d}/in")), f"{d}/out", f"{d}/ck", interval="1 second")
+    try:
+        _add(raw, f"{d}/in")
+        _add_flush(raw, f"{d}/in")
+        want = _rows(ops.route_counts(ops.clean_trips(raw)))
+        for _ in range(60):
+            if os.path.exists(f"{d}/out/_spark_metadata") and len(_rows(spark.read.schema("pickup_cell string, dropoff_cell string, window_start timestamp_ntz, num_trips long").parquet(f"{d}/out"))) == len(want):
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert _rows(spark.read.parquet(f"{d}/out")) == want
 
 
 def test_batch_banner_sees_every_batch(spark):
     import time
 
-    from cabgrid.streaming import BatchBanner
-
     raw, _ = _first_days(spark, 3)
     d = _scratch(spark)
-    replay_files(raw, f"{d}/in", slices=3)
+    _add_slices(raw, f"{d}/in", 3)
     banner = BatchBanner(echo=False)
-    spark.streams.addListener(banner)
+    manager = spark.streams  # Spark's own name for it
+    manager.addListener(banner)
     try:
         _run(spark, f"{d}/in", stream_route_counts, f"{d}/out", f"{d}/ck")
         for _ in range(50):  # listener events arrive asynchronously
@@ -153,15 +258,13 @@ def test_batch_banner_sees_every_batch(spark):
                 break
             time.sleep(0.2)
     finally:
-        spark.streams.removeListener(banner)
+        manager.removeListener(banner)
     # input rows are counted at the source, before cleaning
     assert sum(rows for _, _, rows in banner.batches) == raw.count()
-    assert len({b for b, _, _ in banner.batches}) >= 3
+    assert len({b for b, _, _ in banner.batches}) >= 3 and banner.batches.maxlen == 1000
 
 
 def test_non_utc_session_warns(spark):
-    import pytest
-
     from cabgrid.streaming import to_event_time
 
     raw, _ = _first_days(spark, 1)
@@ -176,27 +279,25 @@ def test_non_utc_session_warns(spark):
 def test_batch_operator_per_micro_batch(spark):
     """The original's literal scope: a batch operator applied to every
     micro-batch alone (here the global top 10 routes of each batch)."""
-    from pyspark.sql import functions as F
-
-    from cabgrid import top_routes
-
     raw, _ = _first_days(spark, 6)
     d = _scratch(spark)
-    replay_files(raw, f"{d}/in", slices=3)
-    s = read_trip_stream(spark, f"{d}/in", max_files_per_trigger=1)
-    q = write_stream(s, f"{d}/out", f"{d}/ck", per_batch=top_routes, available_now=True)
-    q.awaitTermination()
+    _add_slices(raw, f"{d}/in", 3)
+    _run(spark, f"{d}/in", lambda s: s, f"{d}/out", f"{d}/ck", per_batch=ops.top_routes)
     out = spark.read.parquet(f"{d}/out")
     per_batch = {r["batch_id"]: r["n"] for r in out.groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
     assert len(per_batch) == 3 and all(0 < n <= 10 for n in per_batch.values())
 
 
-def test_stream_distinct_taxis_approximate(spark):
-    from cabgrid.streaming import stream_profitable_areas
+def test_per_batch_output_is_parquet_only(spark):
+    trips = spark.readStream.schema(TRIP_SCHEMA).parquet(_scratch(spark))
+    with pytest.raises(ValueError):
+        write_stream(trips, "out", "ck", per_batch=ops.top_routes, fmt="console")
 
+
+def test_stream_distinct_taxis_approximate(spark):
     raw, _ = _first_days(spark, 4)
     d = _scratch(spark)
-    replay_files(raw, f"{d}/in", slices=2)
+    _add_slices(raw, f"{d}/in", 2)
     trips = _run(spark, f"{d}/in", stream_profitable_areas, f"{d}/a", f"{d}/cka")
     taxis = _run(spark, f"{d}/in", lambda s: stream_profitable_areas(s, distinct_taxis=True), f"{d}/b", f"{d}/ckb")
     a = {(r.cell, r.window_end): r.num_empty_taxis for r in trips.collect()}

@@ -11,8 +11,8 @@ held against the SentencePiece library itself.
 from __future__ import annotations
 
 import os
-import re
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,14 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cabgrid.llm import text as tx
+from cabgrid.llm.scratch import small_batches
 
 # Fixed values of the file format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 SPACE = "▁"
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 512 << 10
 THREADS = 2
-_WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: One text of so many, by its hash, is encoded by the SentencePiece library too.
+PARITY_EVERY = 4
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -112,6 +114,10 @@ class SpmModel:
         found.sort()
         return [(m[-2], m[-1]) for m in found]
 
+    def piece_bytes(self) -> list[bytes]:
+        """What each piece stands for in a decoded text."""
+        return [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() for p, _, kind in self.pieces]
+
     def tokenizer(self):
         """The rebuilt tokenizer; special pieces are never matched in texts."""
         from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -170,74 +176,6 @@ def decode_batch(data: bytes, ids: list[list[int]], threads: int = THREADS) -> l
     return _loaded(data)[1].decode_batch(ids, skip_special_tokens=False)
 
 
-class WordEncoder:
-    """Encodes texts word by word, each distinct word once while it is remembered.
-
-    For models whose pieces never go on after a space inside (``fits``): the
-    words of a normalised text, each with the spaces before it, are then encoded
-    independently of one another, and a check of every distinct word against the
-    SentencePiece library is a check of every text."""
-
-    REMEMBERED = 150_000  # distinct words kept between batches
-    TOGETHER = 1_000  # words that one call's sequence holds
-
-    def __init__(self, data: bytes, threads: int = THREADS, parity: bool = True) -> None:
-        from tokenizers import normalizers
-
-        _threads(threads)
-        self.model = SpmModel.parse(data)
-        self.tokenizer = self.model.tokenizer()
-        self.normalizer = self.tokenizer.normalizer
-        self.decoder = self.tokenizer
-        self.reader = None
-        if parity:
-            import sentencepiece
-
-            self.reader = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.fits = bool(self.model.dummy_prefix and self.model.escape_spaces and not self.model.char_map and self.tokenizer.pre_tokenizer)
-        self.tokenizer.normalizer = normalizers.Sequence([])
-        self.words: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.restored: list[bool] = []
-        self.same: list[bool] = []
-
-    def _learn(self, words: list[str]) -> None:
-        lots = [words[i : i + self.TOGETHER] for i in range(0, len(words), self.TOGETHER)]
-        for e, lot in zip(self.tokenizer.encode_batch(lots, is_pretokenized=True, add_special_tokens=False), lots):
-            flat = np.array(e.ids, dtype=np.int32)
-            ends = np.searchsorted(np.array(e.word_ids, dtype=np.int64), np.arange(len(lot) + 1))
-            self.ids += [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
-        new = [x.tolist() for x in self.ids[len(self.ids) - len(words) :]]
-        plain = [w[1:].replace(SPACE, " ") for w in words]
-        back = self.decoder.decode_batch(new, skip_special_tokens=False)
-        self.restored += [a == b for a, b in zip(back, plain)]
-        theirs = self.reader.encode(plain, num_threads=1) if self.reader else new
-        if self.reader and SPACE in words:  # one space at a text's end: alone, it would be an empty text
-            theirs[words.index(SPACE)] = self.reader.encode("a ")[len(self.reader.encode("a")) :]
-        self.same += [a == b for a, b in zip(new, theirs)]
-        for w in words:
-            self.words[w] = len(self.words)
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool], list[bool]]:
-        """Ids of each text, whether they decode to it, and whether the
-        SentencePiece library agrees."""
-        if len(self.words) > self.REMEMBERED:
-            self.words, self.ids, self.restored, self.same = {}, [], [], []
-        normal = [self.normalizer.normalize_str(t) if t else "" for t in texts]
-        split = [_WORDS.findall(t) for t in normal]
-        fresh = dict.fromkeys(w for ws in split for w in ws if w not in self.words)
-        if fresh:
-            self._learn(list(fresh))
-        restored, same = np.array(self.restored, bool), np.array(self.same, bool)
-        out, whole, agree = [], [], []
-        for t, n, ws in zip(texts, normal, split):
-            at = [self.words[w] for w in ws]
-            out.append(np.concatenate([self.ids[i] for i in at]) if at else np.zeros(0, np.int32))
-            whole.append(SPACE not in t and (not t or n == SPACE + t.replace(" ", SPACE)) and bool(restored[at].all()))
-            agree.append(bool(same[at].all()))
-        return out, whole, agree
-
-
 def read_model(path: str) -> bytes:
     """A model file; a vocabulary of bounded size, sent to the tasks as bytes."""
     with open(path, "rb") as f:
@@ -270,28 +208,35 @@ def decode_column(data: bytes, threads: int = THREADS):
     return decode
 
 
-def _digest(data: bytes, threads: int, parity: bool):
+def _digest(data: bytes, threads: int, parity_every: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(data, threads, parity)
-        kinds = np.array([k for _, _, k in encoder.model.pieces])
+        reader = None
+        if parity_every:
+            import sentencepiece
+
+            reader = sentencepiece.SentencePieceProcessor(model_proto=data)
+        model = SpmModel.parse(data)
+        stands_for, prefix = model.piece_bytes(), int(model.dummy_prefix)
+        kinds = np.array([k for _, _, k in model.pieces])
         for batch in batches:
             for part in tx.slices(batch, "text", SLICE_BYTES):
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                if encoder.fits:
-                    ids, whole, same = encoder.encode(texts)
-                else:
-                    lists = encode_batch(data, texts, threads)
-                    ids = [np.array(x, dtype=np.int32) for x in lists]
-                    whole = [a == b for a, b in zip(decode_batch(data, lists, threads), texts)]
-                    same = [a == b for a, b in zip(lists, encoder.reader.encode(texts, num_threads=1))] if parity else []
+                ids = encode_batch(data, texts, threads)
+                back = [b"".join([stands_for[i] for i in x]).decode(errors="replace")[prefix:] for x in ids]
+                same: list[bool | None] = [None] * len(ids)
+                if reader is not None:
+                    checked = [k for k, t in enumerate(texts) if zlib.crc32(t.encode()) % parity_every == 0]
+                    for k, theirs in zip(checked, reader.encode([texts[k] for k in checked], num_threads=1)):
+                        same[k] = ids[k] == theirs
+                arrays = [np.array(x, dtype=np.int32) for x in ids]
                 yield pa.record_batch(
                     [
                         part.column("doc_id"),
                         pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([int((kinds[x] == BYTE).sum()) for x in ids], pa.int64()),
-                        pa.array([x.tobytes() for x in ids], pa.binary()),
-                        pa.array(whole, pa.bool_()),
-                        pa.array(same if parity else [None] * len(ids), pa.bool_()),
+                        pa.array([int((kinds[x] == BYTE).sum()) for x in arrays], pa.int64()),
+                        pa.array([x.tobytes() for x in arrays], pa.binary()),
+                        pa.array([b == t for b, t in zip(back, texts)], pa.bool_()),
+                        pa.array(same, pa.bool_()),
                     ],
                     names=["doc_id", "n_tokens", "n_byte_tokens", "ids", "round_trip", "parity"],
                 )
@@ -299,18 +244,23 @@ def _digest(data: bytes, threads: int, parity: bool):
     return run
 
 
-def encoded(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str = "text", threads: int = THREADS, parity: bool = True) -> DataFrame:
+def encoded(
+    docs: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str = "text", threads: int = THREADS, parity_every: int = PARITY_EVERY
+) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_byte_tokens`` (pieces that stand for a byte),
-    ``ids`` (little-endian 32-bit integers), ``round_trip`` (decoding gives the
-    text again) and ``parity`` (the SentencePiece library gives the same ids; null
-    if not asked for) of every whole text.
-
-    Null and empty texts have no ids, and ``round_trip`` and ``parity`` hold. The
-    pieces of control symbols are ordinary text. A model that squeezes or maps
-    characters doesn't restore them, so ``round_trip`` may be false. Ids may repeat
-    or be null; an empty table gives an empty result."""
+    ``ids`` (little-endian 32-bit integers), ``round_trip`` (the ids stand for the
+    text again) and ``parity`` of every whole text. ``parity`` tells whether the
+    SentencePiece library gives the same ids; that costs as much again as encoding,
+    so it is checked for one text of ``parity_every``, chosen by the text's hash (1:
+    for all, 0: for none), and null for the others.
+
+    Null and empty texts have no ids, and ``round_trip`` holds. The pieces of control
+    symbols are ordinary text. A model that squeezes or maps characters doesn't
+    restore them, so ``round_trip`` may be false. Ids may repeat or be null; an empty
+    table gives an empty result."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(
-        _digest(data, threads, parity),
+        _digest(data, threads, parity_every),
         "doc_id long, n_tokens long, n_byte_tokens long, ids binary, round_trip boolean, parity boolean",
     )

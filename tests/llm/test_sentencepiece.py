@@ -34,15 +34,11 @@ def test_whole_texts_equal_the_library(model):
     assert spm.decode_batch(model, ids) == some
 
 
-def test_word_encoder_equals_whole_texts(model, monkeypatch):
-    encoder = spm.WordEncoder(model)
-    monkeypatch.setattr(spm.WordEncoder, "REMEMBERED", 50)
-    assert encoder.fits
-    for seed in (2, 3, 4):
-        some = texts(200, seed) + ["▁ marker"]
-        ids, whole, same = encoder.encode(some)
-        assert [x.tolist() for x in ids] == spm.encode_batch(model, some)
-        assert all(same) and all(whole[:-1]) and not whole[-1]
+def test_pieces_stand_for_what_decoding_gives(model):
+    some = texts(seed=2)
+    stands_for = spm.SpmModel.parse(model).piece_bytes()
+    ids = spm.encode_batch(model, some)
+    assert [b"".join(stands_for[i] for i in x).decode()[1:] for x in ids] == spm.decode_batch(model, ids) == some
 
 
 def message(*fields):
@@ -88,12 +84,13 @@ def test_unigram_models(squeeze, fallback):
 
 def test_awkward_rows(spark, model):
     docs = frame(spark, awkward(random.Random(1)))
-    rows = spm.encoded(docs, model).collect()
+    rows = spm.encoded(docs, model, parity_every=1).collect()
     assert len(rows) == docs.count() and all(r.parity and r.round_trip for r in rows)
     want = sorted((str(r.doc_id), spm.encode_batch(model, [r.text or ""])[0]) for r in docs.collect())
     assert sorted((str(r.doc_id), np.frombuffer(r.ids, np.int32).tolist()) for r in rows) == want
     assert all(r.n_tokens == len(r.ids) // 4 for r in rows)
-    assert {r.parity for r in spm.encoded(docs, model, parity=False).collect()} == {None}
+    assert {r.parity for r in spm.encoded(docs, model, parity_every=0).collect()} == {None}
+    assert {r.parity for r in spm.encoded(docs, model, parity_every=2).collect()} == {None, True}
     assert spm.encoded(empty(spark), model).collect() == []
 
 

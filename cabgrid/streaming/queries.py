@@ -16,7 +16,6 @@ and ``max_trip`` for a dropoff), so that no trip within the delay is late.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cabgrid.functions.text import congested_message, idle_message
 from cabgrid.operators.areas import EMPTY_WINDOW, _empty_count, _tagged_area_rows
@@ -34,15 +33,7 @@ from cabgrid.operators.tips import driver_tips
 from cabgrid.operators.topk import top_k_per_group
 from cabgrid.schema import IDLE_THRESHOLD_MINUTES, TOP_K
 from cabgrid.streaming.source import to_wall_clock
-from cabgrid.streaming.state import (
-    CONGESTION_OUTPUT,
-    CONGESTION_STATE,
-    IDLE_OUTPUT,
-    IDLE_STATE,
-    US,
-    congestion_state_fn,
-    idle_state_fn,
-)
+from cabgrid.streaming.state import CONGESTION_OUTPUT, IDLE_OUTPUT, CongestedDays, IdleHours, use_rocksdb
 
 WATERMARK_DELAY = "3 hours"
 #: The longest trip for which the delay holds in queries on dropoff times.
@@ -95,20 +86,35 @@ def stream_profitable_areas(
 def stream_idle_alerts(
     trips: DataFrame,
     delay: str = WATERMARK_DELAY,
-    window_seconds: int = 3600,
+    window: str = IDLE_WINDOW,
     threshold: float = IDLE_THRESHOLD_MINUTES,
     forget_after: str | None = None,
 ) -> DataFrame:
-    """Keyed state (:mod:`cabgrid.streaming.state`). A taxi's last dropoff is kept
-    until its next trip, however late that is; with ``forget_after`` it is dropped
-    that long after (a longer gap is then not reported)."""
+    """A taxi's rows of a window are gathered until it closes; the gap to the window
+    before needs the taxi's last dropoff (:mod:`cabgrid.streaming.state`), which is
+    kept until its next trip, however late that is; with ``forget_after`` it is
+    dropped that long after (a longer gap is then not reported)."""
+    use_rocksdb(trips.sparkSession)
     rows = trips.select("medallion", "pickup_dt", "event_id", "dropoff_dt").withWatermark("pickup_dt", widened(delay))
-    alerts = rows.groupBy("medallion").applyInPandasWithState(
-        idle_state_fn(window_seconds * US, float(threshold), duration_seconds(forget_after) * US if forget_after else None),
-        IDLE_OUTPUT,
-        IDLE_STATE,
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
+    hours = rows.groupBy("medallion", F.window("pickup_dt", window).alias("w")).agg(
+        F.sort_array(F.collect_list(F.struct("pickup_dt", "event_id", "dropoff_dt"))).alias("r")
+    )
+    following = F.slice("r", 2, F.greatest(F.size("r") - 1, F.lit(0)))
+    gaps = F.zip_with(following, F.slice("r", 1, F.size("r") - 1), lambda b, a: F.timestamp_diff("SECOND", a["dropoff_dt"], b["pickup_dt"]))
+    hours = hours.select(
+        "medallion",
+        F.col("w.start").alias("window_start"),
+        F.get("r", F.lit(0))["pickup_dt"].alias("first_pickup"),
+        F.element_at("r", -1)["dropoff_dt"].alias("last_dropoff"),
+        F.filter(gaps, lambda g: g > 0).alias("gaps"),
+    )
+    total = F.aggregate("gaps", F.lit(0).cast("long"), lambda a, g: a + g)
+    hours = hours.select(
+        "medallion", "window_start", "first_pickup", "last_dropoff", total.alias("gap_seconds"), F.size("gaps").cast("long").alias("gaps")
+    )
+    forget_us = duration_seconds(forget_after) * 1_000_000 if forget_after else None
+    alerts = hours.groupBy("medallion").transformWithStateInPandas(
+        IdleHours(float(threshold), forget_us), IDLE_OUTPUT, "append", "eventTime" if forget_after else "none"
     )
     return to_wall_clock(alerts, ["window_start"]).withColumn("alert_message", idle_message("avg_idle_minutes"))
 
@@ -121,16 +127,17 @@ def stream_idle_compat(
 
 
 def stream_congestion_alerts(trips: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    rows = trips.select("medallion", "pickup_dt", "event_id", "trip_time", "pickup_cell").withWatermark(
-        "pickup_dt", widened(delay)
+    """A taxi's rides of an hour are gathered until it closes; what an hour hands to
+    the next of its day is in :mod:`cabgrid.streaming.state`."""
+    use_rocksdb(trips.sparkSession)
+    rows = trips.select("medallion", "pickup_dt", "event_id", "trip_time", "pickup_cell").withWatermark("pickup_dt", widened(delay))
+    hours = rows.groupBy("medallion", F.window("pickup_dt", "1 hour").alias("w")).agg(
+        F.sort_array(F.collect_list(F.struct("pickup_dt", "event_id", "trip_time", "pickup_cell"))).alias("r")
     )
-    alerts = rows.groupBy("medallion").applyInPandasWithState(
-        congestion_state_fn(86400 * US),
-        CONGESTION_OUTPUT,
-        CONGESTION_STATE,
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
+    hours = hours.select(
+        "medallion", F.col("w.start").alias("window_start"), F.col("r.trip_time").alias("durations"), F.col("r.pickup_cell").alias("cells")
     )
+    alerts = hours.groupBy("medallion").transformWithStateInPandas(CongestedDays(), CONGESTION_OUTPUT, "append", "eventTime")
     return to_wall_clock(alerts, ["day"]).withColumn("alert_message", congested_message("cell"))
 
 

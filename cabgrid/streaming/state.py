@@ -1,130 +1,95 @@
 """Keyed event-time state for the two order-dependent streaming queries.
 
-``lag`` / ``lead`` are not available on a stream, and rows of a taxi can
-arrive out of order within the watermark delay. Both state functions
-therefore buffer a key's rows until the watermark passes their pickup time
-(no earlier row of that key can still arrive), then release them in
-(pickup, id) order and advance a small running context:
-
-* idle: the last released dropoff, plus partial sums per open hour window;
-  a window is emitted and forgotten once the watermark passes its end;
-* congestion (keyed by taxi): the last four released durations and cells of
-  the current day; the first peak-then-rise of a day is emitted once, and the
-  context restarts when released rides enter the next day.
-
-Event-time timeouts wake a key up when the watermark passes its earliest
-pending item, so silent taxis flush too. A key without anything pending is
-removed: a congestion key once its day is over, an idle key ``forget_after``
-its last dropoff, if that is set. Times are epoch microseconds.
+``lag`` / ``lead`` are not available on a stream, and rows of a taxi can arrive
+out of order within the watermark delay. So a first, plain aggregation gathers
+what a taxi did in an hour; it comes out once, when the watermark has passed the
+hour and no earlier row can still arrive, and hours of a taxi come out in order.
+Only what one hour hands to the next is keyed by taxi here:
+
+* idle: the last dropoff so far, for the gap to the first pickup of the hour;
+* congestion: the last four rides of the current day, and whether the day has
+  had its alert.
+
+No row is buffered in this state, it is small whatever a taxi does, and a busy
+taxi's rows are spread over the hours of the aggregation before. Timers in event
+time remove a taxi's state when it is of no more use.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StatefulProcessor
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-US = 1_000_000
-
 IDLE_OUTPUT = "medallion string, window_start timestamp, avg_idle_minutes double"
-IDLE_STATE = (
-    "last_dropoff long, buf_pickup array<long>, buf_id array<long>, buf_dropoff array<long>, "
-    "win_start array<long>, win_sum array<long>, win_cnt array<long>"
-)
 CONGESTION_OUTPUT = "medallion string, day timestamp, cell string"
-CONGESTION_STATE = (
-    "cur_day long, done boolean, buf_pickup array<long>, buf_id array<long>, buf_dur array<int>, "
-    "buf_cell array<string>, ctx_dur array<int>, ctx_cell array<string>"
-)
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _micros(s: pd.Series) -> np.ndarray:
-    return s.to_numpy().astype("datetime64[us]").astype("int64")
+def use_rocksdb(spark: SparkSession) -> None:
+    """State with timers needs the RocksDB store; a query keeps the store that the
+    session names when it starts."""
+    spark.conf.set(_PROVIDER, _ROCKSDB)
 
 
-def _stamp(us) -> pd.Series:
-    return pd.Series(np.asarray(us, dtype="int64").astype("datetime64[us]"))
+def _us(t: pd.Timestamp | dt.datetime) -> int:
+    return int(pd.Timestamp(t).value // 1000)
 
 
-def _watermark_us(state) -> int:
-    return int(state.getCurrentWatermarkMs()) * 1000
+def _stamp(us: list[int]) -> pd.Series:
+    return pd.Series(np.asarray(us, dtype="int64").astype("datetime64[us]"))
 
 
-def _set_timeout(state, pending_us: list[int]) -> None:
-    # Fires once watermark_ms > value: the first whole millisecond at or after the
-    # pending time. That lies past the watermark, so the value is never before it.
-    if pending_us:
-        due_ms = -(-min(pending_us) // 1000)
-        state.setTimeoutTimestamp(max(int(due_ms) - 1, int(state.getCurrentWatermarkMs())))
+class IdleHours(StatefulProcessor):
+    """Mean idle minutes of every window above ``threshold``. Rows: a taxi's window
+    with its first pickup, last dropoff, and the seconds and number of positive
+    gaps inside it."""
 
+    def __init__(self, threshold: float, forget_us: int | None) -> None:
+        self.threshold, self.forget_us = threshold, forget_us
 
-def idle_state_fn(window_us: int, threshold: float, forget_us: int | None = None):
-    def fn(key, pdfs, state):
-        medallion = key[0]
-        if state.exists:
-            last, bp, bi, bd, ws, wsum, wcnt = state.get
-            bp, bi, bd = list(bp), list(bi), list(bd)
-            windows = {int(w): (int(s), int(c)) for w, s, c in zip(ws, wsum, wcnt)}
-        else:
-            last, bp, bi, bd, windows = None, [], [], [], {}
-        for pdf in pdfs:
-            if len(pdf):
-                bp += _micros(pdf["pickup_dt"]).tolist()
-                bi += pdf["event_id"].astype("int64").tolist()
-                bd += _micros(pdf["dropoff_dt"]).tolist()
-        wm = _watermark_us(state)
-        p, i, d = np.array(bp, dtype="int64"), np.array(bi, dtype="int64"), np.array(bd, dtype="int64")
-        order = np.lexsort((i, p))
-        p, i, d = p[order], i[order], d[order]
-        ready = p <= wm
-        rp, rd = p[ready], d[ready]
-        if len(rp):
-            prev = np.concatenate([[last if last is not None else -1], rd[:-1]])
-            has_prev = np.ones(len(rp), dtype=bool)
-            has_prev[0] = last is not None
-            gap = (rp - prev) // US
-            use = has_prev & (gap > 0)
-            starts = rp[use] - np.mod(rp[use], window_us)
-            for w, g in zip(starts.tolist(), gap[use].tolist()):
-                s, c = windows.get(w, (0, 0))
-                windows[w] = (s + g, c + 1)
-            last = int(rd[-1])
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last_dropoff", "us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        hours = pd.concat(list(rows)).sort_values("window_start")
+        last = self.last.get()[0] if self.last.exists() else None
         out = []
-        for w in sorted(windows):
-            if w + window_us <= wm:
-                s, c = windows.pop(w)
-                avg = float(s) / c / 60.0
-                if avg > threshold:
-                    out.append((w, avg))
-        keep = ~ready
-        bp, bi, bd = p[keep].tolist(), i[keep].tolist(), d[keep].tolist()
-        ws = sorted(windows)
-        pending = bp + [w + window_us for w in ws]
-        if forget_us is not None and last is not None:
-            if not pending and last + forget_us <= wm:
-                last = None
-            else:
-                pending.append(max(last + forget_us, wm + 1))
-        if not pending and last is None:
-            if state.exists:
-                state.remove()
+        for h in hours.itertuples():
+            total, n = int(h.gap_seconds), int(h.gaps)
+            if last is not None and (gap := (_us(h.first_pickup) - last) // 1_000_000) > 0:
+                total, n = total + gap, n + 1
+            last = _us(h.last_dropoff)
+            if n and float(total) / n / 60.0 > self.threshold:
+                out.append((_us(h.window_start), float(total) / n / 60.0))
+        due = None if self.forget_us is None else -(-(last + self.forget_us) // 1000)
+        if due is not None and due <= timerValues.getCurrentWatermarkInMs():
+            self.last.clear()
         else:
-            state.update((last, bp, bi, bd, ws, [windows[w][0] for w in ws], [windows[w][1] for w in ws]))
-            _set_timeout(state, pending)
+            self.last.update((last,))
+            if due is not None:
+                self.handle.registerTimer(due)
         if out:
-            yield pd.DataFrame(
-                {
-                    "medallion": [medallion] * len(out),
-                    "window_start": _stamp([w for w, _ in out]),
-                    "avg_idle_minutes": [a for _, a in out],
-                }
-            )
+            starts, means = zip(*out)
+            yield pd.DataFrame({"medallion": [key[0]] * len(out), "window_start": _stamp(list(starts)), "avg_idle_minutes": list(means)})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.last.exists() and self.last.get()[0] + self.forget_us <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
+            self.last.clear()
+        yield from ()
 
-    return fn
+    def close(self) -> None:
+        pass
 
 
 def _first_peak(seq: np.ndarray, lo: int) -> int:
@@ -138,59 +103,48 @@ def _first_peak(seq: np.ndarray, lo: int) -> int:
     return int(k[np.argmax(hit)]) if hit.any() else -1
 
 
-def congestion_state_fn(day_us: int):
-    """Keyed by taxi; the context (last four released rides of the current
-    day) restarts whenever released rides enter a new day."""
-
-    def fn(key, pdfs, state):
-        medallion = key[0]
-        if state.exists:
-            cur_day, done, bp, bi, bdur, bcell, cdur, ccell = state.get
-            bp, bi, bdur, bcell, cdur, ccell = map(list, (bp, bi, bdur, bcell, cdur, ccell))
+class CongestedDays(StatefulProcessor):
+    """The first peak-then-rise of every taxi-day. Rows: a taxi's hour with the
+    durations and cells of its rides in order."""
+
+    DAY_US = 86_400_000_000
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.day = handle.getValueState("day", "day long, done boolean, durations array<int>, cells array<string>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        hours = pd.concat(list(rows)).sort_values("window_start")
+        day, done, durations, cells = self.day.get() if self.day.exists() else (None, False, [], [])
+        found = []
+        for h in hours.itertuples():
+            start = _us(h.window_start)
+            if start - start % self.DAY_US != day:
+                day, done, durations, cells = start - start % self.DAY_US, False, [], []
+            before = len(durations)
+            seq = np.array([*durations, *h.durations], dtype="int64")
+            names = [*cells, *h.cells]
+            if not done:
+                # only peaks whose third successor is in this hour
+                hit = _first_peak(seq, before - 3)
+                if hit >= 0:
+                    found.append((day, names[hit]))
+                    done = True
+            durations, cells = seq[-4:].tolist(), names[-4:]
+        over = (day + self.DAY_US) // 1000
+        if over > timerValues.getCurrentWatermarkInMs():
+            self.day.update((day, done, durations, cells))
+            self.handle.registerTimer(over)
         else:
-            cur_day, done, bp, bi, bdur, bcell, cdur, ccell = None, False, [], [], [], [], [], []
-        for pdf in pdfs:
-            if len(pdf):
-                bp += _micros(pdf["pickup_dt"]).tolist()
-                bi += pdf["event_id"].astype("int64").tolist()
-                bdur += pdf["trip_time"].astype("int64").tolist()
-                bcell += pdf["pickup_cell"].tolist()
-        wm = _watermark_us(state)
-        p, i = np.array(bp, dtype="int64"), np.array(bi, dtype="int64")
-        dur, cell = np.array(bdur, dtype="int64"), np.array(bcell, dtype=object)
-        order = np.lexsort((i, p))
-        p, i, dur, cell = p[order], i[order], dur[order], cell[order]
-        ready = p <= wm
-        found_days, found_cells = [], []
-        if ready.any():
-            rp, rdur, rcell = p[ready], dur[ready], cell[ready]
-            days = rp - np.mod(rp, day_us)
-            for day in np.unique(days).tolist():
-                seg = days == day
-                if day != cur_day:
-                    cur_day, done, cdur, ccell = day, False, [], []
-                seq = np.concatenate([np.array(cdur, dtype="int64"), rdur[seg]])
-                cells = np.concatenate([np.array(ccell, dtype=object), rcell[seg]])
-                if not done:
-                    # only candidates whose third successor was just released
-                    hit = _first_peak(seq, len(cdur) - 3)
-                    if hit >= 0:
-                        found_days.append(day)
-                        found_cells.append(cells[hit])
-                        done = True
-                cdur, ccell = seq[-4:].tolist(), cells[-4:].tolist()
-        keep = ~ready
-        pending = p[keep].tolist()
-        if cur_day is not None and cur_day + day_us > wm:
-            pending.append(cur_day + day_us)  # the context is of use until the day is over
-        if pending:
-            state.update((cur_day, done, p[keep].tolist(), i[keep].tolist(), dur[keep].tolist(), cell[keep].tolist(), cdur, ccell))
-            _set_timeout(state, pending)
-        elif state.exists:
-            state.remove()
-        if found_days:
-            yield pd.DataFrame(
-                {"medallion": [medallion] * len(found_days), "day": _stamp(found_days), "cell": found_cells}
-            )
-
-    return fn
+            self.day.clear()
+        if found:
+            days, where = zip(*found)
+            yield pd.DataFrame({"medallion": [key[0]] * len(found), "day": _stamp(list(days)), "cell": list(where)})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.day.exists() and (self.day.get()[0] + self.DAY_US) // 1000 <= expiredTimerInfo.getExpiryTimeInMs():
+            self.day.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass

@@ -93,7 +93,7 @@ def test_rows_just_inside_the_delay_count(spark, name):
     shift = lambda c: F.lit(lo) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("n") * 120 + F.when(F.lit(c == "dropoff_dt"), F.col("trip_time")).otherwise(0))
     squeezed = squeezed.withColumn("pickup_dt", shift("pickup_dt")).withColumn("dropoff_dt", shift("dropoff_dt")).drop("n")
     d = _scratch(spark)
-    edges = [lo + dt.timedelta(minutes=175 * k) for k in range(8)]
+    edges = [lo + dt.timedelta(minutes=175 * k) for k in range(6)]
     for a, b in zip(edges, edges[1:]):
         part = squeezed.where((F.col("pickup_dt") >= F.lit(a)) & (F.col("pickup_dt") < F.lit(b)))
         _add(part.where("event_id % 2 = 1"), f"{d}/in")  # ahead of ...

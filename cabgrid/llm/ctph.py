@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cabgrid.llm import text as tx
+from cabgrid.llm.scratch import small_batches
 
 U32 = np.uint32
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
@@ -30,7 +31,7 @@ MOST_CHUNKS = 64
 #: signature's length below which, run); longer ones need LONG_RUN.
 SHORT_RUNS = ((12, 2), (32, 3))
 LONG_RUN = 4
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 512 << 10
 BLOCK_BYTES = 32 << 20
 
 
@@ -168,11 +169,12 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     (likeness to the edited text and to the next document).
 
     The ids are cut into blocks at quantiles; each block's rows go to one task
-    that streams them in order, with a copy of the first row of the block after
+    that reads them in order, with a copy of the first row of the block after
     it. A text travels once. Null texts count as empty. Rows with equal ids are
     ordered by text. Rows with a null id have no place in the order and are left
     out. A single document is its own successor; an empty table gives no rows;
     other columns are not read."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id is not null")
     size, least = rows.agg(F.sum(F.octet_length("text")), F.min("id")).first()
     if least is None:

@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from cabgrid.llm.scratch import small_batches
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?=>)|[^>]*+)(?:>|\Z)",
@@ -245,4 +247,5 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", name: str = "tex
     a column of that name). Null and empty pages, and pages without text, give an
     empty string. Markup may be broken: unclosed elements end with their parents,
     stray end tags are ignored. An empty table gives an empty result."""
+    small_batches(pages.sparkSession)
     return pages.withColumn(name, main_text_column(F.col(html_col)))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cabgrid.llm import text as tx
 from cabgrid.llm.logistic import fit, sigmoid
-from cabgrid.llm.scratch import saved
+from cabgrid.llm.scratch import saved, small_batches
 from cabgrid.llm.toxicity import held_out
 
 #: Labelled documents to fit on, at most.
@@ -33,7 +33,7 @@ SITE_WEIGHT = 0.5
 REJECT_BELOW = 0.3
 #: Sites whose table may be sent to all tasks; more are joined by a shuffle.
 SEND_SITES = 100_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 SHAPE = 16
 
 
@@ -135,6 +135,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Qua
     that aren't held out (a fixed bound; all documents are scored). Labels that
     are null or neither 0 nor 1, and ids without a document, are ignored. Without
     both kinds of labels every text gets the share of good ones (0.5 without any)."""
+    small_batches(docs.sparkSession)
     usable = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality"))
     usable = usable.where(F.col("quality").isin(0, 1) & F.col("label_id").isNotNull() & ~held_out("label_id"))
     picked = usable.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
@@ -197,6 +198,7 @@ def site_table(scored: DataFrame, site_weight: float = SITE_WEIGHT) -> DataFrame
 
 def _judged(docs: DataFrame, model: QualityModel, host: str | Column, path: str | Column, text_col: str, site_weight: float) -> DataFrame:
     """``row`` (all columns as a struct) with the evidence and the posterior."""
+    small_batches(docs.sparkSession)
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     score = model.probability_column()(F.col(text_col))
     sites = saved(site_table(docs.select(as_column(host).alias("host"), as_column(path).alias("path"), score.alias("p")), site_weight), "sites")

@@ -26,6 +26,18 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root[0]
 
 
+#: Text that Spark hands to a Python worker at once, unless the session says otherwise.
+BATCH_BYTES = "8m"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of Python workers by bytes: ten thousand long texts
+    in a batch (the default bound is 64 MB) are held by Spark and by the worker."""
+    if spark.conf.get(_BATCH_SETTING, "67108864b") in ("67108864b", "64m", "67108864"):
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage
     ends here, so a lost executor costs no recomputation of what came before."""

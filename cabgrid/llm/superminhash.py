@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cabgrid.llm import text as tx
 from cabgrid.llm.components import connected
-from cabgrid.llm.scratch import saved
+from cabgrid.llm.scratch import saved, small_batches
 
 U64 = tx.U64
 #: 40 bands of 5 values: a pair of similarity 0.8 meets in no band with
@@ -41,8 +41,8 @@ BUCKET_MEMBERS = 1024
 SHARE_ROWS = 8192
 #: Members of a family in one block.
 BLOCK_MEMBERS = 256
-SLICE_BYTES = 2 << 20
-_STEP_ELEMENTS = 100_000  # elements that walk their permutations at once
+SLICE_BYTES = 512 << 10
+_STEP_ELEMENTS = 20_000  # elements that walk their permutations at once
 
 
 def signatures(items: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
@@ -273,6 +273,7 @@ def near_duplicates(
     are left out (they can't be named). Rows that share an id share the
     component of all of them. An empty table gives an empty result; other
     columns are not read."""
+    small_batches(docs.sparkSession)
     wide = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     sketch = saved(
         wide.mapInArrow(_sketch(shingle, bands, rows), "id long, n long, s1 long, s2 long, keys array<long>, sign binary"), "sketch"

@@ -19,7 +19,7 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 WORD_BASE_2 = 0xA0761D6478BD642F
 
-_HASH_BLOCK = 1 << 20  # bytes hashed at once; bounds the scratch arrays
+_HASH_BLOCK = 1 << 18  # bytes hashed at once; bounds the scratch arrays
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -37,7 +37,7 @@ def powers(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, 1024), base, dtype=U64)
         steps[0] = 1
         have = np.multiply.accumulate(steps)
-        if n <= 4 * _HASH_BLOCK:
+        if n <= 16 * _HASH_BLOCK:
             _powers[base] = have
     return have[:n]
 
@@ -61,7 +61,7 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch that hold about ``max_bytes`` of text each
     (a longer text stands alone), so scratch memory doesn't follow batch size."""
     if batch.num_rows == 0:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cabgrid.llm import text as tx
 from cabgrid.llm.logistic import fit, sigmoid
+from cabgrid.llm.scratch import small_batches
 
 U64 = tx.U64
 PREFIXES = (4, 5, 6)
@@ -35,12 +36,12 @@ IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
     "age and health": ("old", "young", "elderly", "disabled", "blind", "deaf"),
 }
 #: Labelled documents to fit on: at most so many toxic and so many others.
-SAMPLE_TOXIC, SAMPLE_OTHER = 2_500, 6_000
+SAMPLE_TOXIC, SAMPLE_OTHER = 2_500, 5_000
 #: Features kept, and the least separation (in standard errors) of a kept one.
 FEATURES, LEAST_Z = 512, 5.0
 RIDGE, SWAP_WEIGHT = 0.01, 10.0
 THRESHOLD = 0.3
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 _SENTENCE = re.compile(r"[.!?\n]+")
 
 
@@ -158,6 +159,7 @@ def fit_toxicity(
     a hash of their ids (a fixed bound; all documents are scored). Labels that are
     null or neither 0 nor 1, and ids without a document, are ignored. Without both
     kinds of labels every text gets the share of toxic ones (0.5 without any)."""
+    small_batches(docs.sparkSession)
     known, _ = identity_hashes()
     usable = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
     usable = usable.where(F.col("toxic").isin(0, 1) & F.col("label_id").isNotNull() & ~held_out("label_id"))
@@ -174,26 +176,26 @@ def fit_toxicity(
     if len(rows) == 0 or y.min() == y.max():
         rate = (sum(y) + 0.5) / (len(y) + 1)
         return ToxicityModel(float(np.log(rate / (1 - rate))), np.zeros(0, U64), np.zeros(0))
-    size = [len(r.features) // 8 for r in rows]
-    of = np.repeat(np.arange(len(rows)), size)
-    h = np.frombuffer(b"".join(r.features for r in rows), dtype=U64)
-    values, slot = np.unique(h, return_inverse=True)
-    n = np.bincount(slot).astype(float)
-    toxic = np.bincount(slot, weights=y[of])
+    # Documents with each feature, by label; hashes are sorted, so one kind at a time.
+    counted = [np.unique(np.frombuffer(b"".join(r.features for r in rows if r.toxic == k), dtype=U64), return_counts=True) for k in (0, 1)]
+    values = np.unique(np.concatenate([v[c >= 2] for v, c in counted]))
+    n0, n1 = (np.zeros(len(values)) for _ in counted)
+    for n, (v, c) in zip((n0, n1), counted):
+        at = np.minimum(np.searchsorted(v, values), max(len(v) - 1, 0))
+        n += np.where(v[at] == values, c[at], 0) if len(v) else 0
+    counted.clear()
     # Separation of the two presence rates in standard errors.
-    n1, n0 = y.sum(), len(y) - y.sum()
-    p1, p0, p = (toxic + 0.5) / (n1 + 1), (n - toxic + 0.5) / (n0 + 1), n / len(y)
-    z = (p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-    strong = np.flatnonzero((np.abs(z) >= LEAST_Z) & (n >= 3) & ~np.isin(values, known))
+    toxic, other = y.sum(), len(y) - y.sum()
+    p1, p0, p = (n1 + 0.5) / (toxic + 1), (n0 + 0.5) / (other + 1), (n0 + n1) / len(y)
+    z = (p1 - p0) / np.sqrt(p * (1 - p) * (1 / toxic + 1 / other) + 1e-12)
+    strong = np.flatnonzero((np.abs(z) >= LEAST_Z) & (n0 + n1 >= 3) & ~np.isin(values, known))
     strong = strong[np.argsort(-np.abs(z[strong]), kind="stable")[:FEATURES]]
     hashes = np.unique(np.concatenate((values[strong], known)))
-    at = np.searchsorted(hashes, h)
-    at[at == len(hashes)] = 0
-    hit = hashes[at] == h
     x = np.zeros((len(rows), len(hashes)), dtype=np.float64)
-    x[of[hit], at[hit]] = 1
+    for i, r in enumerate(rows):
+        x[i] = np.isin(hashes, np.frombuffer(r.features, dtype=U64))
     # The loss counts each sampled row for the labels of its kind that it stands for.
-    share = {1: totals.get(1, 0) / n1, 0: totals.get(0, 0) / n0}
+    share = {1: totals.get(1, 0) / toxic, 0: totals.get(0, 0) / other}
     weight = np.array([share[int(v)] for v in y])
     weight /= weight.mean()
     penalty = RIDGE * np.eye(len(hashes) + 1)
@@ -211,9 +213,11 @@ def fit_toxicity(
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with a score between 0 and 1 for every whole text (likelier toxic
     the higher). Null and empty texts get the score of a text without any feature."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(name, model.score_column()(F.col(text_col)))
 
 
 def keep_civil(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, unchanged, whose score is below ``threshold``."""
+    small_batches(docs.sparkSession)
     return docs.where(model.score_column()(F.col(text_col)) < threshold)

@@ -37,7 +37,7 @@ _JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dial
 _JUNK_WORDS = re.compile(
     r"^(ad|ads|adv|advert\w*|adbox|adsense|banner\w*|sponsor\w*|promo\w*|sidebar\w*|side|widget\w*|menu\w*|nav|navbar|navigation|breadcrumb\w*|"
     r"footer\w*|masthead|topbar|toolbar|comment\w*|disqus|respond|repl(?:y|ies)|cookie\w*|consent|gdpr|notice\w*|alert\w*|popup\w*|modal\w*|"
-    r"overlay|newsletter\w*|subscri\w+|signup|login|share|sharing|social\w*|related\w*|recommend\w*|pagination|pager|skip|hidden|copyright|disclaimer|tags|byline|meta)$"
+    r"overlay|newsletter\w*|subscri\w+|signup|login|share|sharing|social\w*|related\w*|recommend\w*|pagination|pager|skip|hidden|copyright|disclaimer)$"
 )
 _GOOD_WORDS = re.compile(r"^(article\w*|body|content\w*|entry\w*|main\w*|post\w*|story\w*|text)$")
 _WHOLE = frozenset("html body article main".split())
@@ -72,7 +72,7 @@ def _is_junk(tag: str, attrs: str, in_article: bool) -> tuple[bool, float]:
         if name in ("class", "id"):
             words = re.split(r"[^a-z0-9]+", value)
             if tag not in _WHOLE or "comment" in value:
-                if any(_JUNK_WORDS.match(w) for w in words) or (tag == "div" and "header" in words):
+                if any(_JUNK_WORDS.match(w) for w in words) or ("header" in words and not in_article):
                     return True, 0.0
             if any(_GOOD_WORDS.match(w) for w in words):
                 points += 10.0

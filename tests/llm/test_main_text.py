@@ -53,6 +53,11 @@ def test_junk_inside_the_article_goes():
     assert main_text(page) == "T One, two, three. Four. Five."
 
 
+def test_parts_of_the_article_stay():
+    page = "<div class=header>Site</div><article><div class='article-header'><h1>T</h1><p class=byline>By A</p></div><p>One, two.<p class=tags>x y</article>"
+    assert main_text(page) == "T By A One, two. x y"
+
+
 def test_blocks_spaces_and_references():
     page = "<article><p>a&amp;b&nbsp;c<br>d <i>e</i>f</p><ul><li>x<li>y</ul><table><tr><td>1<td>2</table><pre>k\n  l</pre></article>"
     assert main_text(page) == "a&b c d ef x y 1 2 k l"

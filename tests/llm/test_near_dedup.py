@@ -4,9 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cabgrid.llm import superminhash as smh
 from cabgrid.llm.components import connected
+from cabgrid.session import checkpoint_root
 from cabgrid.llm.superminhash import keep_one, near_duplicates, signatures
 from corpus import awkward, empty, frame, rows_of, sentence
 
@@ -76,7 +78,7 @@ def test_empty_table(spark):
 
 def test_keep_one_keeps_one_of_each_group(spark):
     rows = awkward(random.Random(9))
-    docs = frame(spark, rows)
+    docs = frame(spark, rows).withColumns({"kept_id": F.lit(1), "kept": F.lit("x")})
     out = keep_one(docs)
     assert out.columns == docs.columns
     ids = [r.doc_id for r in out.collect()]
@@ -127,3 +129,14 @@ def test_components_of_chains_stars_and_cycles(spark):
     want = {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 700)} | {1: 1, 2: 1, 3: 1}
     assert got == want
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_only_the_result_stays_on_disk(spark):
+    import os
+
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(os.listdir(f"{root}/cabgrid-llm")) if os.path.isdir(f"{root}/cabgrid-llm") else set()
+    got = near_duplicates(frame(spark, awkward(random.Random(2))), 4)
+    left = set(os.listdir(f"{root}/cabgrid-llm")) - before
+    assert [os.listdir(f"{root}/cabgrid-llm/{x}") for x in left] == [["groups"]]
+    assert got.count() > 0

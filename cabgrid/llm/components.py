@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -33,7 +33,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def connected(links: DataFrame) -> DataFrame:
+def connected(links: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = saved) -> DataFrame:
     """(``node``, ``component``) for every node of the links (``a``, ``b``); the
     component is its smallest node.
 
@@ -42,9 +42,10 @@ def connected(links: DataFrame) -> DataFrame:
     each node's larger neighbours are linked to its smallest neighbour, then each
     node is linked to its smallest one alone. Smallest neighbours are minima, so
     a node with very many links is combined before the shuffle and the join with
-    it is one that Spark can split. Null ends are ignored; no links, no rows."""
+    it is one that Spark can split. Null ends are ignored; no links, no rows. Tables
+    between the rounds are written by ``keep``."""
     links = links.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = saved(links.mapInArrow(_forest, "a long, b long").distinct(), "stars")
+    edges = keep(links.mapInArrow(_forest, "a long, b long").distinct(), "stars")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -53,7 +54,7 @@ def connected(links: DataFrame) -> DataFrame:
         large = large.unionByName(least.where("m < a").select("a", F.col("m").alias("b"))).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = saved(small.where("a <> b").distinct(), "edges")
+        edges = keep(small.where("a <> b").distinct(), "edges")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -2,29 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: list[str] = []
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Only a local session may
-    leave it unset (tests); it then gets a folder of its own, removed at exit."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _local_root:
-        _local_root.append(tempfile.mkdtemp(prefix="cabgrid-scratch-"))
-        atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
-    return _local_root[0]
-
+from cabgrid.session import checkpoint_root
 
 #: Text that Spark hands to a Python worker at once, unless the session says otherwise.
 BATCH_BYTES = "8m"
@@ -41,6 +24,32 @@ def small_batches(spark: SparkSession) -> None:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage
     ends here, so a lost executor costs no recomputation of what came before."""
-    path = f"{shared_root(df.sparkSession)}/cabgrid-llm/{uuid.uuid4().hex}/{name}"
+    return _write(df, f"{checkpoint_root(df.sparkSession)}/cabgrid-llm/{uuid.uuid4().hex}/{name}")
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables of one operator's run, in a folder that goes when the run is over:
+
+    ``with Scratch(spark) as keep: step = keep(df, "step")``; the result is
+    :func:`saved`, or doesn't read those tables."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{checkpoint_root(spark)}/cabgrid-llm/{uuid.uuid4().hex}"
+        self.tables = 0
+
+    def __enter__(self) -> Callable[[DataFrame, str], DataFrame]:
+        return self.keep
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables += 1
+        return _write(df, f"{self.folder}/{self.tables}-{name}")
+
+    def __exit__(self, *_: object) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -19,7 +19,7 @@ Only the links that join something leave a task, never all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cabgrid.llm import text as tx
 from cabgrid.llm.components import connected
-from cabgrid.llm.scratch import saved, small_batches
+from cabgrid.llm.scratch import Scratch, saved, small_batches
 
 U64 = tx.U64
 #: 40 bands of 5 values: a pair of similarity 0.8 meets in no band with
@@ -274,21 +274,35 @@ def near_duplicates(
     component of all of them. An empty table gives an empty result; other
     columns are not read."""
     small_batches(docs.sparkSession)
+    with Scratch(docs.sparkSession) as keep:
+        return saved(_groups(docs, shingle, percent, id_col, text_col, bands, rows, keep), "groups")
+
+
+def _groups(
+    docs: DataFrame,
+    shingle: int,
+    percent: int,
+    id_col: str,
+    text_col: str,
+    bands: int,
+    rows: int,
+    keep: Callable[[DataFrame, str], DataFrame],
+) -> DataFrame:
     wide = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    sketch = saved(
+    sketch = keep(
         wide.mapInArrow(_sketch(shingle, bands, rows), "id long, n long, s1 long, s2 long, keys array<long>, sign binary"), "sketch"
     )
     full = sketch.where("n > 0")
     same = ["n", "s1", "s2"]
-    classes = saved(full.groupBy(*same).agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.first("sign").alias("sign")), "classes")
+    classes = keep(full.groupBy(*same).agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.first("sign").alias("sign")), "classes")
     # Every class is known by its smallest id. Buckets of one class are no use.
     members = classes.select(F.explode("keys").alias("key"), "rep", "n")
     crowded = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("least")).where("c > 1")
-    left = saved(members.join(crowded, "key"), "members")
+    left = keep(members.join(crowded, "key"), "members")
     own = full.join(classes.select(*same, "rep"), same).select("id", "n", "rep")
     # An id may come with several texts: it ties their classes together.
     ties = own.groupBy("id").agg(F.min("rep").alias("a"), F.collect_set("rep").alias("b")).where(F.size("b") > 1)
-    ties = saved(ties.select("a", F.explode("b").alias("b")).where("a <> b"), "ties")
+    ties = keep(ties.select("a", F.explode("b").alias("b")).where("a <> b"), "ties")
 
     least = least_matches(percent, bands * rows)
     signs = classes.select("rep", "n", "sign")
@@ -302,11 +316,11 @@ def near_duplicates(
         .applyInArrow(_families(percent, least), "a long, b long")
     )
     whole = left.where((F.col("c") > BUCKET_MEMBERS) & (F.col("rep") > F.col("least"))).select(F.col("least").alias("a"), F.col("rep").alias("b"))
-    families = connected(near.unionByName(whole).unionByName(ties)).withColumnRenamed("node", "rep").withColumnRenamed("component", "family")
+    families = connected(near.unionByName(whole).unionByName(ties), keep).withColumnRenamed("node", "rep").withColumnRenamed("component", "family")
 
     # Blocks of a family, and each member once for every pair with its block.
     sizes = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("blocks"))
-    placed = saved(families.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "families")
+    placed = keep(families.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "families")
     held = wide.join(placed.select(F.col("rep").alias("id")), "id", "left_semi").mapInArrow(_sets(shingle), "id long, held binary")
     held = placed.join(held.withColumnRenamed("id", "rep"), "rep").join(signs.select("rep", "sign"), "rep")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -318,8 +332,8 @@ def near_duplicates(
     group = F.when(F.col("blocks") == 1, F.struct(F.pmod(F.xxhash64("family"), F.lit(few)).alias("f"), F.lit(-1).alias("i"), F.lit(-1).alias("j")))
     group = group.otherwise(F.struct(F.col("family").alias("f"), F.col("first").alias("i"), F.col("second").alias("j")))
     found = spread.withColumn("of", group).drop("blocks").groupBy("of").applyInArrow(_confirm(percent, least), "a long, b long")
-    links = saved(found.unionByName(ties), "links")
-    group = connected(links).withColumnRenamed("node", "rep")
+    links = keep(found.unionByName(ties), "links")
+    group = connected(links, keep).withColumnRenamed("node", "rep")
     named = own.join(group, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
     alone = sketch.where("n = 0").select("id", "n", F.col("id").alias("component"))
     return named.unionByName(alone).select(
@@ -333,10 +347,10 @@ def near_duplicates(
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, unchanged, without those that are near duplicates of a
     row with a smaller id; of rows with one id, one stays. Rows with a null id stay."""
-    groups = saved(near_duplicates(docs, shingle, percent, id_col, text_col), "groups")
+    groups = near_duplicates(docs, shingle, percent, id_col, text_col)
     kept = groups.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    wanted = F.col(id_col).cast("long") == F.col("kept_id")
-    rows = docs.join(kept, wanted, "left_semi")
+    wanted = docs[id_col].cast("long") == kept["kept_id"]
+    rows = docs.join(kept.hint("merge"), wanted, "left_semi")  # grows with the corpus: not sent to all tasks
     if not groups.groupBy("doc_id").count().where("count > 1").isEmpty():
         packed = rows.select(F.struct("*").alias("row"))
         order = Window.partitionBy(F.col("row").getField(id_col)).orderBy(F.xxhash64(F.col("row").getField(text_col)))

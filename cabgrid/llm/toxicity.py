@@ -1,6 +1,6 @@
 """Toxicity scores by a counterfactually regularised classifier.
 
-Features are the presence of words and of word beginnings (4 to 6 characters).
+Features are the presence of words and of word beginnings (4 and 6 characters).
 A bounded sample of labelled documents chooses those that separate toxic from
 other documents and fits a logistic model. Identity terms (words that name
 groups of people) have weights of their own and no beginnings. For every
@@ -25,7 +25,7 @@ from cabgrid.llm.logistic import fit, sigmoid
 from cabgrid.llm.scratch import small_batches
 
 U64 = tx.U64
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 6)
 #: Families of identity terms; a swap stays in its family.
 IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
     "religion": ("christian", "christians", "muslim", "muslims", "jewish", "jews", "hindu", "hindus", "buddhist", "buddhists", "atheist", "atheists"),
@@ -36,7 +36,7 @@ IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
     "age and health": ("old", "young", "elderly", "disabled", "blind", "deaf"),
 }
 #: Labelled documents to fit on: at most so many toxic and so many others.
-SAMPLE_TOXIC, SAMPLE_OTHER = 2_500, 5_000
+SAMPLE_TOXIC, SAMPLE_OTHER = 2_000, 4_000
 #: Features kept, and the least separation (in standard errors) of a kept one.
 FEATURES, LEAST_Z = 512, 5.0
 RIDGE, SWAP_WEIGHT = 0.01, 10.0

@@ -14,7 +14,7 @@ symbols inside it that its own words determine; the number of rounds is the
 largest for which there always is one. Consecutive windows with the same
 smallest name travel together under that name: names are dealt over the
 cluster, a name that occurs once is dropped, and under a shared name the
-window fingerprints (32 bits beside the 64 of the name, over all words of the
+window fingerprints (64 bits beside the 64 of the name, over all words of the
 window) verify which windows are repeats and which document has them first.
 """
 
@@ -90,7 +90,7 @@ def windows_of(data: np.ndarray, offs: np.ndarray, window: int) -> tuple[np.ndar
     t = np.flatnonzero(inside + window <= length[at])
     if len(t) == 0:
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(U64), none.astype(np.uint32)
+        return none, none, none.astype(U64), none.astype(U64)
     rounds = rounds_for(window)
     margin = 2**rounds - 1
     names, start = pair_rounds(words, first[:-1][length > 0], rounds)
@@ -100,16 +100,18 @@ def windows_of(data: np.ndarray, offs: np.ndarray, window: int) -> tuple[np.ndar
     np.cumsum(begun, out=begun)
     name = _range_min(names, begun[t + margin], begun[t + window - margin + 1] - 2)
     seen = tx.hash_long_windows(words, window, tx.WORD_BASE_2)[t]
-    return at[t], inside[t], name, (seen >> U64(32)).astype(np.uint32)
+    return at[t], inside[t], name, seen
 
 
-def _repeated(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which entries have an equal key with a smaller doc."""
-    order = np.argsort(key)
-    edges = np.flatnonzero(np.diff(key[order], prepend=key[order[:1]] ^ U64(1)))
+def _repeated(name: np.ndarray, seen: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which entries have an equal name and fingerprint with a smaller doc."""
+    order = np.lexsort((seen, name))
+    new = np.ones(len(name), dtype=bool)
+    new[1:] = (name[order[1:]] != name[order[:-1]]) | (seen[order[1:]] != seen[order[:-1]])
+    edges = np.flatnonzero(new)
     least = np.minimum.reduceat(doc[order], edges)
-    later = np.empty(len(key), dtype=bool)
-    later[order] = doc[order] > np.repeat(least, np.diff(edges, append=len(key)))
+    later = np.empty(len(name), dtype=bool)
+    later[order] = doc[order] > np.repeat(least, np.diff(edges, append=len(name)))
     return later
 
 
@@ -140,7 +142,7 @@ def _send(window: int, buckets: int):
                 if len(at) == 0:
                     continue
                 doc, tag = ids[at], tags[at]
-                later = _repeated(name ^ (tx.mix(seen.astype(U64)) << U64(1)), doc)
+                later = _repeated(name, seen, doc)
                 rows = []
                 # Repeats of a smaller document in the same slice are settled here.
                 begin, n = _stretches(at[later], at=t[later])
@@ -180,7 +182,7 @@ def _settle(table: pa.Table) -> pa.Table:
     docs, tags = [whole("doc", np.int64, True)], [whole("tag", np.int32, True)]
     begins, sizes = [whole("first", np.uint32, True)], [whole("n", np.uint32, True)]
     name, doc, tag = whole("name", U64, False), whole("doc", np.int64, False), whole("tag", np.int32, False)
-    first, n, seen = whole("first", np.uint32, False), whole("n", np.uint32, False), whole("seen", np.uint32, False)
+    first, n, seen = whole("first", np.uint32, False), whole("n", np.uint32, False), whole("seen", U64, False)
     got.clear()
     order = np.argsort(name)
     same = np.zeros(len(name), dtype=bool)
@@ -193,8 +195,7 @@ def _settle(table: pa.Table) -> pa.Table:
         k = n[some].astype(np.int64)
         step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
         of = np.repeat(some, k)
-        print_ = seen[offset[of] + step]
-        later = _repeated(name[of] ^ (tx.mix(print_.astype(U64)) << U64(1)), doc[of])
+        later = _repeated(name[of], seen[offset[of] + step], doc[of])
         of, at = of[later], (first[of] + step)[later]
         begin, size = _stretches(of, at=at)
         docs.append(doc[of[begin]])

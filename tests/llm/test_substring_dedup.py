@@ -7,6 +7,7 @@ from hypothesis import given, settings, strategies as st
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 from cabgrid.llm import substrings as sub, text as tx
 from cabgrid.llm.substrings import remove_repeats
@@ -86,6 +87,27 @@ def test_equal_windows_have_equal_representatives(texts, window):
     assert len(set(known.values())) == len(known)
 
 
+def found_of(texts, window, buckets=16):
+    """{doc: first words of its repeated windows}, from the functions that tasks run."""
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.array([0] * len(texts), pa.int32())], names=["doc", "text", "tag"])
+    sent = pa.Table.from_batches([b for k in range(len(texts)) for b in sub._send(window, buckets)(iter([batch.slice(k, 1)]))])
+    found = {}
+    for bucket in set(sent.column("bucket").to_pylist()):
+        for r in sub._settle(sent.filter(pa.compute.equal(sent.column("bucket"), bucket))).to_pylist():
+            for first, n in np.frombuffer(r["starts"], np.uint32).reshape(-1, 2):
+                found.setdefault(r["doc"], set()).update(range(first, first + n))
+    return found
+
+
+def test_windows_that_share_a_name_and_half_their_hash_are_not_repeats(monkeypatch):
+    texts = ["a b c d e", "v w x y z", "q b c d e", "a b c d e"]
+    whole = tx.hash_long_windows
+    for half in (0xFFFFFFFF, 0xFFFFFFFF << 32):
+        monkeypatch.setattr(tx, "hash_long_windows", lambda *a, half=half: whole(*a) & np.uint64(half))
+        monkeypatch.setattr(sub, "_range_min", lambda values, lo, hi: np.full(len(lo), 7, np.uint64))
+        assert found_of(texts, 4) == {2: {1}, 3: {0, 1}}
+
+
 def test_rounds_leave_a_determined_symbol():
     assert [sub.rounds_for(w) for w in (1, 4, 5, 12, 13, 28, 29, 60, 61)] == [0, 0, 1, 1, 2, 2, 3, 3, 4]
 

@@ -30,8 +30,8 @@ UNIGRAM, BPE = 1, 2
 SPACE = "▁"
 SLICE_BYTES = 512 << 10
 THREADS = 2
-#: One text of so many, by its hash, is encoded by the SentencePiece library too.
-PARITY_EVERY = 4
+#: One text of so many, by its hash, is encoded by the SentencePiece library too (1: every text).
+PARITY_EVERY = 1
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -250,9 +250,9 @@ def encoded(
     """``doc_id``, ``n_tokens``, ``n_byte_tokens`` (pieces that stand for a byte),
     ``ids`` (little-endian 32-bit integers), ``round_trip`` (the ids stand for the
     text again) and ``parity`` of every whole text. ``parity`` tells whether the
-    SentencePiece library gives the same ids; that costs as much again as encoding,
-    so it is checked for one text of ``parity_every``, chosen by the text's hash (1:
-    for all, 0: for none), and null for the others.
+    SentencePiece library gives the same ids; that costs as much again as encoding.
+    It is checked for every text, or with ``parity_every`` above 1 for one text of so
+    many, chosen by the text's hash, and null for the others (0: for none).
 
     Null and empty texts have no ids, and ``round_trip`` holds. The pieces of control
     symbols are ordinary text. A model that squeezes or maps characters doesn't

@@ -16,6 +16,10 @@ smallest name travel together under that name: names are dealt over the
 cluster, a name that occurs once is dropped, and under a shared name the
 window fingerprints (64 bits beside the 64 of the name, over all words of the
 window) verify which windows are repeats and which document has them first.
+
+A frequent word with a low hash represents a share of all windows that doesn't
+fall as the corpus grows. Names are therefore counted first, and the windows of
+a heavy one are dealt by bits of their fingerprints too: equal windows still meet.
 """
 
 from __future__ import annotations
@@ -33,6 +37,11 @@ U64 = tx.U64
 #: Text parsed at once by a task, and text whose symbols share one bucket.
 SLICE_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20
+#: Windows of one name from which they are spread, over parts of a quarter as many.
+HEAVY_WINDOWS = 1 << 20
+#: Names a task counts at once, and the least count that it reports.
+COUNTED_NAMES = 1 << 18
+LEAST_COUNT = 32
 
 
 def rounds_for(window: int) -> int:
@@ -131,18 +140,72 @@ _SENT = "bucket int, name binary, doc binary, tag binary, first binary, n binary
 _FOUND = "doc long, tag int, starts binary"
 
 
-def _send(window: int, buckets: int):
+def _slice_windows(part: pa.RecordBatch, window: int) -> tuple[np.ndarray, ...]:
+    """Text number, first word, name, fingerprint and document of a slice's windows,
+    and whether a smaller document of the slice has the window too."""
+    ids = part.column("doc").to_numpy(zero_copy_only=False)
+    at, t, name, seen = windows_of(*tx.string_bytes(part.column("text")), window)
+    doc = ids[at]
+    return at, t, name, seen, doc, _repeated(name, seen, doc) if len(at) else np.zeros(0, bool)
+
+
+def _frequent(names: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by name, for ``most`` names at most: if there are more, the largest
+    count left out is taken from all (at most 1 / most of the windows is lost to a name)."""
+    names, which = np.unique(names, return_inverse=True)
+    counts = np.bincount(which, weights=counts, minlength=len(names)).astype(np.int64)
+    if len(names) > most:
+        counts = counts - np.partition(counts, -most - 1)[-most - 1]
+        names, counts = names[counts > 0], counts[counts > 0]
+    return names, counts
+
+
+def _count(window: int, most: int, least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, counts = np.zeros(0, U64), np.zeros(0, np.int64)
+        for batch in batches:
+            for part in tx.slices(batch, "text", SLICE_BYTES):
+                _, _, name, _, _, later = _slice_windows(part, window)
+                some, n = np.unique(name[~later], return_counts=True)
+                names, counts = _frequent(np.concatenate((names, some)), np.concatenate((counts, n)), most)
+        often = counts >= least
+        yield pa.record_batch([pa.array(names[often].view(np.int64)), pa.array(counts[often])], names=["name", "n"])
+
+    return run
+
+
+def heavy_names(rows: DataFrame, window: int, heavy: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names (ascending) with ``heavy`` windows or more, and into how many parts (a
+    power of two) each one's windows go. There are fewer than windows / ``heavy``."""
+    counted = rows.mapInArrow(_count(window, COUNTED_NAMES, min(LEAST_COUNT, heavy)), "name long, n long")
+    found = counted.groupBy("name").agg(F.sum("n").alias("n")).where(F.col("n") >= heavy).collect()
+    names = np.array([r.name for r in found], dtype=np.int64).view(U64)
+    parts = np.array([1 << (4 * r.n // heavy - 1).bit_length() for r in found], dtype=U64)
+    order = np.argsort(names)
+    return names[order], parts[order]
+
+
+def _dealt(name: np.ndarray, seen: np.ndarray, buckets: int, heavy: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The bucket of each window: by its name, and by its fingerprint if that is heavy."""
+    to = (name % U64(buckets)).astype(np.int32)
+    names, parts = heavy
+    if len(names):
+        place = np.minimum(np.searchsorted(names, name), len(names) - 1)
+        hot = names[place] == name
+        part = seen[hot] & (parts[place[hot]] - U64(1))
+        to[hot] = (tx.mix(name[hot] + part * U64(0x9E3779B97F4A7C15)) % U64(buckets)).astype(np.int32)
+    return to
+
+
+def _send(window: int, buckets: int, heavy: tuple[np.ndarray, np.ndarray] = (np.zeros(0, U64), np.zeros(0, U64))):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("name", "doc", "tag", "first", "n", "seen")])
         for batch in batches:
             for part in tx.slices(batch, "text", SLICE_BYTES):
-                ids = part.column("doc").to_numpy(zero_copy_only=False)
-                tags = part.column("tag").to_numpy(zero_copy_only=False)
-                at, t, name, seen = windows_of(*tx.string_bytes(part.column("text")), window)
+                at, t, name, seen, doc, later = _slice_windows(part, window)
                 if len(at) == 0:
                     continue
-                doc, tag = ids[at], tags[at]
-                later = _repeated(name, seen, doc)
+                tag = part.column("tag").to_numpy(zero_copy_only=False)[at]
                 rows = []
                 # Repeats of a smaller document in the same slice are settled here.
                 begin, n = _stretches(at[later], at=t[later])
@@ -151,8 +214,9 @@ def _send(window: int, buckets: int):
                     rows.append((int(x[0]) % buckets, b"", x, y, t[later][begin].astype(np.uint32), n.astype(np.uint32), b""))
                 keep = ~later
                 at, t, name, seen, doc, tag = at[keep], t[keep], name[keep], seen[keep], doc[keep], tag[keep]
-                begin, n = _stretches(at, name, at=t)
-                to = (name[begin] % U64(buckets)).astype(np.int32)
+                to = _dealt(name, seen, buckets, heavy)
+                begin, n = _stretches(at, name, to, at=t)
+                to = to[begin]
                 order = np.argsort(to, kind="stable")
                 cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
                 for some in np.split(order, cuts[1:]):
@@ -217,15 +281,18 @@ def _settle(table: pa.Table) -> pa.Table:
     )
 
 
-def repeated_windows(docs: DataFrame, window: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int, id_col: str = "doc_id", text_col: str = "text", heavy: int = HEAVY_WINDOWS) -> DataFrame:
     """Windows of ``window`` words that also start in a document with a smaller
     id: one row per bucket and document, (``doc``, ``tag``, ``starts``), with the
     hash of the text as ``tag`` (ids may repeat) and (first word, number of
-    windows) as pairs of unsigned 32-bit integers in ``starts``."""
+    windows) as pairs of unsigned 32-bit integers in ``starts``. The windows of a
+    name with ``heavy`` of them or more are spread over several buckets."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, -(-size // BUCKET_BYTES))
-    sent = rows.withColumn("tag", F.hash("text")).mapInArrow(_send(window, buckets), _SENT)
+    none = np.zeros(0, U64), np.zeros(0, U64)
+    often = heavy_names(rows, window, heavy) if size >= 2 * heavy else none  # a word takes two bytes
+    sent = rows.withColumn("tag", F.hash("text")).mapInArrow(_send(window, buckets, often), _SENT)
     return sent.groupBy("bucket").applyInArrow(_settle, _FOUND)
 
 

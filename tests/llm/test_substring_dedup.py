@@ -108,6 +108,36 @@ def test_windows_that_share_a_name_and_half_their_hash_are_not_repeats(monkeypat
         assert found_of(texts, 4) == {2: {1}, 3: {0, 1}}
 
 
+def test_windows_of_a_heavy_name_are_spread(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = sentence(rng, 20)
+    # One frequent word, of the lowest hash, represents much of all windows.
+    words = [f"w{k}" for k in range(5000)]
+    starts, ends, _ = tx.find_words(*tx.string_bytes(pa.array(words)))
+    low = words[int(tx.hash_spans(tx.string_bytes(pa.array(words))[0], starts, ends).argmin())]
+    texts = {i: " ".join(f"{low} {rng.choice(words)}" for _ in range(60)) + (" " + passage if i % 3 == 0 else "") for i in range(120)}
+    rows = frame(spark, rows_of(texts)).selectExpr("doc_id as doc", "text")
+    names, parts = sub.heavy_names(rows, 5, 400)
+    assert len(names) and (np.diff(names) > 0).all() and (parts >= 4).all()
+    batch = pa.record_batch([pa.array(list(texts), pa.int64()), pa.array(list(texts.values())), pa.array([0] * len(texts), pa.int32())], names=["doc", "text", "tag"])
+    most = []
+    for heavy in ((np.zeros(0, np.uint64),) * 2, (names, parts)):
+        sizes = {}
+        for b in sub._send(5, 64, heavy)(iter([batch])):
+            for r in b.to_pylist():
+                sizes[r["bucket"]] = sizes.get(r["bucket"], 0) + len(r["seen"]) // 8
+        most.append(max(sizes.values()) / sum(sizes.values()))
+    assert most[1] < most[0] / 2
+    found = [{(r.doc, w) for r in sub.repeated_windows(frame(spark, rows_of(texts)), 5, heavy=h).collect() for f, n in np.frombuffer(r.starts, np.uint32).reshape(-1, 2) for w in range(f, f + n)} for h in (400, 1 << 40)]
+    assert found[0] == found[1] and found[0]
+
+
+def test_counts_of_frequent_names_are_bounded():
+    names = np.array([5, 1, 5, 2, 3, 5, 4, 2], dtype=np.uint64)
+    assert [x.tolist() for x in sub._frequent(names, np.ones(8, np.int64), 8)] == [[1, 2, 3, 4, 5], [1, 2, 1, 1, 3]]
+    assert [x.tolist() for x in sub._frequent(names, np.ones(8, np.int64), 2)] == [[2, 5], [1, 2]]
+
+
 def test_rounds_leave_a_determined_symbol():
     assert [sub.rounds_for(w) for w in (1, 4, 5, 12, 13, 28, 29, 60, 61)] == [0, 0, 1, 1, 2, 2, 3, 3, 4]
 

@@ -5,7 +5,9 @@ elements around it: one, one for each comma, and up to three for its length; in
 full to the element it stands in, half to the one above, a third to the next.
 An element's points are discounted by the share of its text that is in links.
 The best container is kept, or the article around it, with those siblings that
-score well themselves or read like paragraphs of the same text.
+score well themselves or read like paragraphs of the same text, and all between
+and after them that isn't mostly links. Where nothing is left, class and id values
+are disregarded.
 """
 
 from __future__ import annotations
@@ -40,6 +42,9 @@ _JUNK_WORDS = re.compile(
     r"overlay|newsletter\w*|subscri\w+|signup|login|share|sharing|social\w*|related\w*|recommend\w*|pagination|pager|skip|hidden|copyright|disclaimer)$"
 )
 _GOOD_WORDS = re.compile(r"^(article\w*|body|content\w*|entry\w*|main\w*|post\w*|story\w*|text)$")
+#: Beginnings and ends of values that tell of a layout or state, not of a part.
+_LAYOUT = frozenset("with without no not has have is hide show js".split())
+_STATE = frozenset("open closed on off enabled disabled print visible".split())
 _WHOLE = frozenset("html body article main".split())
 #: A start tag that ends an open paragraph, or an open element of its own kind.
 _CLOSES = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "th", "option": "option"}
@@ -60,21 +65,34 @@ class _Element:
     children: list[int] = field(default_factory=list)
 
 
-def _is_junk(tag: str, attrs: str, in_article: bool) -> tuple[bool, float]:
-    """Whether an element isn't part of an article, and points for its names."""
+def _junk_name(pieces: list[str], in_article: bool) -> bool:
+    """Whether a class or id value, as a whole, names a part other than the article:
+    by its first piece (sidebar-right) or its last one (site-footer)."""
+    if pieces[0] in _LAYOUT or pieces[-1] in _STATE:
+        return False
+    if _JUNK_WORDS.match(pieces[0]) or _JUNK_WORDS.match(pieces[-1]):
+        return True
+    return "header" in (pieces[0], pieces[-1]) and not in_article and not re.match("article|entry|post|story", pieces[0])
+
+
+def _is_junk(tag: str, attrs: str, in_article: bool, by_name: bool = True) -> tuple[bool, float]:
+    """Whether an element isn't part of an article (``by_name``: by its class and id
+    values too), and points for its names."""
     if tag in _JUNK_TAGS or (tag == "header" and not in_article):
         return True, 0.0
     points = 25.0 if tag in ("article", "main") else 0.0
+    named_junk = named_good = False
     if not attrs or tag in ("html", "body"):
         return False, points
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
-            words = re.split(r"[^a-z0-9]+", value)
-            if tag not in _WHOLE or "comment" in value:
-                if any(_JUNK_WORDS.match(w) for w in words) or ("header" in words and not in_article):
-                    return True, 0.0
-            if any(_GOOD_WORDS.match(w) for w in words):
+            named = [p for p in (re.findall(r"[a-z0-9]+", v) for v in value.split()) if p]
+            junk = [_junk_name(p, in_article) for p in named]
+            good = any(not j and any(map(_GOOD_WORDS.match, p)) for p, j in zip(named, junk))
+            named_junk |= any(junk) and (tag not in _WHOLE or "comment" in value)
+            named_good |= good
+            if good:
                 points += 10.0
         elif name == "role":
             if value in _JUNK_ROLES:
@@ -84,10 +102,12 @@ def _is_junk(tag: str, attrs: str, in_article: bool) -> tuple[bool, float]:
             return True, 0.0
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True, 0.0
+    if by_name and named_junk and not named_good:
+        return True, 0.0
     return False, points
 
 
-def _parse(page: str) -> tuple[list[_Element], list[tuple[int, str]]]:
+def _parse(page: str, by_name: bool) -> tuple[list[_Element], list[tuple[int, str]]]:
     """Elements, and the text blocks in page order with the element of each."""
     elements = [_Element("html", -1, False, False)]
     stack, open_tags = [0], {"html": 1}
@@ -171,7 +191,7 @@ def _parse(page: str) -> tuple[list[_Element], list[tuple[int, str]]]:
                         close(place)
             flush()
         up = elements[stack[-1]]
-        junk, points = (True, 0.0) if up.junk else _is_junk(tag, token["attrs"], bool(open_tags.get("article") or open_tags.get("main")))
+        junk, points = (True, 0.0) if up.junk else _is_junk(tag, token["attrs"], bool(open_tags.get("article") or open_tags.get("main")), by_name)
         if junk and inline:
             junk = up.junk or tag != "a"  # a link with an odd name is still text
         elements.append(_Element(tag, stack[-1], junk, up.in_link or tag == "a", points))
@@ -190,7 +210,11 @@ def main_text(page: str | None) -> str:
     """The article of a page, blocks joined by one space; empty if there is none."""
     if not page:
         return ""
-    elements, blocks = _parse(page)
+    return _best_text(page, True) or _best_text(page, False)
+
+
+def _best_text(page: str, by_name: bool) -> str:
+    elements, blocks = _parse(page, by_name)
     if not blocks:
         return ""
     for at, block in blocks:
@@ -222,12 +246,15 @@ def main_text(page: str | None) -> str:
         above = elements[above].parent
     keep = {best}
     if elements[best].parent >= 0 and elements[best].tag not in ("article", "main"):
+        begun = False
         for s in elements[elements[best].parent].children:
             e = elements[s]
+            begun = begun or s in keep
             density = e.linked / max(e.length, 1)
             plain = e.tag in ("p", "h1", "h2") or (e.tag not in _INLINE and not e.points and e.length > 80)
-            if score(s) >= max(10.0, SIBLING_SHARE * score(best)) or (plain and e.length and density < 0.25):
+            if score(s) >= max(10.0, SIBLING_SHARE * score(best)) or ((plain or (begun and e.tag not in _INLINE)) and not e.junk and e.length and density < 0.25):
                 keep.add(s)
+                begun = True
     elif elements[best].tag == "article":
         # Articles beside the best one (a text in several parts).
         keep |= {s for s in elements[max(elements[best].parent, 0)].children if elements[s].tag == "article" and score(s) >= SIBLING_SHARE * score(best)}

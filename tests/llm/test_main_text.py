@@ -58,6 +58,26 @@ def test_parts_of_the_article_stay():
     assert main_text(page) == "T By A One, two. x y"
 
 
+@pytest.mark.parametrize("name", ["content with-sidebar", "no-sidebar", "post hidden-print", "post comments-open", "hidden-print", "has-footer entry", "sidebar"])
+def test_names_of_a_layout_dont_drop_the_text(name):
+    text = "One, two, three and more of the text. " * 5
+    assert main_text(f"<body><nav>Home</nav><div class='{name}'><h1>T</h1><p>{text}</p></div><footer>F</footer></body>") == "T " + text.strip()
+
+
+@pytest.mark.parametrize("name", ["sidebar-right", "site-footer", "post-comments", "widget-content", "main-menu", "page-header"])
+def test_names_of_other_parts_still_drop_them(name):
+    text = "One, two, three and more of the text. " * 5
+    assert main_text(f"<body><div class='{name}'><p>Other, words, here.</p></div><div><p>{text}</p></div><div class='{name}'><p>Other, words.</p></div></body>") == text.strip()
+
+
+def test_parts_beside_the_best_container_stay():
+    first = " ".join(f"Paragraph {k}, of the text, with commas." for k in range(20))
+    body = "".join(f"<p>Paragraph {k}, of the text, with commas.</p>" for k in range(20))
+    rest = "<h3>More</h3><ul><li>x<li>y</ul><blockquote>Said.</blockquote><pre>k</pre><table><tr><td>1<td>2</table><div><p>Short, end.</p></div>"
+    links = "<div><a href=/a>One link</a> <a href=/b>two links</a></div>"
+    assert main_text(f"<body>{links}<div>{body}</div>{links}{rest}<div class=ad>Buy</div>{links}</body>") == first + " More x y Said. k 1 2 Short, end."
+
+
 def test_blocks_spaces_and_references():
     page = "<article><p>a&amp;b&nbsp;c<br>d <i>e</i>f</p><ul><li>x<li>y</ul><table><tr><td>1<td>2</table><pre>k\n  l</pre></article>"
     assert main_text(page) == "a&b c d ef x y 1 2 k l"

@@ -6,8 +6,8 @@ one by a new symbol, whose name is a hash of the two names; a name therefore
 means the same word sequence in every document, task and machine, and no round
 needs a dictionary or a shuffle. After ``r`` rounds a symbol spans at most
 ``2**r`` words and is determined by ``2**r - 1`` words on either side, so equal
-word sequences get equal interior symbols. A *run* of equal names counts as one
-symbol whatever its length, since a window may see only a part of it.
+word sequences get equal interior symbols. Runs of equal names are left as they
+are: two equal names never join, and a window in a run still holds a symbol.
 
 Each window of ``window`` words is represented by the smallest name among the
 symbols inside it that its own words determine; the number of rounds is the

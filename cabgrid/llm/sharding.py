@@ -64,8 +64,9 @@ def balanced_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
 
     Rows with equal texts are in one shard (a null text equals an empty one), so a
     shard exceeds the mean size by less than the largest group. Rows that repeat an
-    id, or have a null one, are placed like others. With few groups the last
-    shards stay empty; an empty table gives an empty result. Other columns are not
+    id, or have a null one, are placed like others. With few groups,
+    or a group of more than a shard's share (the others are then filled up to its
+    size), the last shards stay empty; an empty table gives an empty result. Other columns are not
     read."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(

@@ -57,3 +57,50 @@ WITH v AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+def _code_rounds(rounds: int) -> str:
+    """The rounds of VECTOR_CODES: assignment a{i}, then codebooks c{i + 1}."""
+    out = []
+    for i in range(rounds + 1):
+        out.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, part, any_value(x) AS x, min({{'d': d, 'e': entry}}) AS best
+  FROM (
+    SELECT p.vec_id, p.part, p.x, c.entry,
+           list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM p JOIN c{i} c ON c.part = p.part
+  ) GROUP BY vec_id, part
+)""")
+        if i < rounds:
+            out.append(f"""
+m{i} AS (
+  SELECT part, entry, list(mean ORDER BY at) AS x FROM (
+    SELECT part, best.e AS entry, at, floor(sum(x[at]) / count(*))::BIGINT AS mean
+    FROM a{i}, (SELECT unnest(range(1, (SELECT max(w) FROM p) + 1)) AS at) GROUP BY part, best.e, at
+  ) GROUP BY part, entry
+), c{i + 1} AS MATERIALIZED (
+  SELECT c.part, c.entry, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.part = c.part AND m.entry = c.entry
+)""")
+    return ",".join(out)
+
+
+#: For tables with one vector length, a multiple of 8, and ids that don't repeat.
+VECTOR_CODES = f"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e, len(embedding) // 8 AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT vec_id, label, part, w, e[part * w + 1:(part + 1) * w] AS x FROM v, (SELECT unnest(range(8)) AS part)
+), c0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x
+  FROM p WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 16)
+), {_code_rounds(6)}, h AS (
+  SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY part, entry, at)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(x) AS y, unnest(range(len(x))) AS at FROM c6)
+), r AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a6 GROUP BY vec_id
+)
+SELECT r.vec_id, r.code, r.error, (sum(r.error) OVER (PARTITION BY v.label))::BIGINT AS label_error, h.codebooks_sha256
+FROM r JOIN v USING (vec_id) CROSS JOIN h
+"""

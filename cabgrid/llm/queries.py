@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cabgrid.llm import oracles
 from cabgrid.llm.ctph import edited_neighbours
+from cabgrid.llm.gridcodes import fit_codebooks, vector_codes
 from cabgrid.llm.html_text import extract_main_text
 from cabgrid.llm.packing import pack
 from cabgrid.llm.quality import REJECT_BELOW, fit_quality, quality_posteriors
@@ -92,6 +93,15 @@ def op10_fingerprints(spark: SparkSession, table_dir: str) -> DataFrame:
     return edited_neighbours(table(spark, table_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Codes of ``embeddings``: 8 parts, codebooks of 16 entries, 6 rounds."""
+    vectors = table(spark, table_dir, "embeddings")
+    books = fit_codebooks(vectors)
+    return vector_codes(vectors, books).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_top_k": op2_top_k,
@@ -103,10 +113,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
     "op10_fingerprints": op10_fingerprints,
+    "op11_vector_codes": op11_vector_codes,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_top_k": oracles.TOP_K,
     "op3_near_dedup": oracles.NEAR_DEDUP,
     "op5_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op11_vector_codes": oracles.VECTOR_CODES,
 }

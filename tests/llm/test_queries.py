@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_packing": ["doc_id", "piece", "first_word", "n_words", "bin", "bin_offset"],
     "op9_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op10_fingerprints": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+    "op11_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
 }
 
 
@@ -39,7 +40,7 @@ def test_query_equals_sql(spark, name):
 def test_query_has_its_columns_and_rows(spark, name):
     got = QUERIES[name](spark, SF001)
     assert got.columns == COLUMNS[name]
-    table = {"op2_top_k": None, "op7_main_text": "pages", "op8_packing": None}.get(name, "documents")
+    table = {"op2_top_k": None, "op11_vector_codes": "embeddings", "op7_main_text": "pages", "op8_packing": None}.get(name, "documents")
     if table:
         assert got.count() == spark.read.parquet(f"{SF001}/{table}.parquet").count()
 

@@ -75,9 +75,9 @@ a{i} AS MATERIALIZED (
         if i < rounds:
             out.append(f"""
 m{i} AS (
-  SELECT part, entry, list(mean ORDER BY at) AS x FROM (
-    SELECT part, best.e AS entry, at, floor(sum(x[at]) / count(*))::BIGINT AS mean
-    FROM a{i}, (SELECT unnest(range(1, (SELECT max(w) FROM p) + 1)) AS at) GROUP BY part, best.e, at
+  SELECT part, entry, list(mean ORDER BY pos) AS x FROM (
+    SELECT part, best.e AS entry, pos, floor(sum(x[pos]) / count(*))::BIGINT AS mean
+    FROM a{i}, (SELECT unnest(range(1, (SELECT max(w) FROM p) + 1)) AS pos) GROUP BY part, best.e, pos
   ) GROUP BY part, entry
 ), c{i + 1} AS MATERIALIZED (
   SELECT c.part, c.entry, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.part = c.part AND m.entry = c.entry
@@ -96,8 +96,8 @@ WITH v AS (
   SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x
   FROM p WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 16)
 ), {_code_rounds(6)}, h AS (
-  SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY part, entry, at)) AS codebooks_sha256
-  FROM (SELECT part, entry, unnest(x) AS y, unnest(range(len(x))) AS at FROM c6)
+  SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(x) AS y, unnest(range(len(x))) AS pos FROM c6)
 ), r AS (
   SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a6 GROUP BY vec_id
 )

@@ -104,3 +104,42 @@ WITH v AS (
 SELECT r.vec_id, r.code, r.error, (sum(r.error) OVER (PARTITION BY v.label))::BIGINT AS label_error, h.codebooks_sha256
 FROM r JOIN v USING (vec_id) CROSS JOIN h
 """
+
+FILTER_AUDIT = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT doc_id, part,
+         (len(ws) < 100)::INT
+         + 2 * (100 * list_unique(ws) < 80 * len(ws))::INT
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * (doc_id > min(doc_id) OVER (PARTITION BY t))::INT AS mask
+  FROM d
+), c AS (
+  SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask
+), f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM f a JOIN f b ON b.x <> a.x JOIN f c ON c.x NOT IN (a.x, b.x) JOIN f d ON d.x NOT IN (a.x, b.x, c.x) JOIN f e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+), s AS (
+  SELECT filter_order, step, (1 << (ascii(filter_order[step]) - 65)) AS own,
+         coalesce(list_sum(list_transform(range(1, step), lambda k: 1 << (ascii(filter_order[k]) - 65))), 0)::INT AS before
+  FROM o CROSS JOIN (SELECT unnest(range(1, 6)) AS step)
+), r AS (
+  SELECT part, filter_order, step::INT AS step, own,
+         coalesce(sum(n) FILTER (mask & (own | before) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & before <> 0 AND mask & own <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS toxic_lost
+  FROM c CROSS JOIN s GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cabgrid.llm import oracles
 from cabgrid.llm.ctph import edited_neighbours
+from cabgrid.llm.filter_audit import filter_audit
 from cabgrid.llm.gridcodes import fit_codebooks, vector_codes
 from cabgrid.llm.html_text import extract_main_text
 from cabgrid.llm.packing import pack
@@ -102,6 +103,11 @@ def op11_vector_codes(spark: SparkSession, table_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, table_dir: str) -> DataFrame:
+    """What five filters remove from ``documents`` in each of their 120 orders."""
+    return filter_audit(*(table(spark, table_dir, t) for t in ("documents", "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_top_k": op2_top_k,
@@ -114,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_fingerprints": op10_fingerprints,
     "op11_vector_codes": op11_vector_codes,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -121,4 +128,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_near_dedup": oracles.NEAR_DEDUP,
     "op5_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op11_vector_codes": oracles.VECTOR_CODES,
+    "op12_filter_audit": oracles.FILTER_AUDIT,
 }

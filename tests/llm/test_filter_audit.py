@@ -1,0 +1,99 @@
+"""The audit equals applying the filters one after another to every document."""
+
+import random
+import re
+from itertools import permutations
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from cabgrid.llm.filter_audit import FILTERS, Trie, audit, filter_masks, mask_counts
+from corpus import awkward, empty, frame, rows_of, sentence
+
+LABELS = "doc_id long, quality int, toxic int, part string, n string, mask string"
+
+
+def labels_frame(spark, rows):
+    return spark.createDataFrame([(*r, "p", "n", "m") for r in rows], LABELS).repartition(2)
+
+
+def fails(rows):
+    """The letters that each row fails."""
+    out = []
+    for r in rows:
+        text = r[1] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        letters = "A" if len(words) < 100 else ""
+        letters += "B" if 100 * len(set(words)) < 80 * len(words) else ""
+        letters += "C" if 100 * len(re.findall("[A-Z]", text)) > 10 * len(text) else ""
+        letters += "D" if set(text) & set("#$%&*|") else ""
+        letters += "E" if any((x[1] or "") == text and x[0] is not None and (r[0] is None or x[0] < r[0]) for x in rows) else ""
+        out.append(letters)
+    return out
+
+
+def brute(rows, labels):
+    good, toxic = ({x[0] for x in labels if x[k] == 1 and x[0] is not None} for k in (1, 2))
+    marked = list(zip(rows, fails(rows)))
+    out = []
+    for part in {r[2] or "" for r in rows}:
+        mine = [(r, f) for r, f in marked if (r[2] or "") == part]
+        steps = []
+        for order in permutations("ABCDE"):
+            left = mine
+            for k, c in enumerate(order):
+                gone = [r for r, f in left if c in f]
+                failing = sum(c in f for _, f in mine)
+                left = [x for x in left if c not in x[1]]
+                lost = [sum(r[0] in s for r in gone) for s in (good, toxic)]
+                steps.append((c, (part, "".join(order), k + 1, len(left), len(gone), failing - len(gone), sum(f == c for _, f in mine), *lost)))
+        total = {c: sum(s[4] for x, s in steps if x == c) for c in "ABCDE"}
+        out += [(*s, total[c]) for c, s in steps]
+    return sorted(out)
+
+
+def check(spark, rows, labels, parts=3, **sizes):
+    masks = filter_masks(frame(spark, rows, parts), **sizes)
+    got = audit(mask_counts(masks, labels_frame(spark, labels)), "".join(FILTERS) + "E")
+    columns = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    assert sorted(map(tuple, got.select(columns).collect())) == brute(rows, labels)
+
+
+def test_awkward_rows(spark):
+    rng = random.Random(1)
+    rows = awkward(rng)
+    rows += rows_of({30: "100 % sure & so on", 31: "SHOUT " * 120, 32: sentence(rng, 300), 33: "", 34: None, 35: " ".join(f"w{i}" for i in range(100))})
+    labels = [(10, 1, 0), (11, 0, 1), (11, 1, None), (31, 0, 1), (32, 1, 1), (32, 1, 1), (None, 1, 1), (99, 1, 1)]
+    check(spark, rows, labels)
+
+
+@pytest.mark.parametrize("trie_bytes", [1, 3000])
+def test_many_copies_and_shared_prefixes_with_small_tries(spark, trie_bytes):
+    rng = random.Random(2)
+    hot, start = sentence(rng, 60), sentence(rng, 40)
+    texts = {i: hot if i % 3 == 0 else start + f" {rng.randrange(30)}" + "x" * rng.randrange(3) for i in range(240)}
+    rows = rows_of(texts)
+    rng.shuffle(rows)
+    check(spark, rows, [(i, i % 2, int(i % 5 == 0)) for i in range(0, 240, 7)], parts=5, trie_bytes=trie_bytes)
+
+
+def test_copies_are_settled_before_the_ranges(spark):
+    rows = rows_of({i: "the same text" for i in range(300)})
+    masks = filter_masks(frame(spark, rows, 1)).collect()
+    assert sum(r.n for r in masks) == 300 and sum(r.n for r in masks if not r.mask & 16) == 1
+
+
+def test_empty_table_and_no_labels(spark):
+    assert filter_masks(empty(spark)).collect() == []
+    assert audit(mask_counts(filter_masks(empty(spark)), labels_frame(spark, [])), "ABCDE").collect() == []
+    check(spark, rows_of({1: "one", 2: "one"}), [])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.binary(max_size=12).map(lambda b: bytes(x % 3 for x in b)), st.integers(0, 50)), max_size=40))
+def test_trie_holds_the_least_id_of_every_text(pairs):
+    trie = Trie()
+    nodes = [trie.insert(t, i) for t, i in pairs]
+    for (t, _), node in zip(pairs, nodes):
+        assert node.least == min(i for x, i in pairs if x == t)
+        assert trie.insert(t, 99) is node

@@ -20,9 +20,11 @@ from cabgrid.llm.substrings import remove_repeats
 from cabgrid.llm.superminhash import near_duplicates
 from cabgrid.llm.topk import top_k
 from cabgrid.llm.toxicity import THRESHOLD, fit_toxicity, held_out, toxicity_scores
+from cabgrid.llm.vector_packing import pack_examples, read_tokenizer
 
-#: A public vocabulary; a cluster names its own copy.
+#: Public vocabularies; a cluster names its own copies.
 SPM_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+TOKENIZER_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
@@ -108,6 +110,12 @@ def op12_filter_audit(spark: SparkSession, table_dir: str) -> DataFrame:
     return filter_audit(*(table(spark, table_dir, t) for t in ("documents", "labels")))
 
 
+def op13_sequences(spark: SparkSession, table_dir: str, tokenizer_path: str = TOKENIZER_PATH) -> DataFrame:
+    """``documents`` in sequences of 2,048 ids, 256 pieces and 2,048 ids that bear loss (all do)."""
+    packed = pack_examples(table(spark, table_dir, "documents"), read_tokenizer(tokenizer_path))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_top_k": op2_top_k,
@@ -121,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
     "op11_vector_codes": op11_vector_codes,
     "op12_filter_audit": op12_filter_audit,
+    "op13_sequences": op13_sequences,
 }
 
 ORACLE_SQL: dict[str, str] = {

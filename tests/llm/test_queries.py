@@ -22,6 +22,7 @@ COLUMNS = {
     "op10_fingerprints": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op11_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
     "op12_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+    "op13_sequences": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
 }
 
 
@@ -41,7 +42,7 @@ def test_query_equals_sql(spark, name):
 def test_query_has_its_columns_and_rows(spark, name):
     got = QUERIES[name](spark, SF001)
     assert got.columns == COLUMNS[name]
-    table = {"op2_top_k": None, "op12_filter_audit": None, "op11_vector_codes": "embeddings", "op7_main_text": "pages", "op8_packing": None}.get(name, "documents")
+    table = {"op2_top_k": None, "op13_sequences": None, "op12_filter_audit": None, "op11_vector_codes": "embeddings", "op7_main_text": "pages", "op8_packing": None}.get(name, "documents")
     if table:
         assert got.count() == spark.read.parquet(f"{SF001}/{table}.parquet").count()
 

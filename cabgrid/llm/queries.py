@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cabgrid.llm import oracles
+from cabgrid.llm.byte_bpe import read_tokenizer
 from cabgrid.llm.ctph import edited_neighbours
 from cabgrid.llm.filter_audit import filter_audit
 from cabgrid.llm.gridcodes import fit_codebooks, vector_codes
@@ -20,7 +21,7 @@ from cabgrid.llm.substrings import remove_repeats
 from cabgrid.llm.superminhash import near_duplicates
 from cabgrid.llm.topk import top_k
 from cabgrid.llm.toxicity import THRESHOLD, fit_toxicity, held_out, toxicity_scores
-from cabgrid.llm.vector_packing import pack_examples, read_tokenizer
+from cabgrid.llm.vector_packing import pack_examples
 
 #: Public vocabularies; a cluster names its own copies.
 SPM_PATH = "/opt/tokenizers/piece_bpe_32k.model"

@@ -8,7 +8,6 @@ every task and on every machine.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +23,6 @@ _HASH_BLOCK = 1 << 18  # bytes hashed at once; bounds the scratch arrays
 _powers: dict[int, np.ndarray] = {}
 
 
-def one_thread() -> None:
-    """For the tokenizers library: Spark already runs a worker on every core."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: spreads every input bit over the result."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)

@@ -23,7 +23,6 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from cabgrid.llm import text as tx
+from cabgrid.llm.byte_bpe import encoder
 from cabgrid.llm.scratch import small_batches
 
 #: The id after each example's last one.
@@ -166,22 +166,12 @@ def sequences(pool: Pool, limits: Limits, leave: int = 0) -> Iterator[list[Piece
         yield chosen
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(data: bytes):
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_buffer(data)
-    tok.no_padding()
-    tok.no_truncation()
-    return tok
-
-
 def examples_of(data: bytes, texts: list[str], prompts: list[str] | None, ids: list, end: int) -> list[Example]:
     """One example for each text; null texts and prompts are empty."""
-    tx.one_thread()
-    encode = lambda some: [e.ids for e in _tokenizer(data).encode_batch_fast([t or "" for t in some], add_special_tokens=False)]
-    before = encode(prompts) if prompts is not None else [[]] * len(texts)
-    return [Example(id, np.array(p + t + [end], dtype="<u4"), len(p)) for id, p, t in zip(ids, before, encode(texts))]
+    encode = lambda some: encoder(data)([t or "" for t in some])
+    before = encode(prompts) if prompts is not None else [b""] * len(texts)
+    last = end.to_bytes(4, "little")
+    return [Example(id, np.frombuffer(p + t + last, dtype="<u4"), len(p) // 4) for id, p, t in zip(ids, before, encode(texts))]
 
 
 _OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, sequence_id long, offset long"
@@ -217,12 +207,6 @@ def _pack(data: bytes, limits: Limits, end: int, prompted: bool, window: int):
     return run
 
 
-def read_tokenizer(path: str) -> bytes:
-    """A tokenizer's file; a vocabulary of bounded size, sent to the tasks as bytes."""
-    with open(path, "rb") as f:
-        return f.read()
-
-
 def pack_examples(
     docs: DataFrame,
     tokenizer: bytes,

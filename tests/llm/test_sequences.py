@@ -12,12 +12,14 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from cabgrid.llm.queries import QUERIES, TOKENIZER_PATH
-from cabgrid.llm.vector_packing import Example, Limits, Pool, pack_examples, read_tokenizer, sequences
+from cabgrid.llm.byte_bpe import Encoder, read_tokenizer
+from cabgrid.llm.vector_packing import Example, Limits, Pool, pack_examples, sequences
 from conftest import SF01
 from corpus import awkward, empty, frame, rows_of, sentence
 
 TOK = Tokenizer.from_file(TOKENIZER_PATH)
 DATA = read_tokenizer(TOKENIZER_PATH)
+BY_WORD, FORGETS = Encoder(DATA), Encoder(DATA, memo_words=3)
 
 
 def ids_of(text, prompt=None):
@@ -98,6 +100,26 @@ def test_empty_table_and_limits(spark):
         pack_examples(empty(spark), DATA, Limits(0, 1, 1))
 
 
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(st.sampled_from([" ", "  ", "\n", "\t", "a", "don't", "'s", "é", "7", ".", "<|endoftext|>", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "\u180e", "½", "一"]), max_size=12)
+    .map("".join)
+    | st.text(max_size=20)
+)
+def test_ids_by_words_are_those_of_the_whole_text(text):
+    for encode in (BY_WORD, FORGETS):
+        assert np.frombuffer(encode([text, "x " + text])[0], "<u4").tolist() == TOK.encode(text, add_special_tokens=False).ids
+    assert BY_WORD.by_word and len(FORGETS.memo) <= 3
+
+
+def test_other_tokenizers_encode_whole_texts():
+    encode = Encoder(read_tokenizer(TOKENIZER_PATH.replace("byte_bpe_50k", "word_bpe_49k")))
+    other = Tokenizer.from_file(TOKENIZER_PATH.replace("byte_bpe_50k", "word_bpe_49k"))
+    for text in ("Two  Words", "", " \n", "don't <|endoftext|> stop"):
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+    assert not encode.by_word
+
+
 def test_no_padding_and_few_cuts():
     rng = random.Random(3)
     pool = Pool()

@@ -4,7 +4,8 @@ A byte-level tokenizer splits a text before it merges, and never inside white
 space and the word after it in a way that depends on other words: a word with the
 space before it, and a run of white space less its last character, are split off
 wherever they stand. Their ids are therefore kept (in a memo of bounded size, for
-all tasks of a Python worker) and joined. Texts for which that needn't hold, and
+all tasks of a Python worker) and joined. New words are encoded many at a time, as
+one text that is cut again where the bytes of the ids add up to a word's. Texts for which that needn't hold, and
 tokenizers of another kind, are encoded whole.
 """
 
@@ -17,10 +18,13 @@ import struct
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
+
 #: Words with their ids that a Python worker keeps; further ones are encoded where they occur.
 MEMO_WORDS = 1 << 19
-#: Words encoded in one call.
+#: Texts encoded in one call, and words joined to one text.
 BATCH = 4096
+JOINED = 256
 _WORD = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 # White space to Python's expressions only.
 _ODD_SPACE = "\x1c-\x1f"
@@ -41,6 +45,10 @@ class Encoder:
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([f"[{_ODD_SPACE}]", *added]))
         self.by_word = self._splits_at_words(json.loads(data))
+        vocabulary = self.tokenizer.get_vocab() if self.by_word else {}
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        for piece, i in vocabulary.items():
+            self.bytes_of[i] = len(piece)  # a character for each byte
 
     @staticmethod
     def _splits_at_words(file: dict) -> bool:
@@ -56,12 +64,24 @@ class Encoder:
                 out.append(struct.pack(f"<{len(ids)}I", *ids))
         return out
 
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of different words; those that begin with a space are joined."""
+        joined = [w for w in words if w[0] == " " and len(w) > 1 and not w[1].isspace()]
+        single = set(words).difference(joined)
+        found = dict(zip(single, self._encode(list(single))))
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        for group, raw in zip(groups, self._encode(["".join(g) for g in groups])):
+            ends = np.cumsum(self.bytes_of[np.frombuffer(raw, dtype="<u4")])
+            cuts = 4 * (np.searchsorted(ends, np.cumsum([len(w.encode()) for w in group])) + 1)
+            found.update((w, raw[a:b]) for w, a, b in zip(group, [0, *cuts.tolist()], cuts.tolist()))
+        return found
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._encode(texts)
         words = [None if self.whole.search(t) else _WORD.findall(t) for t in texts]
         new = list(set(chain.from_iterable(w for w in words if w)).difference(self.memo))
-        found = dict(zip(new, self._encode(new)))
+        found = self._encode_words(new)
         if len(self.memo) + len(found) <= self.memo_words:
             self.memo.update(found)
             of = self.memo.__getitem__

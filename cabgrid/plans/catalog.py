@@ -27,10 +27,15 @@ def derived_trips(spark: SparkSession, table_dir: str) -> DataFrame:
 
 
 def derived_lines(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The derived trips as text lines, some of them spoilt by their id: with
+    """The derived trips as text lines, some of them spoilt."""
+    return spoilt_lines(raw_trip_table(spark, table_dir))
+
+
+def spoilt_lines(trips: DataFrame) -> DataFrame:
+    """Trips as text lines, some of them spoilt by their id: with
     ``event_id % 50`` 21 empty, 22 too short, 23 with a trip time that is no number
     and 24 with a pickup time in another format."""
-    lines = trip_lines(raw_trip_table(spark, table_dir))
+    lines = trip_lines(trips)
     kind = F.col("event_id") % 50
     value = F.col("value")
     spoilt = (

@@ -266,9 +266,13 @@ STREAM_ORACLE_SQL: dict[str, str] = {
     "stream_top_routes": ORACLE_SQL["top_routes_per_window"],
     "stream_profitable_areas": ORACLE_SQL["profitable_areas"],
     "stream_idle_alerts": ORACLE_SQL["idle_alerts"],
+    "stream_idle_alerts_sliding": ORACLE_SQL["idle_alerts_sliding"],
     "stream_idle_compat": ORACLE_SQL["idle_compat"],
     "stream_congestion_alerts": ORACLE_SQL["congestion_alerts"],
     "stream_cell_rendezvous": ORACLE_SQL["cell_rendezvous"],
     "stream_cell_rendezvous_compat": ORACLE_SQL["cell_rendezvous_compat"],
     "stream_pleasant_drivers": ORACLE_SQL["pleasant_drivers_per_day"],
+    "stream_top_routes_overall": ORACLE_SQL["top_routes"],
+    "stream_pleasant_drivers_overall": ORACLE_SQL["pleasant_drivers"],
+    "stream_reject_counts": ORACLE_SQL["reject_counts"],
 }

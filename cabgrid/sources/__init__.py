@@ -2,7 +2,7 @@
 
 from cabgrid.sources.tables import load_table
 from cabgrid.sources.trips import trips_from_events, trip_lines
-from cabgrid.sources.lines import parse_trips, read_trips, reject_counts
+from cabgrid.sources.lines import OUTCOMES, outcome, parse_trips, read_trips, reject_counts
 from cabgrid.sources.store import read_trip_table, write_trip_table
 
 __all__ = [
@@ -12,6 +12,8 @@ __all__ = [
     "parse_trips",
     "read_trips",
     "reject_counts",
+    "outcome",
+    "OUTCOMES",
     "read_trip_table",
     "write_trip_table",
 ]

@@ -33,12 +33,12 @@ def _field(parts: Column, name: str) -> Column:
     return raw if kind == "string" else raw.try_cast(kind)
 
 
-def parse_trips(lines: DataFrame, line_col: str = "value", id_col: str | None = None) -> DataFrame:
+def parse_trips(lines: DataFrame, line_col: str = "value", id_col: str | None = None, keep_line: bool = False) -> DataFrame:
     """Parse ``lines[line_col]`` into the trip columns plus ``reject_reason``
     (NULL for a good line, else ``empty_line``, ``too_few_fields`` or
     ``bad_field``). ``event_id`` comes from ``id_col`` when given, else it is
     a 64-bit hash of the line (equal lines are equal trips, so the hash is a
-    sufficient tie-breaker).
+    sufficient tie-breaker). ``keep_line`` adds the text itself as ``line``.
 
     A line is split once and each field cast once: the fields leave a one-row
     ``inline``, below which no later filter is pushed (a filter on plain
@@ -47,8 +47,9 @@ def parse_trips(lines: DataFrame, line_col: str = "value", id_col: str | None =
     split = lines.select(event_id.alias("event_id"), F.col(line_col).alias("_line"), F.split(F.col(line_col), ",", -1).alias("_parts"))
     names = [c for c in TRIP_COLUMNS if c != "event_id"]
     fields = F.struct(*[_field(F.col("_parts"), c).alias(c) for c in names])
+    kept = [F.col("_line").alias("line")] if keep_line else []
     row = split.select(
-        "event_id", (F.length("_line") == 0).alias("_empty"), F.size("_parts").alias("_size"), F.inline(F.array(fields)).alias(*names)
+        "event_id", *kept, (F.length("_line") == 0).alias("_empty"), F.size("_parts").alias("_size"), F.inline(F.array(fields)).alias(*names)
     )
     any_bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in names])
     reason = (
@@ -56,30 +57,32 @@ def parse_trips(lines: DataFrame, line_col: str = "value", id_col: str | None =
         .when(F.col("_size") < LINE_MIN_FIELDS, F.lit("too_few_fields"))
         .when(any_bad, F.lit("bad_field"))
     )
-    return row.select(*TRIP_COLUMNS, reason.alias("reject_reason"))
+    return row.select(*TRIP_COLUMNS, reason.alias("reject_reason"), *(["line"] if keep_line else []))
 
 
 def read_trips(
     spark: SparkSession, path: str, min_partitions: int | None = None
 ) -> DataFrame:
     """Read text (optionally gzip) trip files and parse them. A gzip file is
-    a single split, so when the scan yields fewer than ``min_partitions``
-    partitions the lines are spread round-robin before parsing."""
+    a single split, so when there are fewer files than ``min_partitions`` the
+    lines are spread round-robin before parsing."""
     lines = spark.read.text(path)
-    if min_partitions and lines.rdd.getNumPartitions() < min_partitions:
+    if min_partitions and len(lines.inputFiles()) < min_partitions:
         lines = lines.repartition(min_partitions)
     return parse_trips(lines)
 
 
+#: What can become of a line, in the order in which it is decided.
+OUTCOMES = ("empty_line", "too_few_fields", "bad_field", "outside_grid", "accepted")
+
+
+def outcome() -> Column:
+    """What became of a parsed line: one of OUTCOMES."""
+    inside = inside_grid("pickup_long", "pickup_lat") & inside_grid("dropoff_long", "dropoff_lat")
+    return F.coalesce(F.col("reject_reason"), F.when(~inside, F.lit("outside_grid")), F.lit("accepted"))
+
+
 def reject_counts(parsed: DataFrame) -> DataFrame:
     """Number of lines per outcome: parse rejects, ``outside_grid`` (zero or
     out-of-box coordinates) and ``accepted``."""
-    outcome = F.coalesce(
-        F.col("reject_reason"),
-        F.when(
-            ~(inside_grid("pickup_long", "pickup_lat") & inside_grid("dropoff_long", "dropoff_lat")),
-            F.lit("outside_grid"),
-        ),
-        F.lit("accepted"),
-    )
-    return parsed.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("num_lines"))
+    return parsed.groupBy(outcome().alias("outcome")).agg(F.count(F.lit(1)).alias("num_lines"))

@@ -15,7 +15,7 @@ and ``max_trip`` for a dropoff), so that no trip within the delay is late.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cabgrid.functions.text import congested_message, idle_message
 from cabgrid.operators.areas import EMPTY_WINDOW, _empty_count, _tagged_area_rows
@@ -32,12 +32,16 @@ from cabgrid.operators.routes import route_counts
 from cabgrid.operators.tips import driver_tips
 from cabgrid.operators.topk import top_k_per_group
 from cabgrid.schema import IDLE_THRESHOLD_MINUTES, TOP_K
+from cabgrid.sources.lines import OUTCOMES, outcome, parse_trips
+from cabgrid.streaming.sink import OBSERVED
 from cabgrid.streaming.source import to_wall_clock
-from cabgrid.streaming.state import CONGESTION_OUTPUT, IDLE_OUTPUT, CongestedDays, IdleHours, use_rocksdb
+from cabgrid.streaming.state import CONGESTION_OUTPUT, IDLE_OUTPUT, CongestedDays, IdleHours, IdlePanes, use_rocksdb
 
 WATERMARK_DELAY = "3 hours"
 #: The longest trip for which the delay holds in queries on dropoff times.
 MAX_TRIP = "3 hours"
+#: How far the sliding idle window moves on.
+SLIDE = "5 minutes"
 
 
 def widened(delay: str, *more: str) -> str:
@@ -56,6 +60,15 @@ def top_routes_of_batch(counts: DataFrame, k: int = TOP_K) -> DataFrame:
     return top_k_per_group(counts, ["window_start"], order, k)
 
 
+def routes_order() -> list[Column]:
+    """Best first, over all windows; a total order."""
+    return [F.desc("num_trips"), F.asc("window_start"), F.asc("pickup_cell"), F.asc("dropoff_cell")]
+
+
+def drivers_order() -> list[Column]:
+    return [F.desc("total_tip_amount"), F.asc("day"), F.asc("medallion")]
+
+
 def stream_profitable_areas(
     trips: DataFrame, delay: str = WATERMARK_DELAY, distinct_taxis: bool = False, max_trip: str = MAX_TRIP
 ) -> DataFrame:
@@ -83,35 +96,43 @@ def stream_profitable_areas(
     return to_wall_clock(out, ["window_end"])
 
 
-def stream_idle_alerts(
-    trips: DataFrame,
-    delay: str = WATERMARK_DELAY,
-    window: str = IDLE_WINDOW,
-    threshold: float = IDLE_THRESHOLD_MINUTES,
-    forget_after: str | None = None,
-) -> DataFrame:
-    """A taxi's rows of a window are gathered until it closes; the gap to the window
-    before needs the taxi's last dropoff (:mod:`cabgrid.streaming.state`), which is
-    kept until its next trip, however late that is; with ``forget_after`` it is
-    dropped that long after (a longer gap is then not reported)."""
-    use_rocksdb(trips.sparkSession)
+def _taxi_panes(trips: DataFrame, delay: str, pane: str) -> DataFrame:
+    """What a taxi did in each pane of time, when the pane is over: first pickup,
+    last dropoff, seconds and number of the positive gaps inside it."""
     rows = trips.select("medallion", "pickup_dt", "event_id", "dropoff_dt").withWatermark("pickup_dt", widened(delay))
-    hours = rows.groupBy("medallion", F.window("pickup_dt", window).alias("w")).agg(
+    panes = rows.groupBy("medallion", F.window("pickup_dt", pane).alias("w")).agg(
         F.sort_array(F.collect_list(F.struct("pickup_dt", "event_id", "dropoff_dt"))).alias("r")
     )
     following = F.slice("r", 2, F.greatest(F.size("r") - 1, F.lit(0)))
     gaps = F.zip_with(following, F.slice("r", 1, F.size("r") - 1), lambda b, a: F.timestamp_diff("SECOND", a["dropoff_dt"], b["pickup_dt"]))
-    hours = hours.select(
+    panes = panes.select(
         "medallion",
         F.col("w.start").alias("window_start"),
-        F.get("r", F.lit(0))["pickup_dt"].alias("first_pickup"),
-        F.element_at("r", -1)["dropoff_dt"].alias("last_dropoff"),
+        # As numbers: a time out of a watermarked column is watched too, and a pane
+        # that begins before the watermark and ends after it would count as late.
+        F.unix_micros(F.get("r", F.lit(0))["pickup_dt"]).alias("first_pickup"),
+        F.unix_micros(F.element_at("r", -1)["dropoff_dt"]).alias("last_dropoff"),
         F.filter(gaps, lambda g: g > 0).alias("gaps"),
     )
     total = F.aggregate("gaps", F.lit(0).cast("long"), lambda a, g: a + g)
-    hours = hours.select(
+    return panes.select(
         "medallion", "window_start", "first_pickup", "last_dropoff", total.alias("gap_seconds"), F.size("gaps").cast("long").alias("gaps")
     )
+
+
+def stream_idle_alerts(
+    trips: DataFrame,
+    delay: str = WATERMARK_DELAY,
+    window: str = IDLE_WINDOW,
+    threshold: float = IDLE_THRESHOLD_MINUTES,
+    forget_after: str | None = None,
+) -> DataFrame:
+    """A taxi's rows of a window are gathered until it closes; the gap to the window
+    before needs the taxi's last dropoff (:mod:`cabgrid.streaming.state`), which is
+    kept until its next trip, however late that is; with ``forget_after`` it is
+    dropped that long after (a longer gap is then not reported)."""
+    use_rocksdb(trips.sparkSession)
+    hours = _taxi_panes(trips, delay, window)
     forget_us = duration_seconds(forget_after) * 1_000_000 if forget_after else None
     alerts = hours.groupBy("medallion").transformWithStateInPandas(
         IdleHours(float(threshold), forget_us), IDLE_OUTPUT, "append", "eventTime" if forget_after else "none"
@@ -119,6 +140,27 @@ def stream_idle_alerts(
     return to_wall_clock(alerts, ["window_start"]).withColumn("alert_message", idle_message("avg_idle_minutes"))
 
 
+def stream_idle_alerts_sliding(
+    trips: DataFrame,
+    delay: str = WATERMARK_DELAY,
+    window: str = IDLE_WINDOW,
+    slide: str = SLIDE,
+    threshold: float = IDLE_THRESHOLD_MINUTES,
+) -> DataFrame:
+    """The retained hour, moved on by ``slide``: rows are gathered by pane of that
+    length, and a taxi's last panes are kept as a ring of sums to which the newest is
+    added and from which the expired one is subtracted (:mod:`cabgrid.streaming.state`).
+    No row is held, or counted, once for each window that it lies in."""
+    length, step = duration_seconds(window), duration_seconds(slide)
+    if step <= 0 or length % step:
+        raise ValueError("a window must be a whole number of slides")
+    use_rocksdb(trips.sparkSession)
+    alerts = _taxi_panes(trips, delay, slide).groupBy("medallion").transformWithStateInPandas(
+        IdlePanes(float(threshold), step * 1_000_000, length // step), IDLE_OUTPUT, "append", "eventTime"
+    )
+    return to_wall_clock(alerts, ["window_start"]).withColumn("alert_message", idle_message("avg_idle_minutes"))
+
+
 def stream_idle_compat(
     trips: DataFrame, delay: str = WATERMARK_DELAY, window: str = IDLE_WINDOW, threshold: float = IDLE_THRESHOLD_MINUTES
 ) -> DataFrame:
@@ -163,3 +205,15 @@ def stream_driver_tips(trips: DataFrame, delay: str = WATERMARK_DELAY) -> DataFr
 
 def pleasant_drivers_of_batch(tips: DataFrame, k: int = TOP_K) -> DataFrame:
     return top_k_per_group(tips, ["day"], [F.desc("total_tip_amount"), F.asc("medallion")], k)
+
+
+def stream_outcomes(lines: DataFrame, id_col: str | None = None) -> DataFrame:
+    """Trip lines with what became of each: the columns of a trip, ``outcome`` and,
+    for a line that is no clean trip, ``line`` itself. The numbers of lines by outcome are observed on the
+    way, see :func:`cabgrid.streaming.sink.observed_outcomes`. Written by
+    ``write_stream(..., partition_by=["outcome"])``, trips and dead letters leave a
+    micro-batch in one job, each under its outcome's folder."""
+    done = parse_trips(lines, id_col=id_col, keep_line=True).withColumn("outcome", outcome())
+    counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
+    done = done.observe(OBSERVED, *counts).withColumn("line", F.when(F.col("outcome") != "accepted", F.col("line")))
+    return done.drop("reject_reason")

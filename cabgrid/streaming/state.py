@@ -1,4 +1,4 @@
-"""Keyed event-time state for the two order-dependent streaming queries.
+"""Keyed event-time state for the order-dependent streaming queries.
 
 ``lag`` / ``lead`` are not available on a stream, and rows of a taxi can arrive
 out of order within the watermark delay. So a first, plain aggregation gathers
@@ -7,6 +7,9 @@ hour and no earlier row can still arrive, and hours of a taxi come out in order.
 Only what one hour hands to the next is keyed by taxi here:
 
 * idle: the last dropoff so far, for the gap to the first pickup of the hour;
+* sliding idle windows: the last dropoff, and the sums of the panes (as long as
+  the slide) that a window still reaches, with their running total: a new pane is
+  added, one that has left the window is subtracted;
 * congestion: the last four rides of the current day, and whether the day has
   had its alert.
 
@@ -51,7 +54,7 @@ def _stamp(us: list[int]) -> pd.Series:
 
 class IdleHours(StatefulProcessor):
     """Mean idle minutes of every window above ``threshold``. Rows: a taxi's window
-    with its first pickup, last dropoff, and the seconds and number of positive
+    with its first pickup and last dropoff (in microseconds), and the seconds and number of positive
     gaps inside it."""
 
     def __init__(self, threshold: float, forget_us: int | None) -> None:
@@ -67,9 +70,9 @@ class IdleHours(StatefulProcessor):
         out = []
         for h in hours.itertuples():
             total, n = int(h.gap_seconds), int(h.gaps)
-            if last is not None and (gap := (_us(h.first_pickup) - last) // 1_000_000) > 0:
+            if last is not None and (gap := (int(h.first_pickup) - last) // 1_000_000) > 0:
                 total, n = total + gap, n + 1
-            last = _us(h.last_dropoff)
+            last = int(h.last_dropoff)
             if n and float(total) / n / 60.0 > self.threshold:
                 out.append((_us(h.window_start), float(total) / n / 60.0))
         due = None if self.forget_us is None else -(-(last + self.forget_us) // 1000)
@@ -92,6 +95,86 @@ class IdleHours(StatefulProcessor):
         pass
 
 
+class IdlePanes(StatefulProcessor):
+    """Mean idle minutes above ``threshold`` of every window of ``panes`` panes of
+    ``step_us`` that has a positive gap. Rows: a taxi's pane with its first pickup and
+    last dropoff (in microseconds), and the seconds and number of positive gaps inside it.
+
+    Panes of a taxi come in order, so a window is final when a later pane arrives or
+    the watermark has passed its last pane. The state has one map entry for each pane
+    with gaps that an open window reaches (fewer than ``panes``), the totals over
+    them, and the last dropoff; a timer at the end of the next open window takes out
+    what has expired, until no entry is left."""
+
+    def __init__(self, threshold: float, step_us: int, panes: int) -> None:
+        self.threshold, self.step_us, self.panes = threshold, step_us, panes
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last_dropoff", "us long")
+        self.open = handle.getValueState("open_window", "at long, seconds long, gaps long, oldest long")
+        self.ring = handle.getMapState("ring", "pane long", "seconds long, gaps long")
+
+    def _emit(self, at: int, seconds: int, gaps: int, oldest: int, until: int, out: list) -> tuple[int, int, int, int]:
+        """Windows from the one whose last pane is ``at`` up to ``until``, while any pane is left."""
+        while gaps and at <= until:
+            while oldest <= at - self.panes:
+                if self.ring.containsKey((oldest,)):
+                    s, n = self.ring.getValue((oldest,))
+                    self.ring.removeKey((oldest,))
+                    seconds, gaps = seconds - s, gaps - n
+                oldest += 1
+            if gaps:
+                if float(seconds) / gaps / 60.0 > self.threshold:
+                    out.append(((at - self.panes + 1) * self.step_us, float(seconds) / gaps / 60.0))
+                at += 1
+        return at, seconds, gaps, oldest
+
+    def _settled(self, now: tuple[int, int, int, int], watermark_ms: int, out: list) -> None:
+        """Emit what the watermark has passed, and wait for the rest."""
+        now = self._emit(*now, watermark_ms * 1000 // self.step_us - 1, out)
+        if now[2]:
+            self.open.update(now)
+            self.handle.registerTimer(-(-(now[0] + 1) * self.step_us // 1000))
+        else:
+            self.open.clear()
+
+    def _rows(self, key, out: list) -> Iterator[pd.DataFrame]:
+        if out:
+            starts, means = zip(*out)
+            yield pd.DataFrame({"medallion": [key[0]] * len(out), "window_start": _stamp(list(starts)), "avg_idle_minutes": list(means)})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last = self.last.get()[0] if self.last.exists() else None
+        at, seconds, gaps, oldest = self.open.get() if self.open.exists() else (0, 0, 0, 0)
+        out: list = []
+        for h in pd.concat(list(rows)).sort_values("window_start").itertuples():
+            pane, total, n = _us(h.window_start) // self.step_us, int(h.gap_seconds), int(h.gaps)
+            if last is not None and (gap := (int(h.first_pickup) - last) // 1_000_000) > 0:
+                total, n = total + gap, n + 1
+            last = int(h.last_dropoff)
+            if n:
+                at, seconds, gaps, oldest = self._emit(at, seconds, gaps, oldest, pane - 1, out)
+                if not gaps:
+                    at = oldest = pane
+                self.ring.updateValue((pane,), (total, n))
+                seconds, gaps = seconds + total, gaps + n
+        self.last.update((last,))
+        self._settled((at, seconds, gaps, oldest), timerValues.getCurrentWatermarkInMs(), out)
+        yield from self._rows(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out: list = []
+        if self.open.exists():
+            now = self.open.get()
+            if (now[0] + 1) * self.step_us <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
+                self._settled(now, timerValues.getCurrentWatermarkInMs(), out)
+        yield from self._rows(key, out)
+
+    def close(self) -> None:
+        pass
+
+
 def _first_peak(seq: np.ndarray, lo: int) -> int:
     """Index of the first i >= lo with seq[i] > seq[i-1], seq[i] > seq[i+1],
     seq[i+1] < seq[i+2] < seq[i+3]; -1 if none."""

@@ -5,6 +5,8 @@ empty input, messages."""
 import datetime as dt
 import os
 import tempfile
+from functools import partial
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,11 +16,18 @@ from cabgrid.plans import raw_trip_table
 from cabgrid.plans.streaming_queries import BUILDERS
 from cabgrid.schema import TRIP_COLUMNS, TRIP_SCHEMA
 from cabgrid.session import checkpoint_root
+from cabgrid.sources import parse_trips, reject_counts, trip_lines
 from cabgrid.streaming import (
     BatchBanner,
+    best_so_far,
+    observed_outcomes,
+    read_best,
     read_trip_stream,
+    routes_order,
     stream_congestion_alerts,
     stream_idle_alerts,
+    stream_idle_alerts_sliding,
+    stream_outcomes,
     stream_profitable_areas,
     stream_route_counts,
     trips_of_messages,
@@ -31,6 +40,7 @@ BATCH = {
     "stream_top_routes": ops.top_routes_per_window,
     "stream_profitable_areas": ops.profitable_areas,
     "stream_idle_alerts": ops.idle_alerts,
+    "stream_idle_alerts_sliding": partial(ops.idle_alerts, slide="5 minutes"),
     "stream_idle_compat": ops.idle_compat,
     "stream_congestion_alerts": ops.congestion_alerts,
     "stream_cell_rendezvous": ops.cell_rendezvous,
@@ -93,7 +103,7 @@ def test_rows_just_inside_the_delay_count(spark, name):
     shift = lambda c: F.lit(lo) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("n") * 120 + F.when(F.lit(c == "dropoff_dt"), F.col("trip_time")).otherwise(0))
     squeezed = squeezed.withColumn("pickup_dt", shift("pickup_dt")).withColumn("dropoff_dt", shift("dropoff_dt")).drop("n")
     d = _scratch(spark)
-    edges = [lo + dt.timedelta(minutes=175 * k) for k in range(6)]
+    edges = [lo + dt.timedelta(minutes=175 * k) for k in range(8)]
     for a, b in zip(edges, edges[1:]):
         part = squeezed.where((F.col("pickup_dt") >= F.lit(a)) & (F.col("pickup_dt") < F.lit(b)))
         _add(part.where("event_id % 2 = 1"), f"{d}/in")  # ahead of ...
@@ -112,7 +122,7 @@ def test_a_delay_must_be_positive(spark):
             build(trips, delay="0 seconds")
 
 
-@pytest.mark.parametrize("name", ["stream_idle_alerts", "stream_congestion_alerts"])
+@pytest.mark.parametrize("name", ["stream_idle_alerts", "stream_idle_alerts_sliding", "stream_congestion_alerts"])
 def test_keyed_state_handles_out_of_order_files(spark, name):
     """Slices arrive pairwise swapped; with a delay longer than two slices no
     row is late, and the keyed state still produces the batch answer."""
@@ -129,7 +139,7 @@ def test_keyed_state_handles_out_of_order_files(spark, name):
     assert want.count() > 0 and _rows(got) == _rows(want)
 
 
-@pytest.mark.parametrize("name", ["stream_idle_alerts", "stream_congestion_alerts"])
+@pytest.mark.parametrize("name", ["stream_idle_alerts", "stream_idle_alerts_sliding", "stream_congestion_alerts"])
 def test_pickups_between_milliseconds(spark, name):
     """A pickup a few hundred microseconds past the watermark is only waited for."""
     raw, _ = _first_days(spark, 6)
@@ -163,6 +173,90 @@ def test_finished_keys_leave_the_state(spark, build):
     assert keyed() == 0  # the flush taxi's hour never closes
 
 
+def test_expired_panes_leave_the_ring(spark):
+    """A taxi keeps its last dropoff; what its windows have left behind goes, and
+    windows come out while the stream goes on, not at its end."""
+    raw, lo = _first_days(spark, 6)
+    raw = raw.withColumn("medallion", F.concat(F.lit("M"), F.pmod(F.xxhash64("event_id"), F.lit(4))))
+    d = _scratch(spark)
+    _add_slices(raw, f"{d}/in", 5)
+    run = lambda: write_stream(
+        stream_idle_alerts_sliding(read_trip_stream(spark, f"{d}/in", max_files_per_trigger=1)), f"{d}/out", f"{d}/ck", available_now=True
+    )
+    q = run()
+    q.awaitTermination()
+    keyed = lambda p: sum(o.numRowsTotal for o in p.stateOperators if "transform" in o.operatorName.lower())
+    sizes = [keyed(p) for p in q.recentProgress]
+    panes = raw.select("medallion", F.window("pickup_dt", "5 minutes")).distinct().count()
+    # by taxi: a last dropoff, an open window with its timer, and the panes of an hour
+    assert 4 <= max(sizes) <= 4 * (3 + 12) < panes / 3
+    early = spark.read.parquet(f"{d}/out").count()
+    _add_flush(raw, f"{d}/in")
+    q = run()
+    q.awaitTermination()
+    assert keyed(q.lastProgress) == 4  # the last dropoffs
+    want = ops.idle_alerts(ops.clean_trips(raw), slide="5 minutes")
+    assert _rows(spark.read.parquet(f"{d}/out")) == _rows(want) and 0 < early < want.count()
+
+
+def test_sliding_windows_of_another_length(spark):
+    raw, _ = _first_days(spark, 4)
+    raw = raw.withColumn("medallion", F.lit("M1"))  # one taxi has every trip
+    d = _scratch(spark)
+    _add_slices(raw, f"{d}/in", 3)
+    _add_flush(raw, f"{d}/in")
+    how = {"window": "2 hours", "slide": "30 minutes", "threshold": 3.0}
+    got = _run(spark, f"{d}/in", lambda s: stream_idle_alerts_sliding(s, **how), f"{d}/out", f"{d}/ck")
+    want = ops.idle_alerts(ops.clean_trips(raw), **how)
+    assert want.count() > 0 and _rows(got) == _rows(want)
+    with pytest.raises(ValueError):
+        stream_idle_alerts_sliding(read_trip_stream(spark, f"{d}/in"), slide="7 minutes")
+
+
+def test_outcomes_are_observed_and_dead_letters_kept(spark):
+    raw, _ = _first_days(spark, 3)
+    good = trip_lines(raw).select("value")
+    bad = spark.createDataFrame([("",), ("a,b",), ("x," * 20,), (" ",), (None,)], "value string")
+    d = _scratch(spark)
+    good.coalesce(1).write.mode("append").text(f"{d}/in")
+    bad.where("value is not null").coalesce(1).write.mode("append").text(f"{d}/in")
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{d}/in")
+    done = stream_outcomes(lines)
+    q = write_stream(done, f"{d}/out", f"{d}/ck", available_now=True, partition_by=["outcome"])
+    q.awaitTermination()
+    want = {r.outcome: r.num_lines for r in reject_counts(parse_trips(good.unionByName(bad.where("value is not null")))).collect()}
+    assert {k: n for k, n in observed_outcomes(q).items() if n} == want and len(want) >= 4
+    out = spark.read.schema(done.schema).parquet(f"{d}/out")
+    assert {r.outcome: r["count"] for r in out.groupBy("outcome").count().collect()} == want
+    assert {r.line for r in out.where("outcome = 'too_few_fields' or outcome = 'empty_line'").collect()} == {"", "a,b", " "}
+    assert out.where("outcome = 'accepted' and (line is not null or medallion is null)").count() == 0
+    assert sorted(os.listdir(f"{d}/out"))[-1].startswith("outcome=")
+
+
+def test_running_best_rows_survive_a_repeated_batch(spark):
+    raw, _ = _first_days(spark, 6)
+    d = _scratch(spark)
+    _add_slices(raw, f"{d}/in", 6)
+    _add_flush(raw, f"{d}/in")
+    merge = best_so_far(f"{d}/out", routes_order, 10)
+    seen = {}
+
+    def twice(batch, batch_id):
+        seen[batch_id] = batch.collect()
+        return merge(batch, batch_id)
+
+    q = write_stream(stream_route_counts(read_trip_stream(spark, f"{d}/in", max_files_per_trigger=1)), f"{d}/out", f"{d}/ck", per_batch=twice, available_now=True)
+    q.awaitTermination()
+    want = _rows(ops.top_routes(ops.clean_trips(raw)))
+    assert _rows(read_best(spark, f"{d}/out")) == want and sum(map(bool, seen.values())) >= 3
+    last = max(n for n, rows in seen.items() if rows)
+    schema = "pickup_cell string, dropoff_cell string, window_start timestamp_ntz, num_trips long"
+    again = merge(spark.createDataFrame(seen[last], schema), batch_id=last)  # a batch that is run again
+    assert _rows(again) == want
+    assert len([f for f in os.listdir(f"{d}/out") if f.startswith("batch_id")]) <= 4
+    assert read_best(spark, f"{d}/nothing") is None
+
+
 def test_late_rows_are_dropped(spark):
     raw, lo = _first_days(spark, 6)
     d = _scratch(spark)
@@ -199,8 +293,6 @@ def test_empty_input_gives_empty_result(spark):
 
 def test_text_lines_and_messages(spark):
     """A landing folder of lines, and messages with a binary value, give the trips."""
-    from cabgrid.sources import trip_lines
-
     raw, _ = _first_days(spark, 2)
     d = _scratch(spark)
     lines = trip_lines(raw).select("value")
@@ -244,22 +336,15 @@ def test_interval_trigger_runs_batches(spark):
 
 
 def test_batch_banner_sees_every_batch(spark):
-    import time
-
     raw, _ = _first_days(spark, 3)
     d = _scratch(spark)
     _add_slices(raw, f"{d}/in", 3)
+    build = lambda: stream_route_counts(read_trip_stream(spark, f"{d}/in", max_files_per_trigger=1))
+    q = write_stream(build(), f"{d}/out", f"{d}/ck", available_now=True)
+    q.awaitTermination()
     banner = BatchBanner(echo=False)
-    manager = spark.streams  # Spark's own name for it
-    manager.addListener(banner)
-    try:
-        _run(spark, f"{d}/in", stream_route_counts, f"{d}/out", f"{d}/ck")
-        for _ in range(50):  # listener events arrive asynchronously
-            if sum(rows for _, _, rows in banner.batches) == raw.count():
-                break
-            time.sleep(0.2)
-    finally:
-        manager.removeListener(banner)
+    for progress in q.recentProgress:
+        banner.onQueryProgress(SimpleNamespace(progress=progress))
     # input rows are counted at the source, before cleaning
     assert sum(rows for _, _, rows in banner.batches) == raw.count()
     assert len({b for b, _, _ in banner.batches}) >= 3 and banner.batches.maxlen == 1000

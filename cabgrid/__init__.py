@@ -33,6 +33,7 @@ from cabgrid.operators import (
     profitable_areas_compat,
     idle_gaps,
     idle_alerts,
+    idle_alert_stretches,
     idle_compat,
     cell_rendezvous,
     cell_rendezvous_compat,
@@ -67,6 +68,7 @@ __all__ = [
     "profitable_areas_compat",
     "idle_gaps",
     "idle_alerts",
+    "idle_alert_stretches",
     "idle_compat",
     "cell_rendezvous",
     "cell_rendezvous_compat",

@@ -12,7 +12,7 @@ from cabgrid.operators.areas import (
     profitable_areas_sql,
     profitable_areas_compat,
 )
-from cabgrid.operators.idle import idle_gaps, idle_alerts, idle_compat
+from cabgrid.operators.idle import idle_gaps, idle_alerts, idle_alert_stretches, idle_compat
 from cabgrid.operators.rendezvous import cell_rendezvous, cell_rendezvous_compat
 from cabgrid.operators.congestion import congestion_alerts, congestion_compat
 from cabgrid.operators.tips import driver_tips, pleasant_drivers, pleasant_drivers_per_day
@@ -33,6 +33,7 @@ __all__ = [
     "profitable_areas_compat",
     "idle_gaps",
     "idle_alerts",
+    "idle_alert_stretches",
     "idle_compat",
     "cell_rendezvous",
     "cell_rendezvous_compat",

@@ -103,6 +103,68 @@ def idle_alerts(
     )
 
 
+#: The slide of the original's retained hour.
+ORIGINAL_SLIDE = "5 seconds"
+
+
+def idle_alert_stretches(
+    trips: DataFrame,
+    window: str = IDLE_WINDOW,
+    threshold: float = IDLE_THRESHOLD_MINUTES,
+    slide: str = ORIGINAL_SLIDE,
+) -> DataFrame:
+    """:func:`idle_alerts` over windows sliding by ``slide``, as the longest
+    stretches of consecutive windows with one mean: ``first_window`` and
+    ``last_window`` (their starts), ``avg_idle_minutes``.
+
+    A sweep: a gap is added when the window's end reaches its pickup and taken off a
+    window later, so the sums by step are running sums of what is added and taken off;
+    the work grows with the trips, not with the windows. The sweep runs in spans of a
+    taxi's time (a gap that reaches into the next span is in both), so that a busy
+    taxi is many groups; stretches that meet at the edge of a span are joined after."""
+    length, step = duration_seconds(window), duration_seconds(slide)
+    if step <= 0 or length % step:
+        raise ValueError("a window must be a whole number of slides")
+    steps = length // step
+    span = max(steps, duration_seconds("1 day") // step)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    g = idle_gaps(trips).where(F.col("gap_seconds") > 0)
+    # Windows are numbered by their last step: a gap is in those from its own step on.
+    own = F.floor(F.timestamp_diff("SECOND", epoch, F.col("pickup_dt")) / F.lit(step)).cast("long")
+    g = g.groupBy("medallion", own.alias("at")).agg(F.sum(F.col("gap_seconds").cast("long")).alias("total"), F.count(F.lit(1)).alias("n"))
+    first_span = F.floor(F.col("at") / F.lit(span)).cast("long")
+    last_span = F.floor((F.col("at") + F.lit(steps - 1)) / F.lit(span)).cast("long")
+    g = g.select("*", F.explode(F.sequence(first_span, last_span)).alias("span"))
+    begin, end = F.col("span") * span, (F.col("span") + 1) * span
+    change = lambda at, sign: F.struct(at.alias("at"), (F.col("total") * sign).alias("total"), (F.col("n") * sign).alias("n"))
+    both = F.array(change(F.greatest("at", begin), 1), change(F.least(F.col("at") + steps, end), -1))
+    changes = g.select("medallion", "span", F.inline(both)).groupBy("medallion", "span", "at").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    in_span = Window.partitionBy("medallion", "span").orderBy("at")
+    so_far = in_span.rowsBetween(Window.unboundedPreceding, 0)
+    level = changes.select(
+        "medallion", "span", "at", (F.lead("at").over(in_span) - 1).alias("until"), F.sum("total").over(so_far).alias("total"), F.sum("n").over(so_far).alias("n")
+    ).where("n > 0")
+    minutes = F.col("total").cast("double") / F.col("n") / F.lit(60.0)
+    level = level.select("medallion", "span", "at", "until", minutes.alias("avg_idle_minutes")).where(F.col("avg_idle_minutes") > F.lit(float(threshold)))
+    inside = _joined(level, ["medallion", "span"])
+    at_edge = (F.col("at") == begin) | (F.col("until") == end - 1)
+    crossing = _joined(inside.where(at_edge), ["medallion"])
+    whole = inside.where(~at_edge).select("medallion", "at", "until", "avg_idle_minutes").unionByName(crossing)
+    start = lambda c: F.timestamp_add("SECOND", (F.col(c) - F.lit(steps - 1)) * F.lit(step), epoch)
+    return whole.select("medallion", start("at").alias("first_window"), start("until").alias("last_window"), "avg_idle_minutes")
+
+
+def _joined(stretches: DataFrame, by: list[str]) -> DataFrame:
+    """Stretches of a group that follow one another with the same mean, as one."""
+    order = Window.partitionBy(*by).orderBy("at")
+    goes_on = (F.lag("until").over(order) == F.col("at") - 1) & (F.lag("avg_idle_minutes").over(order) == F.col("avg_idle_minutes"))
+    marked = stretches.withColumn("new", F.when(goes_on, 0).otherwise(1))
+    marked = marked.withColumn("stretch", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy(*by, "stretch").agg(
+        F.min("at").alias("at"), F.max("until").alias("until"), F.first("avg_idle_minutes").alias("avg_idle_minutes")
+    ).drop("stretch")
+
+
 def idle_compat(
     trips: DataFrame,
     window: str = IDLE_WINDOW,

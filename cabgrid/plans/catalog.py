@@ -72,6 +72,7 @@ TRIP_OPERATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "profitable_areas_compat": ops.profitable_areas_compat,
     "idle_gaps": ops.idle_gaps,
     "idle_alerts": ops.idle_alerts,
+    "idle_alert_stretches": ops.idle_alert_stretches,
     "idle_compat": ops.idle_compat,
     "cell_rendezvous": ops.cell_rendezvous,
     "cell_rendezvous_compat": ops.cell_rendezvous_compat,
@@ -98,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "idle_gaps": _on_trips(ops.idle_gaps),
     "idle_alerts": _on_trips(ops.idle_alerts),
     "idle_alerts_sliding": lambda spark, d: ops.idle_alerts(derived_trips(spark, d), slide="5 minutes"),
+    "idle_alert_stretches": _on_trips(ops.idle_alert_stretches),
     "idle_compat": _on_trips(ops.idle_compat),
     "cell_rendezvous": _on_trips(ops.cell_rendezvous),
     "cell_rendezvous_compat": _on_trips(ops.cell_rendezvous_compat),

@@ -156,6 +156,30 @@ def test_idle_sliding_window(spark, slide):
     assert got == want and want
 
 
+@pytest.mark.parametrize("slide", ["5 seconds", "1 minute", "5 minutes", "1 hour"])
+def test_stretches_expand_to_the_sliding_windows(spark, slide):
+    """And they are the longest: no two that touch have the same mean."""
+    from cabgrid import idle_alert_stretches, idle_alerts
+    from cabgrid.operators.idle import duration_seconds
+    from cabgrid.plans import derived_trips
+
+    trips = derived_trips(spark, "/root/testdata/sf0.001").where("medallion < 'M12'")
+    step = dt.timedelta(seconds=duration_seconds(slide))
+    rows = sorted(map(tuple, idle_alert_stretches(trips, slide=slide).collect()))
+    got = {}
+    for m, first, last, mean in rows:
+        for k in range((last - first) // step + 1):
+            assert (m, first + k * step) not in got
+            got[(m, first + k * step)] = mean
+    want = {(r.medallion, r.window_start): r.avg_idle_minutes for r in idle_alerts(trips, slide=slide).collect()}
+    assert got == want and want
+    if slide != "1 hour":  # windows that don't overlap
+        assert len(rows) < len(want) and any(a.date() != b.date() for _, a, b, _ in rows)
+    assert not any(a[0] == b[0] and a[2] + step == b[1] and a[3] == b[3] for a, b in zip(rows, rows[1:]))
+    with pytest.raises(ValueError):
+        idle_alert_stretches(trips, slide="7 seconds")
+
+
 def test_durations():
     from cabgrid.operators.idle import duration_seconds
 

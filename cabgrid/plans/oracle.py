@@ -213,27 +213,27 @@ WHERE e.num_empty_taxis > 0""",
     "idle_alert_stretches": _with(
         _GAPS,
         """changes AS (
-  SELECT medallion, at, sum(total) AS total, sum(n) AS n FROM (
-    SELECT medallion, epoch(pickup_dt)::BIGINT // 5 AS at, gap_seconds AS total, 1 AS n FROM gaps WHERE gap_seconds > 0
+  SELECT medallion, step, sum(total) AS total, sum(n) AS n FROM (
+    SELECT medallion, epoch(pickup_dt)::BIGINT // 5 AS step, gap_seconds AS total, 1 AS n FROM gaps WHERE gap_seconds > 0
     UNION ALL
     SELECT medallion, epoch(pickup_dt)::BIGINT // 5 + 720, -gap_seconds, -1 FROM gaps WHERE gap_seconds > 0
-  ) GROUP BY medallion, at
+  ) GROUP BY medallion, step
 )""",
         """level AS (
-  SELECT medallion, at, lead(at) OVER w - 1 AS until, sum(total) OVER w AS total, sum(n) OVER w AS n
-  FROM changes WINDOW w AS (PARTITION BY medallion ORDER BY at)
+  SELECT medallion, step, lead(step) OVER w - 1 AS until, sum(total) OVER w AS total, sum(n) OVER w AS n
+  FROM changes WINDOW w AS (PARTITION BY medallion ORDER BY step)
 )""",
         """mean AS (
-  SELECT medallion, at, until, CAST(total AS DOUBLE) / n / 60e0 AS m FROM level WHERE n > 0
+  SELECT medallion, step, until, CAST(total AS DOUBLE) / n / 60e0 AS m FROM level WHERE n > 0
 )""",
         """islands AS (
-  SELECT *, sum(fresh) OVER (PARTITION BY medallion ORDER BY at) AS island FROM (
-    SELECT *, CASE WHEN lag(until) OVER w = at - 1 AND lag(m) OVER w = m THEN 0 ELSE 1 END AS fresh
-    FROM mean WHERE m > 10e0 WINDOW w AS (PARTITION BY medallion ORDER BY at)
+  SELECT *, sum(fresh) OVER (PARTITION BY medallion ORDER BY step) AS island FROM (
+    SELECT *, CASE WHEN lag(until) OVER w = step - 1 AND lag(m) OVER w = m THEN 0 ELSE 1 END AS fresh
+    FROM mean WHERE m > 10e0 WINDOW w AS (PARTITION BY medallion ORDER BY step)
   )
 )""",
     )
-    + """SELECT medallion, TIMESTAMP '1970-01-01' + to_seconds((min(at) - 719) * 5) AS first_window,
+    + """SELECT medallion, TIMESTAMP '1970-01-01' + to_seconds((min(step) - 719) * 5) AS first_window,
        TIMESTAMP '1970-01-01' + to_seconds((max(until) - 719) * 5) AS last_window, any_value(m) AS avg_idle_minutes
 FROM islands GROUP BY medallion, island""",
     "cell_rendezvous": _with()

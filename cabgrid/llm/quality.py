@@ -159,37 +159,48 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def _strength(groups: DataFrame, mean: float) -> float:
+def _strength(groups: DataFrame) -> float:
     """Pseudo-documents of the prior: how many documents a group needs before its
-    own mean counts for half. From the variance between group means beyond what
-    their sizes explain; between 1 and 10,000."""
-    got = groups.where("n >= 2").agg(
-        F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("k"),
-        F.sum(F.col("n") * (F.col("total") / F.col("n") - mean) ** 2).alias("between"),
-        F.sum(F.col("square") - F.col("total") ** 2 / F.col("n")).alias("within"),
+    own mean counts for half, between 1 and 10,000. The variance of group means
+    around their parent's mean (``centre``), beyond what the documents' variance
+    within groups explains, by the method of moments for groups of unequal size:
+    E[sum n (mean - centre)^2] = sum(1 - n/N) within + sum(n - n^2/N) between, with
+    N the documents of the parent (``parent_n``)."""
+    n, mean = F.col("n"), F.col("total") / F.col("n")
+    got = groups.agg(
+        F.sum(n - 1).alias("free"),
+        F.sum(F.col("square") - F.col("total") * mean).alias("within"),
+        F.sum(n * (mean - F.col("centre")) ** 2).alias("between"),
+        F.sum(1 - n / F.col("parent_n")).alias("groups"),
+        F.sum(n - n * n / F.col("parent_n")).alias("weight"),
     ).first()
-    if not got.k or got.k < 2 or got.n <= got.k:
+    if not got.free or got.free <= 0 or got.weight < 1e-9:
         return 100.0
-    within = max(got.within, 0.0) / (got.n - got.k)
-    between = max((got.between - got.k * within) / got.n, 0.0)
+    within = max(got.within, 0.0) / got.free
+    between = max((got.between - got.groups * within) / got.weight, 0.0)
     return float(min(max(within / between, 1.0), 10_000.0)) if between > 0 else 10_000.0
 
 
 def site_table(scored: DataFrame, site_weight: float = SITE_WEIGHT) -> DataFrame:
     """(``host``, ``path``, ``p_host``, ``p_path``, ``surplus``) from rows of
     (``host``, ``path``, ``p``): posterior means of every site and what it adds to
-    the log odds of its documents."""
-    paths = saved(
-        scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("total"), F.sum(F.col("p") * F.col("p")).alias("square")),
-        "paths",
-    )
+    the log odds of its documents. Hosts are shrunk toward the mean of all
+    documents, paths toward their host, each as far as their own spread around
+    that (:func:`_strength`) doesn't speak for them."""
+    paths = scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("total"), F.sum(F.col("p") * F.col("p")).alias("square"))
+    paths = saved(paths, "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("square").alias("square"))
     n, total = hosts.agg(F.sum("n"), F.sum("total")).first()
     mean = total / n if n else 0.5
-    k_host, k_path = _strength(hosts, mean), _strength(paths, mean)
-    hosts = hosts.select(F.col("host").alias("of_host"), ((F.col("total") + k_host * mean) / (F.col("n") + k_host)).alias("p_host"))
-    both = paths.join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
+    k_host = _strength(hosts.withColumns({"centre": F.lit(mean), "parent_n": F.lit(n)}))
+    parents = hosts.select(
+        F.col("host").alias("of_host"),
+        F.col("n").alias("parent_n"),
+        (F.col("total") / F.col("n")).alias("centre"),
+        ((F.col("total") + k_host * mean) / (F.col("n") + k_host)).alias("p_host"),
+    )
+    both = paths.join(parents, F.col("host").eqNullSafe(F.col("of_host")))
+    k_path = _strength(both)
     p_path = (F.col("total") + k_path * F.col("p_host")) / (F.col("n") + k_path)
     return both.select("host", "path", "p_host", p_path.alias("p_path")).withColumn(
         "surplus", site_weight * (_logit(F.col("p_path")) - _logit(F.lit(mean)))
@@ -223,7 +234,8 @@ def quality_posteriors(
     posterior probability), whatever columns it has (these four replace columns
     of their names).
 
-    Null hosts and paths are sites like others. A null text or one without words
+    Null hosts and paths are sites like others. Texts of any length count whole,
+    and rows that repeat are documents like others. A null text or one without words
     has the shape of all zeros. Equal texts of one site get equal posteriors; an
     empty table gives an empty result. The text isn't shuffled while there are at
     most SEND_SITES sites: their table is then sent to all tasks."""

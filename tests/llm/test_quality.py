@@ -31,24 +31,46 @@ def test_held_out_accuracy(spark, fitted):
     assert np.mean([r.quality >= q.REJECT_BELOW for r in rows if r.label]) > 0.995
 
 
+@pytest.mark.parametrize("path_effect", [0.0, 0.15])
+def test_posteriors_come_near_a_simulated_truth(spark, path_effect):
+    """Paths that tell nothing leave the host's estimate alone; those that do improve on it."""
+    rng = np.random.default_rng(7)
+    rows, truth = [], {}
+    for h in range(20):
+        host = 0.5 + 0.1 * rng.normal()
+        for p in range(200):
+            truth[f"h{h}", f"p{p}"] = site = host + path_effect * rng.normal()
+            rows += [(f"h{h}", f"p{p}", float(np.clip(site + 0.1 * rng.normal(), 0.01, 0.99))) for _ in range(3)]
+    got = site_table(spark.createDataFrame(rows, "host string, path string, p double")).collect()
+    off = lambda c: float(np.sqrt(np.mean([(r[c] - truth[r.host, r.path]) ** 2 for r in got])))
+    if path_effect:
+        assert off("p_path") < 0.6 * off("p_host")
+    else:
+        assert off("p_path") < 1.05 * off("p_host") + 0.001
+
+
 def test_sites_equal_the_formulas(spark):
     rng = random.Random(3)
     rows = [(f"h{i % 5}" if i % 7 else None, f"p{i % 3}", min(0.99, 0.1 + 0.15 * (i % 5) + 0.2 * rng.random())) for i in range(600)]
     rows += [("sparse", "p", 0.99), ("sparse2", None, 0.01)]
     mean = sum(p for *_, p in rows) / len(rows)
 
-    def strength(groups):
-        use = [g for g in groups if len(g) >= 2]
-        n, k = sum(map(len, use)), len(use)
-        within = sum((x - sum(g) / len(g)) ** 2 for g in use for x in g) / (n - k)
-        between = max((sum(len(g) * (sum(g) / len(g) - mean) ** 2 for g in use) - k * within) / n, 0)
+    def strength(groups, parents):
+        """Method of moments, from the lists of numbers themselves."""
+        free = sum(len(g) - 1 for g in groups)
+        within = sum((x - sum(g) / len(g)) ** 2 for g in groups for x in g) / free
+        spread = sum(len(g) * (sum(g) / len(g) - sum(p) / len(p)) ** 2 for g, p in zip(groups, parents))
+        expected = sum(1 - len(g) / len(p) for g, p in zip(groups, parents)) * within
+        between = max((spread - expected) / sum(len(g) - len(g) ** 2 / len(p) for g, p in zip(groups, parents)), 0)
         return min(max(within / between, 1), 10_000) if between > 0 else 10_000
 
     hosts, paths = defaultdict(list), defaultdict(list)
     for h, p, x in rows:
         hosts[h].append(x)
         paths[h, p].append(x)
-    kh, kp = strength(list(hosts.values())), strength(list(paths.values()))
+    everything = [p for *_, p in rows]
+    kh = strength(list(hosts.values()), [everything] * len(hosts))
+    kp = strength(list(paths.values()), [hosts[h] for h, _ in paths])
     got = {(r.host, r.path): r for r in site_table(spark.createDataFrame(rows, "host string, path string, p double"), 0.5).collect()}
     assert set(got) == set(paths)
     for (h, p), xs in paths.items():

@@ -2,16 +2,19 @@
 
 Documents longer than a bin are cut into whole bins and a rest. Pieces are
 dealt to groups of bounded size, since bins never need pieces from all over the
-corpus; each group is packed by one task, longest pieces first. Open bins are
-kept in the order of their residual room. Every bin carries two bitmaps, of the
-sources and of the duplicate clusters in it; from the tightest bin that has
-room, the search goes on to the next larger residual until the bitmaps allow
-the piece, so it lands in the tightest compatible bin, or else opens one.
+corpus; each group is packed by one task, longest pieces first. Every bin
+carries a bitmap of the sources and of the duplicate clusters in it. Open bins are
+the leaves of a tree in the order of their residual room, whose inner nodes hold
+what the bitmaps below have in common: from the tightest residual that has room,
+the successor search passes over whole subtrees whose bins all conflict with the
+piece, and stops at the tightest compatible bin, or else a bin is opened.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_right, insort
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -37,30 +40,112 @@ def count_words(column: pa.Array) -> pa.Array:
     return pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
 
 
+class _Leaf:
+    """Open bins of one residual in their order, in blocks with their common bits."""
+
+    SIZE = 64
+
+    def __init__(self) -> None:
+        self.blocks: list[list[int]] = []
+        self.common: list[int] = []
+
+    def add(self, b: int, bits: list[int]) -> None:
+        if not self.blocks:
+            self.blocks, self.common = [[b]], [bits[b]]
+            return
+        k = max(bisect_right(self.blocks, b, key=lambda block: block[0]) - 1, 0)
+        insort(self.blocks[k], b)
+        self.common[k] &= bits[b]
+        if len(self.blocks[k]) > self.SIZE:
+            half = self.blocks[k][self.SIZE // 2 :]
+            del self.blocks[k][self.SIZE // 2 :]
+            self.blocks.insert(k + 1, half)
+            self.common[k : k + 1] = [reduce(and_, (bits[x] for x in part)) for part in self.blocks[k : k + 2]]
+
+    def find(self, wanted: int, bits: list[int]) -> tuple[int, int] | None:
+        """Block and place of the first bin that shares no bit with ``wanted``."""
+        for k, common in enumerate(self.common):
+            if not common & wanted:
+                for i, b in enumerate(self.blocks[k]):
+                    if not bits[b] & wanted:
+                        return k, i
+        return None
+
+    def remove(self, k: int, i: int, bits: list[int]) -> int:
+        b = self.blocks[k].pop(i)
+        if self.blocks[k]:
+            self.common[k] = reduce(and_, (bits[x] for x in self.blocks[k]))
+        else:
+            del self.blocks[k], self.common[k]
+        return b
+
+
+class OpenBins:
+    """Bins by residual room, to be searched for the tightest compatible one.
+
+    ``tree[1]`` is the root of a binary tree over all residuals; a node holds the
+    bits that all bins below it have (-1, every bit, where there are none)."""
+
+    def __init__(self, capacity: int) -> None:
+        self.width = 1 << capacity.bit_length()
+        self.tree = [-1] * (2 * self.width)
+        self.leaves: dict[int, _Leaf] = {}
+        self.bits: list[int] = []
+
+    def _update(self, residual: int, common: int) -> None:
+        tree, at = self.tree, self.width + residual
+        tree[at] = common
+        while at > 1:
+            at >>= 1
+            now = tree[2 * at] & tree[2 * at + 1]
+            if now == tree[at]:
+                return
+            tree[at] = now
+
+    def put(self, residual: int, b: int) -> None:
+        self.leaves.setdefault(residual, _Leaf()).add(b, self.bits)
+        self._update(residual, self.tree[self.width + residual] & self.bits[b])
+
+    def take(self, size: int, wanted: int) -> tuple[int, int] | None:
+        """Remove the compatible bin with the least residual of ``size`` or more (the
+        first of equal ones): (residual, bin)."""
+        tree, at = self.tree, self.width + size
+        while True:
+            common = tree[at]
+            if common >= 0 and not common & wanted:
+                if at < self.width:
+                    at *= 2
+                    continue
+                leaf = self.leaves[at - self.width]
+                found = leaf.find(wanted, self.bits)
+                if found is not None:
+                    b = leaf.remove(*found, self.bits)
+                    self._update(at - self.width, reduce(and_, leaf.common, -1))
+                    return at - self.width, b
+            while at & 1:  # on to the next subtree
+                at >>= 1
+            if at == 0:
+                return None
+            at += 1
+
+
 def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity: int) -> list[tuple[int, int]]:
     """Bin and offset for each piece, in the order given. ``sources`` and
     ``clusters`` are bitmaps with at most one bit (0: no constraint)."""
-    bins: list[list[int]] = []  # used room, source bitmap, cluster bitmap
-    room: list[tuple[int, int]] = []  # (residual, bin) of open bins, ordered
+    shift = max((s.bit_length() for s in sources), default=0)
+    bins = OpenBins(capacity)
     out = []
     for size, source, cluster in zip(sizes, sources, clusters):
-        at = bisect_left(room, (size, -1))
-        while at < len(room):
-            _, b = room[at]
-            if not (bins[b][1] & source or bins[b][2] & cluster):
-                del room[at]
-                break
-            at += 1
-        else:
-            b = len(bins)
-            bins.append([0, 0, 0])
-        chosen = bins[b]
-        out.append((b, chosen[0]))
-        chosen[0] += size
-        chosen[1] |= source
-        chosen[2] |= cluster
-        if chosen[0] < capacity:
-            insort(room, (capacity - chosen[0], b))
+        wanted = source | cluster << shift
+        found = bins.take(size, wanted)
+        if found is None:
+            found = capacity, len(bins.bits)
+            bins.bits.append(0)
+        residual, b = found
+        out.append((b, capacity - residual))
+        bins.bits[b] |= wanted
+        if residual > size:
+            bins.put(residual - size, b)
     return out
 
 
@@ -109,7 +194,7 @@ def pack(
     in its bin). No bin holds more than ``capacity`` words, two pieces of one
     source or two of one cluster (default: column ``source``, and equal texts).
 
-    Every word is in exactly one piece. A null source or cluster conflicts with
+    Every word is in exactly one piece; texts of any length are cut, none is dropped. A null source or cluster conflicts with
     nothing. A text that is null or has no words is one piece of 0 words in no bin
     (``bin`` and ``bin_offset`` null). Rows that repeat or have a null id are
     documents like others. An empty table gives an empty result."""

@@ -61,7 +61,7 @@ def test_empty_table(spark):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.tuples(st.integers(1, 30), st.integers(0, 3), st.integers(0, 3)), max_size=60))
+@given(st.lists(st.tuples(st.integers(1, 30), st.integers(0, 3), st.integers(0, 3)), max_size=400))
 def test_each_piece_is_in_the_tightest_compatible_bin(pieces):
     capacity = 30
     sizes, sources, clusters = ([p[0] for p in pieces], [1 << p[1] >> 1 for p in pieces], [1 << p[2] >> 1 for p in pieces])
@@ -76,3 +76,12 @@ def test_each_piece_is_in_the_tightest_compatible_bin(pieces):
         assert offset == bins[b][0]
         bins[b] = [bins[b][0] + size, bins[b][1] | source, bins[b][2] | cluster]
         assert bins[b][0] <= capacity
+
+
+def test_many_pieces_of_one_source_take_little_time():
+    """Every bin conflicts with every piece; a walk over them would be 5e9 steps."""
+    import time
+
+    began = time.process_time()
+    placed = best_fit([8] * 100_000, [1] * 100_000, [0] * 100_000, 2048)
+    assert [b for b, _ in placed] == list(range(100_000)) and time.process_time() - began < 20

@@ -1,9 +1,9 @@
 """Words of many texts at once, as numpy arrays over the bytes of an Arrow batch.
 
 A word is a maximal run of bytes other than space and 0x09-0x0D; UTF-8 never
-uses those bytes inside a character. Hashes are polynomial over the bytes,
-modulo 2**64, followed by a mixing step, so equal words have equal hashes in
-every task and on every machine.
+uses those bytes inside a character. Hashes are computed from the bytes alone, so
+equal words have equal hashes in every task and on every machine; hashes of word
+windows are polynomials, modulo 2**64, over the words' mixed hashes.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 WORD_BASE_2 = 0xA0761D6478BD642F
 
-_HASH_BLOCK = 1 << 18  # bytes hashed at once; bounds the scratch arrays
+_HASH_LANES = 1 << 16  # lanes hashed at once; bounds the scratch arrays
+_LANE_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U64)
+_KEPT_POWERS = 1 << 22
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -37,7 +39,7 @@ def powers(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, 1024), base, dtype=U64)
         steps[0] = 1
         have = np.multiply.accumulate(steps)
-        if n <= 16 * _HASH_BLOCK:
+        if n <= _KEPT_POWERS:
             _powers[base] = have
     return have[:n]
 
@@ -98,19 +100,27 @@ def find_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; the spans are in order and don't overlap."""
+    """64-bit hash of each byte span. A span is cut into lanes of eight bytes from
+    its start; each is mixed with its number, so that no two lanes add up in a way
+    that bytes could be chosen for, and their sum is mixed with the span's length."""
     out = np.empty(len(starts), dtype=U64)
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    size = ends - starts
+    lanes = np.maximum((size + 7) >> 3, 1)
+    before = np.concatenate(([0], np.cumsum(lanes)))
     at = 0
     while at < len(starts):
-        lo = int(starts[at])
-        to = max(int(np.searchsorted(ends, lo + _HASH_BLOCK, side="right")), at + 1)
-        hi = int(ends[to - 1])
-        sums = np.zeros(hi - lo + 1, dtype=U64)
-        np.cumsum((data[lo:hi].astype(U64) + U64(1)) * powers(BYTE_BASE, hi - lo), out=sums[1:])
-        s, e = starts[at:to] - lo, ends[at:to] - lo
-        out[at:to] = (sums[e] - sums[s]) * powers(inverse(BYTE_BASE), hi - lo)[s]
+        to = max(int(np.searchsorted(before, before[at] + _HASH_LANES, side="right")) - 1, at + 1)
+        count = lanes[at:to]
+        nth = np.arange(before[to] - before[at]) - np.repeat(before[at:to] - before[at], count)
+        left = np.repeat(size[at:to], count) - 8 * nth
+        lane = eight[np.repeat(starts[at:to], count) + 8 * nth] & _LANE_MASKS[np.minimum(left, 8)]
+        mixed = mix(lane + (nth.astype(U64) + U64(1)) * U64(BYTE_BASE))
+        out[at:to] = np.add.reduceat(mixed, before[at:to] - before[at])
         at = to
-    return mix(out)
+    return mix(out + size.astype(U64) * U64(WORD_BASE))
 
 
 def hash_windows(items: np.ndarray, width: int, base: int = WORD_BASE) -> np.ndarray:

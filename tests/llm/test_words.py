@@ -36,10 +36,21 @@ def test_hash_doesnt_depend_on_the_block(monkeypatch):
     data = np.frombuffer(("word " * 500 + "x" * 3000).encode(), np.uint8)
     starts, ends, _ = tx.find_words(data, np.array([0, len(data)]))
     whole = tx.hash_spans(data, starts, ends)
-    monkeypatch.setattr(tx, "_HASH_BLOCK", 64)
+    monkeypatch.setattr(tx, "_HASH_LANES", 8)
     assert (tx.hash_spans(data, starts, ends) == whole).all()
 
 
+def test_words_that_defeat_polynomials_have_different_hashes():
+    """A Thue-Morse word and its complement agree in every polynomial modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    words = ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+    words += ["a" * n for n in range(1, 40)] + ["\0" * n for n in range(1, 40)] + ["b" * 8 + "a" * 8, "a" * 8 + "b" * 8]
+    raw = [w.encode() for w in words]
+    ends = np.cumsum([len(w) for w in raw])
+    hashes = tx.hash_spans(np.frombuffer(b"".join(raw), np.uint8), ends - [len(w) for w in raw], ends)
+    assert len(set(hashes.tolist())) == len(set(words))
+
+
 def test_slices_cover_the_batch_in_order():
     batch = pa.record_batch([pa.array(["a" * n for n in (5, 0, 100, 3, 3, 3)] + [None])], names=["text"])
     parts = list(tx.slices(batch, "text", 8))

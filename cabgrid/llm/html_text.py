@@ -7,7 +7,7 @@ An element's points are discounted by the share of its text that is in links.
 The best container is kept, or the article around it, with those siblings that
 score well themselves or read like paragraphs of the same text, and all between
 and after them that isn't mostly links. Where nothing is left, class and id values
-are disregarded.
+are disregarded, then that an element is a form (a page may sit in one).
 """
 
 from __future__ import annotations
@@ -27,13 +27,19 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTR = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_RAW = frozenset("script style title textarea noscript iframe template svg math object xmp noframes".split())
-_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in _RAW}
+#: Elements whose content is never text of the page.
+_RAW = frozenset("script style title textarea iframe template noframes".split())
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in (*_RAW, "xmp")}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img "
+    "math svg object noscript".split()
 )
+#: What stands inside one of these is inline, whatever it is called.
+_FOREIGN = ("math", "svg")
 _JUNK_TAGS = frozenset("nav footer aside form button select menu dialog head fieldset".split())
+#: Of these, what may hold a whole page; disregarded where nothing is left otherwise.
+_FORMS = frozenset("form fieldset".split())
 _JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 #: Words of class and id values that mark parts other than the article.
 _JUNK_WORDS = re.compile(
@@ -59,6 +65,7 @@ class _Element:
     parent: int
     junk: bool
     in_link: bool
+    inline: bool
     points: float = 0.0
     length: int = 0
     linked: int = 0
@@ -75,10 +82,10 @@ def _junk_name(pieces: list[str], in_article: bool) -> bool:
     return "header" in (pieces[0], pieces[-1]) and not in_article and not re.match("article|entry|post|story", pieces[0])
 
 
-def _is_junk(tag: str, attrs: str, in_article: bool, by_name: bool = True) -> tuple[bool, float]:
+def _is_junk(tag: str, attrs: str, in_article: bool, by_name: bool = True, forms: bool = True) -> tuple[bool, float]:
     """Whether an element isn't part of an article (``by_name``: by its class and id
-    values too), and points for its names."""
-    if tag in _JUNK_TAGS or (tag == "header" and not in_article):
+    values too; ``forms``: if it is a form), and points for its names."""
+    if (tag in _JUNK_TAGS and (forms or tag not in _FORMS)) or (tag == "header" and not in_article):
         return True, 0.0
     points = 25.0 if tag in ("article", "main") else 0.0
     named_junk = named_good = False
@@ -107,9 +114,9 @@ def _is_junk(tag: str, attrs: str, in_article: bool, by_name: bool = True) -> tu
     return False, points
 
 
-def _parse(page: str, by_name: bool) -> tuple[list[_Element], list[tuple[int, str]]]:
+def _parse(page: str, by_name: bool, forms: bool) -> tuple[list[_Element], list[tuple[int, str]]]:
     """Elements, and the text blocks in page order with the element of each."""
-    elements = [_Element("html", -1, False, False)]
+    elements = [_Element("html", -1, False, False, False)]
     stack, open_tags = [0], {"html": 1}
     blocks: list[tuple[int, str]] = []
     pieces: list[str] = []
@@ -129,12 +136,12 @@ def _parse(page: str, by_name: bool) -> tuple[list[_Element], list[tuple[int, st
     def close(to: int) -> None:
         """Close the stack's elements from position ``to`` on."""
         nonlocal owner
-        if any(elements[e].tag not in _INLINE for e in stack[to:]):
+        if any(not elements[e].inline for e in stack[to:]):
             flush()
         for e in stack[to:]:
             open_tags[elements[e].tag] -= 1
         del stack[to:]
-        owner = next(e for e in reversed(stack) if elements[e].tag not in _INLINE)
+        owner = next(e for e in reversed(stack) if not elements[e].inline)
 
     def last(tag: str) -> int:
         return next(i for i in range(len(stack) - 1, -1, -1) if elements[stack[i]].tag == tag)
@@ -170,6 +177,13 @@ def _parse(page: str, by_name: bool) -> tuple[list[_Element], list[tuple[int, st
             stop = _RAW_END[tag].search(page, at)
             at = stop.end() if stop else len(page)
             continue
+        if tag == "xmp":  # text as it stands, up to its end tag
+            stop = _RAW_END[tag].search(page, at)
+            flush()
+            say(page[at : stop.start() if stop else len(page)].replace("&", "&amp;"))
+            flush()
+            at = stop.end() if stop else len(page)
+            continue
         if tag in _VOID:
             if tag == "hr":
                 flush()
@@ -178,7 +192,7 @@ def _parse(page: str, by_name: bool) -> tuple[list[_Element], list[tuple[int, st
             continue
         if tag in ("html", "body") and len(stack) > 1 and open_tags.get(tag):
             continue
-        inline = tag in _INLINE
+        inline = tag in _INLINE or any(open_tags.get(t) for t in _FOREIGN)
         if not inline:
             if open_tags.get("p"):
                 place = last("p")
@@ -191,13 +205,13 @@ def _parse(page: str, by_name: bool) -> tuple[list[_Element], list[tuple[int, st
                         close(place)
             flush()
         up = elements[stack[-1]]
-        junk, points = (True, 0.0) if up.junk else _is_junk(tag, token["attrs"], bool(open_tags.get("article") or open_tags.get("main")), by_name)
+        junk, points = (True, 0.0) if up.junk else _is_junk(tag, token["attrs"], bool(open_tags.get("article") or open_tags.get("main")), by_name, forms)
         if junk and inline:
             junk = up.junk or tag != "a"  # a link with an odd name is still text
-        elements.append(_Element(tag, stack[-1], junk, up.in_link or tag == "a", points))
+        elements.append(_Element(tag, stack[-1], junk, up.in_link or tag == "a", inline, points))
         up.children.append(len(elements) - 1)
-        if token["attrs"].endswith("/") and tag not in _INLINE and tag not in _WHOLE and tag in ("circle", "path"):
-            continue
+        if token["attrs"].endswith("/") and any(open_tags.get(t) for t in _FOREIGN):
+            continue  # such elements can be closed by their own tag
         stack.append(len(elements) - 1)
         open_tags[tag] = open_tags.get(tag, 0) + 1
         if not inline:
@@ -210,11 +224,15 @@ def main_text(page: str | None) -> str:
     """The article of a page, blocks joined by one space; empty if there is none."""
     if not page:
         return ""
-    return _best_text(page, True) or _best_text(page, False)
+    for by_name, forms in ((True, True), (False, True), (True, False), (False, False)):
+        found = _best_text(page, by_name, forms)
+        if found:
+            return found
+    return ""
 
 
-def _best_text(page: str, by_name: bool) -> str:
-    elements, blocks = _parse(page, by_name)
+def _best_text(page: str, by_name: bool, forms: bool) -> str:
+    elements, blocks = _parse(page, by_name, forms)
     if not blocks:
         return ""
     for at, block in blocks:
@@ -237,7 +255,7 @@ def _best_text(page: str, by_name: bool) -> str:
         e = elements[i]
         return e.points * (1 - e.linked / max(e.length, 1)) if e.length and not e.junk else 0.0
 
-    best = max((i for i, e in enumerate(elements) if e.tag not in _INLINE), key=lambda i: (score(i), -i))
+    best = max((i for i, e in enumerate(elements) if not e.inline), key=lambda i: (score(i), -i))
     above = best
     while above > 0:
         if elements[above].tag in ("article", "main"):
@@ -251,8 +269,8 @@ def _best_text(page: str, by_name: bool) -> str:
             e = elements[s]
             begun = begun or s in keep
             density = e.linked / max(e.length, 1)
-            plain = e.tag in ("p", "h1", "h2") or (e.tag not in _INLINE and not e.points and e.length > 80)
-            if score(s) >= max(10.0, SIBLING_SHARE * score(best)) or ((plain or (begun and e.tag not in _INLINE)) and not e.junk and e.length and density < 0.25):
+            plain = e.tag in ("p", "h1", "h2") or (not e.inline and not e.points and e.length > 80)
+            if score(s) >= max(10.0, SIBLING_SHARE * score(best)) or ((plain or (begun and not e.inline)) and not e.junk and e.length and density < 0.25):
                 keep.add(s)
                 begun = True
     elif elements[best].tag == "article":
@@ -271,7 +289,8 @@ def main_text_column(pages: pa.Array) -> pa.Array:
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:
     """``pages`` with the main text of each whole page in ``name`` (which replaces
-    a column of that name). Null and empty pages, and pages without text, give an
+    a column of that name). Pages of any length are read whole, and rows that repeat
+    are pages like others. Null and empty pages, and pages without text, give an
     empty string. Markup may be broken: unclosed elements end with their parents,
     stray end tags are ignored. An empty table gives an empty result."""
     small_batches(pages.sparkSession)

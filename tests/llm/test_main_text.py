@@ -83,6 +83,31 @@ def test_blocks_spaces_and_references():
     assert main_text(page) == "a&b c d ef x y 1 2 k l"
 
 
+@pytest.mark.parametrize(
+    "inside, want",
+    [
+        ("Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be, as said, so.", "Let x=1 be, as said, so."),
+        ("A <svg><circle r=1 /><text>label</text></svg> here.", "A label here."),
+        ("See <object data=f.pdf>the file</object> now.", "See the file now."),
+        ("An <noscript>image of it</noscript> there.", "An image of it there."),
+        ("Write:<xmp><b>&amp; x</xmp>like this.", "Write: <b>&amp; x like this."),
+        ("Gone <style>p{}</style><template><p>t</p></template><iframe>f</iframe>is that.", "Gone is that."),
+    ],
+)
+def test_text_of_other_kinds_of_elements_stays(inside, want):
+    rest = "More of the text, with commas, and so on. " * 4
+    assert main_text(f"<body><article><p>{inside}</p><p>{rest}</p></article></body>") == f"{want} {rest.strip()}"
+
+
+@pytest.mark.parametrize("tag", ["form", "fieldset"])
+def test_a_page_that_sits_in_a_form(tag):
+    text = "One, two, three and more of the text. " * 5
+    page = f"<body><{tag}><nav>Home</nav><div class='story'><p>{text}</p></div><button>Go</button><footer>F</footer></{tag}></body>"
+    assert main_text(page) == text.strip()
+    beside = f"<body><div><p>{text}</p></div><{tag}><label>Name</label> <p>Send, now, this.</p></{tag}></body>"
+    assert main_text(beside) == text.strip()
+
+
 @pytest.mark.parametrize(
     "page, want",
     [(None, ""), ("", ""), ("plain", "plain"), ("<p>a<b>b", "ab"), ("</p></div>x", "x"), ("<a href='x", ""), ("<script>x", ""), ("<nav>only</nav>", ""), ("<![CDATA[a<b]]>", "a<b")],

@@ -1,6 +1,6 @@
 """Toxicity scores by a counterfactually regularised classifier.
 
-Features are the presence of words and of word beginnings (4 and 6 characters).
+Features are the presence of words and of word beginnings (4 to 6 characters).
 A bounded sample of labelled documents chooses those that separate toxic from
 other documents and fits a logistic model. Identity terms (words that name
 groups of people) have weights of their own and no beginnings. For every
@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cabgrid.llm import text as tx
 from cabgrid.llm.logistic import fit, sigmoid
-from cabgrid.llm.scratch import small_batches
+from cabgrid.llm.scratch import Scratch, small_batches
 
 U64 = tx.U64
-PREFIXES = (4, 6)
+PREFIXES = (4, 5, 6)
 #: Families of identity terms; a swap stays in its family.
 IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
     "religion": ("christian", "christians", "muslim", "muslims", "jewish", "jews", "hindu", "hindus", "buddhist", "buddhists", "atheist", "atheists"),
@@ -36,7 +36,7 @@ IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
     "age and health": ("old", "young", "elderly", "disabled", "blind", "deaf"),
 }
 #: Labelled documents to fit on: at most so many toxic and so many others.
-SAMPLE_TOXIC, SAMPLE_OTHER = 2_000, 4_000
+SAMPLE_TOXIC, SAMPLE_OTHER = 2_500, 5_000
 #: Features kept, and the least separation (in standard errors) of a kept one.
 FEATURES, LEAST_Z = 512, 5.0
 RIDGE, SWAP_WEIGHT = 0.01, 10.0
@@ -146,6 +146,44 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with each feature, by label, in the batches of a task."""
+    for batch in batches:
+        label = batch.column("toxic").to_numpy(zero_copy_only=False)
+        raw = [x.as_py() for x in batch.column("features")]
+        for kind in (0, 1):
+            mine = np.frombuffer(b"".join(r for r, k in zip(raw, label) if k == kind), dtype=U64)
+            found, n = np.unique(mine, return_counts=True)
+            n0, n1 = (n, np.zeros_like(n)) if kind == 0 else (np.zeros_like(n), n)
+            yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(n0), pa.array(n1)], names=["hash", "n0", "n1"])
+
+
+def separating_features(sample: DataFrame, toxic: int, other: int) -> np.ndarray:
+    """The FEATURES hashes whose rates of presence among ``toxic`` and ``other``
+    sample documents lie the most standard errors apart, at least LEAST_Z; not
+    identity terms. Counted by Spark, so the driver sees the chosen ones only,
+    however long the sampled texts are."""
+    known, _ = identity_hashes()
+    counts = sample.mapInArrow(_feature_counts, "hash long, n0 long, n1 long").groupBy("hash").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    p1, p0 = (F.col("n1") + 0.5) / (toxic + 1), (F.col("n0") + 0.5) / (other + 1)
+    p = (F.col("n0") + F.col("n1")) / (toxic + other)
+    z = F.abs((p1 - p0) / F.sqrt(p * (1 - p) * (1 / toxic + 1 / other) + 1e-12))
+    strong = counts.withColumn("z", z).where((F.col("z") >= LEAST_Z) & (F.col("n0") + F.col("n1") >= 3) & ~F.col("hash").isin(known.view(np.int64).tolist()))
+    chosen = strong.orderBy(F.desc("z"), "hash").limit(FEATURES).select("hash").collect()
+    return np.array([r.hash for r in chosen], dtype=np.int64).view(U64)
+
+
+def _hits(hashes: np.ndarray):
+    """The places in ``hashes`` of the features of each sample text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits = [np.flatnonzero(np.isin(hashes, np.frombuffer(x.as_py(), dtype=U64))).astype(np.int32) for x in batch.column("features")]
+            yield pa.record_batch([batch.column("toxic"), pa.array(hits, pa.list_(pa.int32())), batch.column("swaps")], names=["toxic", "hits", "swaps"])
+
+    return run
+
+
 def held_out(id_col: str | Column) -> Column:
     """Rows that no model is fitted on: crc32 of the id as text is 2 modulo 4."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
@@ -171,29 +209,19 @@ def fit_toxicity(
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")).join(
         F.broadcast(picked), F.col("id") == F.col("label_id")
     )
-    rows = texts.select("toxic", "text").mapInArrow(_sample_features, "toxic int, features binary, swaps array<int>").collect()
+    with Scratch(docs.sparkSession) as keep:
+        sample = keep(texts.select("toxic", "text").mapInArrow(_sample_features, "toxic int, features binary, swaps array<int>"), "sample")
+        by_label = {r.toxic: r[1] for r in sample.groupBy("toxic").count().collect()}
+        toxic, other = by_label.get(1, 0), by_label.get(0, 0)
+        if not toxic or not other:
+            rate = (toxic + 0.5) / (toxic + other + 1)
+            return ToxicityModel(float(np.log(rate / (1 - rate))), np.zeros(0, U64), np.zeros(0))
+        hashes = np.unique(np.concatenate((separating_features(sample, toxic, other), known)))
+        rows = sample.mapInArrow(_hits(hashes), "toxic int, hits array<int>, swaps array<int>").collect()
     y = np.array([r.toxic for r in rows], dtype=float)
-    if len(rows) == 0 or y.min() == y.max():
-        rate = (sum(y) + 0.5) / (len(y) + 1)
-        return ToxicityModel(float(np.log(rate / (1 - rate))), np.zeros(0, U64), np.zeros(0))
-    # Documents with each feature, by label; hashes are sorted, so one kind at a time.
-    counted = [np.unique(np.frombuffer(b"".join(r.features for r in rows if r.toxic == k), dtype=U64), return_counts=True) for k in (0, 1)]
-    values = np.unique(np.concatenate([v[c >= 2] for v, c in counted]))
-    n0, n1 = (np.zeros(len(values)) for _ in counted)
-    for n, (v, c) in zip((n0, n1), counted):
-        at = np.minimum(np.searchsorted(v, values), max(len(v) - 1, 0))
-        n += np.where(v[at] == values, c[at], 0) if len(v) else 0
-    counted.clear()
-    # Separation of the two presence rates in standard errors.
-    toxic, other = y.sum(), len(y) - y.sum()
-    p1, p0, p = (n1 + 0.5) / (toxic + 1), (n0 + 0.5) / (other + 1), (n0 + n1) / len(y)
-    z = (p1 - p0) / np.sqrt(p * (1 - p) * (1 / toxic + 1 / other) + 1e-12)
-    strong = np.flatnonzero((np.abs(z) >= LEAST_Z) & (n0 + n1 >= 3) & ~np.isin(values, known))
-    strong = strong[np.argsort(-np.abs(z[strong]), kind="stable")[:FEATURES]]
-    hashes = np.unique(np.concatenate((values[strong], known)))
     x = np.zeros((len(rows), len(hashes)), dtype=np.float64)
     for i, r in enumerate(rows):
-        x[i] = np.isin(hashes, np.frombuffer(r.features, dtype=U64))
+        x[i, r.hits] = 1
     # The loss counts each sampled row for the labels of its kind that it stands for.
     share = {1: totals.get(1, 0) / toxic, 0: totals.get(0, 0) / other}
     weight = np.array([share[int(v)] for v in y])
@@ -212,12 +240,15 @@ def fit_toxicity(
 
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with a score between 0 and 1 for every whole text (likelier toxic
-    the higher). Null and empty texts get the score of a text without any feature."""
+    the higher). Null and empty texts get the score of a text without any feature;
+    texts of any length count whole, equal texts get equal scores. Rows may repeat; a
+    column named ``name`` is replaced; an empty table gives an empty result."""
     small_batches(docs.sparkSession)
     return docs.withColumn(name, model.score_column()(F.col(text_col)))
 
 
 def keep_civil(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose score is below ``threshold``."""
+    """The rows of ``docs``, unchanged and as often as they occur, whose score is
+    below ``threshold`` (see :func:`toxicity_scores`), with all their columns."""
     small_batches(docs.sparkSession)
     return docs.where(model.score_column()(F.col(text_col)) < threshold)

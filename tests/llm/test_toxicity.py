@@ -1,12 +1,15 @@
 """Held-out accuracy, and scores that don't move when identity terms are swapped."""
 
+import math
 import random
+import re
 
 import numpy as np
 import pytest
 
 from cabgrid.llm import toxicity as tox
 from cabgrid.llm.logistic import fit, sigmoid
+from cabgrid.llm.text import mix
 from cabgrid.llm.toxicity import fit_toxicity, held_out, keep_civil, toxicity_scores
 from conftest import SF001
 from corpus import awkward, empty, frame, sentence
@@ -30,6 +33,39 @@ def test_held_out_accuracy(spark, fitted):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_score(model, text):
+    """The score from the words themselves: lower-cased runs of ASCII letters and
+    digits and of other characters, each feature once."""
+    words = re.findall("[a-z0-9\u0080-\U0010ffff]+", (text or "").lower())
+    terms = {w for family in tox.IDENTITY_TERMS.values() for w in family}
+    hashes = {int(tox._word_hash([w])[0]) for w in words}
+    for size in tox.PREFIXES:
+        begins = {w[:size] for w in words if w not in terms and len(w) >= size}
+        hashes |= {int(mix(tox._word_hash([b]) + np.uint64(size))[0]) for b in begins}
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist()))
+    return 1 / (1 + math.exp(-model.intercept - sum(weight.get(h, 0.0) for h in hashes)))
+
+
+def test_scores_equal_plain_pythons(spark, fitted):
+    docs, _, model = fitted
+    rows = toxicity_scores(docs.where("doc_id < 400"), model).collect() + toxicity_scores(frame(spark, awkward(random.Random(4))), model).collect()
+    assert len(model.hashes) > 100
+    for r in rows:
+        assert float(r.score) == pytest.approx(plain_score(model, r.text), abs=1e-9)
+
+
+def test_chosen_features_are_the_most_separating(spark):
+    """Against counting them in Python; a feature of too few documents isn't chosen."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        toxic = int(i % 3 == 0)
+        own = [h for h, (a, b) in {11: (0.9, 0.1), 12: (0.1, 0.8), 13: (0.5, 0.5), 14: (0.7, 0.2)}.items() if rng.random() < (a if toxic else b)]
+        rows.append((toxic, np.array(sorted({*own, 15} if i in (0, 3) else own), dtype=np.uint64).tobytes(), []))
+    sample = spark.createDataFrame(rows, "toxic int, features binary, swaps array<int>").repartition(3)
+    assert set(tox.separating_features(sample, 100, 200).tolist()) == {11, 12, 14}
+
+
 def biased(rng, n):
     """A term that occurs mostly in toxic sentences, but doesn't make them so."""
     texts, labels = {}, {}

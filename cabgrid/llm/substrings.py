@@ -14,8 +14,8 @@ symbols inside it that its own words determine; the number of rounds is the
 largest for which there always is one. Consecutive windows with the same
 smallest name travel together under that name: names are dealt over the
 cluster, a name that occurs once is dropped, and under a shared name the
-window fingerprints (64 bits beside the 64 of the name, over all words of the
-window) verify which windows are repeats and which document has them first.
+window fingerprints (64 bits beside 32 of the name and its bucket, over all words
+of the window) verify which windows are repeats and which document has them first.
 
 A frequent word with a low hash represents a share of all windows that doesn't
 fall as the corpus grows. Names are therefore counted first, and the windows of
@@ -39,6 +39,8 @@ SLICE_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20
 #: Windows of one name from which they are spread, over parts of a quarter as many.
 HEAVY_WINDOWS = 1 << 20
+#: Windows that travel together, at most (their number takes one byte).
+MOST_TOGETHER = 255
 #: Names a task counts at once, and the least count that it reports.
 COUNTED_NAMES = 1 << 18
 LEAST_COUNT = 32
@@ -124,8 +126,9 @@ def _repeated(name: np.ndarray, seen: np.ndarray, doc: np.ndarray) -> np.ndarray
     return later
 
 
-def _stretches(*columns: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and length of the stretches with equal columns and consecutive ``at``."""
+def _stretches(*columns: np.ndarray, at: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of the stretches with equal columns and consecutive ``at``
+    (with ``most``: longer ones are cut)."""
     if len(at) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     new = np.ones(len(at), dtype=bool)
@@ -133,6 +136,11 @@ def _stretches(*columns: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
     for c in columns:
         new[1:] |= c[1:] != c[:-1]
     begin = np.flatnonzero(new)
+    if most is not None:
+        size = np.diff(begin, append=len(at))
+        pieces = -(-size // most)
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = np.repeat(begin, pieces) + nth * most
     return begin, np.diff(begin, append=len(at))
 
 
@@ -208,14 +216,14 @@ def _send(window: int, buckets: int, heavy: tuple[np.ndarray, np.ndarray] = (np.
                 tag = part.column("tag").to_numpy(zero_copy_only=False)[at]
                 rows = []
                 # Repeats of a smaller document in the same slice are settled here.
-                begin, n = _stretches(at[later], at=t[later])
+                begin, n = _stretches(at[later], at=t[later], most=MOST_TOGETHER)
                 if len(begin):
                     x, y = doc[later][begin], tag[later][begin]
-                    rows.append((int(x[0]) % buckets, b"", x, y, t[later][begin].astype(np.uint32), n.astype(np.uint32), b""))
+                    rows.append((int(x[0]) % buckets, b"", x, y, t[later][begin].astype(np.uint32), n.astype(np.uint8), b""))
                 keep = ~later
                 at, t, name, seen, doc, tag = at[keep], t[keep], name[keep], seen[keep], doc[keep], tag[keep]
                 to = _dealt(name, seen, buckets, heavy)
-                begin, n = _stretches(at, name, to, at=t)
+                begin, n = _stretches(at, name, to, at=t, most=MOST_TOGETHER)
                 to = to[begin]
                 order = np.argsort(to, kind="stable")
                 cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
@@ -224,7 +232,7 @@ def _send(window: int, buckets: int, heavy: tuple[np.ndarray, np.ndarray] = (np.
                         continue
                     b, k = begin[some], n[some]
                     w = np.repeat(b - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())
-                    rows.append((int(to[some[0]]), name[b], doc[b], tag[b], t[b].astype(np.uint32), k.astype(np.uint32), seen[w]))
+                    rows.append((int(to[some[0]]), (name[b] >> U64(32)).astype(np.uint32), doc[b], tag[b], t[b].astype(np.uint32), k.astype(np.uint8), seen[w]))
                 for i in range(0, len(rows), 256):
                     cols = list(zip(*rows[i : i + 256]))
                     yield pa.record_batch(
@@ -244,9 +252,9 @@ def _settle(table: pa.Table) -> pa.Table:
         return np.concatenate([np.frombuffer(x, dtype=kind) for x, s in zip(got[c], got["name"]) if (s == b"") == known] + [np.zeros(0, kind)])
 
     docs, tags = [whole("doc", np.int64, True)], [whole("tag", np.int32, True)]
-    begins, sizes = [whole("first", np.uint32, True)], [whole("n", np.uint32, True)]
-    name, doc, tag = whole("name", U64, False), whole("doc", np.int64, False), whole("tag", np.int32, False)
-    first, n, seen = whole("first", np.uint32, False), whole("n", np.uint32, False), whole("seen", U64, False)
+    begins, sizes = [whole("first", np.uint32, True)], [whole("n", np.uint8, True).astype(np.uint32)]
+    name, doc, tag = whole("name", np.uint32, False), whole("doc", np.int64, False), whole("tag", np.int32, False)
+    first, n, seen = whole("first", np.uint32, False), whole("n", np.uint8, False).astype(np.uint32), whole("seen", U64, False)
     got.clear()
     order = np.argsort(name)
     same = np.zeros(len(name), dtype=bool)

@@ -144,6 +144,17 @@ def _stretches(*columns: np.ndarray, at: np.ndarray, most: int | None = None) ->
     return begin, np.diff(begin, append=len(at))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """The numbers' lowest bytes, then their next ones and so on: ids and places
+    differ little in the higher bytes, which Spark's compression then takes away."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(raw, np.uint8).reshape(size, -1).T.copy().view(kind)[:, 0]
+
+
 _SENT = "bucket int, name binary, doc binary, tag binary, first binary, n binary, seen binary"
 _FOUND = "doc long, tag int, starts binary"
 
@@ -237,7 +248,7 @@ def _send(window: int, buckets: int, heavy: tuple[np.ndarray, np.ndarray] = (np.
                     cols = list(zip(*rows[i : i + 256]))
                     yield pa.record_batch(
                         [pa.array(cols[0], pa.int32())]
-                        + [pa.array([v if isinstance(v, bytes) else v.tobytes() for v in c], pa.binary()) for c in cols[1:]],
+                        + [pa.array([v if isinstance(v, bytes) else _planes(v) for v in c], pa.binary()) for c in cols[1:]],
                         schema=schema,
                     )
 
@@ -249,7 +260,7 @@ def _settle(table: pa.Table) -> pa.Table:
     got = {c: [x.as_py() for x in table.column(c)] for c in ("name", "doc", "tag", "first", "n", "seen")}
 
     def whole(c: str, kind, known: bool) -> np.ndarray:
-        return np.concatenate([np.frombuffer(x, dtype=kind) for x, s in zip(got[c], got["name"]) if (s == b"") == known] + [np.zeros(0, kind)])
+        return np.concatenate([_from_planes(x, kind) for x, s in zip(got[c], got["name"]) if (s == b"") == known] + [np.zeros(0, kind)])
 
     docs, tags = [whole("doc", np.int64, True)], [whole("tag", np.int32, True)]
     begins, sizes = [whole("first", np.uint32, True)], [whole("n", np.uint8, True).astype(np.uint32)]

@@ -33,6 +33,9 @@ SHORT_RUNS = ((12, 2), (32, 3))
 LONG_RUN = 4
 SLICE_BYTES = 512 << 10
 BLOCK_BYTES = 32 << 20
+#: Blocks of ids at most, so that what the driver and every task hold of them is
+#: bounded; a larger block is read in order by its task, not held.
+MOST_BLOCKS = 1 << 14
 
 
 def _levels(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,9 +171,10 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``fingerprint``, ``edited_fingerprint``, ``near_edited`` and ``near_next``
     (likeness to the edited text and to the next document).
 
-    The ids are cut into blocks at quantiles; each block's rows go to one task
-    that reads them in order, with a copy of the first row of the block after
-    it. A text travels once. Null texts count as empty. Rows with equal ids are
+    The ids are cut into at most MOST_BLOCKS blocks at quantiles; each block is a
+    partition of its own, whose task reads it in order, with a copy of the first row
+    of the block after it. A text travels once; texts of any length count whole, and
+    rows that repeat are documents like others. Null texts count as empty. Rows with equal ids are
     ordered by text. Rows with a null id have no place in the order and are left
     out. A single document is its own successor; an empty table gives no rows;
     other columns are not read."""
@@ -179,7 +183,7 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     size, least = rows.agg(F.sum(F.octet_length("text")), F.min("id")).first()
     if least is None:
         return docs.sparkSession.createDataFrame([], _SCHEMA)
-    blocks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // BLOCK_BYTES))
+    blocks = min(MOST_BLOCKS, max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // BLOCK_BYTES)))
     cuts = rows.agg(F.percentile_approx("id", [i / blocks for i in range(1, blocks)] or [0.5], 20 * blocks)).first()[0]
     edges = np.unique(np.array([least, *cuts], dtype=np.int64))  # each block's least id
 
@@ -199,7 +203,7 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ordered = (
         placed.select("block", F.lit(False).alias("guest"), "id", "text")
         .unionByName(copies)
-        .repartition(len(edges), "block")
+        .repartitionById(len(edges), "block")
         .sortWithinPartitions("block", "guest", F.desc("id"), F.desc("text"))
     )
     return ordered.mapInArrow(_edited, _SCHEMA)

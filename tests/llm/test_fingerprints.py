@@ -10,6 +10,49 @@ from cabgrid.llm.ctph import common_length, edited_neighbours, fingerprint_colum
 from corpus import awkward, empty, frame, rows_of, sentence
 
 
+def slow_hash(chunk: bytes) -> int:
+    """Of a chunk, from its bytes in eights, with Python's integers."""
+    word = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & word
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & word
+        return x ^ x >> 31
+
+    lanes = [int.from_bytes(chunk[i : i + 8], "little") for i in range(0, len(chunk), 8)] or [0]
+    total = sum(mix(x + (i + 1) * 0x9E3779B97F4A7C15 & word) for i, x in enumerate(lanes))
+    return mix(total + len(chunk) * 0xD6E8FEB86659FD93 & word)
+
+
+def slow_fingerprint(text: bytes) -> str:
+    """Byte after byte, as the module's docstring has it."""
+    ones = {}
+    for i in range(ctph.REACH - 1, len(text) - 1):
+        h, factor = 0, 1
+        for k in range(ctph.REACH):
+            h = (h + (text[i - k] + 1) * factor) % 2**32
+            factor = factor * 0x9E3779B1 % 2**32
+        h ^= h >> 15
+        h = h * 0x85EBCA77 % 2**32
+        h ^= h >> 13
+        ones[i] = len(bin(h)) - len(bin(h).rstrip("1"))
+    level = 1
+    while sum(n >= level for n in ones.values()) + 1 > ctph.MOST_CHUNKS:
+        level += 1
+    signatures = []
+    for least in (level, level + 1):
+        ends = [i + 1 for i, n in ones.items() if n >= least] + ([len(text)] if text else [])
+        signatures.append("".join(ctph.ALPHABET[slow_hash(text[a:b]) >> 58] for a, b in zip([0, *ends], ends)))
+    return f"{2**level}:{signatures[0]}:{signatures[1]}"
+
+
+def test_signatures_equal_a_slow_version():
+    rng = random.Random(8)
+    texts = [sentence(rng, n).encode() for n in (0, 1, 2, 7, 40, 300, 2500)] + [b"a", b"abcdefg", b"ab" * 3000, b"\0" * 50, "é語 x".encode() * 90]
+    texts += [bytes(rng.randrange(256) for _ in range(n)) for n in (6, 7, 8, 500, 9000)]
+    assert fingerprints(texts) == [slow_fingerprint(t) for t in texts]
+
+
 def brute(rows):
     ordered = sorted(((r[0], r[1] or "") for r in rows if r[0] is not None), reverse=True)
     out = []
@@ -29,6 +72,16 @@ def test_awkward_rows(spark):
     check(spark, awkward(random.Random(1)))
 
 
+def test_blocks_are_bounded_and_each_is_a_partition(spark, monkeypatch):
+    monkeypatch.setattr(ctph, "BLOCK_BYTES", 10)
+    monkeypatch.setattr(ctph, "MOST_BLOCKS", 12)
+    rng = random.Random(6)
+    rows = rows_of({i * 7: sentence(rng, rng.randint(0, 30)) for i in range(200)})
+    check(spark, rows)
+    sizes = [sum(1 for _ in p) for p in edited_neighbours(frame(spark, rows)).rdd.glom().collect()]
+    assert len(sizes) <= 12 and min(sizes) >= 8 and max(sizes) <= 30
+
+
 def test_many_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(ctph, "BLOCK_BYTES", 2000)
     monkeypatch.setattr(ctph, "SLICE_BYTES", 500)

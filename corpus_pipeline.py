@@ -1,7 +1,11 @@
 """A corpus pipeline over ``documents``: toxicity, quality, near duplicates,
 repeated passages, packing. Each stage takes what the one before it kept,
 written as a table and read again; all but the last return the columns of
-``documents``."""
+``documents``.
+
+In every stage: other columns pass unchanged, whatever their names; an empty table
+gives an empty one; texts of any length are read whole; rows that repeat are
+documents of their own unless a stage says otherwise."""
 
 from __future__ import annotations
 
@@ -20,22 +24,28 @@ PASSAGE_WORDS = 50
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier rejects go."""
+    """Documents that the toxicity classifier rejects go. Null and empty texts get
+    the score of a text without any feature; equal texts fare alike."""
     return keep_civil(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose posterior quality is too low go."""
+    """Documents whose posterior quality is too low go. A null or empty text is
+    judged by a shape of zeros and its site; null sources and languages are sites."""
     return keep_good(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays: the one with the least
+    id. Texts without words are in no group; rows with a null id stay, and of rows
+    with one id one does."""
     return keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of PASSAGE_WORDS words or more that an earlier document has are cut."""
+    """Passages of PASSAGE_WORDS words or more that an earlier document has are cut.
+    Earlier: with a smaller id; rows of one id don't cut each other. A null text and
+    a row with a null id stay as they are."""
     cut = remove_repeats(docs, window=PASSAGE_WORDS, layout=True)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text"))
     made = {
@@ -46,7 +56,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and the bin of each."""
+    """Pieces of the documents and the bin of each; a null text or one without words
+    is one piece in no bin."""
     return pack(docs)
 
 

@@ -13,7 +13,11 @@ Bands of signature values give buckets. Within a bucket, signatures estimate
 the similarity of all pairs, and union-find joins those that can be similar
 enough into families; a very large bucket joins all its members, which may only
 make a family larger. The members of a family are then checked on their full
-sets, block against block, where union-find skips what is connected already.
+sets, block against block, where union-find skips what is connected already:
+first each block with itself and with the family's first block, which copies a
+set three times on average however large the family is. Between the other blocks
+only signatures travel, with the component found so far; full sets follow for the
+members that may be similar to one of another component.
 Only the links that join something leave a task, never all pairs.
 """
 
@@ -23,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cabgrid.llm import text as tx
 from cabgrid.llm.components import connected
@@ -224,10 +228,32 @@ def _families(percent: int, least: int):
     return run
 
 
+def _between(percent: int, least: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Members of two blocks that may be similar to one of another component."""
+        family, first, second, rep, block, n, component = (
+            table.column(c).to_numpy() for c in ("family", "first", "second", "rep", "block", "n", "component")
+        )
+        sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(len(rep), -1)
+        left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+        pairs = _alike(sign, n, left, right, percent, least)
+        a, b = left[pairs[:, 0]], right[pairs[:, 1]]
+        other = component[a] != component[b]
+        rows = np.unique(np.concatenate((a[other], b[other])))
+        _, once = np.unique(rep[rows], return_index=True)
+        rows = rows[once]
+        names = ["family", "first", "second", "rep", "block", "component"]
+        return pa.table([pa.array(x[rows]) for x in (family, first, second, rep, block, component)], names=names)
+
+    return run
+
+
 def _confirm(percent: int, least: int):
     def run(table: pa.Table) -> pa.Table:
-        """Links that join members of a family, for a pair of its blocks."""
-        family, first, second, rep, block = (table.column(c).to_numpy() for c in ("family", "first", "second", "rep", "block"))
+        """Links that join components of a family, for a pair of its blocks."""
+        family, first, second, rep, block, component = (
+            table.column(c).to_numpy() for c in ("family", "first", "second", "rep", "block", "component")
+        )
         sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(len(rep), -1)
         sets = [np.frombuffer(x, dtype=U64) for x in table.column("held").to_pylist()]
         n = np.array([len(x) for x in sets])
@@ -235,11 +261,11 @@ def _confirm(percent: int, least: int):
         for rows in _slices_of(family, first, second):
             rows = rows[np.argsort(rep[rows], kind="stable")]
             left, right = rows[block[rows] == first[rows]], rows[block[rows] == second[rows]]
-            place = {int(r): k for k, r in enumerate(np.unique(rep[rows]))}
+            place = {int(c): k for k, c in enumerate(np.unique(component[rows]))}
             forest = _Forest(len(place))
             for x, y in _alike(sign, n, left, right, percent, least):
                 a, b = left[x], right[y]
-                p, q = place[int(rep[a])], place[int(rep[b])]
+                p, q = place[int(component[a])], place[int(component[b])]
                 if forest.find(p) == forest.find(q):
                     continue
                 both = np.concatenate((sets[a], sets[b]))
@@ -318,22 +344,40 @@ def _groups(
     whole = left.where((F.col("c") > BUCKET_MEMBERS) & (F.col("rep") > F.col("least"))).select(F.col("least").alias("a"), F.col("rep").alias("b"))
     families = connected(near.unionByName(whole).unionByName(ties), keep).withColumnRenamed("node", "rep").withColumnRenamed("component", "family")
 
-    # Blocks of a family, and each member once for every pair with its block.
+    # Blocks of a family; each block meets itself and the family's first block.
     sizes = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("blocks"))
     placed = keep(families.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "families")
-    held = wide.join(placed.select(F.col("rep").alias("id")), "id", "left_semi").mapInArrow(_sets(shingle), "id long, held binary")
-    held = placed.join(held.withColumnRenamed("id", "rep"), "rep").join(signs.select("rep", "sign"), "rep")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    spread = held.select("family", "blocks", "rep", "block", "sign", "held", other).select(
-        "family", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "rep", "block", "sign", "held", "blocks"
-    )
+
+    def sets_of(members: DataFrame) -> DataFrame:
+        held = wide.join(members.select(F.col("rep").alias("id")), "id", "left_semi").mapInArrow(_sets(shingle), "id long, held binary")
+        return members.join(held.withColumnRenamed("id", "rep"), "rep").join(signs.select("rep", "sign"), "rep")
+
+    def met(members: DataFrame, others: Column) -> DataFrame:
+        rows = members.withColumn("other", F.explode(others))
+        return rows.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")}).drop("other")
+
+    near_blocks = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
     # Families of one block share tasks; a pair of blocks is a task's group.
     few = max(1, -(-placed.count() // BLOCK_MEMBERS))
-    group = F.when(F.col("blocks") == 1, F.struct(F.pmod(F.xxhash64("family"), F.lit(few)).alias("f"), F.lit(-1).alias("i"), F.lit(-1).alias("j")))
-    group = group.otherwise(F.struct(F.col("family").alias("f"), F.col("first").alias("i"), F.col("second").alias("j")))
-    found = spread.withColumn("of", group).drop("blocks").groupBy("of").applyInArrow(_confirm(percent, least), "a long, b long")
+    pair = F.struct(F.col("family").alias("f"), F.col("first").alias("i"), F.col("second").alias("j"))
+    shared = F.struct(F.pmod(F.xxhash64("family"), F.lit(few)).alias("f"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
+    spread = met(sets_of(placed.withColumn("component", F.col("rep"))), near_blocks)
+    spread = spread.withColumn("of", F.when(F.col("blocks") == 1, shared).otherwise(pair)).drop("blocks")
+    found = spread.groupBy("of").applyInArrow(_confirm(percent, least), "a long, b long")
     links = keep(found.unionByName(ties), "links")
     group = connected(links, keep).withColumnRenamed("node", "rep")
+
+    # The other pairs of blocks: signatures first, full sets for what may join.
+    far = placed.where("block > 0 and blocks > 2")
+    if not far.isEmpty():
+        far = far.join(group, "rep", "left").withColumn("component", F.coalesce("component", "rep")).join(signs, "rep")
+        far_blocks = F.filter(F.sequence(F.lit(1), F.col("blocks") - 1), lambda b: b != F.col("block"))
+        survivors = met(far, far_blocks).withColumn("of", pair).drop("blocks").groupBy("of")
+        shape = "family long, first int, second int, rep long, block int, component long"
+        survivors = keep(survivors.applyInArrow(_between(percent, least), shape), "survivors")
+        more = sets_of(survivors).withColumn("of", pair).groupBy("of").applyInArrow(_confirm(percent, least), "a long, b long")
+        links = keep(more.unionByName(links), "links")
+        group = connected(links, keep).withColumnRenamed("node", "rep")
     named = own.join(group, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
     alone = sketch.where("n = 0").select("id", "n", F.col("id").alias("component"))
     return named.unionByName(alone).select(

@@ -72,6 +72,50 @@ def test_large_buckets_and_many_blocks(spark, monkeypatch):
     check(spark, rows_of(near_copies(random.Random(2), 4, 25, 100, 7)))
 
 
+def test_families_of_many_blocks_that_are_not_one_group(spark, monkeypatch):
+    """Copies of a template fall in one family; some are linked, by chains over
+    blocks that don't lie side by side, most are not."""
+    for name, value in (("BUCKET_MEMBERS", 2), ("BLOCK_MEMBERS", 4)):
+        monkeypatch.setattr(smh, name, value)
+    rng = random.Random(5)
+    base = sentence(rng, 60)
+    tails = [" ".join(f"t{i}x{k}" for k in range(30)) for i in range(12)]
+    texts = {}
+    for i in range(12):
+        for k in range(5):
+            w = tails[i].split()
+            for j in range(k):
+                w[j * 3] = f"e{i}x{j}"
+            texts[i + 100 * k] = base + " " + " ".join(w)
+    rows = rows_of(texts)
+    groups = {c for _, _, c, _ in brute(rows, 4)}
+    assert 12 <= len(groups) < 60
+    check(spark, rows)
+
+
+def test_only_members_that_may_join_are_compared_in_full():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    sign = rng.integers(0, 256, (6, 200)).astype(np.uint8)
+    sign[4] = sign[0]  # alike, of another component
+    sign[5] = sign[1]  # alike, of one component
+    table = pa.table(
+        {
+            "family": [1] * 6,
+            "first": pa.array([1] * 6, pa.int32()),
+            "second": pa.array([2] * 6, pa.int32()),
+            "rep": list(range(6)),
+            "block": pa.array([1, 1, 1, 2, 2, 2], pa.int32()),
+            "n": [50] * 6,
+            "component": [0, 1, 2, 3, 4, 1],
+            "sign": [x.tobytes() for x in sign],
+        }
+    )
+    got = smh._between(80, smh.least_matches(80, 200))(table)
+    assert got.column("rep").to_pylist() == [0, 4]
+
+
 def test_empty_table(spark):
     assert near_duplicates(empty(spark)).collect() == []
 

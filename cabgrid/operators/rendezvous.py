@@ -3,7 +3,7 @@ after."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cabgrid.functions.rows import keyed_rows
 
@@ -16,10 +16,16 @@ def cell_rendezvous(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFr
 
     A pickup at most one window length after a dropoff lies in the dropoff's window
     or the next one, so each pickup is keyed under its own window and under the one
-    before; one grouping by (taxi, cell, window) brings each dropoff together with
+    before; one shuffle by (taxi, cell, window) brings each dropoff together with
     all its candidates. A group holds what one taxi does in one cell in two
-    windows."""
-    return next_pickups(rendezvous_events(trips, window), window)
+    windows. It is read backwards in time with the smallest pickup so far, so its rows
+    are sorted (and spilled, if they are many) but never gathered in one row."""
+    backwards = [F.coalesce("ddt", "pdt").desc(), F.col("ddt").asc_nulls_first()]  # a pickup before a dropoff of its instant
+    group = Window.partitionBy("medallion", "cell", "bucket").orderBy(*backwards)
+    so_far = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = rendezvous_events(trips, window).withColumn("pdt", F.min("pdt").over(so_far))
+    met = met.where(F.col("ddt").isNotNull() & (F.col("pdt") <= F.col("ddt") + F.expr(f"INTERVAL {window}")))
+    return met.select("medallion", "cell", "event_id", "ddt", "pdt")
 
 
 def rendezvous_events(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
@@ -42,6 +48,8 @@ def rendezvous_events(trips: DataFrame, window: str = RENDEZVOUS_WINDOW) -> Data
 
 
 def next_pickups(events: DataFrame, window: str = RENDEZVOUS_WINDOW) -> DataFrame:
+    """The same by one aggregation, as a stream needs it (it has no ordered windows):
+    what a taxi does in a cell in two windows is gathered in a row."""
     length = F.expr(f"INTERVAL {window}")
     groups = events.groupBy("medallion", "cell", "bucket").agg(
         F.collect_list(F.when(F.col("ddt").isNotNull(), F.struct("event_id", "ddt"))).alias("drops"), F.collect_list("pdt").alias("picks")

@@ -58,6 +58,25 @@ def test_congestion_exact_under_skew(spark):
     assert _rows(got) == _rows(exp)
 
 
+def test_rendezvous_of_a_very_busy_taxi_hour(spark):
+    """A million trips of one taxi in one cell and hour: no row gathers them."""
+    n = 1_000_000
+    second = (F.col("id") * 7919 % 3600).cast("int")
+    hour = F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")
+    at = lambda s: hour + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), s)
+    trips = spark.range(n).select(
+        F.lit("HOT").alias("medallion"), F.col("id").alias("event_id"), F.lit("1.1").alias("pickup_cell"), F.lit("1.1").alias("dropoff_cell"),
+        at(second - second % 2).alias("pickup_dt"), at(second).alias("dropoff_dt"),
+    )
+    got = ops.cell_rendezvous(trips)
+    assert "collect_list" not in got._jdf.queryExecution().executedPlan().toString()
+    wait = seconds_between("ddt", "pdt")
+    r = got.agg(F.count("*").alias("n"), F.min(wait).alias("lo"), F.max(wait).alias("hi"), F.sum(wait).alias("total")).first()
+    last = trips.where(F.minute("dropoff_dt") * 60 + F.second("dropoff_dt") == 3599).count()
+    odd = trips.where(F.second("dropoff_dt") % 2 == 1).count() - last
+    assert (r.n, r.lo, r.hi, r.total) == (n - last, 0, 1, odd)
+
+
 def test_hot_taxi_is_cut_into_blocks(spark):
     trips = _hot_trips(spark).where("medallion = 'HOT'")
     total = trips.count()

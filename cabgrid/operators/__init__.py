@@ -15,6 +15,7 @@ from cabgrid.operators.areas import (
 from cabgrid.operators.idle import idle_gaps, idle_alerts, idle_alert_stretches, idle_compat
 from cabgrid.operators.rendezvous import cell_rendezvous, cell_rendezvous_compat
 from cabgrid.operators.congestion import congestion_alerts, congestion_compat
+from cabgrid.operators.questions import idle_compat_sql, pleasant_drivers_sql, top_routes_sql
 from cabgrid.operators.tips import driver_tips, pleasant_drivers, pleasant_drivers_per_day
 
 __all__ = [
@@ -42,4 +43,7 @@ __all__ = [
     "driver_tips",
     "pleasant_drivers",
     "pleasant_drivers_per_day",
+    "top_routes_sql",
+    "idle_compat_sql",
+    "pleasant_drivers_sql",
 ]

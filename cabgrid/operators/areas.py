@@ -11,6 +11,7 @@ window of that cell.
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from cabgrid.functions.money import avg_of_cents
 from cabgrid.functions.rows import keyed_rows
 
 PROFIT_WINDOW = "15 minutes"
@@ -41,12 +42,14 @@ def empty_taxis(
     )
 
 
-def area_profit(trips: DataFrame, window: str = PROFIT_WINDOW) -> DataFrame:
-    """Mean of fare plus tip per pickup cell and pickup-time window."""
+def area_profit(trips: DataFrame, window: str = PROFIT_WINDOW, cents: bool = False) -> DataFrame:
+    """Mean of fare plus tip per pickup cell and pickup-time window. With ``cents``,
+    amounts are whole cents and added up as such: the order of rows doesn't matter."""
     w = F.window("pickup_dt", window)
+    paid = F.col("fare_amount") + F.col("tip_amount")
     return (
         trips.groupBy("pickup_cell", w.alias("w"))
-        .agg(F.avg(F.col("fare_amount") + F.col("tip_amount")).alias("area_profit"))
+        .agg((avg_of_cents(paid) if cents else F.avg(paid)).alias("area_profit"))
         .select(
             "pickup_cell",
             F.col("w.start").alias("window_start"),
@@ -78,12 +81,10 @@ def _tagged_area_rows(trips: DataFrame, with_taxi: bool = False) -> DataFrame:
     return t.select(keyed_rows(names, *rows))
 
 
-def _empty_count(distinct_taxis: bool, approx: bool = False):
+def _empty_count(distinct_taxis: bool):
     """Empty taxis of a key: dropoffs (the original count), or distinct taxis
-    that dropped off there (exact in batch, HyperLogLog++ on a stream)."""
-    if not distinct_taxis:
-        return F.sum("dropoffs")
-    return F.approx_count_distinct("taxi") if approx else F.count_distinct("taxi")
+    that dropped off there."""
+    return F.count_distinct("taxi") if distinct_taxis else F.sum("dropoffs")
 
 
 def area_windows(trips: DataFrame, distinct_taxis: bool = False) -> DataFrame:

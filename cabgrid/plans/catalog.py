@@ -51,6 +51,13 @@ def _parsed(spark: SparkSession, table_dir: str) -> DataFrame:
     return parse_trips(derived_lines(spark, table_dir), id_col="event_id")
 
 
+def cent_trips(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Cleaned trips whose fares and tips are any number of cents."""
+    eid = F.col("event_id")
+    cents = {"fare_amount": (eid * 53) % 89, "tip_amount": (eid * 31) % 97}
+    return derived_trips(spark, table_dir).withColumns({c: F.col(c) + n * F.lit(0.01) for c, n in cents.items()})
+
+
 def _on_trips(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, table_dir: str) -> DataFrame:
         return fn(derived_trips(spark, table_dir))
@@ -108,4 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "driver_tips": _on_trips(ops.driver_tips),
     "pleasant_drivers": _on_trips(ops.pleasant_drivers),
     "pleasant_drivers_per_day": _on_trips(ops.pleasant_drivers_per_day),
+    "area_profit_cents": lambda spark, d: ops.area_profit(cent_trips(spark, d), cents=True),
+    "pleasant_drivers_cents": lambda spark, d: ops.pleasant_drivers(cent_trips(spark, d), cents=True),
+    "top_routes_sql": lambda spark, d: ops.top_routes_sql(raw_trip_table(spark, d)),
+    "idle_compat_sql": lambda spark, d: ops.idle_compat_sql(raw_trip_table(spark, d)),
+    "pleasant_drivers_sql": lambda spark, d: ops.pleasant_drivers_sql(raw_trip_table(spark, d)),
 }

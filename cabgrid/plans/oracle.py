@@ -285,12 +285,34 @@ FROM trips""",
 FROM driver_tips QUALIFY "rank" <= 10""",
 }
 
+ORACLE_SQL["top_routes_sql"] = ORACLE_SQL["top_routes"]
+ORACLE_SQL["idle_compat_sql"] = ORACLE_SQL["idle_compat"]
+ORACLE_SQL["pleasant_drivers_sql"] = ORACLE_SQL["pleasant_drivers"]
+_CENTS = """cent_trips AS (
+  SELECT * REPLACE (fare_amount + ((event_id * 53) % 89) * 0.01e0 AS fare_amount, tip_amount + ((event_id * 31) % 97) * 0.01e0 AS tip_amount)
+  FROM trips
+)"""
+ORACLE_SQL["area_profit_cents"] = (
+    _with(_CENTS)
+    + """SELECT pickup_cell, time_bucket(INTERVAL '15 minutes', pickup_dt) AS window_start,
+       time_bucket(INTERVAL '15 minutes', pickup_dt) + INTERVAL '15 minutes' AS window_end,
+       CAST(sum(CAST(floor((fare_amount + tip_amount) * 100e0 + 0.5e0) AS BIGINT)) AS DOUBLE) / 100e0 / count(*) AS area_profit
+FROM cent_trips GROUP BY ALL"""
+)
+ORACLE_SQL["pleasant_drivers_cents"] = (
+    _with(_CENTS)
+    + """SELECT medallion, time_bucket(INTERVAL '1 day', pickup_dt) AS day,
+       CAST(sum(CAST(floor(tip_amount * 100e0 + 0.5e0) AS BIGINT)) AS DOUBLE) / 100e0 AS total_tip_amount
+FROM cent_trips GROUP BY medallion, day ORDER BY total_tip_amount DESC, day, medallion LIMIT 10"""
+)
+
 
 # A streaming query reads the whole table and closes every window: the batch answer.
 STREAM_ORACLE_SQL: dict[str, str] = {
     "stream_route_counts": ORACLE_SQL["route_counts"],
     "stream_top_routes": ORACLE_SQL["top_routes_per_window"],
     "stream_profitable_areas": ORACLE_SQL["profitable_areas"],
+    "stream_profitable_areas_distinct": ORACLE_SQL["profitable_areas_distinct"],
     "stream_idle_alerts": ORACLE_SQL["idle_alerts"],
     "stream_idle_alerts_sliding": ORACLE_SQL["idle_alerts_sliding"],
     "stream_idle_compat": ORACLE_SQL["idle_compat"],

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -117,6 +118,7 @@ BUILDERS: dict[str, tuple[Callable[..., DataFrame], Callable[[DataFrame], DataFr
     "stream_route_counts": (stream_route_counts, None),
     "stream_top_routes": (stream_route_counts, top_routes_of_batch),
     "stream_profitable_areas": (stream_profitable_areas, None),
+    "stream_profitable_areas_distinct": (partial(stream_profitable_areas, distinct_taxis=True), None),
     "stream_idle_alerts": (stream_idle_alerts, None),
     "stream_idle_alerts_sliding": (stream_idle_alerts_sliding, None),
     "stream_idle_compat": (stream_idle_compat, None),

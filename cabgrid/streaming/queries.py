@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cabgrid.functions.text import congested_message, idle_message
-from cabgrid.operators.areas import EMPTY_WINDOW, _empty_count, _tagged_area_rows
+from cabgrid.operators.areas import EMPTY_WINDOW, _tagged_area_rows
 from cabgrid.operators.idle import IDLE_WINDOW, duration_seconds, idle_compat
 from cabgrid.operators.rendezvous import (
     RENDEZVOUS_WINDOW,
@@ -74,18 +74,16 @@ def stream_profitable_areas(
 ) -> DataFrame:
     """One stateful aggregation keyed by (cell, window end), the watermark on
     the window end itself, which is at most ``max_trip`` and a window ahead of the
-    pickup; no stream-stream join. ``distinct_taxis`` uses
-    an approximate distinct count (exact distinct is not incremental)."""
-    agg = (
-        _tagged_area_rows(trips, with_taxi=distinct_taxis)
-        .withWatermark("window_end", widened(delay, max_trip, EMPTY_WINDOW))
-        .groupBy("cell", "window_end")
-        .agg(
-            F.avg("profit").alias("area_profit"),
-            _empty_count(distinct_taxis, approx=True).alias("num_empty_taxis"),
-        )
-        .where(F.col("area_profit").isNotNull() & (F.col("num_empty_taxis") > 0))
-    )
+    pickup; no stream-stream join. ``distinct_taxis`` counts taxis exactly by two
+    aggregations: one row of state for each taxi of a cell and window, and, when the
+    window is over, the number of these rows."""
+    rows = _tagged_area_rows(trips, with_taxi=distinct_taxis).withWatermark("window_end", widened(delay, max_trip, EMPTY_WINDOW))
+    profit, paid, empty = F.sum("profit"), F.count("profit"), F.sum("dropoffs")
+    if distinct_taxis:  # pickups name no taxi here
+        rows = rows.groupBy("cell", "window_end", "taxi").agg(profit.alias("profit"), paid.alias("paid"))
+        paid, empty = F.sum("paid"), F.count("taxi")
+    agg = rows.groupBy("cell", "window_end").agg((profit / F.nullif(paid, F.lit(0))).alias("area_profit"), empty.alias("num_empty_taxis"))
+    agg = agg.where(F.col("area_profit").isNotNull() & (F.col("num_empty_taxis") > 0))
     out = agg.select(
         "cell",
         "window_end",

@@ -3,7 +3,18 @@
 from pyspark.sql import functions as F
 
 from cabgrid import operators as ops
+from cabgrid.functions import (
+    avg_of_cents,
+    congested_message,
+    grid_cell,
+    idle_message,
+    inside_grid,
+    register_sql_functions,
+    sum_of_cents,
+    wrapped_minutes,
+)
 from cabgrid.plans import derived_trips
+from cabgrid.plans.catalog import cent_trips, raw_trip_table
 from conftest import SF001, SF01
 
 
@@ -36,6 +47,46 @@ def test_results_ignore_input_partitioning(spark):
         assert _rows(fn(trips)) == _rows(fn(shuffled)), fn.__name__
 
 
+def test_sums_of_cents_ignore_the_order_of_rows(spark):
+    trips = cent_trips(spark, SF01)
+    for fn in (ops.driver_tips, ops.area_profit, ops.pleasant_drivers):
+        want = _rows(fn(trips, cents=True))
+        assert want
+        for n in (1, 2, 5, 11, 23):
+            assert _rows(fn(trips.repartition(n, F.rand(n)), cents=True)) == want, (fn.__name__, n)
+
+
+def test_cents_of_no_amount(spark):
+    rows = spark.createDataFrame([(1, None), (1, None), (2, 0.29), (2, 0.1), (2, None)], "k int, x double")
+    got = rows.groupBy("k").agg(sum_of_cents("x"), avg_of_cents("x")).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [(1, None, None), (2, 0.39, 0.195)]
+
+
+def test_sql_functions_equal_the_columns(spark):
+    register_sql_functions(spark)
+    points = spark.createDataFrame(
+        [(-74.913585, 41.474937, -60, 12.345), (-80.0, 41.0, 86461, 10.0), (None, 41.0, None, None), (-73.120784, 40.129716, -86400, 0.005)],
+        "lon double, lat double, s long, m double",
+    )
+    pairs = {
+        "cab_cell(lon, lat)": grid_cell("lon", "lat"),
+        "cab_inside(lon, lat)": inside_grid("lon", "lat"),
+        "cab_wrapped_minutes(s)": wrapped_minutes("s"),
+        "cab_idle_message(m)": idle_message("m"),
+        "cab_congested_message(cast(s AS STRING))": congested_message(F.col("s").cast("string")),
+    }
+    for text, column in pairs.items():
+        for r in points.select(F.expr(text).alias("a"), column.alias("b")).collect():
+            assert r.a == r.b, (text, r)
+
+
+def test_parameters_of_sql_text(spark):
+    raw, trips = raw_trip_table(spark, SF001), derived_trips(spark, SF001)
+    assert _rows(ops.top_routes_sql(raw, 3)) == _rows(ops.top_routes(trips, 3))
+    assert _rows(ops.pleasant_drivers_sql(raw, 4)) == _rows(ops.pleasant_drivers(trips, 4))
+    assert _rows(ops.idle_compat_sql(raw, 30)) == _rows(ops.idle_compat(trips, threshold=30))
+
+
 def test_distinct_taxis_option(spark):
     trips = derived_trips(spark, SF01)
     got = ops.profitable_areas(trips, distinct_taxis=True)

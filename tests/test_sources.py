@@ -59,6 +59,42 @@ def test_stored_trips_receive_the_box_as_pushed_filters(spark, capsys):
     assert all(f"GreaterThanOrEqual({c}" in pushed[0] or f"LessThanOrEqual({c}" in pushed[0] for c in ("pickup_long", "dropoff_lat"))
 
 
+def test_a_small_area_needs_few_row_groups(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    from cabgrid.schema import LAT_MAX, LAT_MIN, LON_MAX, LON_MIN
+    from cabgrid.sources import read_trip_table, write_trip_table
+
+    n = 60_000
+    part = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(10_007)) / F.lit(10_007.0)
+    trips = spark.range(n).select(
+        "id",
+        (F.lit(LON_MIN) + part(1) * (LON_MAX - LON_MIN)).alias("pickup_long"),
+        (F.lit(LAT_MIN) + part(2) * (LAT_MAX - LAT_MIN)).alias("pickup_lat"),
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-02 10:00:00")).otherwise(F.lit("2024-01-01 09:00:00")).cast("timestamp_ntz").alias("pickup_dt"),
+    )
+    nowhere = trips.limit(5).withColumns({"id": F.col("id") + n, "pickup_long": F.lit(None).cast("double"), "pickup_lat": F.lit(None).cast("double")})
+    far = trips.limit(5).withColumns({"id": F.col("id") + 2 * n, "pickup_long": F.lit(0.0), "pickup_lat": F.lit(float("nan"))})
+    trips = trips.unionByName(nowhere).unionByName(far)
+    d = tempfile.mkdtemp(prefix="curve-", dir=checkpoint_root(spark).replace("file:", ""))
+    write_trip_table(trips, f"{d}/trips", row_group_bytes=16 << 10)
+    assert read_trip_table(spark, f"{d}/trips").count() == n + 10
+    lon, lat = (-74.2, -74.1), (40.7, 40.8)
+    groups = hit = 0
+    for f in glob.glob(f"{d}/trips/*/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        names = [meta.schema.column(i).path for i in range(meta.num_columns)]
+        for g in range(meta.num_row_groups):
+            stats = [meta.row_group(g).column(names.index(c)).statistics for c in ("pickup_long", "pickup_lat")]
+            groups += 1
+            hit += all(not s.has_min_max or (s.min <= hi and s.max >= lo) for s, (lo, hi) in zip(stats, (lon, lat)))
+    assert groups >= 20 and 0 < hit <= groups / 4, (groups, hit)
+    inside = F.col("pickup_long").between(*lon) & F.col("pickup_lat").between(*lat)
+    got = read_trip_table(spark, f"{d}/trips").where(inside)
+    assert sorted(r.id for r in got.collect()) == sorted(r.id for r in trips.where(inside).collect())
+
+
 def test_writing_one_day_keeps_the_others(spark):
     from cabgrid.plans import derived_trips
     from cabgrid.sources import read_trip_table, write_trip_table

@@ -8,6 +8,7 @@ all of it. Nothing is collected; the plans are lazy.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -88,6 +89,11 @@ TRIP_OPERATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "driver_tips": ops.driver_tips,
     "pleasant_drivers": ops.pleasant_drivers,
     "pleasant_drivers_per_day": ops.pleasant_drivers_per_day,
+    "area_profit_cents": partial(ops.area_profit, cents=True),
+    "pleasant_drivers_cents": partial(ops.pleasant_drivers, cents=True),
+    "top_routes_sql": ops.top_routes_sql,
+    "idle_compat_sql": ops.idle_compat_sql,
+    "pleasant_drivers_sql": ops.pleasant_drivers_sql,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

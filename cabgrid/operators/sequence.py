@@ -46,10 +46,13 @@ def with_neighbors(
         raise ValueError("need at least one lag or lead")
     own = df.columns
     w = Window.partitionBy(*by, "_block").orderBy(*order)
-    row = F.struct(*[F.col(v) for v in values])
-    inside = df.withColumn("_block", block).select(
-        *own,
+    row = F.col("_row")
+    others = [c for c in own if c not in values or c in (*by, *order)]
+    packed = df.select(*others, block.alias("_block"), F.struct(*[F.col(v) for v in values]).alias("_row"))
+    inside = packed.select(
+        *others,
         "_block",
+        "_row",
         F.row_number().over(w).alias("_first"),
         F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"),
         *[F.lag(row, j).over(w).alias(f"_lag{j}") for j in range(1, m + 1)],
@@ -58,9 +61,13 @@ def with_neighbors(
     # One row per block: its first rows in order, its last rows backwards.
     near = lambda kind: F.filter(F.array(row, *[F.col(f"_{kind}{j}") for j in range(1, m)]), lambda x: x.isNotNull())
     edges = inside.where((F.col("_first") == 1) | (F.col("_first") == F.col("_n")))
+    # With whole rows in the aggregate, this side reads the columns of the other one,
+    # and Spark shuffles the rows once for both.
+    whole = F.struct(row.alias("row"), *[F.col(c) for c in others])
+    edge = lambda at, rows: F.first(F.when(at, F.struct(rows.alias("rows"), whole)), ignorenulls=True).getField("rows")
     blocks = edges.groupBy(*by, "_block").agg(
-        F.first(F.when(F.col("_first") == 1, near("lead")), ignorenulls=True).alias("_head"),
-        F.first(F.when(F.col("_first") == F.col("_n"), near("lag")), ignorenulls=True).alias("_tail"),
+        edge(F.col("_first") == 1, near("lead")).alias("_head"),
+        edge(F.col("_first") == F.col("_n"), near("lag")).alias("_tail"),
     )
     # Every block has a row, so the m blocks beside one hold what it can need.
     beside = Window.partitionBy(*by).orderBy("_block")
@@ -73,7 +80,7 @@ def with_neighbors(
     )
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate([*by, "_block"])])
     joined = inside.join(carried, same, "left")
-    out = [F.col(c) for c in own]
+    out = [F.col(c) if c in others else row.getField(c).alias(c) for c in own]
     for j in range(1, lags + 1):
         # Rows before this one in its block: _first - 1; the rest is carried.
         past = F.when(F.col("_first") > j, F.col(f"_lag{j}")).otherwise(F.get("_before", j - F.col("_first")))

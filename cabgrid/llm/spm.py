@@ -4,7 +4,8 @@ The model file is read field by field (it is a protocol buffer), and its parts
 are rebuilt: the normaliser (compiled character map, extra white space, dummy
 prefix), the marker for spaces, and the unigram scores or the pair merges that
 give the same pieces, with bytes as a fallback for characters without a piece.
-Texts are encoded in batches by several threads. Ids and decoded texts can be
+Texts are encoded in batches by several threads; by merges, all but long ones are
+encoded without a cut into words, which costs more than it saves there. Ids and decoded texts can be
 held against the SentencePiece library itself.
 """
 
@@ -30,6 +31,8 @@ UNIGRAM, BPE = 1, 2
 SPACE = "▁"
 SLICE_BYTES = 512 << 10
 THREADS = 2
+#: Characters of a text up to which its pieces are merged without a cut into words.
+WHOLE_CHARS = 1 << 15
 #: One text of so many, by its hash, is encoded by the SentencePiece library too (1: every text).
 PARITY_EVERY = 1
 
@@ -118,6 +121,19 @@ class SpmModel:
         """What each piece stands for in a decoded text."""
         return [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() for p, _, kind in self.pieces]
 
+    @property
+    def marker(self) -> str:
+        return SPACE if self.escape_spaces else " "
+
+    @property
+    def marks_only(self) -> bool:
+        """Whether normalising changes nothing but the prefix and the spaces."""
+        return not self.char_map and not self.squeeze_spaces
+
+    def marked(self, text: str) -> str:
+        """The normalised text, if :attr:`marks_only` holds."""
+        return (self.marker if self.dummy_prefix and text else "") + text.replace(" ", self.marker)
+
     def tokenizer(self):
         """The rebuilt tokenizer; special pieces are never matched in texts."""
         from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -136,7 +152,7 @@ class SpmModel:
             steps.append(normalizers.Precompiled(self.char_map))
         if self.squeeze_spaces:
             steps += [normalizers.Strip(left=True, right=True), normalizers.Replace(Regex(" {2,}"), " ")]
-        marker = SPACE if self.escape_spaces else " "
+        marker = self.marker
         if self.dummy_prefix:
             steps.append(normalizers.Prepend(marker))
         if self.escape_spaces:
@@ -155,9 +171,14 @@ class SpmModel:
 
 
 @lru_cache(maxsize=2)
-def _loaded(data: bytes) -> tuple[SpmModel, object]:
+def _loaded(data: bytes) -> tuple[SpmModel, object, object | None]:
+    """The model, its tokenizer, and one for texts that are marked already (the same
+    merges; none for other models, or if normalising does more)."""
+    from tokenizers import Tokenizer
+
     model = SpmModel.parse(data)
-    return model, model.tokenizer()
+    tok = model.tokenizer()
+    return model, tok, Tokenizer(tok.model) if model.model_type == BPE and model.marks_only else None
 
 
 def _threads(n: int) -> None:
@@ -168,7 +189,13 @@ def _threads(n: int) -> None:
 
 def encode_batch(data: bytes, texts: list[str], threads: int = THREADS) -> list[list[int]]:
     _threads(threads)
-    return [e.ids for e in _loaded(data)[1].encode_batch_fast(texts, add_special_tokens=False)]
+    model, by_words, whole = _loaded(data)
+    if whole is None:
+        return [e.ids for e in by_words.encode_batch_fast(texts, add_special_tokens=False)]
+    marked = [model.marked(t) for t in texts if len(t) <= WHOLE_CHARS]
+    short = iter(whole.encode_batch_fast(marked, add_special_tokens=False))
+    long = iter(by_words.encode_batch_fast([t for t in texts if len(t) > WHOLE_CHARS], add_special_tokens=False))
+    return [next(short if len(t) <= WHOLE_CHARS else long).ids for t in texts]
 
 
 def decode_batch(data: bytes, ids: list[list[int]], threads: int = THREADS) -> list[str]:

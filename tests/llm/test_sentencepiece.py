@@ -2,6 +2,7 @@
 
 import random
 import struct
+import time
 
 import numpy as np
 import pytest
@@ -41,6 +42,34 @@ def test_pieces_stand_for_what_decoding_gives(model):
     assert [b"".join(stands_for[i] for i in x).decode()[1:] for x in ids] == spm.decode_batch(model, ids) == some
 
 
+@pytest.mark.parametrize("most", [-1, 0, 1, 12, 1 << 40])
+def test_texts_cut_into_words_and_whole_ones_have_the_same_ids(model, monkeypatch, most):
+    reader = sentencepiece.SentencePieceProcessor(model_proto=model)
+    monkeypatch.setattr(spm, "WHOLE_CHARS", most)
+    some = texts(seed=3) + ["▁", " ▁ a▁b", " " * 300, "a b " * 5000]
+    assert spm.encode_batch(model, some) == reader.encode(some)
+    assert spm.encode_batch(model, []) == []
+
+
+def test_short_texts_take_less_time_than_a_cut_into_words(model):
+    rng = random.Random(4)
+    some = [" ".join(rng.choice("etaoin") + str(rng.randrange(10**6)) + rng.choice(["ing", "er", "ung"]) for _ in range(300)) for _ in range(200)]
+    by_words = spm.SpmModel.parse(model).tokenizer()
+
+    def seconds(encode):
+        took = []
+        for _ in range(5):
+            at = time.process_time()
+            got = encode()
+            took.append(time.process_time() - at)
+        return min(took), got
+
+    now, ids = seconds(lambda: spm.encode_batch(model, some))
+    cut, same = seconds(lambda: [e.ids for e in by_words.encode_batch_fast(some, add_special_tokens=False)])
+    assert ids == same
+    assert now < 0.85 * cut
+
+
 def message(*fields):
     """A protocol buffer message of (number, value) fields."""
 

@@ -44,6 +44,8 @@ MOST_TOGETHER = 255
 #: Names a task counts at once, and the least count that it reports.
 COUNTED_NAMES = 1 << 18
 LEAST_COUNT = 32
+#: Windows of a bucket that are compared at once.
+SETTLED_WINDOWS = 1 << 18
 
 
 def rounds_for(window: int) -> int:
@@ -255,31 +257,53 @@ def _send(window: int, buckets: int, heavy: tuple[np.ndarray, np.ndarray] = (np.
     return run
 
 
-def _settle(table: pa.Table) -> pa.Table:
-    """The windows of one bucket that a smaller document has too, by document."""
-    got = {c: [x.as_py() for x in table.column(c)] for c in ("name", "doc", "tag", "first", "n", "seen")}
+def _repeats_of(name: np.ndarray, seen: np.ndarray, doc: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """:func:`_repeated` of windows with these fingerprints, whose entries ``of`` have
+    the names and documents: equal windows meet by bits of their fingerprints, so
+    that scratch memory follows a part and not the bucket."""
+    parts = 1 << (len(seen) // SETTLED_WINDOWS).bit_length()
+    later = np.zeros(len(seen), dtype=bool)
+    for p in range(parts):
+        some = np.flatnonzero((seen & U64(parts - 1)) == U64(p)) if parts > 1 else np.arange(len(seen))
+        if len(some):
+            later[some] = _repeated(name[of[some]], seen[some], doc[of[some]])
+    return later
 
-    def whole(c: str, kind, known: bool) -> np.ndarray:
-        return np.concatenate([_from_planes(x, kind) for x, s in zip(got[c], got["name"]) if (s == b"") == known] + [np.zeros(0, kind)])
 
-    docs, tags = [whole("doc", np.int64, True)], [whole("tag", np.int32, True)]
-    begins, sizes = [whole("first", np.uint32, True)], [whole("n", np.uint8, True).astype(np.uint32)]
-    name, doc, tag = whole("name", np.uint32, False), whole("doc", np.int64, False), whole("tag", np.int32, False)
-    first, n, seen = whole("first", np.uint32, False), whole("n", np.uint8, False).astype(np.uint32), whole("seen", U64, False)
-    got.clear()
+def _settle(table: pa.Table) -> pa.Table:
+    """The windows of one bucket that a smaller document has too, by document. Of the
+    fingerprints, which are most of a bucket, only those under a shared name are
+    unpacked; the others stay in the table that Spark has handed over."""
+    sizes_of_names = [x.as_buffer().size for x in table.column("name")]
+    sent, known = ([i for i, size in enumerate(sizes_of_names) if bool(size) == s] for s in (True, False))
+
+    def cells(c: str, kind, rows: list[int]) -> Iterator[np.ndarray]:
+        column = table.column(c)
+        return (_from_planes(column[i].as_buffer(), kind) for i in rows)
+
+    def whole(c: str, kind, rows: list[int]) -> np.ndarray:
+        return np.concatenate([*cells(c, kind, rows), np.zeros(0, kind)])
+
+    docs, tags = [whole("doc", np.int64, known)], [whole("tag", np.int32, known)]
+    begins, sizes = [whole("first", np.uint32, known)], [whole("n", np.uint8, known).astype(np.uint32)]
+    name, n = whole("name", np.uint32, sent), whole("n", np.uint8, sent)
     order = np.argsort(name)
     same = np.zeros(len(name), dtype=bool)
     equal = name[order[1:]] == name[order[:-1]]
     same[order[1:]] |= equal
     same[order[:-1]] |= equal
+    del order, equal
     if same.any():
-        offset = np.concatenate(([0], np.cumsum(n, dtype=np.int64)[:-1]))
-        some = np.flatnonzero(same)
-        k = n[some].astype(np.int64)
-        step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        of = np.repeat(some, k)
-        later = _repeated(name[of], seen[offset[of] + step], doc[of])
-        of, at = of[later], (first[of] + step)[later]
+        rows = np.cumsum([0] + [sizes_of_names[i] // name.itemsize for i in sent])
+        shared = [(i, slice(x, y)) for i, x, y in zip(sent, rows[:-1], rows[1:]) if same[x:y].any()]
+        prints = cells("seen", U64, [i for i, _ in shared])
+        seen = np.concatenate([x[np.repeat(same[at], n[at])] for x, (_, at) in zip(prints, shared)])
+        doc, tag, first = (whole(c, kind, sent)[same] for c, kind in (("doc", np.int64), ("tag", np.int32), ("first", np.uint32)))
+        name, n = name[same], n[same]
+        of = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        later = np.flatnonzero(_repeats_of(name, seen, doc, of))
+        of = of[later]
+        at = first[of] + (later - (np.cumsum(n, dtype=np.int64) - n)[of])
         begin, size = _stretches(of, at=at)
         docs.append(doc[of[begin]])
         tags.append(tag[of[begin]])

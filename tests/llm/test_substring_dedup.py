@@ -1,6 +1,7 @@
 """Removed words equal those of a brute-force search over all windows."""
 
 import random
+import tracemalloc
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -99,6 +100,37 @@ def found_of(texts, window, buckets=16):
     return found
 
 
+def sent_in_one_bucket(texts, window, at_once=50):
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.array([0] * len(texts), pa.int32())], names=["doc", "text", "tag"])
+    return pa.Table.from_batches([b for k in range(0, len(texts), at_once) for b in sub._send(window, 1)(iter([batch.slice(k, at_once)]))])
+
+
+@pytest.mark.parametrize("copied", [False, True])
+def test_settling_a_bucket_takes_little_beside_it(copied):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(map(str, rng.integers(0, 1 << 40, 2000))) for _ in range(400)]
+    table = sent_in_one_bucket(texts[:200] * 2 if copied else texts, 50)
+    tracemalloc.start()
+    try:
+        found = sub._settle(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found.num_rows == (200 if copied else 0)
+    assert peak < (5 if copied else 1.5) * table.nbytes
+
+
+def test_windows_compared_in_parts_are_the_same(monkeypatch):
+    rng = random.Random(12)
+    shared = [sentence(rng, 40) for _ in range(5)]
+    texts = [" ".join([sentence(rng, 20), rng.choice(shared), "run " * 20, sentence(rng, 20)]) for _ in range(60)]
+    whole = found_of(texts, 13, 1)
+    assert whole
+    for most in (1, 7, 500):
+        monkeypatch.setattr(sub, "SETTLED_WINDOWS", most)
+        assert found_of(texts, 13, 1) == whole
+
+
 def test_windows_that_share_a_name_and_half_their_hash_are_not_repeats(monkeypatch):
     texts = ["a b c d e", "v w x y z", "q b c d e", "a b c d e"]
     whole = tx.hash_long_windows
